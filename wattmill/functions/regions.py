@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Region code and the spellings people use for it.
@@ -26,3 +26,8 @@ def region_code(text: Column, synonyms: dict[str, tuple[str, ...]] | None = None
     lookup = F.create_map(*[F.lit(item) for entry in spelled.items() for item in entry])
     tidy = F.regexp_replace(F.lower(F.trim(text)), r"\s+", " ")
     return F.try_element_at(lookup, tidy)
+
+
+def canonicalise(df: DataFrame, column: str, synonyms: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """Add ``network_region`` for the free text in ``column``; unknown spellings stay, with NULL."""
+    return df.withColumn("network_region", region_code(F.col(column), synonyms))

@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattmill.functions.calendar import market_midnight
+from wattmill.functions.regions import REGION_SYNONYMS
 from wattmill.functions.taxonomy import FUELTECH_GROUPS, UNGROUPED_FUELTECHS, group_of, renewable_flag
-from wattmill.sources.landing import FETCHED_AT_FORMAT
+from wattmill.operators.conversations import pair_turns
+from wattmill.sources.landing import FETCHED_AT_FORMAT, path_key
 from wattmill.sources.tables import conform
 
 # Fixture region name to market region, event type to metric.
@@ -144,15 +146,23 @@ def demand_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(long, "demand_daily")
 
 
-def daily_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily unit points, several fetches of the same point included."""
+def _daily_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     return lines.select(
         F.concat(F.lit("U"), "l_partkey").alias("unit_code"),
         market_midnight(F.to_date("l_shipdate")).alias("interval_ts_utc"),
         F.lit("1d").alias("interval"),
         F.timestamp_seconds(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ingested_at"),
-        _long(_line_metrics(), UNIT_OF_METRIC),
+        F.to_date("l_shipdate").alias("day"),
+        *[v.alias(m) for m, v in _line_metrics().items()],
+    )
+
+
+def daily_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily unit points, several fetches of the same point included."""
+    metrics = {m: F.col(m) for m in _line_metrics()}
+    return _daily_lines(spark, sf_dir).select(
+        "unit_code", "interval_ts_utc", "interval", "ingested_at", _long(metrics, UNIT_OF_METRIC)
     )
 
 
@@ -267,19 +277,51 @@ def stats_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unit_metrics_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file per line item with its three metrics, fetched at the time its sequence stands for."""
-    points = daily_points(spark, sf_dir)
-    when = F.date_format(F.from_utc_timestamp("interval_ts_utc", "+10:00"), "yyyy-MM-dd'T'HH:mm:ss'+10:00'")
-    result = F.struct(
-        F.concat_ws("_", "metric", "unit_code").alias("name"),
-        F.struct("unit_code").alias("columns"),
-        F.array(F.array(when, F.col("value").cast("string"))).alias("data"),
-    )
-    block = F.struct("metric", F.col("uom").alias("unit"), "interval", F.array(result).alias("results"))
+    lines = _daily_lines(spark, sf_dir)
+    when = F.concat(F.col("day").cast("string"), F.lit("T00:00:00+10:00"))
+
+    def block(metric: str) -> Column:
+        result = F.struct(
+            F.concat(F.lit(f"{metric}_"), "unit_code").alias("name"),
+            F.struct("unit_code").alias("columns"),
+            F.array(F.array(when, F.col(metric).cast("string"))).alias("data"),
+        )
+        return F.struct(
+            F.lit(metric).alias("metric"),
+            F.lit(UNIT_OF_METRIC[metric]).alias("unit"),
+            "interval",
+            F.array(result).alias("results"),
+        )
+
     path = F.concat(
         F.lit("/landing/facility_data/interval="), "interval", F.lit("/chunk="), "unit_code",
-        F.lit("/fetched_at="), F.date_format("ingested_at", FETCHED_AT_FORMAT), F.lit("/part-"), "metric", F.lit(".json"),
+        F.lit("/fetched_at="), F.date_format("ingested_at", FETCHED_AT_FORMAT), F.lit("/part-000.json"),
     )
-    return _raw(points, F.struct(F.lit(True).alias("success"), F.array(block).alias("data")), path)
+    blocks = F.array(*[block(m) for m in _line_metrics()])
+    return _raw(lines, F.struct(F.lit(True).alias("success"), blocks.alias("data")), path)
+
+
+def land_stats(raw: DataFrame, landing: str) -> None:
+    """Write region-year payloads as files in the landing layout, one file per region, year and fetch."""
+    keys = ("region", "year", "fetched_at")
+    keyed = raw.select("raw_json", *[path_key(k).alias(k) for k in keys])
+    keyed.repartition(*keys).write.mode("append").partitionBy(*keys).text(f"{landing}/stats")
+
+
+def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with their region as people write it: code, name, short form, odd case and spaces, or unknown."""
+    joined = (
+        table(spark, sf_dir, "customer")
+        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    )
+    code = _lookup(REGION_OF, "r_name")
+    names = {c: n[0] for c, n in REGION_SYNONYMS.items()}
+    shorts = {c: n[1] for c, n in REGION_SYNONYMS.items()}
+    forms = F.array(
+        code, _lookup(names, code), _lookup(shorts, code), F.upper(F.concat(F.lit("  "), _lookup(names, code))), F.lit("Territory")
+    )
+    return joined.select("c_custkey", F.get(forms, (F.col("c_custkey") % 5).cast("int")).alias("region_text"))
 
 
 # --- conversations and evaluation runs -----------------------------------------------------------
@@ -287,8 +329,6 @@ def unit_metrics_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def messages(turns: DataFrame) -> DataFrame:
     """User turns as messages in the service's shape; an answer becomes a query or a text attachment."""
-    from wattmill.operators.conversations import pair_turns
-
     pairs = pair_turns(turns)
     size = F.length("answer")
     is_query = size % 2 == 0
