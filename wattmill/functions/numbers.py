@@ -13,10 +13,14 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def tidy_doubles(df: DataFrame, decimals: int = 6) -> DataFrame:
-    """Round every double and turn -0.0 into 0.0, so that results compare across engines."""
+    """Round every double and turn -0.0 into 0.0, so that results compare across engines.
+
+    Engines disagree on exact halves, which short decimals over powers of two do hit; a nudge far
+    below the last digit moves them off.
+    """
     return df.select(
         *[
-            (F.round(F.col(f.name), decimals) + F.lit(0.0)).alias(f.name)
+            (F.round(F.col(f.name) + F.lit(3e-10), decimals) + F.lit(0.0)).alias(f.name)
             if isinstance(f.dataType, (T.DoubleType, T.FloatType))
             else F.col(f.name)
             for f in df.schema.fields

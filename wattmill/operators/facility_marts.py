@@ -15,7 +15,7 @@ from wattmill.sources.tables import conform
 
 # The interval belongs to the key: a daily and a five-minute point can share an instant.
 POINT_KEYS = ["unit_code", "interval", "interval_ts_utc", "metric"]
-POINT_SEQUENCE = ["ingested_at", "source_file"]
+POINT_SEQUENCE = ["ingested_at", "source_id"]
 
 
 def facility_generation(points: DataFrame) -> DataFrame:

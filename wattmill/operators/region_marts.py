@@ -20,7 +20,7 @@ def _series(raw: DataFrame, demand: bool, rules) -> DataFrame:
     points = stats_points(raw.withColumn("ingested_at", fetch_time()), demand)
     kept, _ = apply_rules(points, rules)
     keys = ["series_id", "network_region", "fueltech_id", "metric", "nem_date"]
-    return latest_by(kept, keys, ["ingested_at", "source_file"])
+    return latest_by(kept, keys, ["ingested_at", "source_id"])
 
 
 def generation_daily_by_fueltech(raw: DataFrame) -> DataFrame:

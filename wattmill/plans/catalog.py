@@ -18,7 +18,7 @@ from wattmill.functions.regions import REGIONS, canonicalise
 from wattmill.operators import compare, conversations, dimensions, facility_marts, metrics, quality, region_marts
 from wattmill.operators.latest import latest_by
 from wattmill.plans import questions
-from wattmill.plans.marts import Marts, star_marts
+from wattmill.plans.marts import Marts, StarMarts
 from wattmill.session import pin_settings, shared_dir
 from wattmill.sources import landing, payloads, serving, star, tables
 from wattmill.streaming import ingest, upsert
@@ -44,14 +44,14 @@ def _as_of(spark: SparkSession, sf_dir: str) -> Column:
 
 
 def _mart(name: str) -> Query:
-    return lambda spark, sf_dir: getattr(star_marts(spark, sf_dir), name)
+    return lambda spark, sf_dir: getattr(StarMarts(spark, sf_dir), name)
 
 
 def _question(key: str) -> Query:
     params = QUESTION_PARAMS.get(key, {})
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return questions.QUESTIONS[key](star_marts(spark, sf_dir), _as_of(spark, sf_dir), **params)
+        return questions.QUESTIONS[key](StarMarts(spark, sf_dir), _as_of(spark, sf_dir), **params)
 
     return run
 
@@ -109,8 +109,7 @@ def scd1_batch(spark, sf_dir):
 def scd1_stream(spark, sf_dir):
     """The events table as a stream, upserted into a table on shared storage."""
     base = shared_dir(spark, "upsert")
-    schema = _events(spark, sf_dir).schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    stream = spark.readStream.schema(star.SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     table = upsert.PointTable(f"{base}/points")
     upsert.run_upsert(star.subdaily_points(stream), table, f"{base}/checkpoint")
     return table.read(spark)
@@ -151,17 +150,17 @@ def _key_tables(m: Marts) -> dict:
 
 
 def pk_violations(spark, sf_dir):
-    frame, keys = _key_tables(star_marts(spark, sf_dir))["facility_capacity_factor"]
+    frame, keys = _key_tables(StarMarts(spark, sf_dir))["facility_capacity_factor"]
     return quality.pk_violations(frame, keys)
 
 
 def key_counts(spark, sf_dir):
-    return quality.key_counts(_key_tables(star_marts(spark, sf_dir)))
+    return quality.key_counts(_key_tables(StarMarts(spark, sf_dir)))
 
 
 def reconcile_counts(spark, sf_dir):
     base = shared_dir(spark, "serving")
-    sources = _key_tables(star_marts(spark, sf_dir))
+    sources = _key_tables(StarMarts(spark, sf_dir))
     copies = {}
     for name, (frame, keys) in sources.items():
         serving.publish_snapshot(frame, f"{base}/{name}", keys)
@@ -171,7 +170,7 @@ def reconcile_counts(spark, sf_dir):
 
 def snapshot_publish(spark, sf_dir):
     root = shared_dir(spark, "serving")
-    frame, keys = _key_tables(star_marts(spark, sf_dir))["facility_capacity_factor"]
+    frame, keys = _key_tables(StarMarts(spark, sf_dir))["facility_capacity_factor"]
     serving.publish_snapshot(frame, root, keys)
     return serving.read_snapshot(spark, root, frame.schema)
 
@@ -179,7 +178,7 @@ def snapshot_publish(spark, sf_dir):
 def snapshot_lookup(spark, sf_dir):
     """Technology lookup on the published facility dimension, arrays stored as JSON text."""
     root = shared_dir(spark, "serving")
-    frame, keys = _key_tables(star_marts(spark, sf_dir))["dim_facility"]
+    frame, keys = _key_tables(StarMarts(spark, sf_dir))["dim_facility"]
     serving.publish_snapshot(frame, root, keys, as_json=True)
     stored = serving.read_snapshot(spark, root, tables.flatten_for_serving(frame).schema)
     return stored.select("facility_code", "fueltech_groups", "unit_count")
@@ -188,7 +187,7 @@ def snapshot_lookup(spark, sf_dir):
 def csv_export(spark, sf_dir):
     """Facility dimension written as CSV and read back with its declared types."""
     path = shared_dir(spark, "csv")
-    frame = star_marts(spark, sf_dir).dim_facility.select("facility_code", "facility_name", "fueltech_groups", "unit_count")
+    frame = StarMarts(spark, sf_dir).dim_facility.select("facility_code", "facility_name", "fueltech_groups", "unit_count")
     tables.export_csv(frame, path)
     return (
         spark.read.option("header", True)
@@ -200,13 +199,13 @@ def csv_export(spark, sf_dir):
 
 
 def last_rows_each(spark, sf_dir):
-    m = star_marts(spark, sf_dir)
+    m = StarMarts(spark, sf_dir)
     rows = serving.last_rows_each(serving.keyed_rows(m.facility_capacity_factor, ["facility_code"]), ["facility_code"], 7)
     return rows.select("facility_code", "nem_date", "energy_mwh", "capacity_factor")
 
 
 def coverage_report(spark, sf_dir):
-    m = star_marts(spark, sf_dir)
+    m = StarMarts(spark, sf_dir)
     names = (
         "generation_mix_daily",
         "renewable_share_daily",
@@ -222,7 +221,7 @@ def status_distribution(spark, sf_dir):
 
 
 def unattributed_days(spark, sf_dir):
-    return facility_marts.unattributed_days(star_marts(spark, sf_dir).facility_daily)
+    return facility_marts.unattributed_days(StarMarts(spark, sf_dir).facility_daily)
 
 
 def landing_gaps(spark, sf_dir):
@@ -230,30 +229,30 @@ def landing_gaps(spark, sf_dir):
 
 
 def metric_layer(spark, sf_dir):
-    wide = star_marts(spark, sf_dir).generation_daily_wide
+    wide = StarMarts(spark, sf_dir).generation_daily_wide
     return metrics.measure(wide, list(metrics.MEASURES), ["network_region", F.year("nem_date").alias("yr")])
 
 
 def metric_layer_total(spark, sf_dir):
-    return metrics.measure(star_marts(spark, sf_dir).generation_daily_wide, list(metrics.MEASURES), ["fueltech_group"])
+    return metrics.measure(StarMarts(spark, sf_dir).generation_daily_wide, list(metrics.MEASURES), ["fueltech_group"])
 
 
 def capacity_factor_between(spark, sf_dir):
-    factors = star_marts(spark, sf_dir).facility_capacity_factor
+    factors = StarMarts(spark, sf_dir).facility_capacity_factor
     return metrics.facility_capacity_factor_between(factors, "F5", "1997-03-01", "1997-12-31")
 
 
 def region_mix(spark, sf_dir):
-    return metrics.region_mix(star_marts(spark, sf_dir).generation_mix_daily, "TAS1", "1996-07-01", "1999-06-30")
+    return metrics.region_mix(StarMarts(spark, sf_dir).generation_mix_daily, "TAS1", "1996-07-01", "1999-06-30")
 
 
 def renewable_share_strict(spark, sf_dir):
-    return region_marts.renewable_share_daily(star_marts(spark, sf_dir).generation_daily_wide, strict_nulls=True)
+    return region_marts.renewable_share_daily(StarMarts(spark, sf_dir).generation_daily_wide, strict_nulls=True)
 
 
 def record_days(spark, sf_dir):
     """Days whose total ranks third or better, ties included."""
-    mix = star_marts(spark, sf_dir).generation_mix_daily
+    mix = StarMarts(spark, sf_dir).generation_mix_daily
     days = mix.groupBy("nem_date").agg(F.sum("generated_mwh").alias("total_mwh"))
     return questions.days_of_rank(days, "total_mwh", 3)
 
@@ -264,7 +263,7 @@ def canonicalise_region(spark, sf_dir):
 
 def result_compare(spark, sf_dir):
     """The mix mart against the same answer in another shape, and against one without unmapped rows."""
-    mix = star_marts(spark, sf_dir).generation_mix_daily.where(in_years(F.col("nem_date"), 1996, 1996))
+    mix = StarMarts(spark, sf_dir).generation_mix_daily.where(in_years(F.col("nem_date"), 1996, 1996))
     reshaped = mix.select(
         F.col("generated_mwh").alias("mwh"),
         F.lit("extra").alias("note"),

@@ -11,13 +11,12 @@ from wattmill.sources import star
 
 
 class Marts:
-    """Gold tables from the four silver ones. Every attribute is a lazy plan."""
+    """Gold tables over the four silver ones. Every attribute is a lazy plan."""
 
-    def __init__(self, units: DataFrame, series: DataFrame, generation: DataFrame, demand: DataFrame):
-        self.dim_unit = units
-        self.generation_daily_by_fueltech = series
-        self.facility_generation = generation
-        self.demand_daily = demand
+    dim_unit: DataFrame
+    generation_daily_by_fueltech: DataFrame
+    facility_generation: DataFrame
+    demand_daily: DataFrame
 
     @cached_property
     def generation_daily_wide(self) -> DataFrame:
@@ -52,17 +51,34 @@ class Marts:
         return region_marts.demand_vs_generation(self.demand_daily, self.generation_mix_daily)
 
 
-class StoredMarts:
-    """The same tables read back from where a refresh wrote them."""
+class SilverMarts(Marts):
+    """Marts over given silver tables."""
 
-    def __init__(self, tables: dict[str, DataFrame]):
-        self.__dict__.update(tables)
+    def __init__(self, units: DataFrame, series: DataFrame, generation: DataFrame, demand: DataFrame):
+        self.dim_unit = units
+        self.generation_daily_by_fueltech = series
+        self.facility_generation = generation
+        self.demand_daily = demand
 
 
-def star_marts(spark: SparkSession, sf_dir: str) -> Marts:
-    return Marts(
-        units=star.dim_unit(spark, sf_dir),
-        series=star.generation_daily_by_fueltech(spark, sf_dir),
-        generation=facility_marts.facility_generation(star.unit_points(spark, sf_dir)),
-        demand=star.demand_daily(spark, sf_dir),
-    )
+class StarMarts(Marts):
+    """Marts over the bundled star-schema tables."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.source = (spark, sf_dir)
+
+    @cached_property
+    def dim_unit(self) -> DataFrame:
+        return star.dim_unit(*self.source)
+
+    @cached_property
+    def generation_daily_by_fueltech(self) -> DataFrame:
+        return star.generation_daily_by_fueltech(*self.source)
+
+    @cached_property
+    def facility_generation(self) -> DataFrame:
+        return facility_marts.facility_generation(star.unit_points(*self.source))
+
+    @cached_property
+    def demand_daily(self) -> DataFrame:
+        return star.demand_daily(*self.source)

@@ -170,11 +170,11 @@ def since(days: int) -> str:
 
 
 def r(*columns: str) -> str:
-    """Rounded columns: "expression AS name" or a plain column."""
+    """Rounded columns: "expression AS name" or a plain column. See ``tidy_doubles`` for the nudge."""
     out = []
     for column in columns:
         expression, _, name = column.partition(" AS ")
-        out.append(f"round({expression}, 6) + 0.0 AS {name or expression}")
+        out.append(f"round({expression} + 3e-10, 6) + 0.0 AS {name or expression}")
     return ", ".join(out)
 
 
@@ -195,7 +195,7 @@ DIM_UNIT = (
     "is_renewable, status_id, dispatch_type, "
     f"{r('lat', 'lng', 'capacity_registered_mw', 'capacity_maximum_mw', 'emissions_factor_co2')} FROM units"
 )
-POINT = "unit_code, interval_ts_utc, metric, interval, round(value, 6) + 0.0 AS value, uom, ingested_at"
+POINT = f"unit_code, interval_ts_utc, metric, interval, {r('value')}, uom, ingested_at"
 SERIES = "nem_date, network_region, fueltech_id, fueltech_group, is_renewable, metric, uom"
 SHARE = f"nem_date, network_region, {r('renewable_mwh', 'total_mwh', 'renewable_share')}"
 MIX_LAST_YEAR = (
@@ -218,8 +218,8 @@ SHARE_LAST_YEAR = (
 MEAN_CF = r("avg(capacity_factor) AS avg_capacity_factor")
 TOTAL = r("sum(generated_mwh) AS total_mwh")
 KEYED = """
-SELECT 'dim_facility' AS tbl, count(*) AS n, count_if(facility_code IS NULL) AS null_key_rows FROM dimfac
-UNION ALL SELECT 'facility_capacity_factor', count(*), count_if(facility_code IS NULL OR nem_date IS NULL) FROM cf
+SELECT 'dim_facility' AS tbl, count(*) AS n, count(*) FILTER (WHERE facility_code IS NULL) AS null_key_rows FROM dimfac
+UNION ALL SELECT 'facility_capacity_factor', count(*), count(*) FILTER (WHERE facility_code IS NULL OR nem_date IS NULL) FROM cf
 """
 
 TEXTS = {
@@ -278,8 +278,8 @@ TEXTS = {
 WITH p AS (SELECT unit_code, metric, value FROM daily_points UNION ALL SELECT unit_code, metric, value FROM event_points)
 SELECT 'valid_unit_code' AS rule, 'drop' AS action, count(*) AS passed, CAST(0 AS BIGINT) AS failed FROM p
 UNION ALL SELECT 'valid_ts', 'drop', count(*), 0 FROM p
-UNION ALL SELECT 'valid_metric', 'drop', count(metric), count_if(metric IS NULL) FROM p
-UNION ALL SELECT 'non_negative_value', 'warn', count_if(value IS NULL OR value >= 0), count_if(value < 0) FROM p
+UNION ALL SELECT 'valid_metric', 'drop', count(metric), count(*) FILTER (WHERE metric IS NULL) FROM p
+UNION ALL SELECT 'non_negative_value', 'warn', count(*) FILTER (WHERE value IS NULL OR value >= 0), count(*) FILTER (WHERE value < 0) FROM p
 """,
     "series_rule_counts": """
 SELECT 'valid_key' AS rule, 'drop' AS action, 2 * (SELECT count(*) FROM series_gapped) AS passed,
@@ -341,7 +341,7 @@ WHERE (code, y) NOT IN (SELECT (network_region, year(nem_date)) FROM series_long
 SELECT {SHARE} FROM (
   SELECT *, CASE WHEN total_mwh <> 0 THEN renewable_mwh / total_mwh END AS renewable_share FROM (
     SELECT nem_date, network_region, sum(generated_mwh) AS total_mwh,
-           CASE WHEN count_if(is_renewable) > 0 THEN sum(generated_mwh) FILTER (WHERE is_renewable) ELSE 0 END
+           CASE WHEN count(*) FILTER (WHERE is_renewable) > 0 THEN sum(generated_mwh) FILTER (WHERE is_renewable) ELSE 0 END
              AS renewable_mwh FROM wide GROUP BY 1, 2))
 """,
     "record_days": f"""
@@ -364,8 +364,8 @@ UNION ALL SELECT 'mapped_only', 'BAD', count(*), count(fueltech_group), count(*)
        count(*) > 5000 FROM e
 """,
     "score_run": " UNION ALL ".join(
-        f"SELECT '{run}' AS eval_run_id, count(*) AS num_questions, count_if({run} = 'GOOD') AS num_correct, "
-        f"count_if({run} = 'NEEDS_REVIEW') AS num_needs_review, count_if({run} = 'BAD') AS num_wrong FROM assessed"
+        f"SELECT '{run}' AS eval_run_id, count(*) AS num_questions, count(*) FILTER (WHERE {run} = 'GOOD') AS num_correct, "
+        f"count(*) FILTER (WHERE {run} = 'NEEDS_REVIEW') AS num_needs_review, count(*) FILTER (WHERE {run} = 'BAD') AS num_wrong FROM assessed"
         for run in ("baseline", "curated")
     ),
     "score_delta": """

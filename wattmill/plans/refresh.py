@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from wattmill.operators import dimensions, region_marts
-from wattmill.plans.marts import Marts
+from wattmill.plans.marts import Marts, SilverMarts
 from wattmill.session import require_utc
 from wattmill.sources.payloads import REGISTRY, STATS, UNIT_METRICS, quarantine
 from wattmill.sources.tables import conform, read_table, write_table
@@ -78,7 +78,7 @@ def refresh(spark: SparkSession, w: Warehouse) -> Marts:
     demand = write_table(
         region_marts.demand_daily(stats), w.table("silver", "demand_daily"), order_by=("nem_date", "network_region")
     )
-    marts = Marts(units, series, w.points().read(spark, intervals=["1d"]), demand)
+    marts = SilverMarts(units, series, w.points().read(spark, intervals=["1d"]), demand)
     for name, layout in GOLD_LAYOUT.items():
         stored = write_table(getattr(marts, name), w.table("gold", name), order_by=layout)
         setattr(marts, name, conform(stored, name))

@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,13 +27,15 @@ class Version:
     live: dict[tuple, str] = field(default_factory=dict)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
 def current(spark: SparkSession, root: str) -> Version:
-    try:
-        manifests = spark.read.schema(MANIFEST).json(f"{root}/manifests")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return Version()
-        raise
+    if not _exists(spark, f"{root}/manifests"):
+        return Version()
+    manifests = spark.read.schema(MANIFEST).json(f"{root}/manifests")
     row = manifests.orderBy(F.desc("version")).first()
     if row is None:
         return Version()

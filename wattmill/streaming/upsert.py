@@ -23,9 +23,17 @@ from wattmill.sources.tables import conform
 
 PARTS = ("interval", "period")
 
-STORED = T.StructType.fromDDL(
-    "unit_code STRING, interval_ts_utc TIMESTAMP, metric STRING, value DOUBLE, uom STRING, "
-    "ingested_at TIMESTAMP, source_file STRING, interval STRING, period STRING"
+STORED = (
+    T.StructType()
+    .add("unit_code", T.StringType())
+    .add("interval_ts_utc", T.TimestampType())
+    .add("metric", T.StringType())
+    .add("value", T.DoubleType())
+    .add("uom", T.StringType())
+    .add("ingested_at", T.TimestampType())
+    .add("source_id", T.LongType())
+    .add("interval", T.StringType())
+    .add("period", T.StringType())
 )
 
 
@@ -74,8 +82,8 @@ class PointTable:
         and it stays as the record of what the batch brought.
         """
         outcome = F.when(F.size("broken_rules") > 0, "rejected").otherwise("kept")
-        if "source_file" not in points.columns:
-            points = points.withColumn("source_file", F.lit(None).cast("string"))
+        if "source_id" not in points.columns:
+            points = points.withColumn("source_id", F.lit(None).cast("bigint"))
         wanted = [c for c in STORED.names if c != "period"]
         marked = flag(points, self.rules).select(
             *wanted, period().alias("period"), "broken_rules", outcome.alias("outcome")
@@ -94,7 +102,7 @@ class PointTable:
         live = versions.current(spark, self.root).live
         folders = [d for part, d in live.items() if intervals is None or part[0] in intervals]
         stored = versions.read(spark, self.root, STORED, folders)
-        return conform(stored.drop("source_file", "period"), "facility_generation")
+        return conform(stored.drop("source_id", "period"), "facility_generation")
 
 
 def run_upsert(points: DataFrame, table: PointTable, checkpoint: str):
