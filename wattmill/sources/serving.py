@@ -39,7 +39,7 @@ def publish_snapshot(df: DataFrame, root: str, keys: Sequence[str], as_json: boo
     )
     # Range partitioning samples first, which would run and count the mart twice; hashing does not.
     laid_out = keyed_rows(observed, keys).repartition(*keys).sortWithinPartitions(*keys)
-    folder = f"data/v={number}"
+    folder = f"data/table_version={number}"
     laid_out.write.mode("overwrite").parquet(f"{root}/{folder}")
     copy = versions.read(spark, root, df.schema, [folder])
     if not pk_violations(copy, keys).isEmpty():

@@ -56,11 +56,15 @@ def _fueltech() -> Column:
 
 
 def _join_facility(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Add supplier, nation and region of a part. Left-deep over base tables, whose sizes Spark knows."""
+    """Add supplier, nation and region of a part. Left-deep over base tables, whose sizes Spark knows.
+
+    The slot is a column of its own: a subquery inside a join key fails when that side is broadcast.
+    """
     supplier = table(spark, sf_dir, "supplier")
     slots = supplier.agg(F.max("s_suppkey") + 1).scalar()
     return (
-        df.join(supplier, F.col("p_partkey") % slots == F.col("s_suppkey"))
+        df.withColumn("slot", F.col("p_partkey") % slots)
+        .join(supplier, F.col("slot") == F.col("s_suppkey"))
         .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )

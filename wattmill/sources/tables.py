@@ -103,12 +103,12 @@ def declared(table: str) -> T.StructType:
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Bring ``df`` to the declared columns, order, types and comments; fails if it cannot.
 
-    Surplus columns are an error: a mart must not leak helpers.
+    Missing columns are an error too: left to Spark they would turn up as NULL.
     """
     schema = declared(table)
-    surplus = set(df.columns) - set(schema.names)
-    if surplus:
-        raise ValueError(f"{table}: undeclared columns {sorted(surplus)}")
+    surplus, missing = set(df.columns) - set(schema.names), set(schema.names) - set(df.columns)
+    if surplus or missing:
+        raise ValueError(f"{table}: undeclared columns {sorted(surplus)}, missing columns {sorted(missing)}")
     return df.to(schema)
 
 

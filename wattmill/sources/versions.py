@@ -1,6 +1,6 @@
 """Parquet tables that change by whole files.
 
-A table is a folder with ``data/v=<n>/...`` and ``manifests/``. A manifest is one JSON row that names
+A table is a folder with ``data/table_version=<n>/...`` and ``manifests/``. A manifest is one JSON row that names
 the folders which make up the table at a version. Writers only add: new data folders first, then the
 manifest, so a reader sees the old version or the new one, and a job that dies in between leaves
 nothing but an unnamed folder that its retry overwrites. One writer per table.
@@ -58,8 +58,8 @@ def read(spark: SparkSession, root: str, schema: T.StructType, folders: Sequence
 
 def written_parts(spark: SparkSession, root: str, number: int, schema: T.StructType, by: Sequence[str]) -> dict:
     """Part values and folder of everything a version wrote, read from file paths."""
-    files = spark.read.schema(schema).option("basePath", f"{root}/data").parquet(f"{root}/data/v={number}")
-    folder = F.regexp_extract(F.col("_metadata.file_path"), f"(data/v={number}(?:/.+)?)/[^/]+$", 1)
+    files = spark.read.schema(schema).option("basePath", f"{root}/data").parquet(f"{root}/data/table_version={number}")
+    folder = F.regexp_extract(F.col("_metadata.file_path"), f"(data/table_version={number}(?:/.+)?)/[^/]+$", 1)
     rows = files.select(F.array(*by).cast("array<string>").alias("part"), folder.alias("dir")).distinct().collect()
     return {tuple(r.part): r.dir for r in rows}
 

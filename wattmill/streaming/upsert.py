@@ -71,7 +71,7 @@ class PointTable:
             merged = latest_by(stored.unionByName(kept), self.keys, self.sequence)
             # The hint lets Spark split a hot month over several files and join small ones.
             laid_out = merged.hint("rebalance", *PARTS)
-            laid_out.write.mode("overwrite").partitionBy(*PARTS).parquet(f"{self.root}/data/v={number}")
+            laid_out.write.mode("overwrite").partitionBy(*PARTS).parquet(f"{self.root}/data/table_version={number}")
             live.update(versions.written_parts(spark, self.root, number, STORED, PARTS))
         versions.commit(spark, self.root, versions.Version(number, batch_id, live))
 
@@ -93,8 +93,9 @@ class PointTable:
         return points.sparkSession.read.schema(marked.schema).parquet(path)
 
     def rejected(self, spark: SparkSession) -> DataFrame:
-        schema = T.StructType([*STORED.fields]).add("broken_rules", "array<string>").add("outcome", "string")
-        schema = schema.add("batch", "bigint")
+        """Rows of all batches that broke a drop rule. ``source_id`` is the hash of the file's path."""
+        schema = T.StructType([*STORED.fields]).add("broken_rules", T.ArrayType(T.StringType()))
+        schema = schema.add("batch", T.LongType()).add("outcome", T.StringType())
         return spark.read.schema(schema).parquet(f"{self.root}/batches").where(F.col("outcome") == "rejected").drop("outcome")
 
     def read(self, spark: SparkSession, intervals: Sequence[str] | None = None) -> DataFrame:
