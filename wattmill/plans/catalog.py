@@ -17,7 +17,7 @@ from wattmill.functions.numbers import tidy_doubles
 from wattmill.functions.regions import REGIONS, canonicalise
 from wattmill.operators import compare, conversations, dimensions, facility_marts, metrics, quality, region_marts
 from wattmill.operators.latest import latest_by
-from wattmill.plans import questions
+from wattmill.plans import questions, variants
 from wattmill.plans.marts import Marts, StarMarts
 from wattmill.session import pin_settings, shared_dir
 from wattmill.sources import landing, payloads, serving, star, tables
@@ -56,6 +56,10 @@ def _question(key: str) -> Query:
     return run
 
 
+def _variant(fn: Callable) -> Query:
+    return lambda spark, sf_dir: fn(StarMarts(spark, sf_dir), _as_of(spark, sf_dir))
+
+
 # Parameters that fit the bundled data, which covers 1995 to 2001.
 QUESTION_PARAMS = {
     "q03": {"first": 1996, "last": 2000},
@@ -367,6 +371,7 @@ def queries() -> dict[str, Query]:
     found: dict[str, Query] = {name: _mart(name) for name in MARTS}
     found.update({fn.__name__: fn for fn in OPERATORS})
     found.update({name: _question(name) for name in questions.QUESTIONS})
+    found.update({fn.__name__: _variant(fn) for fn in variants.VARIANTS})
     return {name: _finished(query) for name, query in found.items()}
 
 

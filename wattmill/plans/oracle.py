@@ -507,6 +507,41 @@ SELECT conversation_id, created, last_updated,
         f"{r('CASE WHEN sum(total_mwh) <> 0 THEN sum(renewable_mwh) / sum(total_mwh) END AS renewable_share')} "
         "FROM share WHERE network_region = 'SA1' AND year(nem_date) IN (1996, 2000) GROUP BY 1"
     ),
+    "record_day_by_rank": (
+        f"SELECT nem_date, network_region, {r('total_mwh')} FROM (SELECT *, rank() OVER (ORDER BY total_mwh DESC) AS rnk "
+        "FROM share WHERE network_region LIKE 'QLD%' AND total_mwh IS NOT NULL) AS ranked WHERE rnk = 1"
+    ),
+    "best_day_in_sixty_months": (
+        f"SELECT nem_date, network_region, {r('renewable_share')} FROM (SELECT *, "
+        "rank() OVER (ORDER BY renewable_share DESC) AS rnk FROM share WHERE network_region ILIKE '%tas%' "
+        "AND nem_date >= (SELECT d - INTERVAL 60 MONTH FROM today) AND renewable_share IS NOT NULL) AS ranked WHERE rnk = 1"
+    ),
+    "intensity_by_truncated_year": (
+        "SELECT CAST(date_trunc('year', nem_date) AS DATE) AS calendar_year, "
+        f"{r('avg(emissions_intensity_tco2e_per_mwh) AS avg_intensity')} FROM intensity "
+        "WHERE lower(network_region) LIKE '%qld%' AND year(nem_date) BETWEEN 1997 AND 2001 GROUP BY 1"
+    ),
+    "wind_leader": (
+        f"SELECT network_region, {r('w AS wind_mwh')} FROM (SELECT network_region, sum(generated_mwh) AS w, "
+        "rank() OVER (ORDER BY sum(generated_mwh) DESC) AS rnk FROM mix "
+        f"WHERE fueltech_group ILIKE '%wind%' AND {LAST_YEAR} GROUP BY 1) WHERE rnk = 1"
+    ),
+    "region_count_and_set": (
+        "SELECT count(DISTINCT network_region) AS region_count, "
+        "array_to_string(list_sort(list(DISTINCT network_region)), ',') AS region_codes FROM mix"
+    ),
+    "coal_share_percent": (
+        f"SELECT yr, {r('c AS coal_mwh', 't AS total_mwh', 'CASE WHEN t <> 0 THEN 100 * (c / t) END AS coal_share_percent')} "
+        "FROM (SELECT CAST(year(nem_date) AS INTEGER) AS yr, "
+        "sum(CASE WHEN fueltech_group ILIKE '%coal%' THEN generated_mwh ELSE 0 END) AS c, sum(generated_mwh) AS t "
+        "FROM mix WHERE network_region ILIKE '%VIC%' GROUP BY 1)"
+    ),
+    "lowest_factors_of_the_last_month": (
+        f"SELECT facility_code, facility_name, days_with_data, {r('a AS avg_capacity_factor')} FROM ("
+        "SELECT facility_code, facility_name, count(capacity_factor) AS days_with_data, avg(capacity_factor) AS a FROM cf "
+        "WHERE nem_date BETWEEN (SELECT max(nem_date) - 29 FROM cf) AND (SELECT max(nem_date) FROM cf) GROUP BY 1, 2) "
+        "WHERE days_with_data >= 5 AND facility_code IS NOT NULL ORDER BY a, facility_code LIMIT 5"
+    ),
 }
 
 

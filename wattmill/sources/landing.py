@@ -30,13 +30,18 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     return _raw_columns(spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path))
 
 
-def stream_files(spark: SparkSession, path: str, max_files: int = 10_000, max_age: str = "36500d") -> DataFrame:
+def stream_files(
+    spark: SparkSession, path: str, max_files: int = 10_000, max_age: str = "36500d", archive: str | None = None
+) -> DataFrame:
     """The same as a stream, each file once.
 
     ``max_files`` bounds a micro-batch. ``max_age`` is long because a gap that is filled later may
-    bring files older than those already seen, which the default of a week would skip.
+    bring files older than those already seen, which the default of a week would skip. ``archive``
+    moves finished files out of the landing folder, which keeps its listing short over the years.
     """
     reader = spark.readStream.format("text").option("wholetext", True).option("recursiveFileLookup", True)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return _raw_columns(reader.option("maxFilesPerTrigger", max_files).option("maxFileAge", max_age).load(path))
 
 

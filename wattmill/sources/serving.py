@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattmill.operators.quality import any_null, pk_violations
+from wattmill.session import shared_dir
 from wattmill.sources import versions
 from wattmill.sources.tables import flatten_for_serving
 
@@ -25,29 +26,31 @@ def keyed_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def publish_snapshot(df: DataFrame, root: str, keys: Sequence[str], as_json: bool = False) -> dict:
     """Replace the published copy of a mart, or leave it as it was if keys repeat.
 
-    One pass counts and writes. Files are sorted by key, so a lookup skips the row groups whose
-    statistics do not cover it. The key is checked on the written copy, which reads its key columns
-    only, and the copy becomes current after that. ``as_json`` stores nested columns as JSON text.
+    The mart runs once, into a scratch table that also yields the counts. From there it is laid out in
+    ranges of the sorted key, so that a lookup opens the one or two files whose statistics cover it;
+    sampling the ranges and checking the key read the key columns of the scratch table only.
+    ``as_json`` stores nested columns as JSON text.
     """
     spark = df.sparkSession
     if as_json:
         df = flatten_for_serving(df)
     number = versions.current(spark, root).number + 1
     counts = Observation(f"publish-{number}")
-    observed = df.observe(
+    scratch = shared_dir(spark, "publish")
+    df.observe(
         counts, F.count(F.lit(1)).alias("source_rows"), F.count_if(any_null(keys)).alias("null_key_rows")
-    )
-    # Range partitioning samples first, which would run and count the mart twice; hashing does not.
-    laid_out = keyed_rows(observed, keys).repartition(*keys).sortWithinPartitions(*keys)
-    folder = f"data/table_version={number}"
-    laid_out.write.mode("overwrite").parquet(f"{root}/{folder}")
-    copy = versions.read(spark, root, df.schema, [folder])
-    if not pk_violations(copy, keys).isEmpty():
+    ).write.parquet(scratch)
+    keyed = keyed_rows(spark.read.schema(df.schema).parquet(scratch), keys)
+    if not pk_violations(keyed, keys).isEmpty():
         raise DuplicateKeys(f"{root}: {', '.join(keys)} is not unique; the published copy is unchanged")
-    versions.commit(spark, root, versions.Version(number, number, {("all",): folder}))
+    folder = f"data/table_version={number}"
+    keyed.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(f"{root}/{folder}")
     report = dict(counts.get)
-    report["copy_rows"] = copy.count()
+    report["copy_rows"] = versions.read(spark, root, df.schema, [folder]).count()
     report["ok"] = report["copy_rows"] == report["source_rows"] - report["null_key_rows"]
+    if not report["ok"]:
+        raise ValueError(f"{root}: {report}; the published copy is unchanged")
+    versions.commit(spark, root, versions.Version(number, number, {("all",): folder}))
     return report
 
 
