@@ -3,7 +3,10 @@ import json
 
 import samples
 
+from wattmill.operators import facility_marts
+from wattmill.plans import questions
 from wattmill.plans.refresh import Warehouse, quarantined, refresh, replay, stored_marts
+from wattmill.sources import versions
 
 POINTS = "facility_data/interval=1d/chunk=000/fetched_at={}/part-000.json"
 
@@ -39,3 +42,64 @@ def test_files_to_marts_and_again(spark, tmp_path, rows):
     assert fresh.points().root != w.points().root
     comments = {f.name: f.metadata.get("comment") for f in stored_marts(spark, fresh)["facility_daily"].schema.fields}
     assert "price" in comments["market_value_aud"]
+
+
+def test_only_changed_months_are_recomputed(spark, tmp_path, rows):
+    landing = tmp_path / "landing"
+    w = Warehouse(str(landing), str(tmp_path / "wh"))
+    root = w.table("gold", "facility_daily")
+
+    def fetch(stamp, month, value, unit="U1"):
+        pairs = [[f"2024-{month:02d}-{d:02d}T00:00:00+10:00", value] for d in (1, 15, 28)]
+        samples.land(landing, POINTS.format(stamp), {"data": [samples.block("energy", "1d", unit, pairs)]})
+
+    def versions_of_months():
+        return {part[0]: folder.split("/")[1] for part, folder in versions.current(spark, root).live.items()}
+
+    samples.land(landing, "facilities/fetched_at=2024-01-05T010203Z/part-000.json", samples.REGISTRY)
+    samples.land(landing, "stats/region=SA1/year=2024/fetched_at=2024-01-05T010203Z/part-000.json", samples.STATS)
+    fetch("2024-05-01T000000Z", 3, 1.0)
+    fetch("2024-05-01T000001Z", 4, 1.0)
+    refresh(spark, w)
+    assert versions_of_months() == {"2024-03": "table_version=1", "2024-04": "table_version=1"}
+    fetch("2024-05-02T000000Z", 4, 2.0)
+    marts = refresh(spark, w)
+    assert versions_of_months() == {"2024-03": "table_version=1", "2024-04": "table_version=2"}
+    got = rows(marts.facility_daily.groupBy("facility_code").agg({"energy_mwh": "sum"}))
+    assert got == [("F1", 9.0)]
+    full = facility_marts.facility_daily(w.points().read(spark), marts.dim_unit)
+    assert rows(full) == rows(marts.facility_daily)
+    refresh(spark, w)
+    assert versions.current(spark, root).number == 2
+
+    renamed = json.loads(json.dumps(samples.REGISTRY).replace("Alpha", "Alpha II"))
+    samples.land(landing, "facilities/fetched_at=2024-06-05T010203Z/part-000.json", renamed)
+    marts = refresh(spark, w)
+    assert versions_of_months() == {"2024-03": "table_version=3", "2024-04": "table_version=3"}
+    assert rows(marts.facility_daily.select("facility_name").distinct()) == [("Alpha II",)]
+
+
+def test_questions_on_stored_marts_prune(spark, tmp_path):
+    """Date and region filters of a question must reach the files of the stored marts."""
+    landing = tmp_path / "landing"
+    w = Warehouse(str(landing), str(tmp_path / "wh"))
+    samples.land(landing, "facilities/fetched_at=2024-01-05T010203Z/part-000.json", samples.REGISTRY)
+    samples.land(landing, "stats/region=SA1/year=2024/fetched_at=2024-01-05T010203Z/part-000.json", samples.STATS)
+    samples.land(landing, POINTS.format("2024-01-05T010203Z"), samples.UNIT_METRICS)
+    marts = refresh(spark, w)
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+
+    def scan(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return next(line for line in plan.splitlines() if "FileScan" in line)
+
+    found = scan(questions.q04(marts, dt.date(2025, 3, 1)))
+    assert "GreaterThanOrEqual(nem_date,2024-01-01)" in found and "EqualTo(network_region,SA1)" in found
+    assert "ReadSchema: struct<nem_date:date,network_region:string,fueltech_group:string,generated_mwh:double>" in found
+    assert "GreaterThanOrEqual(nem_date," in scan(questions.q10(marts, dt.date(2024, 1, 5)))
+    assert rows_of(questions.q04(marts, dt.date(2025, 3, 1))) == [("wind", 3500.0)]
+
+
+def rows_of(df):
+    return [tuple(r) for r in df.collect()]

@@ -5,12 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from wattmill.operators import dimensions, region_marts
+from wattmill.operators import dimensions, facility_marts, region_marts
 from wattmill.plans.marts import Marts, SilverMarts
 from wattmill.session import require_utc
+from wattmill.sources import versions
 from wattmill.sources.payloads import REGISTRY, STATS, UNIT_METRICS, quarantine
-from wattmill.sources.tables import conform, read_table, write_table
+from wattmill.sources.tables import conform, declared, read_table, write_table
 from wattmill.streaming.ingest import ingest, read_raw, stream_raw
 from wattmill.streaming.upsert import PointTable, points_of, run_upsert
 
@@ -22,7 +25,6 @@ GOLD_LAYOUT = {
     "generation_mix_daily": ("nem_date", "network_region", "fueltech_group"),
     "renewable_share_daily": ("nem_date", "network_region"),
     "emissions_intensity_daily": ("nem_date", "network_region"),
-    "facility_daily": ("nem_date", "facility_code"),
     "facility_capacity_factor": ("nem_date", "facility_code"),
     "dim_facility": ("facility_code",),
 }
@@ -59,11 +61,53 @@ def quarantined(spark: SparkSession, w: Warehouse) -> dict[str, DataFrame]:
     return {family: quarantine(read_raw(spark, w.raw(family)), shape) for family, shape in FAMILIES.items()}
 
 
+def _fingerprint(df: DataFrame) -> str:
+    """Order-free checksum of a table; one row comes back."""
+    return str(df.agg(F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()[0])
+
+
+def refresh_facility_daily(spark: SparkSession, w: Warehouse, units: DataFrame) -> DataFrame:
+    """Recompute the facility-day mart only for months whose points changed.
+
+    A month of the mart depends on the folder that holds the month's daily points and on the unit
+    dimension. Both are part of the stored month's name, so a month with both unchanged is carried
+    over and a new registry rebuilds all.
+    """
+    root = w.table("gold", "facility_daily")
+    schema = T.StructType([*declared("facility_daily").fields]).add("period", T.StringType())
+    points, names = w.points(), _fingerprint(units)
+    wanted = {(month, f"{points.root}/{folder}", names): folder for folder, month in points.folders(spark, ["1d"]).items()}
+    now = versions.current(spark, root)
+    live = {part: folder for part, folder in now.live.items() if part in wanted}
+    changed = {part[0]: (part, folder) for part, folder in wanted.items() if part not in live}
+    if changed or len(live) != len(now.live):
+        number = now.number + 1
+        if changed:
+            daily = facility_marts.facility_daily(points.read_folders(spark, [f for _, f in changed.values()]), units)
+            dated = daily.withColumn("period", F.substring(F.col("nem_date").cast("string"), 1, 7))
+            laid_out = dated.repartitionByRange("period", "nem_date", "facility_code")
+            laid_out.sortWithinPartitions("period", "nem_date", "facility_code").write.mode("overwrite").partitionBy(
+                "period"
+            ).parquet(f"{root}/data/table_version={number}")
+            written = versions.written_parts(spark, root, number, schema, ["period"])
+            live.update({changed[month][0]: folder for (month,), folder in written.items()})
+        versions.commit(spark, root, versions.Version(number, number, live))
+    return read_facility_daily(spark, w)
+
+
+def read_facility_daily(spark: SparkSession, w: Warehouse) -> DataFrame:
+    root = w.table("gold", "facility_daily")
+    schema = T.StructType([*declared("facility_daily").fields]).add("period", T.StringType())
+    stored = versions.read(spark, root, schema, list(versions.current(spark, root).live.values()))
+    return conform(stored.drop("period"), "facility_daily")
+
+
 def refresh(spark: SparkSession, w: Warehouse) -> Marts:
     """Bring every table up to date; safe to run again, also after a crash.
 
-    Raw files and unit points advance by what is new. The region tables and marts are recomputed and
-    stored; each stored table feeds the next, so no plan reaches back over two layers.
+    Raw files, unit points and the facility days advance by what is new. The region tables and the
+    small marts are recomputed and stored; each stored table feeds the next, so no plan reaches back
+    over two layers.
     """
     require_utc(spark)
     ingest_all(spark, w)
@@ -79,6 +123,7 @@ def refresh(spark: SparkSession, w: Warehouse) -> Marts:
         region_marts.demand_daily(stats), w.table("silver", "demand_daily"), order_by=("nem_date", "network_region")
     )
     marts = SilverMarts(units, series, w.points().read(spark, intervals=["1d"]), demand)
+    marts.facility_daily = refresh_facility_daily(spark, w, units)
     for name, layout in GOLD_LAYOUT.items():
         stored = write_table(getattr(marts, name), w.table("gold", name), order_by=layout)
         setattr(marts, name, conform(stored, name))
@@ -95,4 +140,5 @@ def replay(spark: SparkSession, w: Warehouse) -> tuple[Warehouse, Marts]:
 
 
 def stored_marts(spark: SparkSession, w: Warehouse) -> dict[str, DataFrame]:
-    return {name: conform(read_table(spark, w.table("gold", name)), name) for name in GOLD_LAYOUT}
+    stored = {name: conform(read_table(spark, w.table("gold", name)), name) for name in GOLD_LAYOUT}
+    return {**stored, "facility_daily": read_facility_daily(spark, w)}

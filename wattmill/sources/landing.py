@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FETCHED_AT_FORMAT = "yyyy-MM-dd'T'HHmmss'Z'"
+FETCHED_AT_FORMAT = "yyyy-MM-dd'T'HHmmssX"
 
 
 def _raw_columns(df: DataFrame) -> DataFrame:

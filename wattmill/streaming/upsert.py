@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wattmill.functions.calendar import market_date
 from wattmill.operators.facility_marts import POINT_KEYS, POINT_SEQUENCE
 from wattmill.operators.latest import latest_by
 from wattmill.operators.quality import POINT_RULES, Rule, flag
@@ -38,11 +39,12 @@ STORED = (
 
 
 def period() -> Column:
-    """Months for daily points, days for finer ones: a re-fetched window touches few parts."""
-    instant = F.col("interval_ts_utc")
-    return F.when(F.col("interval") == "1d", F.date_format(instant, "yyyy-MM")).otherwise(
-        F.date_format(instant, "yyyy-MM-dd")
-    )
+    """Market months for daily points, market days for finer ones: a re-fetched window touches few parts.
+
+    Depends on the key alone, so all versions of a point meet in one part.
+    """
+    day = market_date(F.col("interval_ts_utc")).cast("string")
+    return F.when(F.col("interval") == "1d", F.substring(day, 1, 7)).otherwise(day)
 
 
 @dataclass(frozen=True)
@@ -98,10 +100,16 @@ class PointTable:
         schema = schema.add("batch", T.LongType()).add("outcome", T.StringType())
         return spark.read.schema(schema).parquet(f"{self.root}/batches").where(F.col("outcome") == "rejected").drop("outcome")
 
+    def folders(self, spark: SparkSession, intervals: Sequence[str] | None = None) -> dict[str, str]:
+        """Live folders and the period each holds."""
+        live = versions.current(spark, self.root).live
+        return {folder: part[1] for part, folder in live.items() if intervals is None or part[0] in intervals}
+
     def read(self, spark: SparkSession, intervals: Sequence[str] | None = None) -> DataFrame:
         """The current table. Naming intervals leaves the others' folders unlisted."""
-        live = versions.current(spark, self.root).live
-        folders = [d for part, d in live.items() if intervals is None or part[0] in intervals]
+        return self.read_folders(spark, list(self.folders(spark, intervals)))
+
+    def read_folders(self, spark: SparkSession, folders: Sequence[str]) -> DataFrame:
         stored = versions.read(spark, self.root, STORED, folders)
         return conform(stored.drop("source_id", "period"), "facility_generation")
 
