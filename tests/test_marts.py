@@ -144,3 +144,16 @@ def test_marts_agree_with_each_other(spark):
     cf = m.facility_capacity_factor
     assert cf.where("abs(capacity_factor * capacity_registered_mw_operating * 24 - energy_mwh) > 1e-6").isEmpty()
     assert cf.where("capacity_factor IS NOT NULL").count() > 0
+
+
+def test_plausibility(spark):
+    """Shares and intensities stay in range wherever no load is involved, and factors mostly below one."""
+    from conftest import SF_DIR
+
+    m = StarMarts(spark, SF_DIR)
+    loads = m.generation_daily_wide.where("generated_mwh < 0").select("nem_date", "network_region").distinct()
+    key = ["nem_date", "network_region"]
+    assert m.renewable_share_daily.join(loads, key, "left_anti").where("renewable_share NOT BETWEEN 0 AND 1").isEmpty()
+    assert m.emissions_intensity_daily.join(loads, key, "left_anti").where("emissions_intensity_tco2e_per_mwh < 0").isEmpty()
+    both = m.facility_capacity_factor.where("capacity_factor IS NOT NULL AND energy_mwh > 0")
+    assert both.where("capacity_factor < capacity_factor_all_units").isEmpty()

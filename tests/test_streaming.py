@@ -136,6 +136,27 @@ def test_points_without_an_interval_survive(spark, tmp_path, rows):
     assert rows(table.read(spark), "interval", "value") == [(None, 2.0)]
 
 
+def test_a_new_checkpoint_is_not_taken_for_a_replay(spark, tmp_path, rows):
+    table = upsert.PointTable(str(tmp_path / "t"))
+    for run in range(3):
+        source = tmp_path / f"in{run}"
+        points(spark, ("U1", float(run), run), (f"V{run}", 1.0, run)).write.parquet(str(source))
+        stream = spark.readStream.schema(POINT).parquet(str(source))
+        upsert.run_upsert(stream, table, str(tmp_path / f"cp{run}"))
+    assert rows(table.read(spark), "unit_code", "value") == [("U1", 2.0), ("V0", 1.0), ("V1", 1.0), ("V2", 1.0)]
+
+
+def test_an_unfinished_manifest_does_not_count(spark, tmp_path, rows):
+    table = upsert.PointTable(str(tmp_path / "t"))
+    table.merge(points(spark, ("U1", 1.0, 1)), 0)
+    half = tmp_path / "t" / "manifests" / "version=2"
+    half.mkdir()
+    (half / "part-0.json").write_text('{"stream": "", "batch_id": 7, "live": []}')
+    assert versions.current(spark, table.root).number == 1
+    table.merge(points(spark, ("U1", 2.0, 2)), 1)
+    assert versions.current(spark, table.root).number == 2 and rows(table.read(spark), "value") == [(2.0,)]
+
+
 def test_warnings_show_in_the_progress(spark, tmp_path):
     source = tmp_path / "in"
     points(spark, ("U1", -1.0, 1), ("U2", 2.0, 1), (None, 2.0, 1)).write.parquet(str(source))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,13 +18,24 @@ MEASURES = {
     "emissions_intensity_tco2e_per_mwh": lambda: ratio(F.sum("emissions_tco2e"), F.sum("generated_mwh")),
 }
 
+# the same over facility_capacity_factor; days without energy or capacity weigh nothing
+FACILITY_MEASURES = {
+    "total_energy_mwh": lambda: F.sum("energy_mwh"),
+    "weighted_capacity_factor": lambda: ratio(
+        F.sum(F.when(F.col("capacity_factor").isNotNull(), F.col("energy_mwh"))),
+        F.sum(F.when(F.col("capacity_factor").isNotNull(), F.col("capacity_registered_mw_operating") * 24)),
+    ),
+}
+
 
-def measure(wide: DataFrame, measures: Sequence[str], dims: Sequence[str | Column] = ()) -> DataFrame:
-    """The named measures by any dimensions of the wide daily table (columns or expressions)."""
-    unknown = [m for m in measures if m not in MEASURES]
+def measure(
+    table: DataFrame, measures: Sequence[str], dims: Sequence[str | Column] = (), known: Mapping = MEASURES
+) -> DataFrame:
+    """The named measures by any dimensions of the table they are defined over (columns or expressions)."""
+    unknown = [m for m in measures if m not in known]
     if unknown:
-        raise ValueError(f"unknown measures {unknown}; known are {sorted(MEASURES)}")
-    return wide.groupBy(*dims).agg(*[MEASURES[m]().alias(m) for m in measures])
+        raise ValueError(f"unknown measures {unknown}; known are {sorted(known)}")
+    return table.groupBy(*dims).agg(*[known[m]().alias(m) for m in measures])
 
 
 def facility_capacity_factor_between(capacity_factor: DataFrame, facility_code: str, start, end) -> DataFrame:

@@ -241,6 +241,11 @@ def metric_layer_total(spark, sf_dir):
     return metrics.measure(StarMarts(spark, sf_dir).generation_daily_wide, list(metrics.MEASURES), ["fueltech_group"])
 
 
+def facility_metric_layer(spark, sf_dir):
+    factors = StarMarts(spark, sf_dir).facility_capacity_factor
+    return metrics.measure(factors, list(metrics.FACILITY_MEASURES), ["network_region"], metrics.FACILITY_MEASURES)
+
+
 def capacity_factor_between(spark, sf_dir):
     factors = StarMarts(spark, sf_dir).facility_capacity_factor
     return metrics.facility_capacity_factor_between(factors, "F5", "1997-03-01", "1997-12-31")
@@ -352,6 +357,7 @@ OPERATORS = (
     landing_gaps,
     metric_layer,
     metric_layer_total,
+    facility_metric_layer,
     capacity_factor_between,
     region_mix,
     renewable_share_strict,

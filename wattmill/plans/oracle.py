@@ -329,6 +329,16 @@ WHERE (code, y) NOT IN (SELECT (network_region, year(nem_date)) FROM series_long
 """,
     "metric_layer": f"SELECT network_region, CAST(year(nem_date) AS INTEGER) AS yr, {MEASURES} FROM wide GROUP BY 1, 2",
     "metric_layer_total": f"SELECT fueltech_group, {MEASURES} FROM wide GROUP BY 1",
+    "facility_metric_layer": (
+        "SELECT network_region, "
+        + r(
+            "sum(energy_mwh) AS total_energy_mwh",
+            "sum(energy_mwh) FILTER (WHERE capacity_factor IS NOT NULL) "
+            "/ sum(capacity_registered_mw_operating * 24) FILTER (WHERE capacity_factor IS NOT NULL) "
+            "AS weighted_capacity_factor",
+        )
+        + " FROM cf GROUP BY 1"
+    ),
     "capacity_factor_between": (
         f"SELECT facility_code, facility_name, nem_date, {r('energy_mwh', 'capacity_factor', 'capacity_factor_all_units')} "
         "FROM cf WHERE facility_code = 'F5' AND nem_date BETWEEN DATE '1997-03-01' AND DATE '1997-12-31'"

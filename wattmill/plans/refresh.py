@@ -91,7 +91,7 @@ def refresh_facility_daily(spark: SparkSession, w: Warehouse, units: DataFrame)
             ).parquet(f"{root}/data/table_version={number}")
             written = versions.written_parts(spark, root, number, schema, ["period"])
             live.update({changed[month][0]: folder for (month,), folder in written.items()})
-        versions.commit(spark, root, versions.Version(number, number, live))
+        versions.commit(spark, root, versions.Version(number, live=live))
     return read_facility_daily(spark, w)
 
 

@@ -110,13 +110,12 @@ def empty_series(raw: DataFrame) -> DataFrame:
 
 def unit_points(raw: DataFrame) -> DataFrame:
     """One row per reported point of a unit. A bad time or number becomes NULL, never an error."""
-    block = parse(raw, UNIT_METRICS).select("source_id", "ingested_at", "item.*")
-    result = block.select(
-        "source_id", "ingested_at", "metric", F.col("unit").alias("uom"), "interval", F.explode("results").alias("r")
-    )
-    point = result.select(
-        "source_id", "ingested_at", "metric", "uom", "interval", "r.columns.unit_code", F.explode("r.data").alias("pair")
-    )
+    keep = ["source_id", "ingested_at", "metric", "uom", "interval"]
+    block = parse(raw, UNIT_METRICS).select("source_id", "ingested_at", "item.*").withColumnRenamed("unit", "uom")
+    result = block.select(*keep, F.explode("results").alias("result"))
+    # Name the unit before its points unfold, so that no point drags the whole array along.
+    unit = result.select(*keep, "result.columns.unit_code", F.col("result.data").alias("pairs"))
+    point = unit.select(*keep, "unit_code", F.explode("pairs").alias("pair"))
     return point.select(
         "unit_code",
         F.get("pair", F.lit(0)).try_cast("timestamp").alias("interval_ts_utc"),

@@ -50,7 +50,7 @@ def publish_snapshot(df: DataFrame, root: str, keys: Sequence[str], as_json: boo
     report["ok"] = report["copy_rows"] == report["source_rows"] - report["null_key_rows"]
     if not report["ok"]:
         raise ValueError(f"{root}: {report}; the published copy is unchanged")
-    versions.commit(spark, root, versions.Version(number, number, {("all",): folder}))
+    versions.commit(spark, root, versions.Version(number, live={("all",): folder}))
     return report
 
 

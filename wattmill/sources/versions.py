@@ -1,9 +1,9 @@
 """Parquet tables that change by whole files.
 
-A table is a folder with ``data/table_version=<n>/...`` and ``manifests/``. A manifest is one JSON row that names
-the folders which make up the table at a version. Writers only add: new data folders first, then the
-manifest, so a reader sees the old version or the new one, and a job that dies in between leaves
-nothing but an unnamed folder that its retry overwrites. One writer per table.
+A table is a folder with ``data/table_version=<n>/...`` and ``manifests/version=<n>``. A manifest is one
+JSON row that names the folders which make up the table at a version. Writers only add: new data
+folders first, then the manifest, so a reader sees the old version or the new one, and a job that dies
+in between leaves nothing but an unnamed folder that its retry overwrites. One writer per table.
 """
 
 from __future__ import annotations
@@ -15,37 +15,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MANIFEST = "version BIGINT, batch_id BIGINT, live ARRAY<STRUCT<part: ARRAY<STRING>, dir: STRING>>"
+MANIFEST = "stream STRING, batch_id BIGINT, live ARRAY<STRUCT<part: ARRAY<STRING>, dir: STRING>>"
 
 
 @dataclass
 class Version:
-    """A committed state: which folder holds each part. Parts are few: calendar periods, or one."""
+    """A committed state: which folder holds each part, and the batch that led to it.
+
+    Parts are few: calendar periods, or one.
+    """
 
     number: int = 0
+    stream: str = ""
     batch_id: int = -1
     live: dict[tuple, str] = field(default_factory=dict)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+def _committed(spark: SparkSession, root: str) -> list[int]:
+    """Versions whose manifest is complete, from names alone."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    manifests = hadoop.Path(f"{root}/manifests")
+    files = manifests.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(manifests):
+        return []
+    done = files.globStatus(hadoop.Path(f"{root}/manifests/version=*/_SUCCESS"))
+    return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in done)
 
 
 def current(spark: SparkSession, root: str) -> Version:
-    if not _exists(spark, f"{root}/manifests"):
-        return Version()
-    manifests = spark.read.schema(MANIFEST).json(f"{root}/manifests")
-    row = manifests.orderBy(F.desc("version")).first()
-    if row is None:
+    done = _committed(spark, root)
+    if not done:
         return Version()
-    return Version(row.version, row.batch_id, {tuple(e.part): e.dir for e in row.live})
+    row = spark.read.schema(MANIFEST).json(f"{root}/manifests/version={done[-1]}").first()
+    return Version(done[-1], row.stream, row.batch_id, {tuple(e.part): e.dir for e in row.live or []})
 
 
 def commit(spark: SparkSession, root: str, version: Version) -> None:
     live = [(list(part), folder) for part, folder in version.live.items()]
-    row = spark.createDataFrame([(version.number, version.batch_id, live)], MANIFEST)
-    row.coalesce(1).write.mode("append").json(f"{root}/manifests")
+    row = spark.createDataFrame([(version.stream, version.batch_id, live)], MANIFEST)
+    row.coalesce(1).write.mode("overwrite").json(f"{root}/manifests/version={version.number}")
 
 
 def read(spark: SparkSession, root: str, schema: T.StructType, folders: Sequence[str]) -> DataFrame:
@@ -66,7 +74,7 @@ def written_parts(spark: SparkSession, root: str, number: int, schema: T.StructT
 
 def superseded(spark: SparkSession, root: str) -> list[str]:
     """Folders of earlier versions that the current one no longer names; safe to expire."""
-    manifests = spark.read.schema(MANIFEST).json(f"{root}/manifests")
-    named = manifests.select(F.explode("live.dir").alias("dir")).distinct()
+    manifests = [f"{root}/manifests/version={n}" for n in _committed(spark, root)]
+    named = spark.read.schema(MANIFEST).json(manifests).select(F.explode("live.dir").alias("dir")).distinct()
     alive = set(current(spark, root).live.values())
     return sorted(r.dir for r in named.collect() if r.dir not in alive)

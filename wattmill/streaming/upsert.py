@@ -6,6 +6,7 @@ ones, and then names the new folders in a manifest.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -56,13 +57,17 @@ class PointTable:
     sequence: Sequence[str] = tuple(POINT_SEQUENCE)
     rules: Sequence[Rule] = POINT_RULES
 
-    def merge(self, points: DataFrame, batch_id: int) -> None:
-        """Fold one batch in. A batch that is already in, or older, changes nothing."""
+    def merge(self, points: DataFrame, batch_id: int, stream: str = "") -> None:
+        """Fold one batch in. A batch that its stream has brought before changes nothing.
+
+        Batch numbers only count within a stream. One that starts over under a new checkpoint is
+        merged in full, which gives the same table again.
+        """
         spark = points.sparkSession
         now = versions.current(spark, self.root)
-        if batch_id <= now.batch_id:
+        if stream == now.stream and batch_id <= now.batch_id:
             return
-        staged = self._stage(points, batch_id)
+        staged = self._stage(points, f"{self.root}/batches/stream={stream or 'direct'}/batch={batch_id}")
         kept = staged.where(F.col("outcome") == "kept").select(*STORED.names)
         # Bounded by the calendar: one row per interval and month or day.
         touched = [tuple(r) for r in kept.select(*PARTS).distinct().collect()]
@@ -75,9 +80,9 @@ class PointTable:
             laid_out = merged.hint("rebalance", *PARTS)
             laid_out.write.mode("overwrite").partitionBy(*PARTS).parquet(f"{self.root}/data/table_version={number}")
             live.update(versions.written_parts(spark, self.root, number, STORED, PARTS))
-        versions.commit(spark, self.root, versions.Version(number, batch_id, live))
+        versions.commit(spark, self.root, versions.Version(number, stream, batch_id, live))
 
-    def _stage(self, points: DataFrame, batch_id: int) -> DataFrame:
+    def _stage(self, points: DataFrame, path: str) -> DataFrame:
         """Parse the batch once into a table of its own, rejected rows beside the kept ones.
 
         The merge reads this table instead of the source, so a lost executor costs no second parse,
@@ -90,14 +95,13 @@ class PointTable:
         marked = flag(points, self.rules).select(
             *wanted, period().alias("period"), "broken_rules", outcome.alias("outcome")
         )
-        path = f"{self.root}/batches/batch={batch_id}"
         marked.write.mode("overwrite").partitionBy("outcome").parquet(path)
         return points.sparkSession.read.schema(marked.schema).parquet(path)
 
     def rejected(self, spark: SparkSession) -> DataFrame:
         """Rows of all batches that broke a drop rule. ``source_id`` is the hash of the file's path."""
         schema = T.StructType([*STORED.fields]).add("broken_rules", T.ArrayType(T.StringType()))
-        schema = schema.add("batch", T.LongType()).add("outcome", T.StringType())
+        schema = schema.add("stream", T.StringType()).add("batch", T.LongType()).add("outcome", T.StringType())
         return spark.read.schema(schema).parquet(f"{self.root}/batches").where(F.col("outcome") == "rejected").drop("outcome")
 
     def folders(self, spark: SparkSession, intervals: Sequence[str] | None = None) -> dict[str, str]:
@@ -121,8 +125,14 @@ def run_upsert(points: DataFrame, table: PointTable, checkpoint: str):
     """
     counters = [F.count_if(~r.holds()).alias(r.name) for r in table.rules]
     watched = points.observe("points", F.count(F.lit(1)).alias("rows"), *counters)
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        # The checkpoint names its stream before the first batch runs.
+        written = batch.sparkSession.read.text(f"{checkpoint}/metadata").first().value
+        table.merge(batch, batch_id, json.loads(written)["id"])
+
     query = (
-        watched.writeStream.foreachBatch(lambda batch, batch_id: table.merge(batch, batch_id))
+        watched.writeStream.foreachBatch(fold)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
