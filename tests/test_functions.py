@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from wattmill import session
 from wattmill.functions import calendar, numbers, regions, taxonomy, units
 
 
@@ -81,3 +82,17 @@ def test_ratio_over_zero_is_null(spark):
 def test_tidy_doubles_drops_negative_zero(spark):
     row = numbers.tidy_doubles(spark.sql("SELECT -0.0D AS a, 0.0776875D AS b, CAST(NULL AS DOUBLE) AS c")).first()
     assert (str(row.a), row.b, row.c) == ("0.0", 0.077688, None)
+
+
+def test_shuffles_follow_the_input(spark, tmp_path, monkeypatch):
+    (tmp_path / "x").write_bytes(b"0" * 10_000)
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert session.size_shuffles(spark, str(tmp_path)) == 4
+        monkeypatch.setattr(session, "INPUT_PER_PARTITION", 100)
+        assert session.size_shuffles(spark, str(tmp_path)) == 100
+        monkeypatch.setattr(session, "MOST_PARTITIONS", 50)
+        assert session.size_shuffles(spark, str(tmp_path)) == 50
+        assert spark.conf.get(key) == "50"
+    finally:
+        spark.conf.unset(key)

@@ -5,7 +5,7 @@ import samples
 
 from wattmill.operators import facility_marts
 from wattmill.plans import questions
-from wattmill.plans.refresh import Warehouse, quarantined, refresh, replay, stored_marts
+from wattmill.plans.refresh import Warehouse, quarantined, refresh, replay, rule_report, stored_marts
 from wattmill.sources import versions
 
 POINTS = "facility_data/interval=1d/chunk=000/fetched_at={}/part-000.json"
@@ -26,6 +26,14 @@ def test_files_to_marts_and_again(spark, tmp_path, rows):
     assert rows(marts.renewable_share_daily, "total_mwh", "renewable_share") == [(None, None), (0.0, None), (1500.0, 1.0), (2000.0, 1.0)]
     assert {f: q.count() for f, q in quarantined(spark, w).items()} == {"facilities": 0, "stats": 1, "facility_data": 0}
 
+    report = {(r.tbl, r.rule): (r.passed, r.failed) for r in rule_report(spark, w).collect()}
+    assert report["dim_unit", "valid_unit_code"] == (4, 1)
+    assert report["generation_daily_by_fueltech", "valid_key"] == (5, 3)
+    assert report["demand_daily", "valid_key"] == (2, 0)
+    assert report["facility_generation", "valid_ts"] == (7, 1)
+    assert report["facility_generation", "non_negative_value"] == (7, 1)
+    assert report["stats_raw", "readable_payload"] == (1, 1)
+
     again = refresh(spark, w)  # nothing new: same answer
     assert rows(again.facility_daily, "facility_code", "nem_date", "energy_mwh") == first
 

@@ -19,7 +19,7 @@ from wattmill.operators import compare, conversations, dimensions, facility_mart
 from wattmill.operators.latest import latest_by
 from wattmill.plans import questions, variants
 from wattmill.plans.marts import Marts, StarMarts
-from wattmill.session import pin_settings, shared_dir
+from wattmill.session import pin_settings, shared_dir, size_shuffles
 from wattmill.sources import landing, payloads, serving, star, tables
 from wattmill.streaming import ingest, upsert
 
@@ -119,6 +119,16 @@ def scd1_stream(spark, sf_dir):
     return table.read(spark)
 
 
+def unit_metrics_stream(spark, sf_dir):
+    """Unit payloads in a raw table, streamed through parsing and rules into the upserted table."""
+    base = shared_dir(spark, "points")
+    star.unit_metrics_raw(spark, sf_dir).write.parquet(f"{base}/raw")
+    table = upsert.PointTable(f"{base}/points")
+    stream = ingest.stream_raw(spark, f"{base}/raw", max_files=2)
+    upsert.run_upsert(upsert.points_of(stream), table, f"{base}/checkpoint")
+    return table.read(spark)
+
+
 def latest_price_by_part(spark, sf_dir):
     """Latest line of every part, on a key that the marts do not use."""
     lines = star.table(spark, sf_dir, "lineitem").select(
@@ -339,6 +349,7 @@ OPERATORS = (
     stats_ingest_stream,
     scd1_batch,
     scd1_stream,
+    unit_metrics_stream,
     latest_price_by_part,
     rules_kept,
     rules_rejected,
@@ -382,4 +393,9 @@ def queries() -> dict[str, Query]:
 
 
 def _finished(query: Query) -> Query:
-    return lambda spark, sf_dir: portable(query(pin_settings(spark), sf_dir))
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        pin_settings(spark)
+        size_shuffles(spark, sf_dir)
+        return portable(query(spark, sf_dir))
+
+    return run

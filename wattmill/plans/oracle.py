@@ -259,6 +259,7 @@ TEXTS = {
     ),
     "scd1_batch": f"SELECT {POINT} FROM (SELECT * FROM daily_stored UNION ALL SELECT * FROM event_stored)",
     "scd1_stream": f"SELECT {POINT} FROM event_stored",
+    "unit_metrics_stream": f"SELECT {POINT} FROM daily_stored",
     "latest_price_by_part": (
         f"SELECT l_partkey, l_shipdate, l_orderkey, l_linenumber, {r('l_extendedprice')} FROM lineitem "
         "QUALIFY row_number() OVER (PARTITION BY l_partkey "

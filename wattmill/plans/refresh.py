@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattmill.operators import dimensions, facility_marts, region_marts
+from wattmill.operators import dimensions, facility_marts, quality, region_marts
 from wattmill.plans.marts import Marts, SilverMarts
 from wattmill.session import require_utc
 from wattmill.sources import versions
-from wattmill.sources.payloads import REGISTRY, STATS, UNIT_METRICS, quarantine
+from wattmill.sources.payloads import REGISTRY, STATS, UNIT_METRICS, quarantine, stats_points
 from wattmill.sources.tables import conform, declared, read_table, write_table
 from wattmill.streaming.ingest import ingest, read_raw, stream_raw
 from wattmill.streaming.upsert import PointTable, points_of, run_upsert
@@ -61,6 +62,24 @@ def quarantined(spark: SparkSession, w: Warehouse) -> dict[str, DataFrame]:
     return {family: quarantine(read_raw(spark, w.raw(family)), shape) for family, shape in FAMILIES.items()}
 
 
+def rule_report(spark: SparkSession, w: Warehouse) -> DataFrame:
+    """Passed and failed rows of every rule over the raw tables, and how many files were unreadable."""
+    raw = {family: read_raw(spark, w.raw(family)) for family in FAMILIES}
+    checks = {
+        "dim_unit": quality.rule_counts(dimensions.unit_rows(raw["facilities"]), quality.UNIT_RULES),
+        "generation_daily_by_fueltech": quality.rule_counts(stats_points(raw["stats"], False), quality.SERIES_RULES),
+        "demand_daily": quality.rule_counts(stats_points(raw["stats"], True), quality.DEMAND_RULES),
+        "facility_generation": quality.rule_counts(points_of(raw["facility_data"]), quality.POINT_RULES),
+    }
+    for family, shape in FAMILIES.items():
+        readable = quality.Rule("readable_payload", "parsed.data IS NOT NULL")
+        parsed = raw[family].select(F.from_json("raw_json", shape).alias("parsed"))
+        checks[f"{family}_raw"] = quality.rule_counts(parsed, [readable])
+    return reduce(
+        DataFrame.unionByName, [counts.select(F.lit(name).alias("tbl"), "*") for name, counts in checks.items()]
+    )
+
+
 def _fingerprint(df: DataFrame) -> str:
     """Order-free checksum of a table; one row comes back."""
     return str(df.agg(F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()[0])

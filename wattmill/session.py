@@ -35,6 +35,27 @@ def pin_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# One shuffle partition for this much input, and never more than this many: enough for 100 TB at about
+# 2 GB of input each, while the number of shuffle blocks stays manageable.
+INPUT_PER_PARTITION = 512 * 1024**2
+MOST_PARTITIONS = 50_000
+
+
+def size_shuffles(spark: SparkSession, path: str) -> int:
+    """Start shuffles with partitions to match the input below ``path``; AQE joins the small ones again.
+
+    A fixed number either drowns small inputs in tasks or makes partitions of a large one too big to
+    hold. Never goes below the session's own ``spark.sql.shuffle.partitions``.
+    """
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = files.getContentSummary(hadoop_path).getLength()
+    wanted = min(size // INPUT_PER_PARTITION, MOST_PARTITIONS)
+    number = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(number))
+    return number
+
+
 def require_utc(spark: SparkSession) -> None:
     zone = spark.conf.get("spark.sql.session.timeZone")
     if zone not in ("UTC", "Etc/UTC", "Z", "+00:00"):
