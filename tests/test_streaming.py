@@ -7,7 +7,7 @@ import samples
 from pyspark.sql import functions as F
 
 from wattmill.operators.facility_marts import facility_generation
-from wattmill.operators.region_marts import generation_daily_by_fueltech
+from wattmill.operators.region_marts import fetched_points, generation_daily_by_fueltech, with_groups
 from wattmill.sources import versions
 from wattmill.streaming import ingest, upsert
 
@@ -71,6 +71,28 @@ def test_stream_equals_batch(spark, tmp_path, rows, order):
     assert query.exception() is None
 
 
+def test_series_stream_equals_batch(spark, tmp_path, rows):
+    rng = random.Random(9)
+    arriving = []
+    for day in range(1, 9):
+        items = [
+            samples.series(f"s{i}.energy", "energy", "wind", "GWh", f"2023-12-{20 + rng.randrange(5)}", [rng.choice([None, 1.0 * day]) for _ in range(12)])
+            for i in range(2)
+        ]
+        arriving.append((samples.fetched(day), {"data": [*items, samples.series("x.temperature", "t", None, "C", "2024-01-01", [1.0])]}))
+    rng.shuffle(arriving)
+    raw = samples.raw(spark, *arriving)
+    table = upsert.SeriesTable(str(tmp_path / "series"))
+    for run in range(2):
+        part = raw.where(F.xxhash64("source_file") % 2 == 0) if run == 0 else raw.where(F.xxhash64("source_file") % 2 != 0)
+        part.repartition(3).write.mode("append").parquet(str(tmp_path / "raw"))
+        stream = fetched_points(ingest.stream_raw(spark, str(tmp_path / "raw"), 1), False)
+        upsert.run_upsert(stream, table, str(tmp_path / "cp"))
+    assert rows(with_groups(table.read(spark))) == rows(generation_daily_by_fueltech(raw))
+    assert table.rejected(spark).count() == 8
+    assert {part for part in table.live(spark)} == {("2023",), ("2024",)}
+
+
 def point(unit, value, seq, instant=dt.datetime(2024, 1, 1), interval="1d"):
     return (unit, instant, "energy", interval, value, "MWh", dt.datetime(2024, 2, 1) + dt.timedelta(seconds=seq))
 

@@ -15,16 +15,23 @@ from wattmill.sources.payloads import stats_points
 from wattmill.sources.tables import conform
 
 
-def _series(raw: DataFrame, demand: bool, rules) -> DataFrame:
-    """Kept points of the stats files, one per series and day: a re-fetched file replaces, never adds."""
-    points = stats_points(raw.withColumn("ingested_at", fetch_time()), demand)
-    kept, _ = apply_rules(points, rules)
-    keys = ["series_id", "network_region", "fueltech_id", "metric", "nem_date"]
-    return latest_by(kept, keys, ["ingested_at", "source_id"])
+SERIES_KEYS = ["series_id", "network_region", "fueltech_id", "metric", "nem_date"]
+SERIES_SEQUENCE = ["ingested_at", "source_id"]
 
 
-def generation_daily_by_fueltech(raw: DataFrame) -> DataFrame:
-    points = _series(raw, False, SERIES_RULES)
+def fetched_points(raw: DataFrame, demand: bool) -> DataFrame:
+    """Dated values of the stats files, sequenced by fetch time. Narrow, for batch and stream."""
+    return stats_points(raw.withColumn("ingested_at", fetch_time()), demand)
+
+
+def _latest_points(raw: DataFrame, demand: bool, rules) -> DataFrame:
+    """One point per series and day: a re-fetched file replaces, never adds."""
+    kept, _ = apply_rules(fetched_points(raw, demand), rules)
+    return latest_by(kept, SERIES_KEYS, SERIES_SEQUENCE)
+
+
+def with_groups(points: DataFrame) -> DataFrame:
+    """The long generation table over the latest points."""
     group = group_of(F.col("fueltech_id"))
     grouped = points.select(
         "nem_date",
@@ -39,11 +46,19 @@ def generation_daily_by_fueltech(raw: DataFrame) -> DataFrame:
     return conform(grouped, "generation_daily_by_fueltech")
 
 
-def demand_daily(raw: DataFrame) -> DataFrame:
-    points = _series(raw, True, DEMAND_RULES)
+def as_demand(points: DataFrame) -> DataFrame:
+    """The demand table over the latest points."""
     return conform(points.select("nem_date", "network_region", "metric", "value", "uom"), "demand_daily")
 
 
+def generation_daily_by_fueltech(raw: DataFrame) -> DataFrame:
+    return with_groups(_latest_points(raw, False, SERIES_RULES))
+
+
+def demand_daily(raw: DataFrame) -> DataFrame:
+    return as_demand(_latest_points(raw, True, DEMAND_RULES))
+
+
 def _mart_value(value: str) -> Column:
     return F.col(value) * to_mart_factor(F.col("metric"), F.col("uom"))
 

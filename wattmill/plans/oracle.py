@@ -259,6 +259,7 @@ TEXTS = {
     ),
     "scd1_batch": f"SELECT {POINT} FROM (SELECT * FROM daily_stored UNION ALL SELECT * FROM event_stored)",
     "scd1_stream": f"SELECT {POINT} FROM event_stored",
+    "stats_stream": f"SELECT {SERIES}, {r('generated')} FROM series_gapped",
     "unit_metrics_stream": f"SELECT {POINT} FROM daily_stored",
     "latest_price_by_part": (
         f"SELECT l_partkey, l_shipdate, l_orderkey, l_linenumber, {r('l_extendedprice')} FROM lineitem "
@@ -368,7 +369,7 @@ FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionke
 JOIN region_codes USING (r_name)
 """,
     "result_compare": """
-WITH e AS (SELECT fueltech_group FROM mix WHERE year(nem_date) = 1996)
+WITH e AS (SELECT fueltech_group FROM mix)
 SELECT 'reshaped' AS answer, 'GOOD' AS verdict, count(*) AS expected_rows, count(*) AS actual_rows,
        CAST(0 AS BIGINT) AS missing_rows, CAST(0 AS BIGINT) AS extra_rows, count(*) > 5000 AS over_cap FROM e
 UNION ALL SELECT 'mapped_only', 'BAD', count(*), count(fueltech_group), count(*) - count(fueltech_group), 0,

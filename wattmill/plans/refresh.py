@@ -16,7 +16,7 @@ from wattmill.sources import versions
 from wattmill.sources.payloads import REGISTRY, STATS, UNIT_METRICS, quarantine, stats_points
 from wattmill.sources.tables import conform, declared, read_table, write_table
 from wattmill.streaming.ingest import ingest, read_raw, stream_raw
-from wattmill.streaming.upsert import PointTable, points_of, run_upsert
+from wattmill.streaming.upsert import PointTable, SeriesTable, points_of, run_upsert
 
 FAMILIES = {"facilities": REGISTRY, "stats": STATS, "facility_data": UNIT_METRICS}
 
@@ -48,6 +48,12 @@ class Warehouse:
     def points(self) -> PointTable:
         return PointTable(f"{self.base}/silver/facility_generation-g{self.generation}")
 
+    def series(self) -> SeriesTable:
+        return SeriesTable(f"{self.base}/silver/generation_series-g{self.generation}", quality.SERIES_RULES)
+
+    def demand(self) -> SeriesTable:
+        return SeriesTable(f"{self.base}/silver/demand_series-g{self.generation}", quality.DEMAND_RULES)
+
     def table(self, layer: str, name: str) -> str:
         return f"{self.base}/{layer}/{name}"
 
@@ -124,23 +130,18 @@ def read_facility_daily(spark: SparkSession, w: Warehouse) -> DataFrame:
 def refresh(spark: SparkSession, w: Warehouse) -> Marts:
     """Bring every table up to date; safe to run again, also after a crash.
 
-    Raw files, unit points and the facility days advance by what is new. The region tables and the
-    small marts are recomputed and stored; each stored table feeds the next, so no plan reaches back
-    over two layers.
+    Raw files, unit points, series and facility days advance by what is new. The small region marts are
+    recomputed and stored; each stored table feeds the next, so no plan reaches back over two layers.
     """
     require_utc(spark)
     ingest_all(spark, w)
     run_upsert(points_of(stream_raw(spark, w.raw("facility_data"))), w.points(), w.checkpoint("points"))
-    stats = read_raw(spark, w.raw("stats"))
+    for table, demand, job in ((w.series(), False, "series"), (w.demand(), True, "demand")):
+        stats = stream_raw(spark, w.raw("stats"))
+        run_upsert(region_marts.fetched_points(stats, demand), table, w.checkpoint(job))
     units = write_table(dimensions.dim_unit(read_raw(spark, w.raw("facilities"))), w.table("silver", "dim_unit"))
-    series = write_table(
-        region_marts.generation_daily_by_fueltech(stats),
-        w.table("silver", "generation_daily_by_fueltech"),
-        order_by=("nem_date", "network_region", "fueltech_id"),
-    )
-    demand = write_table(
-        region_marts.demand_daily(stats), w.table("silver", "demand_daily"), order_by=("nem_date", "network_region")
-    )
+    series = region_marts.with_groups(w.series().read(spark))
+    demand = region_marts.as_demand(w.demand().read(spark))
     marts = SilverMarts(units, series, w.points().read(spark, intervals=["1d"]), demand)
     marts.facility_daily = refresh_facility_daily(spark, w, units)
     for name, layout in GOLD_LAYOUT.items():
@@ -150,9 +151,9 @@ def refresh(spark: SparkSession, w: Warehouse) -> Marts:
 
 
 def replay(spark: SparkSession, w: Warehouse) -> tuple[Warehouse, Marts]:
-    """Rebuild the upserted table from all raw files, for a changed shape or rule.
+    """Rebuild the upserted tables from all raw files, for a changed shape or rule.
 
-    The replay fills a new target under a new checkpoint; the old one stays readable meanwhile.
+    The replay fills new targets under new checkpoints; the old ones stay readable meanwhile.
     """
     fresh = Warehouse(w.landing, w.base, w.generation + 1)
     return fresh, refresh(spark, fresh)

@@ -8,54 +8,47 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattmill.functions.calendar import market_date
-from wattmill.operators.facility_marts import POINT_KEYS, POINT_SEQUENCE
+from wattmill.operators.facility_marts import POINT_KEYS
 from wattmill.operators.latest import latest_by
-from wattmill.operators.quality import POINT_RULES, Rule, flag
+from wattmill.operators.quality import POINT_RULES, SERIES_RULES, Rule, flag
+from wattmill.operators.region_marts import SERIES_KEYS
 from wattmill.sources import versions
 from wattmill.sources.landing import fetch_time
 from wattmill.sources.payloads import unit_points
 from wattmill.sources.tables import conform
 
-PARTS = ("interval", "period")
+STRING, DOUBLE, LONG = T.StringType(), T.DoubleType(), T.LongType()
 
-STORED = (
-    T.StructType()
-    .add("unit_code", T.StringType())
-    .add("interval_ts_utc", T.TimestampType())
-    .add("metric", T.StringType())
-    .add("value", T.DoubleType())
-    .add("uom", T.StringType())
-    .add("ingested_at", T.TimestampType())
-    .add("source_id", T.LongType())
-    .add("interval", T.StringType())
-    .add("period", T.StringType())
-)
 
+def _columns(**types: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in types.items()])
 
-def period() -> Column:
-    """Market months for daily points, market days for finer ones: a re-fetched window touches few parts.
 
-    Depends on the key alone, so all versions of a point meet in one part.
+class UpsertTable:
+    """A table below ``root`` that keeps the latest row per key, in folders by ``parts``.
+
+    A part column must follow from the key alone, so that all versions of a row meet in one folder.
     """
-    day = market_date(F.col("interval_ts_utc")).cast("string")
-    return F.when(F.col("interval") == "1d", F.substring(day, 1, 7)).otherwise(day)
 
+    stored: T.StructType
+    parts: Sequence[str]
+    keys: Sequence[str]
+    sequence: Sequence[str] = ("ingested_at", "source_id")
+    rules: Sequence[Rule]
 
-@dataclass(frozen=True)
-class PointTable:
-    """The upserted table of unit points below ``root``."""
+    def __init__(self, root: str, rules: Sequence[Rule] | None = None):
+        self.root = root
+        self.rules = rules if rules is not None else self.rules
 
-    root: str
-    keys: Sequence[str] = tuple(POINT_KEYS)
-    sequence: Sequence[str] = tuple(POINT_SEQUENCE)
-    rules: Sequence[Rule] = POINT_RULES
+    def derived(self) -> dict[str, Column]:
+        """Part columns that the input does not carry."""
+        return {}
 
     def merge(self, points: DataFrame, batch_id: int, stream: str = "") -> None:
         """Fold one batch in. A batch that its stream has brought before changes nothing.
@@ -68,18 +61,18 @@ class PointTable:
         if stream == now.stream and batch_id <= now.batch_id:
             return
         staged = self._stage(points, f"{self.root}/batches/stream={stream or 'direct'}/batch={batch_id}")
-        kept = staged.where(F.col("outcome") == "kept").select(*STORED.names)
-        # Bounded by the calendar: one row per interval and month or day.
-        touched = [tuple(r) for r in kept.select(*PARTS).distinct().collect()]
+        kept = staged.where(F.col("outcome") == "kept").select(*self.stored.names)
+        # Bounded by the calendar: one row per folder, a day, month or year each.
+        touched = [tuple(r) for r in kept.select(*self.parts).distinct().collect()]
         number = now.number + 1
         live = dict(now.live)
         if touched:
-            stored = versions.read(spark, self.root, STORED, [live[p] for p in touched if p in live])
-            merged = latest_by(stored.unionByName(kept), self.keys, self.sequence)
-            # The hint lets Spark split a hot month over several files and join small ones.
-            laid_out = merged.hint("rebalance", *PARTS)
-            laid_out.write.mode("overwrite").partitionBy(*PARTS).parquet(f"{self.root}/data/table_version={number}")
-            live.update(versions.written_parts(spark, self.root, number, STORED, PARTS))
+            before = versions.read(spark, self.root, self.stored, [live[p] for p in touched if p in live])
+            merged = latest_by(before.unionByName(kept), self.keys, self.sequence)
+            # The hint lets Spark split a hot folder over several files and join small ones.
+            laid_out = merged.hint("rebalance", *self.parts)
+            laid_out.write.mode("overwrite").partitionBy(*self.parts).parquet(f"{self.root}/data/table_version={number}")
+            live.update(versions.written_parts(spark, self.root, number, self.stored, self.parts))
         versions.commit(spark, self.root, versions.Version(number, stream, batch_id, live))
 
     def _stage(self, points: DataFrame, path: str) -> DataFrame:
@@ -91,34 +84,74 @@ class PointTable:
         outcome = F.when(F.size("broken_rules") > 0, "rejected").otherwise("kept")
         if "source_id" not in points.columns:
             points = points.withColumn("source_id", F.lit(None).cast("bigint"))
-        wanted = [c for c in STORED.names if c != "period"]
-        marked = flag(points, self.rules).select(
-            *wanted, period().alias("period"), "broken_rules", outcome.alias("outcome")
-        )
+        marked = flag(points.withColumns(self.derived()), self.rules)
+        marked = marked.select(*self.stored.names, "broken_rules", outcome.alias("outcome"))
         marked.write.mode("overwrite").partitionBy("outcome").parquet(path)
         return points.sparkSession.read.schema(marked.schema).parquet(path)
 
     def rejected(self, spark: SparkSession) -> DataFrame:
         """Rows of all batches that broke a drop rule. ``source_id`` is the hash of the file's path."""
-        schema = T.StructType([*STORED.fields]).add("broken_rules", T.ArrayType(T.StringType()))
-        schema = schema.add("stream", T.StringType()).add("batch", T.LongType()).add("outcome", T.StringType())
+        schema = T.StructType([*self.stored.fields]).add("broken_rules", T.ArrayType(STRING))
+        schema = schema.add("stream", STRING).add("batch", LONG).add("outcome", STRING)
         return spark.read.schema(schema).parquet(f"{self.root}/batches").where(F.col("outcome") == "rejected").drop("outcome")
 
+    def live(self, spark: SparkSession) -> dict[tuple, str]:
+        """Part values and the folder that holds them."""
+        return versions.current(spark, self.root).live
+
+    def read_folders(self, spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+        return versions.read(spark, self.root, self.stored, folders)
+
+
+class PointTable(UpsertTable):
+    """Unit points: by interval, then market months for daily points and market days for finer ones.
+
+    A re-fetched window touches few of these.
+    """
+
+    stored = _columns(
+        unit_code=STRING, interval_ts_utc=T.TimestampType(), metric=STRING, value=DOUBLE, uom=STRING,
+        ingested_at=T.TimestampType(), source_id=LONG, interval=STRING, period=STRING,
+    )
+    parts = ("interval", "period")
+    keys = POINT_KEYS
+    rules = POINT_RULES
+
+    def derived(self) -> dict[str, Column]:
+        day = market_date(F.col("interval_ts_utc")).cast("string")
+        return {"period": F.when(F.col("interval") == "1d", F.substring(day, 1, 7)).otherwise(day)}
+
     def folders(self, spark: SparkSession, intervals: Sequence[str] | None = None) -> dict[str, str]:
-        """Live folders and the period each holds."""
-        live = versions.current(spark, self.root).live
+        """Live folders and the period each holds. Naming intervals leaves out the others' folders."""
+        live = self.live(spark)
         return {folder: part[1] for part, folder in live.items() if intervals is None or part[0] in intervals}
 
+    def read_folders(self, spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+        return conform(super().read_folders(spark, folders).drop("source_id", "period"), "facility_generation")
+
     def read(self, spark: SparkSession, intervals: Sequence[str] | None = None) -> DataFrame:
-        """The current table. Naming intervals leaves the others' folders unlisted."""
         return self.read_folders(spark, list(self.folders(spark, intervals)))
 
-    def read_folders(self, spark: SparkSession, folders: Sequence[str]) -> DataFrame:
-        stored = versions.read(spark, self.root, STORED, folders)
-        return conform(stored.drop("source_id", "period"), "facility_generation")
+
+class SeriesTable(UpsertTable):
+    """Dated series points of the stats files, by year."""
+
+    stored = _columns(
+        series_id=STRING, network_region=STRING, fueltech_id=STRING, metric=STRING, nem_date=T.DateType(),
+        value=DOUBLE, uom=STRING, ingested_at=T.TimestampType(), source_id=LONG, year=STRING,
+    )
+    parts = ("year",)
+    keys = SERIES_KEYS
+    rules = SERIES_RULES
+
+    def derived(self) -> dict[str, Column]:
+        return {"year": F.year("nem_date").cast("string")}
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return self.read_folders(spark, list(self.live(spark).values()))
 
 
-def run_upsert(points: DataFrame, table: PointTable, checkpoint: str):
+def run_upsert(points: DataFrame, table: UpsertTable, checkpoint: str):
     """Drain a stream of points into the table, then stop. Returns the finished query.
 
     Counters of the rules, warnings included, are in the query's progress under "points".
