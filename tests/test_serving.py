@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from wattmill.sources import serving, versions
+from wattmill.sources import serving, tables, versions
 
 SCHEMA = "k string, nem_date date, v double, g array<string>"
 D = [dt.date(2024, 1, d) for d in range(1, 11)]
@@ -16,7 +16,7 @@ def test_publish_drops_null_keys_and_reconciles(spark, tmp_path, rows):
     df = table(spark, ("x", D[0], 1.0), ("x", D[1], 2.0), (None, D[0], 3.0), ("y", None, 4.0))
     report = serving.publish_snapshot(df, str(tmp_path / "s"), ["k", "nem_date"])
     assert report == {"source_rows": 4, "null_key_rows": 2, "copy_rows": 2, "ok": True}
-    assert rows(serving.read_snapshot(spark, str(tmp_path / "s"), df.schema), "k", "v") == [("x", 1.0), ("x", 2.0)]
+    assert rows(tables.read_table(spark, str(tmp_path / "s"), df.schema), "k", "v") == [("x", 1.0), ("x", 2.0)]
 
 
 def test_duplicate_keys_leave_the_old_copy(spark, tmp_path, rows):
@@ -25,9 +25,9 @@ def test_duplicate_keys_leave_the_old_copy(spark, tmp_path, rows):
     serving.publish_snapshot(good, root, ["k"])
     with pytest.raises(serving.DuplicateKeys):
         serving.publish_snapshot(table(spark, ("x", D[0], 8.0), ("x", D[1], 9.0)), root, ["k"])
-    assert rows(serving.read_snapshot(spark, root, good.schema), "v") == [(1.0,)]
+    assert rows(tables.read_table(spark, root, good.schema), "v") == [(1.0,)]
     serving.publish_snapshot(table(spark, ("x", D[0], 2.0)), root, ["k"])
-    assert rows(serving.read_snapshot(spark, root, good.schema), "v") == [(2.0,)]
+    assert rows(tables.read_table(spark, root, good.schema), "v") == [(2.0,)]
     assert versions.current(spark, root).number == 2
 
 
@@ -35,15 +35,15 @@ def test_a_snapshot_can_be_rebuilt_from_itself(spark, tmp_path, rows):
     root = str(tmp_path / "s")
     df = table(spark, ("x", D[0], 1.0))
     serving.publish_snapshot(df, root, ["k"])
-    again = serving.read_snapshot(spark, root, df.schema).selectExpr("k", "nem_date", "v + 1 AS v", "g")
+    again = tables.read_table(spark, root, df.schema).selectExpr("k", "nem_date", "v + 1 AS v", "g")
     serving.publish_snapshot(again, root, ["k"])
-    assert rows(serving.read_snapshot(spark, root, df.schema), "v") == [(2.0,)]
+    assert rows(tables.read_table(spark, root, df.schema), "v") == [(2.0,)]
 
 
 def test_arrays_as_json(spark, tmp_path):
     df = table(spark, ("x", D[0], 1.0))
     serving.publish_snapshot(df, str(tmp_path / "s"), ["k"], as_json=True)
-    copy = serving.read_snapshot(spark, str(tmp_path / "s"), serving.flatten_for_serving(df).schema)
+    copy = tables.read_table(spark, str(tmp_path / "s"), serving.flatten_for_serving(df).schema)
     assert copy.first().g == '["a","b"]'
 
 

@@ -187,7 +187,7 @@ def reconcile_counts(spark, sf_dir):
     copies = {}
     for name, (frame, keys) in sources.items():
         serving.publish_snapshot(frame, f"{base}/{name}", keys)
-        copies[name] = (serving.read_snapshot(spark, f"{base}/{name}", frame.schema), keys)
+        copies[name] = (tables.read_table(spark, f"{base}/{name}", frame.schema), keys)
     return quality.reconcile(quality.key_counts(sources), quality.key_counts(copies))
 
 
@@ -195,7 +195,7 @@ def snapshot_publish(spark, sf_dir):
     root = shared_dir(spark, "serving")
     frame, keys = _key_tables(StarMarts(spark, sf_dir))["facility_capacity_factor"]
     serving.publish_snapshot(frame, root, keys)
-    return serving.read_snapshot(spark, root, frame.schema)
+    return tables.read_table(spark, root, frame.schema)
 
 
 def snapshot_lookup(spark, sf_dir):
@@ -203,7 +203,7 @@ def snapshot_lookup(spark, sf_dir):
     root = shared_dir(spark, "serving")
     frame, keys = _key_tables(StarMarts(spark, sf_dir))["dim_facility"]
     serving.publish_snapshot(frame, root, keys, as_json=True)
-    stored = serving.read_snapshot(spark, root, tables.flatten_for_serving(frame).schema)
+    stored = tables.read_table(spark, root, tables.flatten_for_serving(frame).schema)
     return stored.select("facility_code", "fueltech_groups", "unit_count")
 
 

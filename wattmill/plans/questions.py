@@ -78,12 +78,14 @@ def q01(m, as_of) -> DataFrame:
 def q02(m, as_of) -> DataFrame:
     """Regions by wind generation, last calendar year."""
     rows = m.generation_mix_daily.where(_of("wind") & in_last_full_year("nem_date", as_of))
-    return _most(rows.groupBy("network_region").agg(F.sum("generated_mwh").alias("wind_mwh")), "wind_mwh", "network_region")
+    totals = rows.groupBy("network_region").agg(F.sum("generated_mwh").alias("wind_mwh"))
+    return _most(totals, "wind_mwh", "network_region")
 
 
 def q03(m, as_of, first: int = 2000, last: int = 2024) -> DataFrame:
     """Coal's share of a region's generation in two years."""
-    rows = m.generation_mix_daily.where(_in("VIC1") & (in_years("nem_date", first, first) | in_years("nem_date", last, last)))
+    either = in_years("nem_date", first, first) | in_years("nem_date", last, last)
+    rows = m.generation_mix_daily.where(_in("VIC1") & either)
     coal = F.when(_of("coal"), F.col("generated_mwh")).otherwise(0.0)
     sums = rows.groupBy(_year()).agg(F.sum(coal).alias("coal_mwh"), F.sum("generated_mwh").alias("total_mwh"))
     return sums.withColumn("coal_share", ratio(F.col("coal_mwh"), F.col("total_mwh"))).orderBy("yr")
@@ -307,7 +309,8 @@ def l3(m, as_of, member: str = "battery_discharging", limit: int = 20) -> DataFr
 
 def l4(m, as_of, first: int = 2010, last: int = 2025) -> DataFrame:
     """A region's renewable share in two years, energy over energy."""
-    rows = m.renewable_share_daily.where(_in("SA1") & (in_years("nem_date", first, first) | in_years("nem_date", last, last)))
+    either = in_years("nem_date", first, first) | in_years("nem_date", last, last)
+    rows = m.renewable_share_daily.where(_in("SA1") & either)
     share = ratio(F.sum("renewable_mwh"), F.sum("total_mwh"))
     return rows.groupBy(_year()).agg(share.alias("renewable_share")).orderBy("yr")
 

@@ -145,8 +145,7 @@ def refresh(spark: SparkSession, w: Warehouse) -> Marts:
     marts = SilverMarts(units, series, w.points().read(spark, intervals=["1d"]), demand)
     marts.facility_daily = refresh_facility_daily(spark, w, units)
     for name, layout in GOLD_LAYOUT.items():
-        stored = write_table(getattr(marts, name), w.table("gold", name), order_by=layout)
-        setattr(marts, name, conform(stored, name))
+        setattr(marts, name, write_table(getattr(marts, name), w.table("gold", name), order_by=layout))
     return marts
 
 
@@ -160,5 +159,5 @@ def replay(spark: SparkSession, w: Warehouse) -> tuple[Warehouse, Marts]:
 
 
 def stored_marts(spark: SparkSession, w: Warehouse) -> dict[str, DataFrame]:
-    stored = {name: conform(read_table(spark, w.table("gold", name)), name) for name in GOLD_LAYOUT}
+    stored = {name: read_table(spark, w.table("gold", name), declared(name)) for name in GOLD_LAYOUT}
     return {**stored, "facility_daily": read_facility_daily(spark, w)}

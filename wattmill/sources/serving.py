@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wattmill.operators.quality import any_null, pk_violations
 from wattmill.session import shared_dir
@@ -54,10 +53,6 @@ def publish_snapshot(df: DataFrame, root: str, keys: Sequence[str], as_json: boo
     return report
 
 
-def read_snapshot(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    return versions.read(spark, root, schema, list(versions.current(spark, root).live.values()))
-
-
 def snapshot_to_jdbc(df: DataFrame, url: str, table: str, keys: Sequence[str], properties: dict[str, str]) -> None:
     """The same snapshot into a relational table; keys are checked before anything is replaced."""
     keyed = keyed_rows(df, keys)

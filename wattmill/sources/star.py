@@ -340,9 +340,8 @@ def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = _lookup(REGION_OF, "r_name")
     names = {c: n[0] for c, n in REGION_SYNONYMS.items()}
     shorts = {c: n[1] for c, n in REGION_SYNONYMS.items()}
-    forms = F.array(
-        code, _lookup(names, code), _lookup(shorts, code), F.upper(F.concat(F.lit("  "), _lookup(names, code))), F.lit("Territory")
-    )
+    shouted = F.upper(F.concat(F.lit("  "), _lookup(names, code)))
+    forms = F.array(code, _lookup(names, code), _lookup(shorts, code), shouted, F.lit("Territory"))
     return joined.select("c_custkey", F.get(forms, (F.col("c_custkey") % 5).cast("int")).alias("region_text"))
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wattmill.sources import versions
+
 LAYERS = ("bronze", "silver", "gold", "serving")
 
 _DAY = "nem_date DATE COMMENT 'Market day, UTC+10 all year'"
@@ -112,26 +114,25 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.to(schema)
 
 
-def write_table(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), order_by: Sequence[str] = ()
-) -> DataFrame:
-    """Materialise ``df`` as parquet and return the stored copy.
+def write_table(df: DataFrame, root: str, order_by: Sequence[str] = ()) -> DataFrame:
+    """Store ``df`` as the next version of a table and return the stored copy.
 
     ``order_by`` range-partitions and sorts the files, so that a filter on the leading columns reads
     only the files and row groups that hold them. Give it enough columns to split a hot leading value.
+    Readers keep the previous version until this one is complete.
     """
+    spark = df.sparkSession
+    number = versions.current(spark, root).number + 1
     if order_by:
         df = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return read_table(df.sparkSession, path, df.schema)
+    folder = f"data/table_version={number}"
+    df.write.mode("overwrite").parquet(f"{root}/{folder}")
+    versions.commit(spark, root, versions.Version(number, live={("all",): folder}))
+    return read_table(spark, root, df.schema)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path)
+def read_table(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    return versions.read(spark, root, schema, list(versions.current(spark, root).live.values()))
 
 
 def create_namespaces(spark: SparkSession, layers: Sequence[str] = LAYERS, base: str | None = None) -> None:
