@@ -179,6 +179,14 @@ def test_an_unfinished_manifest_does_not_count(spark, tmp_path, rows):
     assert versions.current(spark, table.root).number == 2 and rows(table.read(spark), "value") == [(2.0,)]
 
 
+def test_odd_part_names_survive(spark, tmp_path, rows):
+    table = upsert.PointTable(str(tmp_path / "a folder" / "t"))
+    odd = "1 h/2=3:%41"
+    for batch, value in enumerate((1.0, 2.0)):
+        table.merge(points(spark, ("U1", value, batch, dt.datetime(2024, 1, 1), odd)), batch)
+    assert rows(table.read(spark), "interval", "value") == [(odd, 2.0)]
+
+
 def test_warnings_show_in_the_progress(spark, tmp_path):
     source = tmp_path / "in"
     points(spark, ("U1", -1.0, 1), ("U2", 2.0, 1), (None, 2.0, 1)).write.parquet(str(source))

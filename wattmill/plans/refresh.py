@@ -99,7 +99,6 @@ def refresh_facility_daily(spark: SparkSession, w: Warehouse, units: DataFrame)
     over and a new registry rebuilds all.
     """
     root = w.table("gold", "facility_daily")
-    schema = T.StructType([*declared("facility_daily").fields]).add("period", T.StringType())
     points, names = w.points(), _fingerprint(units)
     wanted = {(month, f"{points.root}/{folder}", names): folder for folder, month in points.folders(spark, ["1d"]).items()}
     now = versions.current(spark, root)
@@ -114,7 +113,7 @@ def refresh_facility_daily(spark: SparkSession, w: Warehouse, units: DataFrame)
             laid_out.sortWithinPartitions("period", "nem_date", "facility_code").write.mode("overwrite").partitionBy(
                 "period"
             ).parquet(f"{root}/data/table_version={number}")
-            written = versions.written_parts(spark, root, number, schema, ["period"])
+            written = versions.written_parts(spark, root, number, ["period"])
             live.update({changed[month][0]: folder for (month,), folder in written.items()})
         versions.commit(spark, root, versions.Version(number, live=live))
     return read_facility_daily(spark, w)

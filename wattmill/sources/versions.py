@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,10 @@ from pyspark.sql import types as T
 MANIFEST = "stream STRING, batch_id BIGINT, live ARRAY<STRUCT<part: ARRAY<STRING>, dir: STRING>>"
 
 
+# Fixed value: the folder name Spark gives a NULL partition value.
+_NULL_PART = "__HIVE_DEFAULT_PARTITION__"
+
+
 @dataclass
 class Version:
     """A committed state: which folder holds each part, and the batch that led to it.
@@ -64,12 +69,17 @@ def read(spark: SparkSession, root: str, schema: T.StructType, folders: Sequence
     return spark.read.schema(schema).option("basePath", f"{root}/data").parquet(*paths).select(*schema.names)
 
 
-def written_parts(spark: SparkSession, root: str, number: int, schema: T.StructType, by: Sequence[str]) -> dict:
-    """Part values and folder of everything a version wrote, read from file paths."""
-    files = spark.read.schema(schema).option("basePath", f"{root}/data").parquet(f"{root}/data/table_version={number}")
-    folder = F.regexp_extract(F.col("_metadata.file_path"), f"(data/table_version={number}(?:/.+)?)/[^/]+$", 1)
-    rows = files.select(F.array(*by).cast("array<string>").alias("part"), folder.alias("dir")).distinct().collect()
-    return {tuple(r.part): r.dir for r in rows}
+def written_parts(spark: SparkSession, root: str, number: int, by: Sequence[str]) -> dict[tuple, str]:
+    """Part values and folder of everything a version wrote, from the file listing; no row is read."""
+    written = spark.read.schema("x INT").parquet(f"{root}/data/table_version={number}").inputFiles()
+    folders = {file.rsplit("/", 1)[0] for file in written}
+    parts = {}
+    for folder in folders:
+        tail = unquote(folder.rsplit("/data/", 1)[1])
+        values = dict(step.split("=", 1) for step in tail.split("/"))
+        part = tuple(None if values[c] == _NULL_PART else unquote(values[c]) for c in by)
+        parts[part] = f"data/{tail}"
+    return parts
 
 
 def superseded(spark: SparkSession, root: str) -> list[str]:

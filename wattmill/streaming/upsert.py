@@ -72,7 +72,7 @@ class UpsertTable:
             # The hint lets Spark split a hot folder over several files and join small ones.
             laid_out = merged.hint("rebalance", *self.parts)
             laid_out.write.mode("overwrite").partitionBy(*self.parts).parquet(f"{self.root}/data/table_version={number}")
-            live.update(versions.written_parts(spark, self.root, number, self.stored, self.parts))
+            live.update(versions.written_parts(spark, self.root, number, self.parts))
         versions.commit(spark, self.root, versions.Version(number, stream, batch_id, live))
 
     def _stage(self, points: DataFrame, path: str) -> DataFrame:
