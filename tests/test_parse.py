@@ -154,5 +154,14 @@ def test_landing_keys_stay_text(spark, rows):
 
 def test_coverage_gaps(spark, rows):
     files = [(f"file:/l/stats/region={r}/year={y}/fetched_at=2024-01-05T010203Z/part-000.json", {}) for r, y in [("SA1", 2020), ("SA1", 2021), ("VIC1", 2021)]]
-    gaps = landing.coverage_gaps(samples.raw(spark, *files), ["SA1", "VIC1"], 2020, 2021)
+    gaps = landing.coverage_gaps(samples.raw(spark, *files), landing.region_year_grid(spark, ["SA1", "VIC1"], 2020, 2021))
     assert rows(gaps) == [("VIC1", 2020)]
+
+
+def test_chunk_gaps(spark, rows):
+    files = [(f"file:/l/facility_data/interval={i}/chunk={c}/fetched_at=2024-01-05T010203Z/part-000.json", {}) for i, c in [("1d", "000"), ("5m", "000"), ("5m", "001")]]
+    codes = spark.range(31).selectExpr("concat('F', id) AS facility_code")
+    raw = samples.raw(spark, *files)
+    assert rows(landing.coverage_gaps(raw, landing.chunk_grid(codes))) == [("1d", "001")]
+    assert landing.coverage_gaps(raw, landing.chunk_grid(codes.limit(30))).isEmpty()
+    assert landing.chunk_grid(codes.limit(0)).isEmpty()

@@ -248,7 +248,15 @@ def unattributed_days(spark, sf_dir):
 
 
 def landing_gaps(spark, sf_dir):
-    return landing.coverage_gaps(star.stats_raw(spark, sf_dir), REGIONS, 1990, 2003)
+    """Region-years that the landed stats files do not cover."""
+    grid = landing.region_year_grid(spark, REGIONS, 1990, 2003)
+    return landing.coverage_gaps(star.stats_raw(spark, sf_dir), grid)
+
+
+def chunk_gaps(spark, sf_dir):
+    """Chunks of the registry's facilities without unit files, by interval."""
+    grid = landing.chunk_grid(registry_codes(spark, sf_dir))
+    return landing.coverage_gaps(star.unit_metrics_raw(spark, sf_dir), grid)
 
 
 def metric_layer(spark, sf_dir):
@@ -376,6 +384,7 @@ OPERATORS = (
     status_distribution,
     unattributed_days,
     landing_gaps,
+    chunk_gaps,
     metric_layer,
     metric_layer_total,
     facility_metric_layer,

@@ -328,6 +328,13 @@ SELECT facility_code, facility_name, unit_count,
 SELECT code AS region, CAST(y AS INTEGER) AS year FROM region_codes, generate_series(1990, 2003) AS g(y)
 WHERE (code, y) NOT IN (SELECT (network_region, year(nem_date)) FROM series_long
                         UNION SELECT (network_region, year(nem_date)) FROM demand_long)
+""",
+    "chunk_gaps": """
+WITH g AS (SELECT unnest(['1d', '5m']) AS interval, n
+           FROM generate_series(0, (SELECT (count(DISTINCT facility_code) + 29) // 30 - 1 FROM units)) AS s(n)),
+landed AS (SELECT DISTINCT l_partkey % (SELECT max(s_suppkey) + 1 FROM supplier) // 30 AS n FROM lineitem)
+SELECT interval, lpad(CAST(n AS VARCHAR), 3, '0') AS chunk FROM g
+WHERE interval = '5m' OR n NOT IN (SELECT n FROM landed)
 """,
     "metric_layer": f"SELECT network_region, CAST(year(nem_date) AS INTEGER) AS yr, {MEASURES} FROM wide GROUP BY 1, 2",
     "metric_layer_total": f"SELECT fueltech_group, {MEASURES} FROM wide GROUP BY 1",

@@ -82,16 +82,25 @@ def newest_snapshot(raw: DataFrame) -> DataFrame:
     return raw.where(fetch == newest.scalar())
 
 
-def coverage_gaps(raw: DataFrame, regions: Sequence[str], first_year: int, last_year: int) -> DataFrame:
-    """Expected region-years without a landed file.
+def region_year_grid(spark: SparkSession, regions: Sequence[str], first_year: int, last_year: int) -> DataFrame:
+    """Region-years a backfill asks for. Unfolds two literals; there is no cross join."""
+    regions_only = spark.range(1).select(F.explode(F.array(*map(F.lit, regions))).alias("region"))
+    return regions_only.select("region", F.explode(F.sequence(F.lit(first_year), F.lit(last_year))).alias("year"))
+
+
+def chunk_grid(codes: DataFrame, intervals: Sequence[str] = ("1d", "5m"), size: int = 30) -> DataFrame:
+    """Interval-chunks a unit fetch asks for: facility codes in chunks of ``size``, once per interval."""
+    last = codes.agg((F.ceil(F.count(F.lit(1)) / size) - 1).cast("int").alias("last")).where("last >= 0")
+    chunks = last.select(F.explode(F.sequence(F.lit(0), F.col("last"))).alias("n"))
+    return chunks.select(
+        F.explode(F.array(*map(F.lit, intervals))).alias("interval"), F.lpad(F.col("n").cast("string"), 3, "0").alias("chunk")
+    )
+
 
-    The grid comes from two unfolded literals rather than a cross join, and the landed side is
-    reduced to distinct keys before it meets the grid.
+def coverage_gaps(raw: DataFrame, expected: DataFrame) -> DataFrame:
+    """Expected fetches without a landed file; the columns of ``expected`` are landing keys.
+
+    Landed files are reduced to distinct keys, from their paths alone, before they meet the grid.
     """
-    grid = (
-        raw.sparkSession.range(1)
-        .select(F.explode(F.array(*map(F.lit, regions))).alias("region"))
-        .select("region", F.explode(F.sequence(F.lit(first_year), F.lit(last_year))).alias("year"))
-    )
-    landed = with_landing_keys(raw).select("region", "year").distinct()
-    return grid.join(landed, ["region", "year"], "left_anti")
+    landed = with_landing_keys(raw).select(*expected.columns).distinct()
+    return expected.join(landed, expected.columns, "left_anti")

@@ -298,7 +298,13 @@ def stats_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unit_metrics_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file per line item with its three metrics, fetched at the time its sequence stands for."""
+    """One file per line item with its three metrics, fetched at the time its sequence stands for.
+
+    Its chunk is that of its facility, thirty to a chunk.
+    """
+    slots = table(spark, sf_dir, "supplier").agg(F.max("s_suppkey") + 1).scalar()
+    slot = F.substring("unit_code", 2, 20).cast("bigint") % slots
+    chunk = F.lpad(F.floor(slot / 30).cast("string"), 3, "0")
     lines = _daily_lines(spark, sf_dir)
     when = F.concat(F.col("day").cast("string"), F.lit("T00:00:00+10:00"))
 
@@ -316,7 +322,7 @@ def unit_metrics_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     path = F.concat(
-        F.lit("/landing/facility_data/interval="), "interval", F.lit("/chunk="), "unit_code",
+        F.lit("/landing/facility_data/interval="), "interval", F.lit("/chunk="), chunk, F.lit("/unit="), "unit_code",
         F.lit("/fetched_at="), F.date_format("ingested_at", FETCHED_AT_FORMAT), F.lit("/part-000.json"),
     )
     blocks = F.array(*[block(m) for m in _line_metrics()])
