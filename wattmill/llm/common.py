@@ -62,6 +62,17 @@ def raw_texts(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def texts_in_blocks(batch: pa.RecordBatch, column: int, most_bytes: int = 8 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Parts of a batch with about ``most_bytes`` of text each."""
+    texts = raw_texts(batch.column(column))
+    begin, size = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= most_bytes or i == len(texts) - 1:
+            yield batch.slice(begin, i + 1 - begin), texts[begin : i + 1]
+            begin, size = i + 1, 0
+
+
 def emit(schema: pa.Schema, rows: Iterable[tuple], most_rows: int = 2000, most_bytes: int = 32 << 20) -> Iterator[pa.RecordBatch]:
     """Rows as record batches bounded by count and by the size of their binary values."""
     kept: list[tuple] = []

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattmill.llm.common import arrow_schema, raw_texts, struct
+from wattmill.llm.common import arrow_schema, struct, texts_in_blocks
 
 PATTERN_BYTES = 8 << 20
 TABLE_BITS = 20
@@ -194,17 +194,6 @@ class Scan:
         return int(self.n_words[doc]), n_hit, sorted(self.items.get(doc, ())), [(a, b) for a, b in merged]
 
 
-def texts_in_blocks(batch: pa.RecordBatch, column: int, most_bytes: int = 8 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Parts of a batch with about ``most_bytes`` of text each."""
-    texts = raw_texts(batch.column(column))
-    begin, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= most_bytes or i == len(texts) - 1:
-            yield batch.slice(begin, i + 1 - begin), texts[begin : i + 1]
-            begin, size = i + 1, 0
-
-
 def scanner(blocks: list[Broadcast]) -> Callable[[list[bytes]], Scan]:
     def scan(texts: list[bytes]) -> Scan:
         found = Scan(texts)

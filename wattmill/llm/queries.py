@@ -12,20 +12,53 @@ from wattmill.llm.adaptive_quality import adaptive_quality
 from wattmill.llm.common import documents, ship
 from wattmill.llm.decontaminate import contamination
 from wattmill.llm.interleave import interleave
+from wattmill.llm.interpolation import scores
+from wattmill.llm.language_id import identify, pages_as_documents
+from wattmill.llm.rans import token_files
+from wattmill.llm.surrogates import surrogate_texts
 from wattmill.llm.unit_dedup import unit_dedup
+from wattmill.llm.word_bpe import encode
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang", "source")
+    return surrogate_texts(docs, counts="n_entities")
+
+
+def op2_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scores(documents(spark, sf_dir))
+
+
 def op3_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op4_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(documents(spark, sf_dir))
+
+
 def op5_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleave(documents(spark, sf_dir)).drop("source")
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify(documents(spark, sf_dir))
+    return found.select("doc_id", F.col("lang").alias("declared"), "language", "text_language", "posterior", "kept")
+
+
+def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = pages_as_documents(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    found = identify(pages, host="host", suffix="suffix", key="page_id")
+    return found.select("page_id", F.col("lang").alias("declared"), "language", "text_language", "posterior", "kept")
+
+
+def op8_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(documents(spark, sf_dir), digests=True)
+
+
 def op9_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = unit_dedup(documents(spark, sf_dir))
     spans = F.array_join(F.transform("removed", lambda x: F.concat_ws("-", x.start, x.stop)), ",")
@@ -37,7 +70,18 @@ def op10_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_quality(documents(spark, sf_dir)).select(*columns)
 
 
-QUERIES = (op3_wu_manber, op5_interleave, op9_unit_dedup, op10_adaptive_quality)
+QUERIES = (
+    op1_surrogates,
+    op2_deleted_interpolation,
+    op3_wu_manber,
+    op4_rans,
+    op5_interleave,
+    op7_language_id,
+    op8_word_bpe,
+    op9_unit_dedup,
+    op10_adaptive_quality,
+    language_of_pages,
+)
 
 
 def queries() -> dict[str, Query]:
