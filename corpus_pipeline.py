@@ -1,7 +1,8 @@
 """The training-data pipeline: STAGES applied one after another to ``documents``.
 
 Every stage works on all rows its predecessor kept; its result is written as Parquet into the cluster's shared folder and read
-again as the next stage's ``docs``. All but the last return the columns of ``documents``.
+again as the next stage's ``docs``. All but the last return the columns of ``documents``; the last returns the encoded
+documents.
 """
 
 from __future__ import annotations
@@ -10,21 +11,56 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wattmill.llm.chosen_path import one_of_each
 from wattmill.llm.common import documents, saved, ship
 from wattmill.llm.decontaminate import clean_documents
+from wattmill.llm.language_id import identify
+from wattmill.llm.surrogates import surrogate_texts
+from wattmill.llm.word_bpe import encode
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without letters and those whose language stays unknown or undecided."""
+    ship(spark)
+    found = identify(docs)
+    return found.where(found[found.columns[-1]]).select(*docs.columns)
+
+
+def one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the first document of each class of near duplicates."""
+    ship(spark)
+    return one_of_each(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of which a twentieth or more repeats the benchmark."""
     ship(spark)
     return clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-STAGES: list[tuple[str, Stage]] = [("decontaminate", decontaminate)]
+def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data and secrets by surrogates; drops nothing."""
+    ship(spark)
+    return surrogate_texts(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids and digests of every document that is left."""
+    ship(spark)
+    return encode(docs, digests=True)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language", known_language),
+    ("near_duplicates", one_copy),
+    ("benchmark", decontaminate),
+    ("personal_data", hide_personal_data),
+    ("tokens", tokens),
+]
 
-# the stages use trained models and tokenizer files, which SQL cannot express
+# trained models, joins by chance and tokenizer files are beyond SQL: tests compare with brute force instead
 ORACLE_SQL: str | None = None
 
 

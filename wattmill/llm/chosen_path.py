@@ -8,14 +8,14 @@ their Jaccard similarity.
 
 **Chosen paths.** A run draws a few token positions at the root; sets that agree on a drawn token go to the same child. A child of
 at most ``SMALL`` sets is compared pair by pair; a larger one draws again with its own randomness and splits further, down to
-``DEPTH``. In every larger child all members are also compared with the child's *pivot*, a member drawn at random, so a
-group of thousands of near copies is linked as a star without its pairs ever being formed. Members that are nowhere near
-the pivot (by sketch) and members that are, split apart before they go on; a child whose members have all been linked with the pivot
-is done, since every further pair of it is in one class.
+``DEPTH``. In every larger child all members are also compared with two *pivots*: the member most like the child's consensus
+(the commonest token at each position) and one drawn at random. So a group of thousands of near copies is linked as stars
+without its pairs ever being formed. Where all members of a child are linked with a pivot of its parent, the child is
+done: every further pair of it is in one class.
 
-**Runs.** Candidates are verified on the full sets. After each run from the second on, the links that two runs found independently
-tell how likely a run finds a link (capture and recapture); runs repeat until the chance to have missed one is below
-1 - ``recall``, and at most ``MOST_RUNS`` times.
+**Runs.** The likely links (by sketch) that two runs find independently tell how probably a run finds a link (capture and
+recapture); runs repeat until the chance to miss one is below 1 - ``recall``, ``MOST_RUNS`` times at most. At the end the candidates
+of all runs are verified on the full sets.
 
 The result has a row per document: its class (connected texts, named by the least doc_id), the number of *links* (other representatives it was
 verified similar to) and of *copies* (documents with the same set, itself included). Stars mean that two texts of one class need not be linked directly.
@@ -30,11 +30,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattmill.llm.common import arrow_schema, emit, saved, struct, text_key, texts_in_blocks
+from wattmill.llm.common import arrow_schema, emit, fresh, same, saved, struct, text_key, texts_in_blocks
 
 WIDTH = 5
 TOKENS = 64
@@ -46,8 +47,13 @@ MOST_RUNS = 6
 SLACK = 0.2  # how far below the threshold a sketch may fall before a pair is not verified: four standard deviations
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-SKETCHES = struct(doc_id="long", text_key="long", set_lo="long", set_hi="long", sketch="binary")
-SETS = struct(set_lo="long", set_hi="long", grams="binary")
+SAMPLE = 256  # members of a large child whose tokens make its consensus
+LINKED = 54  # agreeing tokens from which a sketch counts as linked, about 0.84
+SKETCHED = struct(doc_id="long", text_key="long", rep="binary", sketch="binary")
+SETS = struct(rep="binary", grams="binary")
+PATHS = struct(path="long", rep="binary", linked="int")
+PAIRS = struct(a="binary", b="binary", agree="int")
+LINKS = struct(a="binary", b="binary")
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -56,16 +62,10 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     lowered = [t.translate(LOWER).split() for t in texts]
     lengths = np.array([len(w) for w in lowered], dtype=np.int64)
     flat = pa.array([w for words in lowered for w in words], pa.binary()).dictionary_encode()
-    known = np.array([_word_hash(w) for w in flat.dictionary.to_numpy(zero_copy_only=False)], dtype=np.uint64)
+    known = np.array([xxhash.xxh3_64_intdigest(w) for w in flat.dictionary.to_numpy(zero_copy_only=False)], dtype=np.uint64)
     return known[flat.indices.to_numpy()] if len(known) else np.zeros(0, dtype=np.uint64), lengths
 
 
-def _word_hash(word: bytes) -> int:
-    import xxhash
-
-    return xxhash.xxh3_64_intdigest(word)
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(29))
@@ -102,16 +102,9 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def set_digest(grams: np.ndarray) -> tuple[int, int]:
-    import xxhash
-
-    digest = xxhash.xxh3_128_digest(grams.tobytes())
-    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
-
-
 def sketch_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, digest of the set, sketch; digest and sketch are null without words."""
-    schema = arrow_schema(SKETCHES)
+    """doc_id, text_key, representative (digest of the set) and sketch; both null without words."""
+    schema = arrow_schema(SKETCHED)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
@@ -120,7 +113,245 @@ def sketch_documents(docs: DataFrame) -> DataFrame:
                 full = [s for s in sets if len(s)]
                 found = iter(sketches(full)) if full else iter(())
                 for doc_id, key, grams in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), sets, strict=True):
-                    yield (doc_id, key, *set_digest(grams), next(found).tobytes()) if len(grams) else (doc_id, key, None, None, None)
+                    yield (doc_id, key, xxhash.xxh3_128_digest(grams.tobytes()), next(found).tobytes()) if len(grams) else (doc_id, key, None, None)
 
     source = docs.select(F.col("doc_id").cast("bigint"), text_key(F.col("text")).alias("text_key"), "text")
-    return source.mapInArrow(lambda batches: emit(schema, rows(batches), 5000), SKETCHES)
+    return source.mapInArrow(lambda batches: emit(schema, rows(batches), 5000), SKETCHED)
+
+
+def matrix(column: pa.Array) -> np.ndarray:
+    """Sketches of a column, one per row."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype="<u4").reshape(-1, TOKENS)
+
+
+def children(paths: np.ndarray, tokens: np.ndarray, draws: int, run: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each draw the child path of every row: the path alone decides the position, the token there the child."""
+    with np.errstate(over="ignore"):
+        seeds = mixed(paths.astype(np.uint64) + np.uint64(run + 1) * ODD)
+    taken = np.zeros((len(paths), TOKENS), dtype=bool)
+    every = np.arange(len(paths))
+    for k in range(draws):
+        position = (mixed(seeds + np.uint64(k + 1) * ODD) % np.uint64(TOKENS)).astype(np.int64)
+        while taken[every, position].any():  # draws of a path are distinct
+            position = np.where(taken[every, position], (position + 1) % TOKENS, position)
+        taken[every, position] = True
+        token = tokens[every, position].astype(np.uint64)
+        yield every, mixed(mixed(seeds + position.astype(np.uint64)) + token * ODD).astype(np.int64)
+
+
+def root_paths(reps: DataFrame, run: int) -> DataFrame:
+    schema = arrow_schema(PATHS)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = matrix(batch.column(1))
+            for _, child in children(np.zeros(len(tokens), dtype=np.int64), tokens, ROOT_DRAWS, run):
+                yield pa.RecordBatch.from_arrays([pa.array(child), batch.column(0), pa.array(np.zeros(len(child), dtype=np.int32))], schema=schema)
+
+    return reps.select("rep", "sketch").mapInArrow(split, PATHS)
+
+
+def small_pairs(members: DataFrame) -> DataFrame:
+    """All pairs within small children, as far as sketches make them likely."""
+    schema = arrow_schema(PAIRS)
+    least = int((0.8 - SLACK) * TOKENS)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            table = pa.Table.from_batches([*held, batch]).combine_chunks()
+            paths = table.column("path").to_numpy()
+            tokens = matrix(table.column("sketch").combine_chunks())
+            reps = table.column("rep").to_pylist()
+            for k in range(1, min(SMALL, len(paths))):
+                at = np.flatnonzero(paths[:-k] == paths[k:])
+                agree = (tokens[at] == tokens[at + k]).sum(axis=1)
+                good = agree >= least
+                pairs = [(min(reps[i], reps[i + k]), max(reps[i], reps[i + k]), int(n)) for i, n in zip(at[good].tolist(), agree[good].tolist(), strict=True)]
+                yield from emit(schema, iter(pairs), 10_000)
+            # the last path may go on in the next batch
+            held = table.slice(int(np.searchsorted(paths, paths[-1]))).to_batches() if len(paths) else []
+
+    # at most SMALL rows to a path
+    return members.repartition("path").sortWithinPartitions("path").mapInArrow(compare, PAIRS)
+
+
+def consensus(large: DataFrame, run: int) -> DataFrame:
+    """The commonest token at each position among about SAMPLE members of each path; it only chooses the pivot."""
+    out = struct(path="long", common="binary")
+
+    def vote(key: tuple, table: pa.Table) -> pa.Table:
+        tokens = matrix(table.column("sketch").combine_chunks())
+        common = np.empty(TOKENS, dtype="<u4")
+        for k in range(TOKENS):
+            values, counts = np.unique(tokens[:, k], return_counts=True)
+            common[k] = values[np.argmax(counts)]
+        return pa.table({"path": [key[0].as_py()], "common": [common.tobytes()]})
+
+    drawn = F.pmod(F.xxhash64("rep", "path", F.lit(run)), F.lit(1 << 30)) < F.lit(SAMPLE * (1 << 30)) / F.col("n")
+    # the most frequent token's member is in any case drawn: the first by hash
+    return large.where(drawn | (F.col("rep") == F.col("random"))).groupBy("path").applyInArrow(vote, out)
+
+
+def agreement(df: DataFrame, left: str, right: str, name: str) -> DataFrame:
+    """``df`` with the number of tokens that two sketch columns share."""
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.IntegerType())])
+    one, two = df.columns.index(left), df.columns.index(right)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            agree = (matrix(batch.column(one)) == matrix(batch.column(two))).sum(axis=1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(agree)], names=[*batch.schema.names, name])
+
+    return df.mapInArrow(count, schema)
+
+
+def split_large(large: DataFrame, reps: DataFrame, run: int) -> tuple[DataFrame, DataFrame]:
+    """Likely links of each large path's members with its two pivots, and the members' children."""
+    marked = agreement(large.join(consensus(large, run), "path"), "sketch", "common", "near")
+    pivots = saved(marked.groupBy("path").agg(F.max(F.struct("near", "rep")).alias("best"), F.min("random").alias("random")), "pivots")
+    pivots = pivots.select("path", F.explode(F.array_distinct(F.array("best.rep", "random"))).alias("pivot"))
+    pivots = pivots.join(reps.select(F.col("rep").alias("pivot"), F.col("sketch").alias("pivot_sketch")), "pivot")
+    judged = saved(agreement(large.select("path", "rep", "sketch").join(pivots, "path"), "sketch", "pivot_sketch", "agree").drop("sketch", "pivot_sketch"), "stars")
+    links = judged.where((F.col("agree") >= int((0.8 - SLACK) * TOKENS)) & (F.col("rep") != F.col("pivot")))
+    links = links.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"), "agree")
+    done = judged.groupBy("path", "rep").agg(F.max((F.col("agree") >= LINKED).cast("int")).alias("linked"))
+    schema = arrow_schema(PATHS)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = matrix(batch.column(2))
+            for _, child in children(batch.column(0).to_numpy(), tokens, DRAWS, run):
+                yield pa.RecordBatch.from_arrays([pa.array(child), batch.column(1), batch.column(3)], schema=schema)
+
+    return links, large.select("path", "rep", "sketch").join(done, ["path", "rep"]).mapInArrow(split, PATHS)
+
+
+def one_run(reps: DataFrame, run: int) -> DataFrame:
+    """Candidate pairs (a, b, agree) of one run, each once."""
+    found: list[DataFrame] = []
+    paths = root_paths(reps, run)
+    for _ in range(DEPTH):
+        paths = saved(paths, "paths")
+        sizes = paths.groupBy("path").agg(F.count("*").alias("n"), F.min("linked").alias("all_linked"), F.min(F.struct(F.xxhash64("rep", F.lit(run)), "rep")).alias("first"))
+        sizes = saved(sizes.where("n > 1 AND all_linked = 0").select("path", "n", F.col("first.rep").alias("random")), "sizes")
+        members = paths.select("path", "rep").join(sizes, "path")
+        members = saved(members.join(reps.select("rep", "sketch"), "rep"), "members")
+        found.append(small_pairs(members.where(F.col("n") <= SMALL)))
+        large = members.where(F.col("n") > SMALL)
+        if large.isEmpty():
+            break
+        links, paths = split_large(large, reps, run)
+        found.append(links)
+    pairs = found[0]
+    for more in found[1:]:
+        pairs = pairs.unionByName(more)
+    return saved(pairs.groupBy("a", "b").agg(F.max("agree").alias("agree")), "pairs")
+
+
+def candidates(reps: DataFrame, recall: float) -> DataFrame:
+    """Pairs of all runs; runs repeat until a likely link is missed by all of them with a chance below 1 - recall."""
+    likely = F.col("agree") >= int(0.8 * TOKENS)
+    every = one_run(reps, 0)
+    missed = 1.0
+    for run in range(1, MOST_RUNS):
+        own = one_run(reps, run)
+        both = every.where(likely).join(own.where(likely), ["a", "b"], "left_semi").count()
+        before, now = every.where(likely).count(), own.where(likely).count()
+        every = saved(every.unionByName(own).groupBy("a", "b").agg(F.max("agree").alias("agree")), "pairs")
+        if not max(before, now):
+            break
+        # a link found by one side is found by the other with these chances
+        by_before, by_own = both / max(now, 1), both / max(before, 1)
+        missed = (1 - by_before) * (1 - by_own)
+        if missed <= 1 - recall:
+            break
+    return every
+
+
+def full_sets(docs: DataFrame, sketched: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(rep, grams) of the wanted representatives, from one text each."""
+    one = sketched.where("rep IS NOT NULL").groupBy("rep").agg(F.min(F.struct("doc_id", "text_key")).alias("text")).join(wanted, "rep")
+    one = one.select("rep", "text.doc_id", "text.text_key").alias("o")
+    d = docs.select(F.col("doc_id").cast("bigint"), text_key(F.col("text")).alias("text_key"), "text").alias("d")
+    texts = d.join(one, same(F.col("d.doc_id"), F.col("o.doc_id")) & (F.col("d.text_key") == F.col("o.text_key"))).select("o.rep", "d.text")
+    schema = arrow_schema(SETS)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            for part, found in texts_in_blocks(batch, 1, 4 << 20):
+                for rep, grams in zip(part.column(0).to_pylist(), gram_sets(found), strict=True):
+                    yield rep, grams.tobytes()
+
+    # rows equal in doc_id and text give the same set again
+    return texts.mapInArrow(lambda batches: emit(schema, rows(batches)), SETS).dropDuplicates(["rep"])
+
+
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs whose full sets are similar."""
+    schema = arrow_schema(LINKS)
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                left, right = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+                shared = len(np.intersect1d(left, right, assume_unique=True))
+                if shared >= threshold * (len(left) + len(right) - shared):
+                    good.append((a, b))
+            yield from emit(schema, iter(good), 10_000)
+
+    left = sets.select(F.col("rep").alias("a"), F.col("grams").alias("x"))
+    right = sets.select(F.col("rep").alias("b"), F.col("grams").alias("y"))
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, LINKS)
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(rep, root) of every linked representative: the least of its component, by rounds of least neighbours and shortcuts."""
+    both = saved(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
+    roots = saved(both.groupBy(F.col("a").alias("rep")).agg(F.least(F.min("a"), F.min("b")).alias("root")), "roots")
+    while True:
+        near = both.join(roots, both.b == roots.rep).groupBy(F.col("a").alias("rep")).agg(F.min("root").alias("near"))
+        lower = roots.join(near, "rep").select("rep", F.col("root").alias("old"), F.least("root", "near").alias("root"))
+        up = roots.select(F.col("rep").alias("up_rep"), F.col("root").alias("up"))
+        step = lower.join(up, lower.root == up.up_rep).select("rep", "old", F.least("root", "up").alias("root"))
+        step = saved(step, "roots")
+        roots = step.select("rep", "root")
+        if step.where("root <> old").isEmpty():
+            return roots
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99) -> DataFrame:
+    """doc_id, text_key, class_id, n_links, n_copies of every document, and ``first``: whether it is the first of its class."""
+    sketched = saved(sketch_documents(docs), "sketches")
+    reps = saved(sketched.where("rep IS NOT NULL").groupBy("rep").agg(F.first("sketch").alias("sketch"), F.count("*").alias("n_copies")), "reps")
+    pairs = candidates(reps, recall)
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    links = saved(verified(pairs, saved(full_sets(docs, sketched, ends), "sets"), threshold), "links")
+    degrees = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
+    classes = reps.select("rep", "n_copies").join(degrees, "rep", "left").join(components(links), "rep", "left")
+    classes = saved(classes.select("rep", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "rep").alias("root")), "classes")
+    placed = saved(sketched.select("doc_id", "text_key", "rep").join(classes, "rep", "left"), "placed")
+    rank = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_key")
+    names = saved(placed.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("class_id"), F.min(rank).alias("lead")), "names")
+    p = placed.join(names, "root", "left")
+    return p.select(
+        "doc_id",
+        "text_key",
+        F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        F.coalesce("n_copies", F.lit(1)).alias("n_copies"),
+        (F.col("root").isNull() | rank.eqNullSafe(F.col("lead"))).alias("first"),
+    )
+
+
+def one_of_each(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99) -> DataFrame:
+    """``docs`` with only the first document of each class, by (doc_id, nulls last; hash of the text); wordless rows all stay."""
+    found = near_duplicates(docs, threshold, recall)
+    late, key = fresh(docs, "_wordless"), fresh(docs, "_key")
+    firsts = found.where("first").groupBy("doc_id", "text_key").agg(F.lit(1).alias("one")).alias("f")
+    d = docs.withColumn(key, text_key(F.col("text"))).alias("d")
+    kept = d.join(firsts, same(F.col("d.doc_id"), F.col("f.doc_id")) & (F.col(f"d.{key}") == F.col("f.text_key")), "left_semi")
+    wordless = F.coalesce(F.length(F.trim(F.translate(F.coalesce("text", F.lit("")), "\t\n\x0b\x0c\r", "     "))) == 0, F.lit(True))
+    kept = kept.withColumn(late, F.when(wordless, F.monotonically_increasing_id()))
+    return kept.dropDuplicates(["doc_id", key, late]).select(*docs.columns)

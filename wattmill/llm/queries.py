@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wattmill.llm import oracle
 from wattmill.llm.adaptive_quality import adaptive_quality
+from wattmill.llm.chosen_path import near_duplicates
 from wattmill.llm.common import documents, ship
 from wattmill.llm.decontaminate import contamination
 from wattmill.llm.interleave import interleave
@@ -44,6 +45,10 @@ def op5_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleave(documents(spark, sf_dir)).drop("source")
 
 
+def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links", "n_copies")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = identify(documents(spark, sf_dir))
     return found.select("doc_id", F.col("lang").alias("declared"), "language", "text_language", "posterior", "kept")
@@ -76,6 +81,7 @@ QUERIES = (
     op3_wu_manber,
     op4_rans,
     op5_interleave,
+    op6_chosen_path,
     op7_language_id,
     op8_word_bpe,
     op9_unit_dedup,

@@ -48,7 +48,8 @@ def repeated_units(found: DataFrame) -> DataFrame:
     """The units that are not the earliest with their digest."""
     rank = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_key", "n")
     firsts = found.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("times")).where("times > 1").select("digest", "first")
-    # a common digest has as many rows on the left: an equi-join that Spark can split
+    # written, so that both sides of the join are dealt for it and Spark can split a common digest's rows
+    firsts = saved(firsts, "firsts")
     return found.join(firsts, "digest").where(~(rank.eqNullSafe(F.col("first")))).drop("first")
 
 
