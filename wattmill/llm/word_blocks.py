@@ -11,21 +11,20 @@ folder before anything uses it: the numbers of blocks and words never change und
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattmill.llm.common import arrow_schema, emit, raw_texts, saved, struct
+from wattmill.llm.common import arrow_schema, emit, saved, struct, texts_in_blocks
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 
 BLOCKS = struct(block="long", doc_ids=T.ArrayType(T.LongType()), lengths=T.ArrayType(T.IntegerType()), numbers="binary", words="binary")
 DEALT = struct(part="int", block="long", payload="binary")
@@ -63,28 +62,34 @@ def text_blocks(docs: DataFrame, reduced: Callable[[bytes], bytes] = bytes) -> D
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         task = TaskContext.get().partitionId()
-        seq, ids, texts, size = 0, [], [], 0
+        seq = 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1)), strict=True):
-                ids.append(doc_id)
-                texts.append(reduced(text).split())
-                size += len(text)
-                if size >= BLOCK_BYTES:
-                    yield (task << 32 | seq, *_block(ids, texts))
-                    seq, ids, texts, size = seq + 1, [], [], 0
-        if ids:
-            yield (task << 32 | seq, *_block(ids, texts))
+            for part, texts in texts_in_blocks(batch, 1, BLOCK_BYTES):
+                yield (task << 32 | seq, part.column(0).to_pylist(), *_block([reduced(t) for t in texts]))
+                seq += 1
 
     rows = docs.select(F.col("doc_id").cast("bigint"), "text")
     return saved(rows.mapInArrow(lambda batches: emit(schema, cut(batches), 1), BLOCKS), "blocks")
 
 
-def _block(ids: list[int | None], texts: list[list[bytes]]) -> tuple:
-    ordered = sorted(Counter(chain.from_iterable(texts)).items(), key=lambda x: -x[1])
-    number = {w: i for i, (w, _) in enumerate(ordered)}
-    lengths = [len(t) for t in texts]
-    numbers = np.fromiter(map(number.__getitem__, chain.from_iterable(texts)), dtype=np.uint32, count=sum(lengths))
-    return ids, lengths, pack(numbers), press(b" ".join(number))
+def _block(texts: list[bytes]) -> tuple[list[int], bytes, bytes]:
+    """Words in each text, the packed number of each word, and the words by number."""
+    # gives an empty word before leading and after trailing white space, and for a text without words
+    split = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string(), safe=False))
+    coded = split.flatten().dictionary_encode()
+    words = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+    at = coded.indices.to_numpy()
+    counts = np.bincount(at, minlength=len(words))
+    order = np.argsort(-counts, kind="stable")
+    if b"" in words:
+        order = order[order != words.index(b"")]
+    number = np.full(len(words), -1, dtype=np.int64)
+    number[order] = np.arange(len(order))
+    numbers = number[at]
+    kept = numbers >= 0
+    ends = np.cumsum(kept)[split.offsets.to_numpy()[1:] - 1]
+    lengths = np.diff(ends, prepend=0)
+    return lengths.tolist(), pack(numbers[kept].astype(np.uint32)), press(b" ".join([words[i] for i in order.tolist()]))
 
 
 def words_in(data: bytes) -> list[bytes]:

@@ -74,10 +74,7 @@ def encode_words(dealt: DataFrame, path: str) -> DataFrame:
                         texts = [w.decode("utf-8", "replace") for w in some]
                         for word, found in zip(some, tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
                             known[word] = np.array(found.ids, dtype=np.uint32).tobytes()
-                    ids = [known[w] for w in words]
-                    lengths = np.fromiter(map(len, ids), dtype=np.uint32, count=len(ids)) // 4
-                    sizes = pack(lengths)
-                    yield part, block, len(sizes).to_bytes(4, "little") + sizes + pack(np.frombuffer(b"".join(ids), dtype=np.uint32))
+                    yield part, block, join_ids([known[w] for w in words])
 
         return emit(schema, rows(), 500, 8 << 20)
 
@@ -97,6 +94,12 @@ def deal_words(blocks: DataFrame, parts: int) -> DataFrame:
     return blocks.select("block", "words").mapInArrow(lambda batches: emit(schema, rows(batches), 500, 8 << 20), DEALT)
 
 
+def join_ids(ids: list[bytes]) -> bytes:
+    lengths = np.fromiter(map(len, ids), dtype=np.uint32, count=len(ids)) // 4
+    sizes = pack(lengths)
+    return len(sizes).to_bytes(4, "little") + sizes + pack(np.frombuffer(b"".join(ids), dtype=np.uint32))
+
+
 def split_ids(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
     size = int.from_bytes(payload[:4], "little")
     return unpack(payload[4 : 4 + size]), unpack(payload[4 + size :])
@@ -108,8 +111,8 @@ def encode(docs: DataFrame, path: str = TOKENIZER, digests: bool = False) -> Dat
     parts = parts_for(docs)
     blocks = text_blocks(docs)
     answers = encode_words(deal_words(blocks, parts), path)
-    # bounded by the vocabulary
-    table = docs.sparkSession.sparkContext.broadcast([p.encode() for p in pieces(path)])
+    # bounded by the vocabulary; each piece brings the space that follows it
+    table = docs.sparkSession.sparkContext.broadcast(pa.array([p.encode() + b" " for p in pieces(path)], pa.binary()))
     out = DIGESTS if digests else ENCODED
     schema = arrow_schema(out)
 
@@ -117,29 +120,37 @@ def encode(docs: DataFrame, path: str = TOKENIZER, digests: bool = False) -> Dat
         if not block.num_rows:
             return
         row = block.to_pylist()[0]
-        words = words_in(row["words"])
-        of_word: list[bytes] = [b""] * len(words)
         answer = dict(zip(found.column("part").to_pylist(), found.column("payload").to_pylist(), strict=True))
-        piece = table.value
-        decoded: list[bytes] = [b""] * len(words)
-        for part, own in places(words, parts):
-            lengths, ids = split_ids(answer[part])
-            raw, ends = ids.tobytes(), np.cumsum(lengths)
-            as_pieces = list(map(piece.__getitem__, ids.tolist()))  # the id-to-piece join
-            for i, begin, end in zip(own.tolist(), (ends - lengths).tolist(), ends.tolist(), strict=True):
-                of_word[i] = raw[4 * begin : 4 * end]
-                decoded[i] = b" ".join(as_pieces[begin:end])
-        numbers = unpack(row["numbers"]).tolist()
-        at = 0
+        dealt = list(places(words_in(row["words"]), parts))
+        if not dealt:
+            dealt, answer = [(0, np.zeros(0, dtype=np.int64))], {0: join_ids([])}
+        split = [split_ids(answer[part]) for part, _ in dealt]
+        lengths, ids = (np.concatenate(x) for x in zip(*split, strict=True))
+        stops = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+        # the id-to-piece join: pieces of all words in a row, then cut into words
+        spelt = table.value.take(pa.array(ids, pa.int64()))
+        _, edges, letters = spelt.buffers()
+        edges = np.frombuffer(edges, dtype=np.int32, count=len(ids) + 1) if len(ids) else np.zeros(1, dtype=np.int32)
+        words = pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(edges[stops].tobytes()), letters])
+        order = np.concatenate([own for _, own in dealt])
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        at = place[unpack(row["numbers"])]  # by position
+        own = lengths[at].astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(own)])
+        all_ids = ids[np.repeat(stops[at] - ends[:-1], own) + np.arange(ends[-1])].astype("<u4").tobytes()
+        _, bounds, decoded = words.take(pa.array(at)).buffers()
+        bounds = np.frombuffer(bounds, dtype=np.int32, count=len(at) + 1) if len(at) else np.zeros(1, dtype=np.int32)
+        decoded = memoryview(decoded) if decoded else memoryview(b"")
+        last = 0
         for doc_id, length in zip(row["doc_ids"], row["lengths"], strict=True):
-            own = numbers[at : at + length]
-            at += length
-            ids = b"".join([of_word[i] for i in own])
-            text = b" ".join([d for i in own if (d := decoded[i])])
+            first, last = last, last + length
+            text_ids = all_ids[4 * ends[first] : 4 * ends[last]]
+            text = decoded[bounds[first] : max(bounds[first], bounds[last] - 1)]
             if digests:
-                yield doc_id, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest()
+                yield doc_id, len(text_ids) // 4, hashlib.sha256(text_ids).hexdigest(), hashlib.sha256(text).hexdigest()
             else:
-                yield doc_id, len(ids) // 4, ids, text
+                yield doc_id, len(text_ids) // 4, text_ids, bytes(text)
 
     def join(_: tuple, block: pa.Table, found: pa.Table) -> pa.Table:
         return pa.Table.from_batches(list(emit(schema, texts(block, found), 10_000)), schema=schema)
