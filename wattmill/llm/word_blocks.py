@@ -67,6 +67,7 @@ def text_blocks(docs: DataFrame, reduced: Callable[[bytes], bytes] = bytes) -> D
             for part, texts in texts_in_blocks(batch, 1, BLOCK_BYTES):
                 yield (task << 32 | seq, part.column(0).to_pylist(), *_block([reduced(t) for t in texts]))
                 seq += 1
+                pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col("doc_id").cast("bigint"), "text")
     return saved(rows.mapInArrow(lambda batches: emit(schema, cut(batches), 1), BLOCKS), "blocks")

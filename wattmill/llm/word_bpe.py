@@ -15,6 +15,7 @@ Other columns are ignored. The id-to-piece table has one row per id of the vocab
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 from collections.abc import Iterator
@@ -33,6 +34,12 @@ ENCODED = struct(doc_id="long", n_tokens="long", ids="binary", decoded="binary")
 DIGESTS = struct(doc_id="long", n_tokens="long", ids_sha256="string", decoded_sha256="string")
 
 
+@functools.lru_cache(maxsize=1)
+def worker_tokenizer(path: str) -> Tokenizer:
+    """One for all tasks of a Python worker."""
+    return load(path)
+
+
 def load(path: str) -> Tokenizer:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
@@ -61,7 +68,7 @@ def encode_words(dealt: DataFrame, path: str) -> DataFrame:
     schema = arrow_schema(DEALT)
 
     def encode(_: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load(path)
+        tokenizer = worker_tokenizer(path)
         known: dict[bytes, bytes] = {}
 
         def rows() -> Iterator[tuple]:
@@ -69,8 +76,8 @@ def encode_words(dealt: DataFrame, path: str) -> DataFrame:
                 for part, block, payload in zip(*(batch.column(c).to_pylist() for c in ("part", "block", "payload")), strict=True):
                     words = words_in(payload)
                     new = [w for w in dict.fromkeys(words) if w not in known]
-                    for i in range(0, len(new), 20_000):
-                        some = new[i : i + 20_000]
+                    for i in range(0, len(new), 2_000):
+                        some = new[i : i + 2_000]
                         texts = [w.decode("utf-8", "replace") for w in some]
                         for word, found in zip(some, tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
                             known[word] = np.array(found.ids, dtype=np.uint32).tobytes()
