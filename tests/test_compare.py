@@ -91,10 +91,30 @@ def test_usage_of_messages(spark, rows):
     ]
 
 
-def test_turns_pair_with_the_very_next_answer(spark, rows):
+def test_columns_are_matched_as_rows(spark):
+    expected = spark.createDataFrame([("a", 1, 2), ("b", 2, 1)], "k string, x int, y int")
+    actual = spark.createDataFrame([(1, "b", 2, "n"), (2, "a", 1, "m")], "p int, q string, r int, note string")
+    assert compare.compare_results(expected, actual).first().verdict == "GOOD"
+    swapped = spark.createDataFrame([("a", 1, 1), ("b", 2, 2)], "k string, x int, y int")
+    assert compare.compare_results(expected, swapped).first().verdict == "BAD"
+    twice = spark.createDataFrame([(1, 1, 1), (2, 2, 2)], "a int, b int, c int")
+    assert compare.compare_results(twice, twice.toDF("c", "a", "b")).first().verdict == "GOOD"
+
+
+def test_turns_pair_with_the_next_turn(spark, rows):
     turns = [(1, 0, "system", "s"), (1, 1, "user", "a"), (1, 2, "assistant", "b"), (1, 3, "user", "c"), (1, 4, "user", "d"), (1, 6, "assistant", "late")]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
-    assert rows(conversations.pair_turns(df), "turn", "question", "answer") == [(1, "a", "b"), (3, "c", None), (4, "d", None)]
+    assert rows(conversations.pair_turns(df), "turn", "question", "answer") == [(1, "a", "b"), (3, "c", None), (4, "d", "late")]
+    assert rows(conversations.pair_turns(df, block=2), "turn", "question", "answer") == [(1, "a", "b"), (3, "c", None), (4, "d", "late")]
+
+
+def test_fractions_of_a_second_count(spark, rows):
+    df = spark.sql(
+        """SELECT * FROM VALUES ('old', TIMESTAMP'2024-01-01 00:00:00', TIMESTAMP'2024-01-01 12:00:00.1'),
+        ('kept', TIMESTAMP'2024-01-01 00:00:00', TIMESTAMP'2024-01-01 12:00:00.5') AS t(conversation_id, created, last_updated)"""
+    )
+    gone, _ = conversations.split_stale(df, "2024-01-02 12:00:00.5")
+    assert rows(gone, "conversation_id") == [("old",)]
 
 
 def test_stale_conversations(spark, rows):

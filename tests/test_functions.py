@@ -91,8 +91,7 @@ def test_shuffles_follow_the_input(spark, tmp_path, monkeypatch):
         assert session.size_shuffles(spark, str(tmp_path)) == 4
         monkeypatch.setattr(session, "INPUT_PER_PARTITION", 100)
         assert session.size_shuffles(spark, str(tmp_path)) == 100
-        monkeypatch.setattr(session, "MOST_PARTITIONS", 50)
-        assert session.size_shuffles(spark, str(tmp_path)) == 50
+        assert session.size_shuffles(spark, str(tmp_path), most=50) == 50
         assert spark.conf.get(key) == "50"
     finally:
         spark.conf.unset(key)

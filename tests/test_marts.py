@@ -102,7 +102,7 @@ def test_facility_marts(spark, rows):
         ("U1", late, "energy", "5m", 9999.0), ("U4", at, "energy", "1d", 24.0), ("U9", at, "energy", "1d", 7.0),
         ("U1", late, "market_value", "1d", 3.0), ("U1", at, "power", "1d", 5.0),
     ]
-    points = spark.createDataFrame([(*p, "x", at) for p in lines], POINT)
+    points = spark.createDataFrame([(*p, "MWh", at) for p in lines], POINT)
     df = units(
         spark,
         ("U1", "F1", "Alpha", "SA1", "wind", "operating", 100.0, None, None),

@@ -124,7 +124,7 @@ def test_unit_points(spark, rows):
     )
     assert rejected.count() == 1
     failed = {r.rule: r.failed for r in rule_counts(points, POINT_RULES).collect()}
-    assert failed == {"valid_unit_code": 0, "valid_ts": 1, "valid_metric": 0, "non_negative_value": 1}
+    assert failed == {"valid_unit_code": 0, "valid_ts": 1, "valid_metric": 0, "known_energy_unit": 0, "non_negative_value": 1}
 
 
 def test_odd_numbers_can_be_counted(spark):

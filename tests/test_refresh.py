@@ -62,7 +62,7 @@ def test_only_changed_months_are_recomputed(spark, tmp_path, rows):
         samples.land(landing, POINTS.format(stamp), {"data": [samples.block("energy", "1d", unit, pairs)]})
 
     def versions_of_months():
-        return {part[0]: folder.split("/")[1] for part, folder in versions.current(spark, root).live.items()}
+        return {part[0]: folder.dir.split("/")[1] for part, [folder] in versions.current(spark, root).live.items()}
 
     samples.land(landing, "facilities/fetched_at=2024-01-05T010203Z/part-000.json", samples.REGISTRY)
     samples.land(landing, "stats/region=SA1/year=2024/fetched_at=2024-01-05T010203Z/part-000.json", samples.STATS)
@@ -87,6 +87,21 @@ def test_only_changed_months_are_recomputed(spark, tmp_path, rows):
     assert rows(marts.facility_daily.select("facility_name").distinct()) == [("Alpha II",)]
 
 
+def test_rejects_are_kept(spark, tmp_path):
+    landing = tmp_path / "landing"
+    w = Warehouse(str(landing), str(tmp_path / "wh"))
+    samples.land(landing, "facilities/fetched_at=2024-01-05T010203Z/part-000.json", samples.REGISTRY)
+    samples.land(landing, "stats/region=SA1/year=2024/fetched_at=2024-01-05T010203Z/part-000.json", samples.STATS)
+    samples.land(landing, "stats/region=SA1/year=2024/fetched_at=2024-01-05T010203Z/part-001.json", "no json")
+    samples.land(landing, POINTS.format("2024-01-05T010203Z"), samples.UNIT_METRICS)
+    refresh(spark, w)
+    reasons = lambda: sorted(r.reason for r in spark.read.parquet(w.table("silver", "stats_quarantine")).collect())
+    assert reasons() == ["no readable data array"]
+    samples.land(landing, "stats/region=SA1/year=2024/fetched_at=2024-01-06T010203Z/part-000.json", " ")
+    refresh(spark, w)
+    assert reasons() == ["empty file", "no readable data array"]
+
+
 def test_questions_on_stored_marts_prune(spark, tmp_path):
     """Date and region filters of a question must reach the files of the stored marts."""
     landing = tmp_path / "landing"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from wattmill.operators.facility_marts import facility_generation
 from wattmill.operators.region_marts import fetched_points, generation_daily_by_fueltech, with_groups
 from wattmill.sources import versions
+from wattmill.sources.tables import write_table
 from wattmill.streaming import ingest, upsert
 
 COLUMNS = ("unit_code", "interval", "interval_ts_utc", "metric", "value")
@@ -138,10 +139,38 @@ def test_only_touched_parts_are_rewritten(spark, tmp_path):
     table.merge(points(spark, ("U1", 1.0, 1), ("U1", 1.0, 1, february), ("U1", 1.0, 1, february, "5m")), 0)
     table.merge(points(spark, ("U1", 2.0, 2, february)), 1)
     live = versions.current(spark, table.root).live
-    assert {part: folder.split("/")[1] for part, folder in live.items()} == {
-        ("1d", "2024-01"): "table_version=1", ("1d", "2024-02"): "table_version=2", ("5m", "2024-02-10"): "table_version=1",
+    assert {part: [f.dir.split("/")[1][-1] for f in own] for part, own in live.items()} == {
+        ("1d", "2024-01"): ["1"], ("1d", "2024-02"): ["1", "2"], ("5m", "2024-02-10"): ["1"],
     }
-    assert versions.superseded(spark, table.root) == ["data/table_version=1/interval=1d/period=2024-02"]
+    assert versions.superseded(spark, table.root) == []
+
+
+def test_what_a_batch_writes_follows_the_batch(spark, tmp_path, rows):
+    table = upsert.PointTable(str(tmp_path / "t"))
+    table.merge(points(spark, *[(f"U{i}", 0.0, 0) for i in range(200)]), 0)
+    written = []
+    for batch in range(1, 22):
+        table.merge(points(spark, (f"U{batch}", float(batch), batch)), batch)
+        written.append(spark.read.parquet(f"{table.root}/data/table_version={batch + 1}").count())
+    # the base is written again only when its level is full, not with every batch
+    assert sum(written) < 21 + 2 * 200 + 40 and sorted(written)[10] == 1
+    [own] = table.live(spark).values()
+    assert len(own) <= 3 * upsert.FAN
+    assert rows(table.read(spark), "unit_code", "value") == sorted((f"U{i}", float(i) if i < 22 else 0.0) for i in range(200))
+    gone = versions.expire(spark, table.root)
+    assert gone and versions.superseded(spark, table.root) == []
+    assert table.read(spark).count() == 200
+
+
+def test_tables_do_not_need_success_markers(spark, tmp_path):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        root = str(tmp_path / "t")
+        assert write_table(spark.range(5), root).count() == 5
+        assert write_table(spark.range(9), root).count() == 9
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
 
 
 def test_batch_without_a_good_row(spark, tmp_path):

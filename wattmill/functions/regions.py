@@ -28,6 +28,12 @@ def region_code(text: Column, synonyms: dict[str, tuple[str, ...]] | None = None
     return F.try_element_at(lookup, tidy)
 
 
+def unmatched(df: DataFrame, column: str) -> DataFrame:
+    """Unknown spellings and how many rows have each."""
+    unknown = df.where(region_code(F.col(column)).isNull())
+    return unknown.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+
+
 def canonicalise(df: DataFrame, column: str, synonyms: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """Add ``network_region`` for the free text in ``column``; unknown spellings stay, with NULL."""
     return df.withColumn("network_region", region_code(F.col(column), synonyms))

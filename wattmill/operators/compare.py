@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wattmill.session import shared_dir
+
 # Fixed value: beyond this many rows the reference scorer no longer sees the whole answer.
 ROW_CAP = 5_000
 
@@ -37,25 +42,58 @@ def _as_text(df: DataFrame, decimals: int) -> DataFrame:
     return df.select(*[_canonical(f, decimals).alias(f"c{i}") for i, f in enumerate(df.schema.fields)])
 
 
-def _fingerprints(texts: DataFrame) -> list:
-    """Order-free checksum of each column: one row to the driver, whatever the result's size."""
-    sums = [F.sum(F.xxhash64(c).cast("decimal(38,0)")).alias(c) for c in texts.columns]
+def _checksums(texts: DataFrame, groups: Sequence[Sequence[str]]) -> list:
+    """Order-free checksum of each group of columns: one row to the driver, whatever the result's size."""
+    sums = [F.sum(F.xxhash64(*group).cast("decimal(38,0)")).alias(f"s{i}") for i, group in enumerate(groups)]
     return list(texts.agg(*sums).first())
 
 
-def _match_columns(expected: DataFrame, actual: DataFrame, decimals: int) -> list[int] | None:
-    """Position in ``actual`` of each expected column: equal content first by name, then by order."""
-    wanted = _fingerprints(_as_text(expected, decimals))
-    found = _fingerprints(_as_text(actual, decimals))
-    lowered = [c.lower() for c in actual.columns]
-    order: list[int] = []
-    for name, print_ in zip(expected.columns, wanted, strict=True):
-        same = [i for i, p in enumerate(found) if p == print_ and i not in order]
-        if not same:
+def _copies(texts: DataFrame, columns: Sequence[int]) -> set[tuple[int, int]]:
+    """Pairs of columns that agree in every row."""
+    pairs = list(combinations(columns, 2))
+    if not pairs:
+        return set()
+    differ = [F.count_if(~F.col(f"c{a}").eqNullSafe(F.col(f"c{b}"))).alias(f"d{i}") for i, (a, b) in enumerate(pairs)]
+    return {pair for pair, n in zip(pairs, texts.agg(*differ).first(), strict=True) if not n}
+
+
+def _match_columns(expected: DataFrame, actual: DataFrame, names: Sequence[str], found_names: Sequence[str]) -> list[int] | None:
+    """Position in ``actual`` of each expected column, so that whole rows agree if they can.
+
+    Columns of equal content are candidates. Where a column has several, the columns matched so far are compared
+    together with each, as rows, and only assignments that still agree go on. Columns that agree in every row are
+    interchangeable and tried in one order. Among what remains, most equal names wins.
+    """
+    wanted = _checksums(expected, [[c] for c in expected.columns])
+    found = _checksums(actual, [[c] for c in actual.columns])
+    fits = [[i for i, p in enumerate(found) if p == print_] for print_ in wanted]
+    if not all(fits):
+        return None
+    copies = _copies(actual, sorted({i for options in fits if len(options) > 1 for i in options}))
+    assignments: list[tuple[int, ...]] = [()]
+    for n, options in enumerate(fits):
+        grown = [
+            (*chosen, i)
+            for chosen in assignments
+            for i in options
+            if i not in chosen and not any((j, i) in copies and j not in chosen for j in options if j < i)
+        ]
+        if len(grown) > 1:
+            [want] = _checksums(expected, [expected.columns[: n + 1]])
+            got = _checksums(actual, [[f"c{i}" for i in chosen] for chosen in grown])
+            grown = [chosen for chosen, p in zip(grown, got, strict=True) if p == want]
+        if not grown:
             return None
-        named = [i for i in same if lowered[i] == name.lower()]
-        order.append((named or same)[0])
-    return order
+        assignments = grown
+    named = lambda chosen: sum(found_names[i].lower() == name.lower() for i, name in zip(chosen, names, strict=True))
+    return list(max(assignments, key=named))
+
+
+def _stored(texts: DataFrame, name: str) -> DataFrame:
+    """A result is computed once and compared from its written copy."""
+    path = shared_dir(texts.sparkSession, name)
+    texts.write.parquet(path)
+    return texts.sparkSession.read.schema(texts.schema).parquet(path)
 
 
 def compare_results(expected: DataFrame, actual: DataFrame, decimals: int = 6, row_cap: int = ROW_CAP) -> DataFrame:
@@ -65,11 +103,10 @@ def compare_results(expected: DataFrame, actual: DataFrame, decimals: int = 6, r
     agree. Copies of a row are counted before the two sides meet, so a row repeated a million times is
     one row in the shuffle. ``over_cap`` only tells that a capped scorer would not have seen all.
     """
-    order = _match_columns(expected, actual, decimals)
-    right = _as_text(actual, decimals)
+    left, right = _stored(_as_text(expected, decimals), "expected"), _stored(_as_text(actual, decimals), "actual")
+    order = _match_columns(left, right, expected.columns, actual.columns)
     if order is None:  # no column assignment fits: line up by position and let the rows tell
         order = list(range(min(len(expected.columns), len(actual.columns))))
-    left = _as_text(expected, decimals)
     columns = left.columns
     padded = [F.col(f"c{order[i]}") if i < len(order) else F.lit("\u0000absent") for i in range(len(columns))]
     right = right.select(*[c.alias(n) for c, n in zip(padded, columns, strict=True)])

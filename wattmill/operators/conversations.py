@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MESSAGES = """
@@ -41,17 +41,25 @@ def usage_summary(usage: DataFrame) -> DataFrame:
     )
 
 
-def pair_turns(turns: DataFrame) -> DataFrame:
-    """User turns of a turn-by-turn log with the assistant turn right after, NULL when there is none.
+def pair_turns(turns: DataFrame, block: int = 1024) -> DataFrame:
+    """User turns of a turn-by-turn log with the next turn if the assistant took it, else NULL.
 
-    An equi-join on (conversation, turn number) spreads one endless conversation over all tasks,
-    where a window over the conversation would put it into one.
+    Turn numbers may have gaps. Conversations are cut into blocks of turn numbers, so that an endless one is
+    spread over many tasks: a window finds the next turn within a block, and the first turn of the next block
+    that has any comes from a row per block. Turns of equal number follow role and text.
     """
-    asked = turns.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
-    answered = turns.where(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")
+    said = F.struct("turn", "role", "text")
+    cut = turns.select("conv_id", F.floor(F.col("turn") / block).alias("block"), "turn", "role", "text")
+    in_block = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "text")
+    of_conversation = Window.partitionBy("conv_id").orderBy("block")
+    heads = cut.groupBy("conv_id", "block").agg(F.min(said).alias("head"))
+    beyond = heads.select("conv_id", "block", F.lead("head").over(of_conversation).alias("beyond"))
+    followed = cut.withColumn("within", F.lead(said).over(in_block))
+    both = followed.join(beyond.alias("b"), followed.conv_id.eqNullSafe(F.col("b.conv_id")) & followed.block.eqNullSafe(F.col("b.block")), "left")
+    after = F.coalesce("within", "beyond")
+    return both.where(followed.role == "user").select(
+        followed.conv_id, "turn", F.col("text").alias("question"), F.when(after["role"] == "assistant", after["text"]).alias("answer")
     )
-    return asked.join(answered, ["conv_id", "turn"], "left")
 
 
 def split_stale(conversations: DataFrame, as_of, hours: int = 24) -> tuple[DataFrame, DataFrame]:
@@ -66,6 +74,6 @@ def split_stale(conversations: DataFrame, as_of, hours: int = 24) -> tuple[DataF
 
 def mark_stale(conversations: DataFrame, as_of, hours: int = 24) -> DataFrame:
     now = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
-    cutoff = F.timestamp_seconds(F.unix_seconds(now) - hours * 3600)
+    cutoff = now - F.make_interval(hours=F.lit(hours))
     touched = F.coalesce("last_updated", "created")
     return conversations.withColumn("stale", F.coalesce(touched < cutoff, F.lit(True)))

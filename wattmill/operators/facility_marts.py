@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wattmill.functions.calendar import market_date
 from wattmill.functions.numbers import ratio
-from wattmill.functions.units import sum_of
+from wattmill.functions.units import sum_of, to_mart_factor
 from wattmill.operators.dimensions import facility_capacity
 from wattmill.operators.latest import latest_by
 from wattmill.operators.quality import POINT_RULES, apply_rules
@@ -36,7 +36,12 @@ def facility_daily(generation: DataFrame, units: DataFrame) -> DataFrame:
     names = units.select("unit_code", "facility_code", "facility_name", "network_region")
     daily = (
         generation.where(F.col("interval") == "1d")
-        .select("unit_code", market_date(F.col("interval_ts_utc")).alias("nem_date"), "metric", "value")
+        .select(
+            "unit_code",
+            market_date(F.col("interval_ts_utc")).alias("nem_date"),
+            "metric",
+            (F.col("value") * to_mart_factor(F.col("metric"), F.col("uom"))).alias("value"),
+        )
         .join(names, "unit_code", "left")
         .groupBy("facility_code", "facility_name", "network_region", "nem_date")
         .agg(

@@ -25,19 +25,23 @@ class Rule:
         return F.coalesce(F.expr(self.condition), F.lit(False))
 
 
+# Names and conditions of the rules.
+KNOWN_ENERGY_UNIT = Rule("known_energy_unit", "metric IS NULL OR metric <> 'energy' OR uom IN ('GWh', 'MWh')")
+
 UNIT_RULES = (Rule("valid_unit_code", "unit_code IS NOT NULL"),)
 
 SERIES_RULES = (
     Rule("valid_key", "nem_date IS NOT NULL AND network_region IS NOT NULL AND fueltech_id IS NOT NULL"),
-    Rule("known_energy_unit", "metric IS NULL OR metric <> 'energy' OR uom IN ('GWh', 'MWh')"),
+    KNOWN_ENERGY_UNIT,
 )
 
-DEMAND_RULES = (Rule("valid_key", "nem_date IS NOT NULL AND network_region IS NOT NULL"),)
+DEMAND_RULES = (Rule("valid_key", "nem_date IS NOT NULL AND network_region IS NOT NULL"), KNOWN_ENERGY_UNIT)
 
 POINT_RULES = (
     Rule("valid_unit_code", "unit_code IS NOT NULL"),
     Rule("valid_ts", "interval_ts_utc IS NOT NULL"),
     Rule("valid_metric", "metric IS NOT NULL"),
+    KNOWN_ENERGY_UNIT,
     Rule("non_negative_value", "value IS NULL OR value >= 0", action="warn"),
 )
 

@@ -7,13 +7,14 @@ arrays joined to text and instants given without zone, so that results compare a
 from __future__ import annotations
 
 from collections.abc import Callable
+from types import SimpleNamespace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattmill.functions.numbers import tidy_doubles
-from wattmill.functions.regions import REGIONS, canonicalise
+from wattmill.functions.regions import REGIONS, canonicalise, unmatched
 from wattmill.operators import compare, conversations, dimensions, facility_marts, metrics, quality, region_marts
 from wattmill.operators.latest import latest_by
 from wattmill.plans import questions, variants
@@ -55,6 +56,19 @@ def _question(key: str) -> Query:
     return run
 
 
+def _published(key: str, mart: str, keys: list[str]) -> Query:
+    """A lookup on the published copy of a mart."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = shared_dir(spark, "serving")
+        frame = getattr(StarMarts(spark, sf_dir), mart)
+        serving.publish_snapshot(frame, root, keys)
+        copy = SimpleNamespace(**{mart: tables.read_table(spark, root, frame.schema)})
+        return questions.QUESTIONS[key](copy, _as_of(spark, sf_dir), **QUESTION_PARAMS.get(key, {}))
+
+    return run
+
+
 def _variant(fn: Callable) -> Query:
     return lambda spark, sf_dir: fn(StarMarts(spark, sf_dir), _as_of(spark, sf_dir))
 
@@ -105,6 +119,62 @@ def stats_ingest_stream(spark, sf_dir):
     return region_marts.generation_mix_daily(region_marts.generation_daily_wide(series))
 
 
+def registry_ingest_stream(spark, sf_dir):
+    """Registry files taken in by the file stream, then the unit dimension from the newest fetch."""
+    base = shared_dir(spark, "ingest")
+    star.land(star.registry_raw(spark, sf_dir), f"{base}/landing/facilities", "fetched_at")
+    ingest.ingest(spark, f"{base}/landing/facilities", f"{base}/raw", f"{base}/checkpoint")
+    return dimensions.dim_unit(ingest.read_raw(spark, f"{base}/raw"))
+
+
+def unit_files_ingest_stream(spark, sf_dir):
+    """Unit files taken in by the file stream, parsed and reduced to the latest value of each point."""
+    base = shared_dir(spark, "ingest")
+    star.land(star.unit_files_raw(spark, sf_dir), f"{base}/landing/facility_data", "interval", "chunk", "year", "fetched_at")
+    ingest.ingest(spark, f"{base}/landing/facility_data", f"{base}/raw", f"{base}/checkpoint")
+    return facility_marts.facility_generation(upsert.points_of(ingest.read_raw(spark, f"{base}/raw")))
+
+
+def series_restart(spark, sf_dir):
+    """Stats files in two arrivals, the corrected fetch before the older one, drained by a stream that stops in between,
+    then drained once more under a new checkpoint: the table is that of one batch over all files."""
+    base = shared_dir(spark, "restart")
+    raw = star.stats_raw(spark, sf_dir)
+    table = upsert.SeriesTable(f"{base}/series")
+
+    def drain(checkpoint: str) -> None:
+        stream = region_marts.fetched_points(ingest.stream_raw(spark, f"{base}/raw"), False)
+        upsert.run_upsert(stream, table, f"{base}/{checkpoint}")
+
+    older = landing.path_key("fetched_at") == star.FIRST_FETCH
+    for some in (~older, older):
+        raw.where(some).write.mode("append").parquet(f"{base}/raw")
+        drain("checkpoint")
+    drain("checkpoint-2")
+    return region_marts.with_groups(table.read(spark))
+
+
+def quarantined_files(spark, sf_dir):
+    """Texts that are no payload, among stats files: listed with a reason, and no file lost."""
+    texts = star.table(spark, sf_dir, "documents").select(
+        F.when(F.col("doc_id") % 10 == 0, "  ").otherwise(F.col("text")).alias("raw_json"),
+        F.concat(F.lit("/landing/stats/doc="), "doc_id", F.lit(".json")).alias("source_file"),
+        F.timestamp_seconds("doc_id").alias("ingested_at"),
+    )
+    mixed = texts.unionByName(star.stats_raw(spark, sf_dir).select(*texts.columns))
+    return payloads.quarantine(mixed, payloads.STATS).select("source_file", "ingested_at", "reason")
+
+
+def stored_mix(spark, sf_dir):
+    """The mix mart written as a version of a sorted table and read back."""
+    root = shared_dir(spark, "stored")
+    return tables.write_table(StarMarts(spark, sf_dir).generation_mix_daily, root, order_by=("nem_date", "network_region", "fueltech_group"))
+
+
+def unmatched_regions(spark, sf_dir):
+    return unmatched(star.customer_regions(spark, sf_dir), "region_text")
+
+
 def scd1_batch(spark, sf_dir):
     return facility_marts.facility_generation(star.unit_points(spark, sf_dir))
 
@@ -112,7 +182,8 @@ def scd1_batch(spark, sf_dir):
 def scd1_stream(spark, sf_dir):
     """The events table as a stream, upserted into a table on shared storage."""
     base = shared_dir(spark, "upsert")
-    stream = spark.readStream.schema(star.SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # as a pattern, the path may be a folder of part files or a single file
+    stream = spark.readStream.schema(star.SCHEMAS["events"]).parquet(f"{sf_dir}/events.parque[t]")
     table = upsert.PointTable(f"{base}/points")
     upsert.run_upsert(star.subdaily_points(stream), table, f"{base}/checkpoint")
     return table.read(spark)
@@ -123,7 +194,7 @@ def stats_stream(spark, sf_dir):
     base = shared_dir(spark, "series")
     star.stats_raw(spark, sf_dir).write.parquet(f"{base}/raw")
     table = upsert.SeriesTable(f"{base}/series")
-    stream = ingest.stream_raw(spark, f"{base}/raw", max_files=4)
+    stream = ingest.stream_raw(spark, f"{base}/raw")
     upsert.run_upsert(region_marts.fetched_points(stream, False), table, f"{base}/checkpoint")
     return region_marts.with_groups(table.read(spark))
 
@@ -133,7 +204,7 @@ def unit_metrics_stream(spark, sf_dir):
     base = shared_dir(spark, "points")
     star.unit_metrics_raw(spark, sf_dir).write.parquet(f"{base}/raw")
     table = upsert.PointTable(f"{base}/points")
-    stream = ingest.stream_raw(spark, f"{base}/raw", max_files=2)
+    stream = ingest.stream_raw(spark, f"{base}/raw")
     upsert.run_upsert(upsert.points_of(stream), table, f"{base}/checkpoint")
     return table.read(spark)
 
@@ -184,11 +255,14 @@ def key_counts(spark, sf_dir):
 def reconcile_counts(spark, sf_dir):
     base = shared_dir(spark, "serving")
     sources = _key_tables(StarMarts(spark, sf_dir))
-    copies = {}
+    copies, counts = {}, []
     for name, (frame, keys) in sources.items():
-        serving.publish_snapshot(frame, f"{base}/{name}", keys)
+        # the counts of the source come from the run that publishes it
+        report = serving.publish_snapshot(frame, f"{base}/{name}", keys)
+        counts.append((name, report["source_rows"], report["null_key_rows"]))
         copies[name] = (tables.read_table(spark, f"{base}/{name}", frame.schema), keys)
-    return quality.reconcile(quality.key_counts(sources), quality.key_counts(copies))
+    published = spark.createDataFrame(counts, "tbl string, n bigint, null_key_rows bigint")
+    return quality.reconcile(published, quality.key_counts(copies))
 
 
 def snapshot_publish(spark, sf_dir):
@@ -204,7 +278,8 @@ def snapshot_lookup(spark, sf_dir):
     frame, keys = _key_tables(StarMarts(spark, sf_dir))["dim_facility"]
     serving.publish_snapshot(frame, root, keys, as_json=True)
     stored = tables.read_table(spark, root, tables.flatten_for_serving(frame).schema)
-    return stored.select("facility_code", "fueltech_groups", "unit_count")
+    found = serving.containing(stored, "fueltech_groups", "wind")
+    return found.select("facility_code", "fueltech_groups", "unit_count")
 
 
 def csv_export(spark, sf_dir):
@@ -249,7 +324,10 @@ def unattributed_days(spark, sf_dir):
 
 def landing_gaps(spark, sf_dir):
     """Region-years that the landed stats files do not cover."""
-    grid = landing.region_year_grid(spark, REGIONS, 1990, 2003)
+    # from two years before the first order to two years after the last delivery
+    first = star.table(spark, sf_dir, "orders").agg(F.min(F.year("o_orderdate")) - 2).scalar()
+    last = star.table(spark, sf_dir, "lineitem").agg(F.max(F.year("l_shipdate")) + 2).scalar()
+    grid = landing.region_year_grid(spark, REGIONS, first, last)
     return landing.coverage_gaps(star.stats_raw(spark, sf_dir), grid)
 
 
@@ -364,6 +442,11 @@ OPERATORS = (
     demand_daily_roundtrip,
     unit_metrics_roundtrip,
     stats_ingest_stream,
+    registry_ingest_stream,
+    unit_files_ingest_stream,
+    series_restart,
+    quarantined_files,
+    stored_mix,
     scd1_batch,
     scd1_stream,
     unit_metrics_stream,
@@ -393,6 +476,7 @@ OPERATORS = (
     renewable_share_strict,
     record_days,
     canonicalise_region,
+    unmatched_regions,
     result_compare,
     score_run,
     score_delta,
@@ -403,10 +487,20 @@ OPERATORS = (
 )
 
 
+# lookups that run on a published copy: mart and key
+PUBLISHED = {
+    "l0": ("dim_facility", ["facility_code"]),
+    "l1": ("dim_facility", ["facility_code"]),
+    "l2": ("facility_capacity_factor", ["facility_code", "nem_date"]),
+    "l3": ("dim_facility", ["facility_code"]),
+}
+
+
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {name: _mart(name) for name in MARTS}
     found.update({fn.__name__: fn for fn in OPERATORS})
     found.update({name: _question(name) for name in questions.QUESTIONS})
+    found.update({key: _published(key, *of) for key, of in PUBLISHED.items()})
     found.update({fn.__name__: _variant(fn) for fn in variants.VARIANTS})
     return {name: _finished(query) for name, query in found.items()}
 

@@ -151,9 +151,10 @@ assessed AS (
   SELECT doc_id, CASE WHEN toxic = 1 THEN 'NEEDS_REVIEW' WHEN quality = 1 THEN 'GOOD' ELSE 'BAD' END AS baseline,
          CASE WHEN quality = 1 THEN 'GOOD' ELSE 'BAD' END AS curated FROM labels),
 pairs AS (
-  SELECT q.conv_id, q.turn, q.text AS question, a.text AS answer
-  FROM conversations q LEFT JOIN conversations a
-    ON a.conv_id = q.conv_id AND a.turn = q.turn + 1 AND a.role = 'assistant' WHERE q.role = 'user'),
+  SELECT conv_id, turn, question, answer FROM (
+    SELECT conv_id, turn, role, text AS question,
+           CASE WHEN lead(role) OVER by_turn = 'assistant' THEN lead(text) OVER by_turn END AS answer
+    FROM conversations WINDOW by_turn AS (PARTITION BY conv_id ORDER BY turn, role, text)) WHERE role = 'user'),
 usage AS (
   SELECT CAST(conv_id AS VARCHAR) AS conversation_id, conv_id || '-' || turn AS message_id, question,
          CASE WHEN length(answer) % 2 = 0 THEN answer END AS sql,
@@ -248,6 +249,7 @@ TEXTS = {
         "USING (nem_date, network_region)"
     ),
     "registry_roundtrip": DIM_UNIT,
+    "registry_ingest_stream": DIM_UNIT,
     "registry_codes": "SELECT DISTINCT facility_code FROM units",
     "stats_roundtrip": f"SELECT {SERIES}, {r('generated')} FROM series_gapped",
     "demand_daily_roundtrip": f"SELECT nem_date, network_region, metric, {r('value')}, uom FROM demand_gapped",
@@ -257,6 +259,19 @@ TEXTS = {
         + r("sum(CASE WHEN metric = 'energy' THEN generated * 1000 END) AS generated_mwh")
         + " FROM series_gapped GROUP BY 1, 2, 3"
     ),
+    "unit_files_ingest_stream": (
+        f"SELECT unit_code, interval_ts_utc, metric, interval, {r('value')}, uom, "
+        "TIMESTAMP '1970-01-01' + fetches * INTERVAL 1 DAY AS ingested_at FROM daily_stored "
+        "JOIN (SELECT unit_code AS u, CAST(d AS TIMESTAMP) - INTERVAL 10 HOUR AS t, CAST(count(*) // 3 AS INTEGER) AS fetches "
+        "FROM daily_points GROUP BY ALL) ON u = unit_code AND t = interval_ts_utc"
+    ),
+    "series_restart": f"SELECT {SERIES}, {r('generated')} FROM series_gapped",
+    "quarantined_files": (
+        "SELECT '/landing/stats/doc=' || doc_id || '.json' AS source_file, "
+        "TIMESTAMP '1970-01-01' + CAST(doc_id AS INTEGER) * INTERVAL 1 SECOND AS ingested_at, "
+        "CASE WHEN doc_id % 10 = 0 OR trim(text) = '' THEN 'empty file' ELSE 'no readable data array' END AS reason FROM documents"
+    ),
+    "stored_mix": f"SELECT nem_date, network_region, fueltech_group, {r('generated_mwh')} FROM mix",
     "scd1_batch": f"SELECT {POINT} FROM (SELECT * FROM daily_stored UNION ALL SELECT * FROM event_stored)",
     "scd1_stream": f"SELECT {POINT} FROM event_stored",
     "stats_stream": f"SELECT {SERIES}, {r('generated')} FROM series_gapped",
@@ -281,6 +296,7 @@ WITH p AS (SELECT unit_code, metric, value FROM daily_points UNION ALL SELECT un
 SELECT 'valid_unit_code' AS rule, 'drop' AS action, count(*) AS passed, CAST(0 AS BIGINT) AS failed FROM p
 UNION ALL SELECT 'valid_ts', 'drop', count(*), 0 FROM p
 UNION ALL SELECT 'valid_metric', 'drop', count(metric), count(*) FILTER (WHERE metric IS NULL) FROM p
+UNION ALL SELECT 'known_energy_unit', 'drop', count(*), 0 FROM p
 UNION ALL SELECT 'non_negative_value', 'warn', count(*) FILTER (WHERE value IS NULL OR value >= 0), count(*) FILTER (WHERE value < 0) FROM p
 """,
     "series_rule_counts": """
@@ -301,7 +317,7 @@ UNION ALL SELECT 'known_energy_unit', 'drop',
     "snapshot_lookup": """
 SELECT facility_code, unit_count,
        CASE WHEN fueltech_groups = '' THEN '[]' ELSE '["' || replace(fueltech_groups, ',', '","') || '"]' END
-         AS fueltech_groups FROM dimfac
+         AS fueltech_groups FROM dimfac WHERE list_contains(string_split(fueltech_groups, ','), 'wind')
 """,
     "csv_export": """
 SELECT facility_code, facility_name, unit_count,
@@ -325,7 +341,8 @@ SELECT facility_code, facility_name, unit_count,
     "status_distribution": "SELECT status_id, count(*) AS n FROM units GROUP BY 1",
     "unattributed_days": f"SELECT count(*) AS days, {r('sum(energy_mwh) AS energy_mwh')} FROM fac_daily WHERE facility_code IS NULL",
     "landing_gaps": """
-SELECT code AS region, CAST(y AS INTEGER) AS year FROM region_codes, generate_series(1990, 2003) AS g(y)
+SELECT code AS region, CAST(y AS INTEGER) AS year FROM region_codes,
+  generate_series((SELECT min(year(o_orderdate)) - 2 FROM orders), (SELECT max(year(l_shipdate)) + 2 FROM lineitem)) AS g(y)
 WHERE (code, y) NOT IN (SELECT (network_region, year(nem_date)) FROM series_long
                         UNION SELECT (network_region, year(nem_date)) FROM demand_long)
 """,
@@ -333,7 +350,7 @@ WHERE (code, y) NOT IN (SELECT (network_region, year(nem_date)) FROM series_long
 WITH g AS (SELECT unnest(['1d', '5m']) AS interval, n
            FROM generate_series(0, (SELECT (count(DISTINCT facility_code) + 29) // 30 - 1 FROM units)) AS s(n)),
 landed AS (SELECT DISTINCT l_partkey % (SELECT max(s_suppkey) + 1 FROM supplier) // 30 AS n FROM lineitem)
-SELECT interval, lpad(CAST(n AS VARCHAR), 3, '0') AS chunk FROM g
+SELECT interval, CASE WHEN n < 1000 THEN lpad(CAST(n AS VARCHAR), 3, '0') ELSE CAST(n AS VARCHAR) END AS chunk FROM g
 WHERE interval = '5m' OR n NOT IN (SELECT n FROM landed)
 """,
     "metric_layer": f"SELECT network_region, CAST(year(nem_date) AS INTEGER) AS yr, {MEASURES} FROM wide GROUP BY 1, 2",
@@ -375,6 +392,10 @@ SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN code WHEN 1 THEN long_name WHEN
 FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
 JOIN region_codes USING (r_name)
 """,
+    "unmatched_regions": (
+        "SELECT 'Territory' AS region_text, count(*) AS n FROM customer JOIN nation ON n_nationkey = c_nationkey "
+        "JOIN region ON r_regionkey = n_regionkey JOIN region_codes USING (r_name) WHERE c_custkey % 5 = 4"
+    ),
     "result_compare": """
 WITH e AS (SELECT fueltech_group FROM mix)
 SELECT 'reshaped' AS answer, 'GOOD' AS verdict, count(*) AS expected_rows, count(*) AS actual_rows,
@@ -402,7 +423,7 @@ FROM assessed GROUP BY 1, 2
     "stale_conversations": """
 WITH c AS (SELECT user_id AS conversation_id, min(ts) AS created, max(ts) AS last_updated FROM events GROUP BY 1)
 SELECT conversation_id, created, last_updated,
-       last_updated < (SELECT date_trunc('second', max(ts)) - INTERVAL 24 HOUR FROM events) AS stale FROM c
+       last_updated < (SELECT max(ts) - INTERVAL 24 HOUR FROM events) AS stale FROM c
 """,
     "q01": MIX_LAST_YEAR.format(total=TOTAL, region="NSW1"),
     "q02": (

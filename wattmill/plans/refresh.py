@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +11,11 @@ from pyspark.sql import types as T
 
 from wattmill.operators import dimensions, facility_marts, quality, region_marts
 from wattmill.plans.marts import Marts, SilverMarts
-from wattmill.session import require_utc
+from wattmill.session import require_utc, size_shuffles
 from wattmill.sources import versions
-from wattmill.sources.payloads import REGISTRY, STATS, UNIT_METRICS, quarantine, stats_points
+from wattmill.sources.payloads import REGISTRY, STATS, UNIT_METRICS, empty_series, quarantine, stats_points
 from wattmill.sources.tables import conform, declared, read_table, write_table
-from wattmill.streaming.ingest import ingest, read_raw, stream_raw
+from wattmill.streaming.ingest import append, ingest, read_raw, stream_raw
 from wattmill.streaming.upsert import PointTable, SeriesTable, points_of, run_upsert
 
 FAMILIES = {"facilities": REGISTRY, "stats": STATS, "facility_data": UNIT_METRICS}
@@ -26,18 +26,21 @@ GOLD_LAYOUT = {
     "generation_mix_daily": ("nem_date", "network_region", "fueltech_group"),
     "renewable_share_daily": ("nem_date", "network_region"),
     "emissions_intensity_daily": ("nem_date", "network_region"),
-    "facility_capacity_factor": ("nem_date", "facility_code"),
     "dim_facility": ("facility_code",),
 }
 
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Where everything lives. ``generation`` changes when history is replayed into a new target."""
+    """Where everything lives. ``generation`` changes when history is replayed into a new target.
+
+    ``archive`` takes finished files out of the landing folder, which bounds what the file stream lists and remembers.
+    """
 
     landing: str
     base: str
     generation: int = 0
+    archive: str | None = None
 
     def raw(self, family: str) -> str:
         return f"{self.base}/bronze/{family}_raw"
@@ -60,7 +63,8 @@ class Warehouse:
 
 def ingest_all(spark: SparkSession, w: Warehouse) -> None:
     for family in FAMILIES:
-        ingest(spark, f"{w.landing}/{family}", w.raw(family), f"{w.base}/checkpoints/raw-{family}")
+        archive = f"{w.archive}/{family}" if w.archive else None
+        ingest(spark, f"{w.landing}/{family}", w.raw(family), f"{w.base}/checkpoints/raw-{family}", archive=archive)
 
 
 def quarantined(spark: SparkSession, w: Warehouse) -> dict[str, DataFrame]:
@@ -91,49 +95,87 @@ def _fingerprint(df: DataFrame) -> str:
     return str(df.agg(F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()[0])
 
 
-def refresh_facility_daily(spark: SparkSession, w: Warehouse, units: DataFrame) -> DataFrame:
-    """Recompute the facility-day mart only for months whose points changed.
+def refresh_months(spark: SparkSession, w: Warehouse, name: str, wanted: dict[tuple[str, str, str], object], build) -> DataFrame:
+    """Recompute a daily facility mart only for months that changed.
 
-    A month of the mart depends on the folder that holds the month's daily points and on the unit
-    dimension. Both are part of the stored month's name, so a month with both unchanged is carried
-    over and a new registry rebuilds all.
+    ``wanted`` has a key (month, what the month is made of, checksum of the units) for every month, and what ``build`` needs for it.
+    The key is the stored month's name, so a month with both unchanged is carried over and a new registry rebuilds all.
     """
-    root = w.table("gold", "facility_daily")
-    points, names = w.points(), _fingerprint(units)
-    wanted = {(month, f"{points.root}/{folder}", names): folder for folder, month in points.folders(spark, ["1d"]).items()}
+    root = w.table("gold", name)
     now = versions.current(spark, root)
-    live = {part: folder for part, folder in now.live.items() if part in wanted}
-    changed = {part[0]: (part, folder) for part, folder in wanted.items() if part not in live}
+    live = {part: own for part, own in now.live.items() if part in wanted}
+    changed = {part[0]: (part, made_of) for part, made_of in wanted.items() if part not in live}
     if changed or len(live) != len(now.live):
         number = now.number + 1
         if changed:
-            daily = facility_marts.facility_daily(points.read_folders(spark, [f for _, f in changed.values()]), units)
-            dated = daily.withColumn("period", F.substring(F.col("nem_date").cast("string"), 1, 7))
+            dated = build([m for _, m in changed.values()]).withColumn("period", F.substring(F.col("nem_date").cast("string"), 1, 7))
             laid_out = dated.repartitionByRange("period", "nem_date", "facility_code")
             laid_out.sortWithinPartitions("period", "nem_date", "facility_code").write.mode("overwrite").partitionBy(
                 "period"
             ).parquet(f"{root}/data/table_version={number}")
             written = versions.written_parts(spark, root, number, ["period"])
-            live.update({changed[month][0]: folder for (month,), folder in written.items()})
+            live.update({changed[month][0]: [versions.Folder(folder)] for (month,), folder in written.items()})
         versions.commit(spark, root, versions.Version(number, live=live))
-    return read_facility_daily(spark, w)
+    return read_months(spark, w, name)
+
+
+def _months_schema(name: str) -> T.StructType:
+    return T.StructType([*declared(name).fields]).add("period", T.StringType())
+
+
+def read_months(spark: SparkSession, w: Warehouse, name: str) -> DataFrame:
+    root = w.table("gold", name)
+    stored = versions.read(spark, root, _months_schema(name), versions.current(spark, root).folders())
+    return conform(stored.drop("period"), name)
+
+
+def refresh_facility_daily(spark: SparkSession, w: Warehouse, units: DataFrame, names: str) -> DataFrame:
+    """Facility days follow the folders with the month's daily points."""
+    points = w.points()
+    parts = points.live_of(spark, ["1d"])
+    wanted = {
+        (part[1], ";".join(f"{points.root}/{f.dir}" for f in own), names): {part: own} for part, own in parts.items()
+    }
+
+    def build(months: list) -> DataFrame:
+        chosen = {part: own for month in months for part, own in month.items()}
+        return facility_marts.facility_daily(points.read_parts(spark, chosen), units)
+
+    return refresh_months(spark, w, "facility_daily", wanted, build)
 
 
-def read_facility_daily(spark: SparkSession, w: Warehouse) -> DataFrame:
+def refresh_capacity_factor(spark: SparkSession, w: Warehouse, units: DataFrame, names: str) -> DataFrame:
+    """Capacity factors follow the stored months of facility days."""
     root = w.table("gold", "facility_daily")
-    schema = T.StructType([*declared("facility_daily").fields]).add("period", T.StringType())
-    stored = versions.read(spark, root, schema, list(versions.current(spark, root).live.values()))
-    return conform(stored.drop("period"), "facility_daily")
+    wanted = {(part[0], own[0].dir, names): own[0].dir for part, own in versions.current(spark, root).live.items()}
+
+    def build(folders: list) -> DataFrame:
+        daily = versions.read(spark, root, _months_schema("facility_daily"), folders)
+        return facility_marts.facility_capacity_factor(conform(daily.drop("period"), "facility_daily"), units)
+
+    return refresh_months(spark, w, "facility_capacity_factor", wanted, build)
+
+
+def keep_rejects(spark: SparkSession, w: Warehouse) -> None:
+    """Unreadable files and series without values, added as they come in; registry rows that break a rule, as of now."""
+    found = {f"{family}_quarantine": (family, lambda raw, shape=shape: quarantine(raw, shape)) for family, shape in FAMILIES.items()}
+    found["stats_empty_series"] = ("stats", empty_series)
+    for name, (family, pick) in found.items():
+        append(pick(stream_raw(spark, w.raw(family))), w.table("silver", name), w.checkpoint(name))
+    _, rejected = quality.apply_rules(dimensions.unit_rows(read_raw(spark, w.raw("facilities"))), quality.UNIT_RULES)
+    write_table(rejected, w.table("silver", "dim_unit_rejected"))
 
 
 def refresh(spark: SparkSession, w: Warehouse) -> Marts:
     """Bring every table up to date; safe to run again, also after a crash.
 
-    Raw files, unit points, series and facility days advance by what is new. The small region marts are
+    Raw files, rejects, unit points, series, facility days and capacity factors advance by what is new. The small region marts are
     recomputed and stored; each stored table feeds the next, so no plan reaches back over two layers.
     """
     require_utc(spark)
     ingest_all(spark, w)
+    size_shuffles(spark, w.base)
+    keep_rejects(spark, w)
     run_upsert(points_of(stream_raw(spark, w.raw("facility_data"))), w.points(), w.checkpoint("points"))
     for table, demand, job in ((w.series(), False, "series"), (w.demand(), True, "demand")):
         stats = stream_raw(spark, w.raw("stats"))
@@ -142,7 +184,9 @@ def refresh(spark: SparkSession, w: Warehouse) -> Marts:
     series = region_marts.with_groups(w.series().read(spark))
     demand = region_marts.as_demand(w.demand().read(spark))
     marts = SilverMarts(units, series, w.points().read(spark, intervals=["1d"]), demand)
-    marts.facility_daily = refresh_facility_daily(spark, w, units)
+    names = _fingerprint(units)
+    marts.facility_daily = refresh_facility_daily(spark, w, units, names)
+    marts.facility_capacity_factor = refresh_capacity_factor(spark, w, units, names)
     for name, layout in GOLD_LAYOUT.items():
         setattr(marts, name, write_table(getattr(marts, name), w.table("gold", name), order_by=layout))
     return marts
@@ -153,10 +197,10 @@ def replay(spark: SparkSession, w: Warehouse) -> tuple[Warehouse, Marts]:
 
     The replay fills new targets under new checkpoints; the old ones stay readable meanwhile.
     """
-    fresh = Warehouse(w.landing, w.base, w.generation + 1)
+    fresh = replace(w, generation=w.generation + 1)
     return fresh, refresh(spark, fresh)
 
 
 def stored_marts(spark: SparkSession, w: Warehouse) -> dict[str, DataFrame]:
     stored = {name: read_table(spark, w.table("gold", name), declared(name)) for name in GOLD_LAYOUT}
-    return {**stored, "facility_daily": read_facility_daily(spark, w)}
+    return stored | {name: read_months(spark, w, name) for name in ("facility_daily", "facility_capacity_factor")}

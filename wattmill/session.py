@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,23 +36,24 @@ def pin_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# One shuffle partition for this much input, and never more than this many: enough for 100 TB at about
-# 2 GB of input each, while the number of shuffle blocks stays manageable.
+# One shuffle partition for this much input.
 INPUT_PER_PARTITION = 512 * 1024**2
-MOST_PARTITIONS = 50_000
 
 
-def size_shuffles(spark: SparkSession, path: str) -> int:
+def size_shuffles(spark: SparkSession, path: str, most: int | None = None) -> int:
     """Start shuffles with partitions to match the input below ``path``; AQE joins the small ones again.
 
     A fixed number either drowns small inputs in tasks or makes partitions of a large one too big to
-    hold. Never goes below the session's own ``spark.sql.shuffle.partitions``.
+    hold. Never goes below the session's own ``spark.sql.shuffle.partitions``, and above ``most`` only if
+    that is larger. A session without a JVM at hand (Spark Connect) keeps its own number.
     """
+    number = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not hasattr(spark, "_jvm"):
+        return number
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    size = files.getContentSummary(hadoop_path).getLength()
-    wanted = min(size // INPUT_PER_PARTITION, MOST_PARTITIONS)
-    number = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+    wanted = files.getContentSummary(hadoop_path).getLength() // INPUT_PER_PARTITION
+    number = max(number, wanted if most is None else min(wanted, most))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(number))
     return number
 
@@ -65,9 +67,13 @@ def require_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder name below the cluster's shared checkpoint folder.
 
-    Only a session without ``spark.checkpoint.dir`` (a test on one machine) gets a folder under /tmp.
+    On a cluster every executor has its own /tmp, so a session without ``spark.checkpoint.dir`` gets a
+    folder there only in local mode.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master or 'the cluster'} share")
         base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -82,10 +82,16 @@ def newest_snapshot(raw: DataFrame) -> DataFrame:
     return raw.where(fetch == newest.scalar())
 
 
-def region_year_grid(spark: SparkSession, regions: Sequence[str], first_year: int, last_year: int) -> DataFrame:
-    """Region-years a backfill asks for. Unfolds two literals; there is no cross join."""
+def chunk_name(number: Column) -> Column:
+    """At least three digits; a longer number keeps them all."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(3)), F.lit("0"))
+
+
+def region_year_grid(spark: SparkSession, regions: Sequence[str], first_year: int | Column, last_year: int | Column) -> DataFrame:
+    """Region-years a backfill asks for. Unfolds an array and a sequence; there is no cross join."""
     regions_only = spark.range(1).select(F.explode(F.array(*map(F.lit, regions))).alias("region"))
-    return regions_only.select("region", F.explode(F.sequence(F.lit(first_year), F.lit(last_year))).alias("year"))
+    return regions_only.select("region", F.explode(F.sequence(F.lit(first_year), F.lit(last_year)).cast("array<int>")).alias("year"))
 
 
 def chunk_grid(codes: DataFrame, intervals: Sequence[str] = ("1d", "5m"), size: int = 30) -> DataFrame:
@@ -93,7 +99,7 @@ def chunk_grid(codes: DataFrame, intervals: Sequence[str] = ("1d", "5m"), size:
     last = codes.agg((F.ceil(F.count(F.lit(1)) / size) - 1).cast("int").alias("last")).where("last >= 0")
     chunks = last.select(F.explode(F.sequence(F.lit(0), F.col("last"))).alias("n"))
     return chunks.select(
-        F.explode(F.array(*map(F.lit, intervals))).alias("interval"), F.lpad(F.col("n").cast("string"), 3, "0").alias("chunk")
+        F.explode(F.array(*map(F.lit, intervals))).alias("interval"), chunk_name(F.col("n")).alias("chunk")
     )
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Field names of the payloads.
 REGISTRY = """
     success BOOLEAN,
     data ARRAY<STRUCT<

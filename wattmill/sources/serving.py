@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattmill.operators.quality import any_null, pk_violations
 from wattmill.session import shared_dir
@@ -49,7 +50,7 @@ def publish_snapshot(df: DataFrame, root: str, keys: Sequence[str], as_json: boo
     report["ok"] = report["copy_rows"] == report["source_rows"] - report["null_key_rows"]
     if not report["ok"]:
         raise ValueError(f"{root}: {report}; the published copy is unchanged")
-    versions.commit(spark, root, versions.Version(number, live={("all",): folder}))
+    versions.commit(spark, root, versions.Version(number, live=versions.whole(folder)))
     return report
 
 
@@ -79,4 +80,7 @@ def last_rows_each(snapshot: DataFrame, keys: Sequence[str], n: int = 7, day: st
 
 
 def containing(snapshot: DataFrame, column: str, value: str) -> DataFrame:
-    return snapshot.where(F.array_contains(column, value))
+    """Rows whose array holds the value; a copy that stores arrays as JSON text is read as such."""
+    stored = snapshot.schema[column].dataType
+    array = F.from_json(column, "array<string>") if isinstance(stored, T.StringType) else F.col(column)
+    return snapshot.where(F.array_contains(array, value))

@@ -6,14 +6,14 @@ unit points, customers' orders are region demand. Everything stays a lazy plan o
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattmill.functions.calendar import market_midnight
 from wattmill.functions.regions import REGION_SYNONYMS
 from wattmill.functions.taxonomy import FUELTECH_GROUPS, UNGROUPED_FUELTECHS, group_of, renewable_flag
 from wattmill.operators.conversations import pair_turns
-from wattmill.sources.landing import FETCHED_AT_FORMAT, path_key
+from wattmill.sources.landing import FETCHED_AT_FORMAT, chunk_name, path_key
 from wattmill.sources.tables import conform
 
 # Fixture region name to market region, event type to metric.
@@ -304,7 +304,7 @@ def unit_metrics_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     slots = table(spark, sf_dir, "supplier").agg(F.max("s_suppkey") + 1).scalar()
     slot = F.substring("unit_code", 2, 20).cast("bigint") % slots
-    chunk = F.lpad(F.floor(slot / 30).cast("string"), 3, "0")
+    chunk = chunk_name(F.floor(slot / 30))
     lines = _daily_lines(spark, sf_dir)
     when = F.concat(F.col("day").cast("string"), F.lit("T00:00:00+10:00"))
 
@@ -329,11 +329,46 @@ def unit_metrics_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(lines, F.struct(F.lit(True).alias("success"), blocks.alias("data")), path)
 
 
+def unit_files_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same points as a real fetch holds them: one file per interval, chunk of facilities, year and fetch, with a block per metric.
+
+    The n-th value of a point comes with the n-th fetch. A file is bounded by its chunk and year.
+    """
+    slots = table(spark, sf_dir, "supplier").agg(F.max("s_suppkey") + 1).scalar()
+    chunk = chunk_name(F.floor(F.substring("unit_code", 2, 20).cast("bigint") % slots / 30))
+    nth = F.row_number().over(Window.partitionBy("unit_code", "day").orderBy("ingested_at"))
+    metric = F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(UNIT_OF_METRIC[m]).alias("unit"), F.col(m).cast("string").alias("value")) for m in _line_metrics()])
+    points = _daily_lines(spark, sf_dir).select(
+        "interval",
+        chunk.alias("chunk"),
+        F.year("day").alias("year"),
+        F.date_format(F.timestamp_seconds(nth * 86_400), FETCHED_AT_FORMAT).alias("fetch"),
+        "unit_code",
+        F.concat(F.col("day").cast("string"), F.lit("T00:00:00+10:00")).alias("when"),
+        F.explode(metric).alias("p"),
+    )
+    file = ["interval", "chunk", "year", "fetch"]
+    series = points.groupBy(*file, "p.metric", "p.unit", "unit_code").agg(F.collect_list(F.array("when", "p.value")).alias("data"))
+    result = F.struct(F.concat_ws("_", "metric", "unit_code").alias("name"), F.struct("unit_code").alias("columns"), "data")
+    blocks = series.groupBy(*file, "metric", "unit").agg(F.collect_list(result).alias("results"))
+    files = blocks.groupBy(*file).agg(F.collect_list(F.struct("metric", "unit", "interval", "results")).alias("data"))
+    path = F.concat(
+        F.lit("/landing/facility_data/interval="), "interval", F.lit("/chunk="), "chunk", F.lit("/year="), "year",
+        F.lit("/fetched_at="), "fetch", F.lit("/part-000.json"),
+    )
+    return _raw(files, F.struct(F.lit(True).alias("success"), "data"), path)
+
+
+def land(raw: DataFrame, folder: str, *keys: str) -> None:
+    """Write payloads as files below ``folder``, in one subfolder per value of each path key."""
+    keyed = raw.select("raw_json", *[path_key(k).alias(k) for k in keys])
+    # a file holds one payload: a reader of whole files sees what lies in a file as one text
+    keyed.repartition(*keys).write.mode("append").option("maxRecordsPerFile", 1).partitionBy(*keys).text(folder)
+
+
 def land_stats(raw: DataFrame, landing: str) -> None:
     """Write region-year payloads as files in the landing layout, one file per region, year and fetch."""
-    keys = ("region", "year", "fetched_at")
-    keyed = raw.select("raw_json", *[path_key(k).alias(k) for k in keys])
-    keyed.repartition(*keys).write.mode("append").partitionBy(*keys).text(f"{landing}/stats")
+    land(raw, f"{landing}/stats", "region", "year", "fetched_at")
 
 
 def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -127,12 +127,12 @@ def write_table(df: DataFrame, root: str, order_by: Sequence[str] = ()) -> DataF
         df = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     folder = f"data/table_version={number}"
     df.write.mode("overwrite").parquet(f"{root}/{folder}")
-    versions.commit(spark, root, versions.Version(number, live={("all",): folder}))
+    versions.commit(spark, root, versions.Version(number, live=versions.whole(folder)))
     return read_table(spark, root, df.schema)
 
 
 def read_table(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    return versions.read(spark, root, schema, list(versions.current(spark, root).live.values()))
+    return versions.read(spark, root, schema, versions.current(spark, root).folders())
 
 
 def create_namespaces(spark: SparkSession, layers: Sequence[str] = LAYERS, base: str | None = None) -> None:

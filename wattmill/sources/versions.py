@@ -1,31 +1,42 @@
 """Parquet tables that change by whole files.
 
 A table is a folder with ``data/table_version=<n>/...`` and ``manifests/version=<n>``. A manifest is one
-JSON row that names the folders which make up the table at a version. Writers only add: new data
-folders first, then the manifest, so a reader sees the old version or the new one, and a job that dies
-in between leaves nothing but an unnamed folder that its retry overwrites. One writer per table.
+JSON row that names the folders which make up the table at a version and ends with the mark ``complete``. Writers
+only add: new data folders first, then the manifest, so a reader sees the old version or the new one, and a job that dies
+in between leaves nothing but an unnamed folder that its retry overwrites. No success marker of the file
+committer is needed: a manifest counts if its row reads whole. One writer per table.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from typing import NamedTuple
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MANIFEST = "stream STRING, batch_id BIGINT, live ARRAY<STRUCT<part: ARRAY<STRING>, dir: STRING>>"
+MANIFEST = "stream STRING, batch_id BIGINT, live ARRAY<STRUCT<part: ARRAY<STRING>, dir: STRING, level: INT>>, complete BOOLEAN"
 
 
 # Fixed value: the folder name Spark gives a NULL partition value.
 _NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 
 
+class Folder(NamedTuple):
+    """A folder of rows and how often its rows have been merged."""
+
+    dir: str
+    level: int = 0
+
+
 @dataclass
 class Version:
-    """A committed state: which folder holds each part, and the batch that led to it.
+    """A committed state: which folders hold each part, and the batch that led to it.
 
     Parts are few: calendar periods, or one.
     """
@@ -33,32 +44,45 @@ class Version:
     number: int = 0
     stream: str = ""
     batch_id: int = -1
-    live: dict[tuple, str] = field(default_factory=dict)
+    live: dict[tuple, list[Folder]] = field(default_factory=dict)
 
+    def folders(self) -> list[str]:
+        return [folder.dir for own in self.live.values() for folder in own]
 
-def _committed(spark: SparkSession, root: str) -> list[int]:
-    """Versions whose manifest is complete, from names alone."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    manifests = hadoop.Path(f"{root}/manifests")
-    files = manifests.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(manifests):
+
+def whole(folder: str) -> dict[tuple, list[Folder]]:
+    """A table that is one folder."""
+    return {("all",): [Folder(folder)]}
+
+
+def _numbers(spark: SparkSession, root: str) -> list[int]:
+    """Versions that have a manifest, newest first, from file names alone."""
+    try:
+        files = spark.read.schema(MANIFEST).json(f"{root}/manifests").inputFiles()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return []
-    done = files.globStatus(hadoop.Path(f"{root}/manifests/version=*/_SUCCESS"))
-    return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in done)
+    return sorted({int(n) for file in files for n in re.findall(r"/version=(\d+)/", file)}, reverse=True)
 
 
 def current(spark: SparkSession, root: str) -> Version:
-    done = _committed(spark, root)
-    if not done:
-        return Version()
-    row = spark.read.schema(MANIFEST).json(f"{root}/manifests/version={done[-1]}").first()
-    return Version(done[-1], row.stream, row.batch_id, {tuple(e.part): e.dir for e in row.live or []})
+    for number in _numbers(spark, root):
+        row = spark.read.schema(MANIFEST).json(f"{root}/manifests/version={number}").first()
+        if row and row.complete:
+            live: dict[tuple, list[Folder]] = {}
+            for entry in row.live or []:
+                live.setdefault(tuple(entry.part), []).append(Folder(entry.dir, entry.level))
+            return Version(number, row.stream, row.batch_id, live)
+    return Version()
 
 
 def commit(spark: SparkSession, root: str, version: Version) -> None:
-    live = [(list(part), folder) for part, folder in version.live.items()]
-    row = spark.createDataFrame([(version.stream, version.batch_id, live)], MANIFEST)
+    live = [(list(part), *folder) for part, own in version.live.items() for folder in own]
+    row = spark.createDataFrame([(version.stream, version.batch_id, live, True)], MANIFEST)
     row.coalesce(1).write.mode("overwrite").json(f"{root}/manifests/version={version.number}")
+    if current(spark, root).number != version.number:
+        raise RuntimeError(f"{root}: version {version.number} was written but is not the current one")
 
 
 def read(spark: SparkSession, root: str, schema: T.StructType, folders: Sequence[str]) -> DataFrame:
@@ -84,7 +108,23 @@ def written_parts(spark: SparkSession, root: str, number: int, by: Sequence[str]
 
 def superseded(spark: SparkSession, root: str) -> list[str]:
     """Folders of earlier versions that the current one no longer names; safe to expire."""
-    manifests = [f"{root}/manifests/version={n}" for n in _committed(spark, root)]
+    manifests = [f"{root}/manifests/version={n}" for n in _numbers(spark, root)]
+    if not manifests:
+        return []
     named = spark.read.schema(MANIFEST).json(manifests).select(F.explode("live.dir").alias("dir")).distinct()
-    alive = set(current(spark, root).live.values())
-    return sorted(r.dir for r in named.collect() if r.dir not in alive)
+    alive = current(spark, root).folders()
+    return sorted(r.dir for r in named.where(~F.col("dir").isin(alive)).collect())
+
+
+def expire(spark: SparkSession, root: str) -> list[str]:
+    """Delete what only earlier versions name, and their manifests, so that listings stay short.
+
+    Nobody may be reading an earlier version meanwhile.
+    """
+    now, gone = current(spark, root), superseded(spark, root)
+    older = [f"manifests/version={n}" for n in _numbers(spark, root) if n < now.number]
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in [*gone, *older]:
+        files.delete(hadoop.Path(f"{root}/{folder}"), True)
+    return gone

@@ -1,7 +1,9 @@
 """Latest value per key, kept up to date by a stream.
 
-Parquet has no MERGE. Each micro-batch rewrites only the calendar parts it touches, beside the live
-ones, and then names the new folders in a manifest.
+Parquet has no MERGE. A micro-batch is written as new folders, one for each calendar part it touches, and named
+in a manifest; reading a part takes the latest row per key over its folders. Once a part has ``FAN`` folders
+of one level, the batch at hand merges them into a folder of the next level. So what a batch writes follows
+the batch: over time a row is written again once per level, and a part of n batches has some log(n) folders.
 """
 
 from __future__ import annotations
@@ -30,6 +32,19 @@ def _columns(**types: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in types.items()])
 
 
+FAN = 4
+
+
+def to_merge(own: Sequence[versions.Folder]) -> tuple[list[versions.Folder], int]:
+    """Folders of a part that a new one merges with, and the level of the result."""
+    gone: list[versions.Folder] = []
+    level = 0
+    while len(same := [f for f in own if f.level == level]) + 1 >= FAN:
+        gone += same
+        level += 1
+    return gone, level
+
+
 class UpsertTable:
     """A table below ``root`` that keeps the latest row per key, in folders by ``parts``.
 
@@ -67,12 +82,15 @@ class UpsertTable:
         number = now.number + 1
         live = dict(now.live)
         if touched:
-            before = versions.read(spark, self.root, self.stored, [live[p] for p in touched if p in live])
+            merging = {part: to_merge(live.get(part, [])) for part in touched}
+            before = versions.read(spark, self.root, self.stored, [f.dir for own, _ in merging.values() for f in own])
             merged = latest_by(before.unionByName(kept), self.keys, self.sequence)
             # The hint lets Spark split a hot folder over several files and join small ones.
             laid_out = merged.hint("rebalance", *self.parts)
             laid_out.write.mode("overwrite").partitionBy(*self.parts).parquet(f"{self.root}/data/table_version={number}")
-            live.update(versions.written_parts(spark, self.root, number, self.parts))
+            written = versions.written_parts(spark, self.root, number, self.parts)
+            for part, (gone, level) in merging.items():
+                live[part] = [f for f in live.get(part, []) if f not in gone] + [versions.Folder(written[part], level)]
         versions.commit(spark, self.root, versions.Version(number, stream, batch_id, live))
 
     def _stage(self, points: DataFrame, path: str) -> DataFrame:
@@ -95,12 +113,19 @@ class UpsertTable:
         schema = schema.add("stream", STRING).add("batch", LONG).add("outcome", STRING)
         return spark.read.schema(schema).parquet(f"{self.root}/batches").where(F.col("outcome") == "rejected").drop("outcome")
 
-    def live(self, spark: SparkSession) -> dict[tuple, str]:
-        """Part values and the folder that holds them."""
+    def live(self, spark: SparkSession) -> dict[tuple, list[versions.Folder]]:
+        """Part values and the folders that hold them."""
         return versions.current(spark, self.root).live
 
-    def read_folders(self, spark: SparkSession, folders: Sequence[str]) -> DataFrame:
-        return versions.read(spark, self.root, self.stored, folders)
+    def read_parts(self, spark: SparkSession, parts: dict[tuple, list[versions.Folder]]) -> DataFrame:
+        """The latest row per key. A part of one folder is read as it is, without a shuffle."""
+        single = [own[0].dir for own in parts.values() if len(own) == 1]
+        several = [f.dir for own in parts.values() if len(own) > 1 for f in own]
+        rows = versions.read(spark, self.root, self.stored, single)
+        if not several:
+            return rows
+        newest = latest_by(versions.read(spark, self.root, self.stored, several), self.keys, self.sequence)
+        return rows.unionByName(newest) if single else newest
 
 
 class PointTable(UpsertTable):
@@ -121,16 +146,15 @@ class PointTable(UpsertTable):
         day = market_date(F.col("interval_ts_utc")).cast("string")
         return {"period": F.when(F.col("interval") == "1d", F.substring(day, 1, 7)).otherwise(day)}
 
-    def folders(self, spark: SparkSession, intervals: Sequence[str] | None = None) -> dict[str, str]:
-        """Live folders and the period each holds. Naming intervals leaves out the others' folders."""
-        live = self.live(spark)
-        return {folder: part[1] for part, folder in live.items() if intervals is None or part[0] in intervals}
+    def live_of(self, spark: SparkSession, intervals: Sequence[str] | None = None) -> dict[tuple, list[versions.Folder]]:
+        """Live parts (interval, period). Naming intervals leaves out the others' folders."""
+        return {part: own for part, own in self.live(spark).items() if intervals is None or part[0] in intervals}
 
-    def read_folders(self, spark: SparkSession, folders: Sequence[str]) -> DataFrame:
-        return conform(super().read_folders(spark, folders).drop("source_id", "period"), "facility_generation")
+    def read_parts(self, spark: SparkSession, parts: dict[tuple, list[versions.Folder]]) -> DataFrame:
+        return conform(super().read_parts(spark, parts).drop("source_id", "period"), "facility_generation")
 
     def read(self, spark: SparkSession, intervals: Sequence[str] | None = None) -> DataFrame:
-        return self.read_folders(spark, list(self.folders(spark, intervals)))
+        return self.read_parts(spark, self.live_of(spark, intervals))
 
 
 class SeriesTable(UpsertTable):
@@ -148,7 +172,7 @@ class SeriesTable(UpsertTable):
         return {"year": F.year("nem_date").cast("string")}
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return self.read_folders(spark, list(self.live(spark).values()))
+        return self.read_parts(spark, self.live(spark))
 
 
 def run_upsert(points: DataFrame, table: UpsertTable, checkpoint: str):
