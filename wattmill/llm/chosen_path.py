@@ -13,9 +13,9 @@ at most ``SMALL`` sets is compared pair by pair; a larger one draws again with i
 without its pairs ever being formed. Where all members of a child are linked with a pivot of its parent, the child is
 done: every further pair of it is in one class.
 
-**Runs.** The likely links (by sketch) that two runs find independently tell how probably a run finds a link (capture and
-recapture); runs repeat until the chance to miss one is below 1 - ``recall``, ``MOST_RUNS`` times at most. At the end the candidates
-of all runs are verified on the full sets.
+**Runs.** A likely link (by sketch) of a new run that joins two classes of the earlier runs is one they missed. The share of such links tells
+how probably all runs so far miss a link; runs repeat until that is at most 1 - ``recall``, ``MOST_RUNS`` times at most. At the
+end the candidates of all runs are verified on the full sets.
 
 The result has a row per document: its class (connected texts, named by the least doc_id), the number of *links* (other representatives it was
 verified similar to) and of *copies* (documents with the same set, itself included). Stars mean that two texts of one class need not be linked directly.
@@ -42,7 +42,7 @@ TOKENS = 64
 ROOT_DRAWS = 4
 DRAWS = 2
 SMALL = 24
-DEPTH = 6
+DEPTH = 4
 MOST_RUNS = 6
 SLACK = 0.2  # how far below the threshold a sketch may fall before a pair is not verified: four standard deviations
 
@@ -126,12 +126,12 @@ def matrix(column: pa.Array) -> np.ndarray:
 
 def children(paths: np.ndarray, tokens: np.ndarray, draws: int, run: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each draw the child path of every row: the path alone decides the position, the token there the child."""
-    with np.errstate(over="ignore"):
-        seeds = mixed(paths.astype(np.uint64) + np.uint64(run + 1) * ODD)
+    step = lambda k: np.uint64((k + 1) * int(ODD) % (1 << 64))
+    seeds = mixed(paths.astype(np.uint64) + step(run))
     taken = np.zeros((len(paths), TOKENS), dtype=bool)
     every = np.arange(len(paths))
     for k in range(draws):
-        position = (mixed(seeds + np.uint64(k + 1) * ODD) % np.uint64(TOKENS)).astype(np.int64)
+        position = (mixed(seeds + step(k)) % np.uint64(TOKENS)).astype(np.int64)
         while taken[every, position].any():  # draws of a path are distinct
             position = np.where(taken[every, position], (position + 1) % TOKENS, position)
         taken[every, position] = True
@@ -238,9 +238,9 @@ def one_run(reps: DataFrame, run: int) -> DataFrame:
         members = paths.select("path", "rep").join(sizes, "path")
         members = saved(members.join(reps.select("rep", "sketch"), "rep"), "members")
         found.append(small_pairs(members.where(F.col("n") <= SMALL)))
-        large = members.where(F.col("n") > SMALL)
-        if large.isEmpty():
+        if sizes.where(F.col("n") > SMALL).isEmpty():
             break
+        large = members.where(F.col("n") > SMALL)
         links, paths = split_large(large, reps, run)
         found.append(links)
     pairs = found[0]
@@ -250,21 +250,20 @@ def one_run(reps: DataFrame, run: int) -> DataFrame:
 
 
 def candidates(reps: DataFrame, recall: float) -> DataFrame:
-    """Pairs of all runs; runs repeat until a likely link is missed by all of them with a chance below 1 - recall."""
+    """Pairs of all runs; runs repeat until a likely link between classes is missed by all of them with a chance of at most 1 - recall."""
     likely = F.col("agree") >= int(0.8 * TOKENS)
     every = one_run(reps, 0)
-    missed = 1.0
     for run in range(1, MOST_RUNS):
+        known = components(every.where(likely).select("a", "b"))
         own = one_run(reps, run)
-        both = every.where(likely).join(own.where(likely), ["a", "b"], "left_semi").count()
-        before, now = every.where(likely).count(), own.where(likely).count()
+        left = known.select(F.col("rep").alias("a"), F.col("root").alias("left"))
+        right = known.select(F.col("rep").alias("b"), F.col("root").alias("right"))
+        joined = own.where(likely).join(left, "a", "left").join(right, "b", "left")
+        seen = joined.agg(F.count("*").alias("links"), F.count_if(F.col("left") == F.col("right")).alias("known")).first()
         every = saved(every.unionByName(own).groupBy("a", "b").agg(F.max("agree").alias("agree")), "pairs")
-        if not max(before, now):
-            break
-        # a link found by one side is found by the other with these chances
-        by_before, by_own = both / max(now, 1), both / max(before, 1)
-        missed = (1 - by_before) * (1 - by_own)
-        if missed <= 1 - recall:
+        missed = 1 - seen.known / seen.links if seen.links else 0.0
+        # `run` earlier runs missed this share together; one more run multiplies it by what one run misses
+        if missed ** ((run + 1) / run) <= 1 - recall:
             break
     return every
 
