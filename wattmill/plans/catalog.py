@@ -156,7 +156,7 @@ def series_restart(spark, sf_dir):
 
 def quarantined_files(spark, sf_dir):
     """Texts that are no payload, among stats files: listed with a reason, and no file lost."""
-    texts = star.table(spark, sf_dir, "documents").select(
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
         F.when(F.col("doc_id") % 10 == 0, "  ").otherwise(F.col("text")).alias("raw_json"),
         F.concat(F.lit("/landing/stats/doc="), "doc_id", F.lit(".json")).alias("source_file"),
         F.timestamp_seconds("doc_id").alias("ingested_at"),

@@ -338,11 +338,12 @@ def unit_files_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunk = chunk_name(F.floor(F.substring("unit_code", 2, 20).cast("bigint") % slots / 30))
     nth = F.row_number().over(Window.partitionBy("unit_code", "day").orderBy("ingested_at"))
     metric = F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(UNIT_OF_METRIC[m]).alias("unit"), F.col(m).cast("string").alias("value")) for m in _line_metrics()])
-    points = _daily_lines(spark, sf_dir).select(
+    # numbered before the metrics unfold
+    points = _daily_lines(spark, sf_dir).withColumn("nth", nth).select(
         "interval",
         chunk.alias("chunk"),
         F.year("day").alias("year"),
-        F.date_format(F.timestamp_seconds(nth * 86_400), FETCHED_AT_FORMAT).alias("fetch"),
+        F.date_format(F.timestamp_seconds(F.col("nth") * 86_400), FETCHED_AT_FORMAT).alias("fetch"),
         "unit_code",
         F.concat(F.col("day").cast("string"), F.lit("T00:00:00+10:00")).alias("when"),
         F.explode(metric).alias("p"),
