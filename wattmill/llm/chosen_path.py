@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattmill.llm.common import arrow_schema, emit, fresh, same, saved, struct, text_key, texts_in_blocks
+from wattmill.llm.common import arrow_schema, bucketed, emit, fresh, same, saved, struct, text_key, texts_in_blocks
 
 WIDTH = 5
 TOKENS = 64
@@ -323,7 +323,9 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99) -> DataFrame:
     """doc_id, text_key, class_id, n_links, n_copies of every document, and ``first``: whether it is the first of its class."""
     sketched = saved(sketch_documents(docs), "sketches")
-    reps = saved(sketched.where("rep IS NOT NULL").groupBy("rep").agg(F.first("sketch").alias("sketch"), F.count("*").alias("n_copies")), "reps")
+    reps = sketched.where("rep IS NOT NULL").groupBy("rep").agg(F.first("sketch").alias("sketch"), F.count("*").alias("n_copies"))
+    # every level of every run joins the sketches again: they are dealt once
+    reps = bucketed(reps, "reps", "rep", int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     pairs = candidates(reps, recall)
     ends = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
     links = saved(verified(pairs, saved(full_sets(docs, sketched, ends), "sets"), threshold), "links")

@@ -40,6 +40,14 @@ def saved(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
+    """``saved``, with the rows dealt to files by ``column``: joins and groups on it need not shuffle them again."""
+    path = shared_dir(df.sparkSession, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    df.write.bucketBy(buckets, column).option("path", path).saveAsTable(table, format="parquet")
+    return df.sparkSession.table(table)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores added until ``df`` has no such column."""
     taken = {c.lower() for c in df.columns}

@@ -22,8 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattmill.llm.common import arrow_schema, emit, struct, texts_in_blocks
-from wattmill.session import shared_dir
+from wattmill.llm.common import arrow_schema, bucketed, emit, struct, texts_in_blocks
 
 BLOCK_BYTES = 8 << 20
 
@@ -71,16 +70,8 @@ def text_blocks(docs: DataFrame, reduced: Callable[[bytes], bytes] = bytes) -> D
                 pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col("doc_id").cast("bigint"), "text")
-    return bucketed(rows.mapInArrow(lambda batches: emit(schema, cut(batches), 1), BLOCKS), parts_for(docs))
-
-
-def bucketed(blocks: DataFrame, buckets: int) -> DataFrame:
-    """The blocks as a table bucketed by block: what returns to its block is dealt to the buckets, and the blocks stay where they are."""
-    spark = blocks.sparkSession
-    path = shared_dir(spark, "blocks")
-    name = path.rsplit("/", 1)[1].replace("-", "_")
-    blocks.write.bucketBy(buckets, "block").option("path", path).saveAsTable(name, format="parquet")
-    return spark.table(name)
+    # what returns to its block is dealt to the buckets, and the blocks stay where they are
+    return bucketed(rows.mapInArrow(lambda batches: emit(schema, cut(batches), 1), BLOCKS), "blocks", "block", parts_for(docs))
 
 
 def _block(texts: list[bytes]) -> tuple[list[int], bytes, bytes]:
