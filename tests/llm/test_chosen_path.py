@@ -58,6 +58,27 @@ def test_large_group_of_near_copies_and_common_passage(frame):
     assert all(found[200 + i].class_id == 200 + i and found[200 + i].n_links == 0 for i in range(30))
 
 
+def family_rows(draw, n, own, pairs):
+    """Texts that share all but ``own`` of 240 words with a template, the first ``pairs`` of them each with a text that shares four words more."""
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(6))
+    base = [word() for _ in range(240)]
+    rows = []
+    for i in range(n):
+        text = base[: 240 - own] + [word() for _ in range(own)]
+        rows.append((i, " ".join(text)))
+        if i < pairs:
+            rows.append((10_000 + i, " ".join(text[: 244 - own] + [word() for _ in range(own - 4)])))
+    return rows
+
+
+def test_pairs_within_a_large_family_are_found(frame):
+    rows = family_rows(random.Random(7), 900, 28, 40)  # 0.788 alike, but 0.815 in pairs
+    found = {r.doc_id: r for r in cp.near_duplicates(frame(rows)).collect()}
+    missed = [i for i in range(40) if found[10_000 + i].class_id != i]
+    assert missed == []
+    assert [found[i].class_id for i in range(900)] == list(range(900))
+
+
 def test_odd_rows(frame, odd):
     found = cp.near_duplicates(frame(odd, "rep", "root", "path")).collect()
     assert len(found) == len(odd)

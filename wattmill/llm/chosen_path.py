@@ -8,17 +8,19 @@ their Jaccard similarity.
 
 **Chosen paths.** A run draws a few token positions at the root; sets that agree on a drawn token go to the same child. A child of
 at most ``SMALL`` sets is compared pair by pair; a larger one draws again with its own randomness and splits further, down to
-``DEPTH``. In every larger child all members are also compared with two *pivots*: the member most like the child's consensus
-(the commonest token at each position) and one drawn at random. So a group of thousands of near copies is linked as stars
-without its pairs ever being formed. Where all members of a child are linked with a pivot of its parent, the child is
-done: every further pair of it is in one class.
+``DEPTH``. A larger child that splitting would not thin out, since its members mostly agree with one of them, and every larger
+child of the last level is left whole.
 
-**Runs.** A likely link (by sketch) of a new run that joins two classes of the earlier runs is one they missed. The share of such links tells
-how probably all runs so far miss a link; runs repeat until that is at most 1 - ``recall``, ``MOST_RUNS`` times at most. At the
-end the candidates of all runs are verified on the full sets.
+**Families.** Whole children of all runs that share members are one family. Every pair of a family is compared on the full sets, in pairs of
+salted blocks that return links enough to connect what is linked. So no pair of a family is missed, whatever its size, and none of its
+pairs becomes a row.
+
+**Runs.** A likely pair (by sketch) of a new run outside the families that the earlier runs do not have is one they missed. The share of
+such pairs tells how probably all runs so far miss one; runs repeat until that is at most 1 - ``recall``, ``MOST_RUNS`` times at most,
+and a warning says so if that is not enough. At the end the candidates of all runs are verified on the full sets.
 
 The result has a row per document: its class (connected texts, named by the least doc_id), the number of *links* (other representatives it was
-verified similar to) and of *copies* (documents with the same set, itself included). Stars mean that two texts of one class need not be linked directly.
+verified similar to) and of *copies* (documents with the same set, itself included).
 
 Nulls: a null or wordless text is alone in its class, which is named by its doc_id, without links. A class in which no doc_id is known has a
 null name. Repeated rows are copies. Empty table: empty result. Other columns are ignored.
@@ -26,6 +28,7 @@ null name. Repeated rows are copies. Empty table: empty result. Other columns ar
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,13 +50,16 @@ MOST_RUNS = 6
 SLACK = 0.2  # how far below the threshold a sketch may fall before a pair is not verified: four standard deviations
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-SAMPLE = 256  # members of a large child whose tokens make its consensus
-LINKED = 54  # agreeing tokens from which a sketch counts as linked, about 0.84
+DENSE = 0.5  # mean agreement with one member from which a large child is not split further
+BLOCK = 256  # members of a family compared at a time; a large family is dealt in blocks of up to four times that
+BLOCK_BYTES = 16 << 20
+COLUMNS = 4096  # hashes in one product of a comparison
 SKETCHED = struct(doc_id="long", text_key="long", rep="binary", sketch="binary")
 SETS = struct(rep="binary", grams="binary")
-PATHS = struct(path="long", rep="binary", linked="int")
+PATHS = struct(path="long", rep="binary")
 PAIRS = struct(a="binary", b="binary", agree="int")
 LINKS = struct(a="binary", b="binary")
+FOUND = struct(a="binary", b="binary", n="long")
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -146,7 +152,7 @@ def root_paths(reps: DataFrame, run: int) -> DataFrame:
         for batch in batches:
             tokens = matrix(batch.column(1))
             for _, child in children(np.zeros(len(tokens), dtype=np.int64), tokens, ROOT_DRAWS, run):
-                yield pa.RecordBatch.from_arrays([pa.array(child), batch.column(0), pa.array(np.zeros(len(child), dtype=np.int32))], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(child), batch.column(0)], schema=schema)
 
     return reps.select("rep", "sketch").mapInArrow(split, PATHS)
 
@@ -176,23 +182,6 @@ def small_pairs(members: DataFrame) -> DataFrame:
     return members.repartition("path").sortWithinPartitions("path").mapInArrow(compare, PAIRS)
 
 
-def consensus(large: DataFrame, run: int) -> DataFrame:
-    """The commonest token at each position among about SAMPLE members of each path; it only chooses the pivot."""
-    out = struct(path="long", common="binary")
-
-    def vote(key: tuple, table: pa.Table) -> pa.Table:
-        tokens = matrix(table.column("sketch").combine_chunks())
-        common = np.empty(TOKENS, dtype="<u4")
-        for k in range(TOKENS):
-            values, counts = np.unique(tokens[:, k], return_counts=True)
-            common[k] = values[np.argmax(counts)]
-        return pa.table({"path": [key[0].as_py()], "common": [common.tobytes()]})
-
-    drawn = F.pmod(F.xxhash64("rep", "path", F.lit(run)), F.lit(1 << 30)) < F.lit(SAMPLE * (1 << 30)) / F.col("n")
-    # the most frequent token's member is in any case drawn: the first by hash
-    return large.where(drawn | (F.col("rep") == F.col("random"))).groupBy("path").applyInArrow(vote, out)
-
-
 def agreement(df: DataFrame, left: str, right: str, name: str) -> DataFrame:
     """``df`` with the number of tokens that two sketch columns share."""
     schema = T.StructType([*df.schema.fields, T.StructField(name, T.IntegerType())])
@@ -206,66 +195,163 @@ def agreement(df: DataFrame, left: str, right: str, name: str) -> DataFrame:
     return df.mapInArrow(count, schema)
 
 
-def split_large(large: DataFrame, reps: DataFrame, run: int) -> tuple[DataFrame, DataFrame]:
-    """Likely links of each large path's members with its two pivots, and the members' children."""
-    marked = agreement(large.join(consensus(large, run), "path"), "sketch", "common", "near")
-    pivots = saved(marked.groupBy("path").agg(F.max(F.struct("near", "rep")).alias("best"), F.min("random").alias("random")), "pivots")
-    pivots = pivots.select("path", F.explode(F.array_distinct(F.array("best.rep", "random"))).alias("pivot"))
-    pivots = pivots.join(reps.select(F.col("rep").alias("pivot"), F.col("sketch").alias("pivot_sketch")), "pivot")
-    judged = saved(agreement(large.select("path", "rep", "sketch").join(pivots, "path"), "sketch", "pivot_sketch", "agree").drop("sketch", "pivot_sketch"), "stars")
-    links = judged.where((F.col("agree") >= int((0.8 - SLACK) * TOKENS)) & (F.col("rep") != F.col("pivot")))
-    links = links.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"), "agree")
-    done = judged.groupBy("path", "rep").agg(F.max((F.col("agree") >= LINKED).cast("int")).alias("linked"))
+def split_large(large: DataFrame, run: int, last: bool) -> tuple[DataFrame, DataFrame]:
+    """Large paths that splitting would not thin out as (path, rep), and the children of the others' members."""
+    if last:
+        return large.select("path", "rep"), large.select("path", "rep").limit(0)
+    pivots = large.where(F.col("rep") == F.col("random")).select("path", F.col("sketch").alias("pivot_sketch"))
+    judged = agreement(large.select("path", "rep", "sketch").join(saved(pivots, "pivots"), "path"), "sketch", "pivot_sketch", "agree")
+    dense = saved(judged.groupBy("path").agg((F.avg("agree") >= DENSE * TOKENS).alias("dense")), "dense")
+    placed = large.select("path", "rep", "sketch").join(dense, "path")
     schema = arrow_schema(PATHS)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tokens = matrix(batch.column(2))
             for _, child in children(batch.column(0).to_numpy(), tokens, DRAWS, run):
-                yield pa.RecordBatch.from_arrays([pa.array(child), batch.column(1), batch.column(3)], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(child), batch.column(1)], schema=schema)
+
+    return placed.where("dense").select("path", "rep"), placed.where("NOT dense").select("path", "rep", "sketch").mapInArrow(split, PATHS)
+
 
-    return links, large.select("path", "rep", "sketch").join(done, ["path", "rep"]).mapInArrow(split, PATHS)
+def union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out
 
 
-def one_run(reps: DataFrame, run: int) -> DataFrame:
-    """Candidate pairs (a, b, agree) of one run, each once."""
-    found: list[DataFrame] = []
+def one_run(reps: DataFrame, run: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs (a, b, agree) of one run, each once, and the members (path, rep) of the large paths that were not split."""
+    found, left = [], []
     paths = root_paths(reps, run)
-    for _ in range(DEPTH):
+    for level in range(DEPTH):
         paths = saved(paths, "paths")
-        sizes = paths.groupBy("path").agg(F.count("*").alias("n"), F.min("linked").alias("all_linked"), F.min(F.struct(F.xxhash64("rep", F.lit(run)), "rep")).alias("first"))
-        sizes = saved(sizes.where("n > 1 AND all_linked = 0").select("path", "n", F.col("first.rep").alias("random")), "sizes")
-        members = paths.select("path", "rep").join(sizes, "path")
+        sizes = paths.groupBy("path").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("rep", F.lit(run)), "rep")).alias("first"))
+        sizes = saved(sizes.where("n > 1").select("path", "n", F.col("first.rep").alias("random")), "sizes")
+        members = paths.join(sizes, "path")
         members = saved(members.join(reps.select("rep", "sketch"), "rep"), "members")
         found.append(small_pairs(members.where(F.col("n") <= SMALL)))
         if sizes.where(F.col("n") > SMALL).isEmpty():
             break
-        large = members.where(F.col("n") > SMALL)
-        links, paths = split_large(large, reps, run)
-        found.append(links)
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.unionByName(more)
-    return saved(pairs.groupBy("a", "b").agg(F.max("agree").alias("agree")), "pairs")
-
-
-def candidates(reps: DataFrame, recall: float) -> DataFrame:
-    """Pairs of all runs; runs repeat until a likely link between classes is missed by all of them with a chance of at most 1 - recall."""
-    likely = F.col("agree") >= int(0.8 * TOKENS)
-    every = one_run(reps, 0)
+        whole, paths = split_large(members.where(F.col("n") > SMALL), run, level == DEPTH - 1)
+        left.append(whole)
+    pairs = saved(union(found).groupBy("a", "b").agg(F.max("agree").alias("agree")), "pairs")
+    return pairs, saved(union(left) if left else paths.limit(0), "left")
+
+
+def candidates(reps: DataFrame, recall: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs of all runs and (rep, root) of the families.
+
+    Runs repeat until a likely pair outside the families is missed by all of them with a chance of at most 1 - recall.
+    """
+    every, left = one_run(reps, 0)
+    lefts, missed = [left], 0.0
     for run in range(1, MOST_RUNS):
-        known = components(every.where(likely).select("a", "b"))
-        own = one_run(reps, run)
-        left = known.select(F.col("rep").alias("a"), F.col("root").alias("left"))
-        right = known.select(F.col("rep").alias("b"), F.col("root").alias("right"))
-        joined = own.where(likely).join(left, "a", "left").join(right, "b", "left")
-        seen = joined.agg(F.count("*").alias("links"), F.count_if(F.col("left") == F.col("right")).alias("known")).first()
+        own, left = one_run(reps, run)
+        lefts.append(left)
+        dense = union(lefts).select("rep").distinct()
+        a, b = dense.select(F.col("rep").alias("a"), F.lit(True).alias("in_a")), dense.select(F.col("rep").alias("b"), F.lit(True).alias("in_b"))
+        new = own.where(F.col("agree") >= int(0.8 * TOKENS)).join(a, "a", "left").join(b, "b", "left").where("in_a IS NULL OR in_b IS NULL")
+        joined = new.select("a", "b").join(every.select("a", "b", F.lit(1).alias("known")), ["a", "b"], "left")
+        seen = joined.agg(F.count("*").alias("pairs"), F.count("known").alias("known")).first()
         every = saved(every.unionByName(own).groupBy("a", "b").agg(F.max("agree").alias("agree")), "pairs")
-        missed = 1 - seen.known / seen.links if seen.links else 0.0
         # `run` earlier runs missed this share together; one more run multiplies it by what one run misses
-        if missed ** ((run + 1) / run) <= 1 - recall:
+        missed = (1 - seen.known / seen.pairs if seen.pairs else 0.0) ** ((run + 1) / run)
+        if missed <= 1 - recall:
             break
-    return every
+    else:
+        warnings.warn(f"chosen paths: about {missed:.2%} of the pairs outside families are missed after {MOST_RUNS} runs, {1 - recall:.2%} were allowed", stacklevel=2)
+    return every, families(union(lefts))
+
+
+def families(left: DataFrame) -> DataFrame:
+    """(rep, root): large paths that share members are one family."""
+    first = left.groupBy("path").agg(F.min("rep").alias("b"))
+    return components(left.join(first, "path").select(F.col("rep").alias("a"), "b").distinct())
+
+
+def shared_grams(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each set of ``left`` shares with each of ``right``."""
+    flat = np.concatenate([*left, *right])
+    _, place, times = np.unique(flat, return_inverse=True, return_counts=True)
+    # hashes of one set only are in no intersection
+    column = np.cumsum(times > 1) - 1
+    row = np.repeat(np.arange(len(left) + len(right)), [len(s) for s in [*left, *right]])
+    useful = times[place] > 1
+    row, place = row[useful], column[place[useful]]
+    order = np.argsort(place, kind="stable")
+    row, place = row[order], place[order]
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    for begin in range(0, int(column[-1]) + 1, COLUMNS):
+        own = slice(*np.searchsorted(place, [begin, begin + COLUMNS]))
+        grid = np.zeros((len(left) + len(right), COLUMNS), dtype=np.float32)
+        grid[row[own], place[own] - begin] = 1
+        out += grid[: len(left)] @ grid[len(left) :].T
+    return out.astype(np.int64)
+
+
+def forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect whatever the matrix of links connects."""
+    left, right = linked.shape
+    open_rows, open_columns = np.ones(left, dtype=bool), np.ones(right, dtype=bool)
+    out: list[tuple[int, int]] = []
+    for begin in range(left):
+        if not open_rows[begin]:
+            continue
+        open_rows[begin] = False
+        rows = [begin]
+        while rows:
+            i = rows.pop()
+            for j in np.flatnonzero(linked[i] & open_columns).tolist():
+                open_columns[j] = False
+                out.append((i, j))
+                for k in np.flatnonzero(linked[:, j] & open_rows).tolist():
+                    open_rows[k] = False
+                    out.append((k, j))
+                    rows.append(k)
+    return out
+
+
+def family_links(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Every pair of a family compared on the full sets, block by block.
+
+    Rows (a, b, null) are links enough to connect what is linked, rows (a, null, n) how many links a has in one pair of blocks.
+    """
+    full = members.join(sets, "rep")
+    size = full.groupBy("root").agg(F.count("*").alias("n"), F.sum(F.length("grams")).alias("bytes"))
+    rows = F.greatest(F.lit(BLOCK), F.least(F.lit(4 * BLOCK), F.col("n") / 16))
+    size = size.select("root", F.ceil(F.greatest(F.col("n") / rows, F.col("bytes") / F.lit(BLOCK_BYTES))).cast("int").alias("blocks"))
+    size = saved(size, "sizes")
+    dealt = full.join(size, "root").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("root", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "rep", "grams")
+    schema = arrow_schema(FOUND)
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        lo, hi = key[1].as_py(), key[2].as_py()
+        own = table.column("own").to_numpy()
+        reps = table.column("rep").to_pylist()
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("grams").to_pylist()]
+        left, right = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
+        if not len(left) or not len(right):
+            return schema.empty_table()
+        lengths = np.array([len(s) for s in sets])
+        linked = np.empty((len(left), len(right)), dtype=bool)
+        for i in range(0, len(left), BLOCK):
+            for j in range(0, len(right), BLOCK):
+                x, y = left[i : i + BLOCK], right[j : j + BLOCK]
+                shared = shared_grams([sets[k] for k in x], [sets[k] for k in y])
+                linked[i : i + BLOCK, j : j + BLOCK] = shared >= threshold * (lengths[x][:, None] + lengths[y] - shared)
+        if lo == hi:
+            np.fill_diagonal(linked, False)
+        out = [(reps[left[i]], reps[right[j]], None) for i, j in forest(linked)]
+        out += [(reps[k], None, n) for k, n in zip(left.tolist(), linked.sum(axis=1).tolist(), strict=True) if n]
+        if lo != hi:
+            out += [(reps[k], None, n) for k, n in zip(right.tolist(), linked.sum(axis=0).tolist(), strict=True) if n]
+        return pa.Table.from_batches(emit(schema, iter(out)), schema=schema)
+
+    return dealt.groupBy("root", "lo", "hi").applyInArrow(compare, FOUND)
 
 
 def full_sets(docs: DataFrame, sketched: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -326,9 +412,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9
     reps = sketched.where("rep IS NOT NULL").groupBy("rep").agg(F.first("sketch").alias("sketch"), F.count("*").alias("n_copies"))
     # every level of every run joins the sketches again: they are dealt once
     reps = bucketed(reps, "reps", "rep", int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    pairs = candidates(reps, recall)
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    links = saved(verified(pairs, saved(full_sets(docs, sketched, ends), "sets"), threshold), "links")
+    pairs, members = candidates(reps, recall)
+    of_a, of_b = members.select(F.col("rep").alias("a"), F.col("root").alias("root_a")), members.select(F.col("rep").alias("b"), F.col("root").alias("root_b"))
+    # pairs within a family are compared there
+    pairs = saved(pairs.join(of_a, "a", "left").join(of_b, "b", "left").where("coalesce(root_a <> root_b, true)").select("a", "b"), "pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("rep")).unionByName(members.select("rep")).distinct()
+    sets = saved(full_sets(docs, sketched, ends), "sets")
+    inside = saved(family_links(members, sets, threshold), "inside")
+    links = saved(verified(pairs, sets, threshold).unionByName(inside.where("b IS NOT NULL").select("a", "b")), "links")
     degrees = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
     classes = reps.select("rep", "n_copies").join(degrees, "rep", "left").join(components(links), "rep", "left")
     classes = saved(classes.select("rep", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "rep").alias("root")), "classes")
