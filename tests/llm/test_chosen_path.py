@@ -79,6 +79,22 @@ def test_pairs_within_a_large_family_are_found(frame):
     assert [found[i].class_id for i in range(900)] == list(range(900))
 
 
+def test_links_of_a_large_group_are_exact(frame):
+    draw = random.Random(11)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(6))
+    base = [word() for _ in range(300)]
+    rows = []
+    for i in range(400):  # some pairs are within 0.8 of each other, some are not; more than one block
+        copy = list(base)
+        for at in draw.sample(range(300), draw.choice([2, 5, 8])):
+            copy[at] = word()
+        rows.append((i, " ".join(copy)))
+    names, links = brute_force(rows)
+    found = {r.doc_id: r for r in cp.near_duplicates(frame(rows)).collect()}
+    assert [found[d].n_links for d, _ in rows] == links
+    assert [found[d].class_id for d, _ in rows] == names
+
+
 def test_odd_rows(frame, odd):
     found = cp.near_duplicates(frame(odd, "rep", "root", "path")).collect()
     assert len(found) == len(odd)

@@ -59,6 +59,7 @@ SETS = struct(rep="binary", grams="binary")
 PATHS = struct(path="long", rep="binary")
 PAIRS = struct(a="binary", b="binary", agree="int")
 LINKS = struct(a="binary", b="binary")
+INNER = struct(rep="binary", part="binary", n="long")
 FOUND = struct(a="binary", b="binary", n="long")
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -267,8 +268,10 @@ def candidates(reps: DataFrame, recall: float) -> tuple[DataFrame, DataFrame]:
 
 def families(left: DataFrame) -> DataFrame:
     """(rep, root): large paths that share members are one family."""
-    first = left.groupBy("path").agg(F.min("rep").alias("b"))
-    return components(left.join(first, "path").select(F.col("rep").alias("a"), "b").distinct())
+    least = saved(left.groupBy("rep").agg(F.min("path").alias("b")), "least")
+    # paths are connected, not members: there are far fewer
+    roots = components(left.join(least, "rep").select(F.col("path").alias("a"), "b").distinct())
+    return saved(least.join(roots.withColumnRenamed("rep", "b"), "b").select("rep", "root"), "families")
 
 
 def shared_grams(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -313,45 +316,69 @@ def forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def links_between(left: list[np.ndarray], right: list[np.ndarray], threshold: float) -> np.ndarray:
+    """Which sets of ``left`` are similar to which of ``right``."""
+    sizes, others = np.array([len(s) for s in left]), np.array([len(s) for s in right])
+    out = np.empty((len(left), len(right)), dtype=bool)
+    for i in range(0, len(left), BLOCK):
+        for j in range(0, len(right), BLOCK):
+            shared = shared_grams(left[i : i + BLOCK], right[j : j + BLOCK])
+            out[i : i + BLOCK, j : j + BLOCK] = shared >= threshold * (sizes[i : i + BLOCK, None] + others[j : j + BLOCK] - shared)
+    return out
+
+
 def family_links(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Every pair of a family compared on the full sets, block by block.
 
-    Rows (a, b, null) are links enough to connect what is linked, rows (a, null, n) how many links a has in one pair of blocks.
+    Rows (a, b, null) are links enough to connect what is linked, rows (a, null, n) how many links a has in one block or pair of blocks.
     """
     full = members.join(sets, "rep")
     size = full.groupBy("root").agg(F.count("*").alias("n"), F.sum(F.length("grams")).alias("bytes"))
     rows = F.greatest(F.lit(BLOCK), F.least(F.lit(4 * BLOCK), F.col("n") / 16))
     size = size.select("root", F.ceil(F.greatest(F.col("n") / rows, F.col("bytes") / F.lit(BLOCK_BYTES))).cast("int").alias("blocks"))
-    size = saved(size, "sizes")
-    dealt = full.join(size, "root").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("root", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "rep", "grams")
-    schema = arrow_schema(FOUND)
-
-    def compare(key: tuple, table: pa.Table) -> pa.Table:
-        lo, hi = key[1].as_py(), key[2].as_py()
-        own = table.column("own").to_numpy()
-        reps = table.column("rep").to_pylist()
-        sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("grams").to_pylist()]
-        left, right = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
+    dealt = full.join(saved(size, "sizes"), "root").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    schema, inner = arrow_schema(FOUND), arrow_schema(INNER)
+
+    def sets_of(table: pa.Table) -> list[np.ndarray]:
+        return [np.frombuffer(x, dtype=np.uint64) for x in table.column("grams").to_pylist()]
+
+    def within(table: pa.Table) -> pa.Table:
+        own, reps = sets_of(table), table.column("rep").to_pylist()
+        linked = links_between(own, own, threshold)
+        np.fill_diagonal(linked, False)
+        part = np.arange(len(own))
+        while True:  # the least of each component, as in ``components``
+            least = np.array([min(part[i], part[row].min(initial=part[i])) for i, row in enumerate(linked)])
+            least = least[least]
+            if (least == part).all():
+                break
+            part = least
+        return pa.Table.from_arrays([pa.array(reps, pa.binary()), pa.array([reps[k] for k in part], pa.binary()), pa.array(linked.sum(axis=1))], schema=inner)
+
+    def between(key: tuple, table: pa.Table) -> pa.Table:
+        at = table.column("own").to_numpy()
+        left, right = (table.filter(pa.array(at == k.as_py())) for k in key[1:])
         if not len(left) or not len(right):
             return schema.empty_table()
-        lengths = np.array([len(s) for s in sets])
-        linked = np.empty((len(left), len(right)), dtype=bool)
-        for i in range(0, len(left), BLOCK):
-            for j in range(0, len(right), BLOCK):
-                x, y = left[i : i + BLOCK], right[j : j + BLOCK]
-                shared = shared_grams([sets[k] for k in x], [sets[k] for k in y])
-                linked[i : i + BLOCK, j : j + BLOCK] = shared >= threshold * (lengths[x][:, None] + lengths[y] - shared)
-        if lo == hi:
-            np.fill_diagonal(linked, False)
-        out = [(reps[left[i]], reps[right[j]], None) for i, j in forest(linked)]
-        out += [(reps[k], None, n) for k, n in zip(left.tolist(), linked.sum(axis=1).tolist(), strict=True) if n]
-        if lo != hi:
-            out += [(reps[k], None, n) for k, n in zip(right.tolist(), linked.sum(axis=0).tolist(), strict=True) if n]
+        linked = links_between(sets_of(left), sets_of(right), threshold)
+        out: list[tuple] = []
+        for side, counts in ((left, linked.sum(axis=1)), (right, linked.sum(axis=0))):
+            out += [(rep, None, n) for rep, n in zip(side.column("rep").to_pylist(), counts.tolist(), strict=True) if n]
+        # what a block connects by itself is one node
+        a, b = (side.column("part").combine_chunks().dictionary_encode() for side in (left, right))
+        joined = np.zeros((len(a.dictionary), len(b.dictionary)), dtype=bool)
+        i, j = np.nonzero(linked)
+        joined[a.indices.to_numpy()[i], b.indices.to_numpy()[j]] = True
+        out += [(a.dictionary[i].as_py(), b.dictionary[j].as_py(), None) for i, j in forest(joined)]
         return pa.Table.from_batches(emit(schema, iter(out)), schema=schema)
 
-    return dealt.groupBy("root", "lo", "hi").applyInArrow(compare, FOUND)
+    parts = saved(dealt.select("root", "own", "rep", "grams").groupBy("root", "own").applyInArrow(within, INNER), "parts")
+    pairs = dealt.join(parts.select("rep", "part"), "rep").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("own <> other")
+    pairs = pairs.select("root", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "rep", "part", "grams")
+    across = pairs.groupBy("root", "lo", "hi").applyInArrow(between, FOUND)
+    stars = parts.where("rep <> part").select(F.col("rep").alias("a"), F.col("part").alias("b"), F.lit(None).cast("bigint").alias("n"))
+    counts = parts.where("n > 0").select(F.col("rep").alias("a"), F.lit(None).cast("binary").alias("b"), "n")
+    return across.unionByName(stars).unionByName(counts)
 
 
 def full_sets(docs: DataFrame, sketched: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -419,8 +446,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9
     ends = pairs.select(F.explode(F.array("a", "b")).alias("rep")).unionByName(members.select("rep")).distinct()
     sets = saved(full_sets(docs, sketched, ends), "sets")
     inside = saved(family_links(members, sets, threshold), "inside")
-    links = saved(verified(pairs, sets, threshold).unionByName(inside.where("b IS NOT NULL").select("a", "b")), "links")
-    degrees = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
+    outside = saved(verified(pairs, sets, threshold), "links")
+    links = outside.unionByName(inside.where("b IS NOT NULL").select("a", "b"))
+    ends = outside.select(F.explode(F.array("a", "b")).alias("rep"), F.lit(1).cast("bigint").alias("n"))
+    # a family's own links come as counts
+    degrees = ends.unionByName(inside.where("b IS NULL").select(F.col("a").alias("rep"), "n")).groupBy("rep").agg(F.sum("n").alias("n_links"))
     classes = reps.select("rep", "n_copies").join(degrees, "rep", "left").join(components(links), "rep", "left")
     classes = saved(classes.select("rep", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "rep").alias("root")), "classes")
     placed = saved(sketched.select("doc_id", "text_key", "rep").join(classes, "rep", "left"), "placed")
