@@ -28,6 +28,16 @@ def test_names_agree_in_gender_script_and_reference(frame):
     assert re.search(r"[А-Яа-я]+ [А-Яа-я]+$", found[2]) and "Мария" not in found[2] and "Петрова" not in found[2]
 
 
+def test_lone_mentions_of_found_names_are_replaced(frame):
+    rows = [(1, "Berg rief. Frau Anna Berg kam. Berg ging, Anna blieb, BERG rief, am berg."), (2, "Anna Marlene Berg kam. Marlene ging, Berg blieb.")]
+    found = {r.doc_id: r.text for r in su.surrogate_texts(frame(rows)).collect()}
+    last, first = re.match(r"(\w+) rief\. Frau (\w+) ", found[1]).groups()
+    assert found[1] == f"{last} rief. Frau {first} {last} kam. {last} ging, {first} blieb, {last.upper()} rief, am berg."
+    one, middle, family = re.match(r"(\w+) (\w+) (\w+) kam", found[2]).groups()
+    assert found[2] == f"{one} {middle} {family} kam. {middle} ging, {family} blieb." and (one, family) == (first, last)
+    assert not {"Anna", "Marlene", "Berg"} & {one, middle, family}
+
+
 def test_surrogates_are_distinct_and_new(spark, monkeypatch):
     monkeypatch.setattr(su, "draw", lambda key, kind, value, attempt: f"{(int(value) * 7 + attempt * 13) % 60}")
     entities = spark.createDataFrame([("ip", str(i)) for i in range(20)], "type string, value string")

@@ -4,8 +4,9 @@ Entities are found by pattern in every whole text. Each distinct entity of the c
 (HMAC-SHA256), of the same type and in the same format: e-mail addresses stay addresses in a reserved domain, telephone and card numbers keep
 their punctuation, country code, first digit and a valid check digit, IP addresses stay addresses (in the reserved block
 240.0.0.0/4), secrets keep length and alphabet, given names keep gender and script, family names keep script. Names are found after
-a form of address and as a known given name before a capitalised word; given and family names are entities of their own,
-so "Anna Berg", "Frau Berg" and "ANNA BERG" agree with each other afterwards.
+a form of address and as a known given name before a capitalised word, with one middle name at most; given and family names are entities
+of their own, so "Anna Berg", "Frau Berg" and "ANNA BERG" agree with each other afterwards. All names found in a text are looked for again in
+that whole text, so lone mentions of their parts ("Berg went, Anna stayed") get the same surrogates; only capitalised words count.
 
 Surrogates are checked over the whole corpus: two entities never share one, and none equals an entity that occurs. Entities that
 fail draw again, the others keep theirs, until none fails.
@@ -66,8 +67,9 @@ PATTERNS = {
     "ip": re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"),
     "card": re.compile(r"(?<![\d.-])[3-6]\d{3}([ -]?)\d{4}\1\d{4}\1\d{3,4}(?![\d-])"),
     "phone": re.compile(r"(?<![\w.])\+\d{1,3}[ .-]?(?:\(\d{1,5}\)[ .-]?)?\d{2,5}(?:[ .-]?\d{2,5}){1,4}(?!\w)|(?<![\w.])\(\d{3}\) ?\d{3}-\d{4}(?!\w)"),
-    "address": re.compile(rf"\b({'|'.join(n for names in ADDRESS.values() for n in names)})(\.? +)({_NAME})(?: +({_NAME}))?"),
-    "given": re.compile(rf"\b({'|'.join(sorted({n for names in GIVEN.values() for n in names} | {n.upper() for names in GIVEN.values() for n in names}, key=len, reverse=True))}) +({_NAME})"),
+    "address": re.compile(rf"\b({'|'.join(n for names in ADDRESS.values() for n in names)})(\.? +)({_NAME})(?: +({_NAME}))?(?: +({_NAME}))?"),
+    "given": re.compile(rf"\b({'|'.join(sorted({n for names in GIVEN.values() for n in names} | {n.upper() for names in GIVEN.values() for n in names}, key=len, reverse=True))}) +({_NAME})(?: +({_NAME}))?"),
+    "word": re.compile(_NAME),
 }
 # a text without any of these cannot hold the type: a cheap look before the pattern
 HINTS = {"email": re.compile("@"), "secret": re.compile(r"AKIA|[=\"]|[0-9a-f]{32}"), "ip": re.compile(r"\d\.\d"), "card": re.compile(r"\d{3}"), "phone": re.compile(r"[+(]\d")}
@@ -96,15 +98,33 @@ def names_in(text: str) -> Iterator[tuple[int, int, str, str]]:
 
     for m in PATTERNS["address"].finditer(text):
         if capital(m[3]):
+            gender = GENDER_OF_ADDRESS[m[1].casefold()]
             if capital(m[4]):
-                yield given(m, 3, GENDER_OF_ADDRESS[m[1].casefold()])
-                yield family(m, 4)
+                yield given(m, 3, gender)
+                if capital(m[5]):  # a middle name
+                    yield given(m, 4, GENDER_OF.get(m[3].casefold(), gender))
+                    yield family(m, 5)
+                else:
+                    yield family(m, 4)
             else:
                 yield family(m, 3)
     for m in PATTERNS["given"].finditer(text):
         if capital(m[2]):
             yield given(m, 1, "n")
-            yield family(m, 2)
+            if capital(m[3]):
+                yield given(m, 2, GENDER_OF[m[1].casefold()])
+                yield family(m, 3)
+            else:
+                yield family(m, 2)
+
+
+def mentions_of(names: list[tuple[int, int, str, str]], text: str) -> Iterator[tuple[int, int, str, str]]:
+    """Every capitalised mention of the names found in the text, alone or not. A word that was found in two roles keeps the first."""
+    kinds = {value: kind for _, _, kind, value in sorted(names, reverse=True)}
+    for m in PATTERNS["word"].finditer(text) if kinds else ():
+        value = m[0].casefold()
+        if value in kinds and capital(m[0]):
+            yield m.start(), m.end(), kinds[value], value
 
 
 def identity(kind: str, mention: str) -> str:
@@ -132,8 +152,11 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         if hint.search(text):
             for m in PATTERNS[kind].finditer(text):
                 take(m.start(), m.end(), kind, identity(kind, m[0]))
+    patterned = len(taken)
     for mention in names_in(text):
         take(*mention)
+    for mention in mentions_of(taken[patterned:], text):
+        take(*mention)
     return sorted(taken)
 
 
