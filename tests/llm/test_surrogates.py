@@ -47,6 +47,20 @@ def test_surrogates_are_distinct_and_new(spark, monkeypatch):
     assert not {s for _, s in rows} & {v for v, _ in rows}
 
 
+def test_values_that_cannot_be_redrawn_and_formats_that_are_used_up(spark, frame):
+    rows = [(1, "password=****** or password=пароль, token=!!!???"), (2, "password=****** again")]
+    found = {r.doc_id: r.text for r in su.surrogate_texts(frame(rows)).collect()}
+    stars, word, marks = re.fullmatch(r"password=([0-9a-f]{32}) or password=([а-я]{6}), token=([0-9a-f]{32})", found[1]).groups()
+    assert word != "пароль" and stars != marks and found[2] == f"password={stars} again"
+    # more entities than two letters at two letters' domains have surrogates
+    used = [("phone", f"+4912{i:03d}") for i in range(1000)] + [("phone", f"+491{i:03d}") for i in range(1000)] + [("email", f"{chr(97 + i)}@{chr(97 + j)}.de") for i in range(26) for j in range(26)]
+    used += [("email", f"{chr(97 + i)}@{chr(97 + j)}.fr") for i in range(26) for j in range(26)]
+    drawn = su.assign(spark.createDataFrame(used, "type string, value string")).collect()
+    assert len(drawn) == len({(r.type, r.surrogate) for r in drawn}) == len(used)
+    assert not {r.surrogate for r in drawn} & {r.value for r in drawn}
+    assert su.render("phone", "+49 (1) 23-4", "+4956789012") == "+49 (5) 67-89012"
+
+
 def test_sample_keeps_clean_texts_and_hides_the_rest(sample, texts):
     found = {r.doc_id: r for r in su.surrogate_texts(sample, counts="n").collect()}
     assert found.keys() == texts.keys()

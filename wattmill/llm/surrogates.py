@@ -9,7 +9,9 @@ of their own, so "Anna Berg", "Frau Berg" and "ANNA BERG" agree with each other
 that whole text, so lone mentions of their parts ("Berg went, Anna stayed") get the same surrogates; only capitalised words count.
 
 Surrogates are checked over the whole corpus: two entities never share one, and none equals an entity that occurs. Entities that
-fail draw again, the others keep theirs, until none fails.
+fail draw again, the others keep theirs, until none fails. From the attempt ``SAME_FORMAT`` on surrogates grow with each attempt, two
+digits or letters at a time (names by a syllable each four attempts, addresses as IPv6 addresses of 2001:db8::/32), so a format that is used up ends no run. A
+secret without letters or digits, which has nothing to redraw, becomes hexadecimal digits.
 
 Only texts that hold entities are shuffled, and only distinct (text, entity) pairs meet the table of surrogates, by an equi-join that
 Spark can split; an entity in a third of all texts is one row of that table.
@@ -33,7 +35,7 @@ from pyspark.sql import types as T
 from wattmill.llm.common import arrow_schema, fresh, saved, struct
 
 KEY = b"surrogates"  # a parameter: production passes its own secret
-ROUNDS = 50
+SAME_FORMAT = 4  # attempts before a surrogate gets longer than its entity
 
 # fixed values: forms of address with the gender they tell, and given names by gender
 ADDRESS = {
@@ -177,11 +179,17 @@ class Draws:
         return found % n
 
     def like(self, text: str) -> str:
-        """Digits for digits, letters for letters of the same case."""
+        """Digits for digits, letters for letters of the same case (beyond ASCII: of the same sixteen code points)."""
         out = []
         for c in text:
             base = 48 if "0" <= c <= "9" else 97 if "a" <= c <= "z" else 65 if "A" <= c <= "Z" else 0
-            out.append(chr(base + self.below(10 if base == 48 else 26)) if base else c)
+            if base:
+                out.append(chr(base + self.below(10 if base == 48 else 26)))
+            elif c.isalnum():
+                near = [chr(x) for x in range(ord(c) & ~15, (ord(c) | 15) + 1)]
+                out.append(self.one_of([x for x in near if x.isalnum() and (x.isupper(), x.isdigit()) == (c.isupper(), c.isdigit())]))
+            else:
+                out.append(c)
         return "".join(out)
 
     def hex_like(self, text: str) -> str:
@@ -199,24 +207,29 @@ def check_digit(digits: str) -> str:
 def draw(key: bytes, kind: str, value: str, attempt: int) -> str:
     """The surrogate of an entity, in the normal form of ``identity``."""
     d = Draws(key, kind, value, attempt)
+    longer = 2 * max(0, attempt - SAME_FORMAT + 1)
     if kind == "email":
         local, domain = value.split("@")
         top = domain.rsplit(".", 1)[1]
-        return f"{d.like(local)}@{d.like(domain.split('.')[0])}.example.{top if top in ('com', 'org', 'net') else 'com'}"
+        return f"{d.like(local + 'a' * longer)}@{d.like(domain.split('.')[0])}.example.{top if top in ('com', 'org', 'net') else 'com'}"
     if kind == "phone":
         keep = (2 if value[1] in "17" else 3) if value[0] == "+" else 0  # plus sign and country code
-        return value[:keep] + str(2 + d.below(8)) + d.like(value[keep + 1 :])
+        return value[:keep] + str(2 + d.below(8)) + d.like(value[keep + 1 :] + "0" * longer)
     if kind == "card":
-        body = value[0] + d.like(value[1:-1])
+        body = value[0] + d.like(value[1:-1] + "0" * longer)
         luhn = check_digit(value[:-1]) == value[-1]
         last = check_digit(body)
         return body + (last if luhn else str((int(last) + 1 + d.below(9)) % 10))
+    if kind == "ip" and longer:
+        return "2001:db8:" + ":".join(d.hex_like("0000") for _ in range(6))
     if kind == "ip":
         return f"{240 + d.below(15)}.{d.below(256)}.{d.below(256)}.{1 + d.below(254)}"
     if kind == "secret":
         if value.startswith("AKIA"):
-            return "AKIA" + "".join(d.one_of(list("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")) for _ in value[4:])
-        return d.hex_like(value) if re.fullmatch("[0-9a-f]+", value) else d.like(value)
+            return "AKIA" + "".join(d.one_of(list("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")) for _ in value[4:] + "A" * longer)
+        if re.fullmatch("[0-9a-f]+", value) or not any(c.isalnum() for c in value):
+            return d.hex_like("0" * max(len(value), 0 if value.isalnum() else 32) + "0" * longer)
+        return d.like(value + "a" * longer)
     what, *rest = kind.split(":")
     script = rest[-1]
     ending = ENDINGS[script][rest[0] if what == "given" else "family"]
@@ -227,7 +240,7 @@ def render(kind: str, mention: str, surrogate: str) -> str:
     """The surrogate in the format of the mention."""
     if kind in ("phone", "card"):
         digits = iter(re.sub(r"\D", "", surrogate))
-        return "".join(next(digits, c) if c.isdigit() else c for c in mention)
+        return "".join([*(next(digits, c) if c.isdigit() else c for c in mention), *digits])
     if kind == "email":
         return surrogate.upper() if mention.isupper() else surrogate
     if ":" in kind:
@@ -271,7 +284,7 @@ def assign(entities: DataFrame, key: bytes = KEY) -> DataFrame:
     family = F.substring_index("type", ":", 1)
     values = saved(entities.withColumn("attempt", F.lit(0)), "entities")
     drawn = draw_all(values, key)
-    for _ in range(ROUNDS):
+    while True:  # the space of a surrogate grows with its attempts
         first = Window.partitionBy(family, "surrogate").orderBy("attempt", "type", "value")  # as many rows as entities that collide
         taken = values.select(family.alias("family"), F.col("value").alias("surrogate")).distinct().withColumn("occurs", F.lit(True))
         ranked = drawn.withColumn("family", family).withColumn("place", F.row_number().over(first)).join(taken, ["family", "surrogate"], "left")
@@ -280,7 +293,6 @@ def assign(entities: DataFrame, key: bytes = KEY) -> DataFrame:
             return judged.select("type", "value", "surrogate")
         again = draw_all(judged.where("NOT good").withColumn("attempt", F.col("attempt") + 1), key)
         drawn = judged.where("good").select(*DRAWN.names).unionByName(again)
-    raise ValueError(f"no distinct surrogates after {ROUNDS} rounds")
 
 
 def replace(docs: DataFrame, mentions: str, plan: str, schema: T.StructType) -> DataFrame:
