@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from wattmill.llm import language_id as li
@@ -32,6 +34,19 @@ def test_what_is_rejected(frame):
     assert all(r.kept for (d, _), r in found.items() if d not in (1, 2))
 
 
+def test_every_declared_language_is_known(frame):
+    draw = random.Random(3)
+    rows, wanted = [], {}
+    for k in range(80):  # languages with words of their own, all without a key
+        words = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)]
+        for i in range(2 if k == 79 else 5 + k % 3):
+            text = " ".join(draw.choices(words, k=60))
+            rows.append((None, text, f"l{k}", None))
+            wanted[text] = f"l{k}"
+    found = li.identify(frame(rows)).collect()
+    assert {r.text: r.language for r in found if r.kept} == wanted
+
+
 def test_pages(spark):
     html = f'<!DOCTYPE html><html class="x" lang="en-GB"><head><script>var das = 1;</script></head><body><p>{ENGLISH}</p><!-- der --></body></html>'
     pages = spark.createDataFrame([(1, "https://user@Blog.Site.example.co.uk:80/x?y", html), (2, None, None)], "page_id bigint, url string, html string")

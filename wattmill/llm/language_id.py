@@ -11,8 +11,8 @@ The last three come from grouped counts over all rows of what the text alone say
 with a third of all rows is one entry. The posterior is the normalised product. A row is kept if the best language is a known one
 with a posterior of at least ``least``; text without letters says nothing and is rejected.
 
-The text model is fitted on at most about ``PER_LANGUAGE`` labelled rows of each declared language, drawn by hash of text and id,
-for the ``LANGUAGES`` most frequent declared languages with at least ``LEAST_ROWS`` rows. Everything else uses all rows.
+The text model is fitted on at most about ``PER_LANGUAGE`` labelled rows of each declared language, drawn by hash of text and id.
+Every declared language is modelled, however rare. Everything else uses all rows.
 
 Nulls: a null text has no letters; null declaration, suffix or host is no evidence. Repeated rows are judged alike. With no labelled
 row at all, nothing is kept. Empty table: empty result. Columns of ``docs`` besides the named ones are carried along by
@@ -30,19 +30,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattmill.llm.common import arrow_schema, fresh, saved, struct, texts_in_blocks
-from wattmill.llm.word_blocks import pack, unpack
+from wattmill.llm.common import arrow_schema, emit, fresh, saved, struct, text_key, texts_in_blocks
 
 SLOTS = 1 << 16
 EFFECTIVE = 60
 PER_LANGUAGE = 2000
-LANGUAGES = 64
-LEAST_ROWS = 5
 WEIGHT = 20.0  # rows that a parent's prior counts for
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 UNKNOWN = "und"
 
-COUNTS = struct(label="string", counts="binary")
+COUNTS = struct(label="string", slots="binary", counts="binary")
 
 
 def trigram_slots(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -59,55 +56,68 @@ def trigram_slots(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return slots, bounds
 
 
-def fit(docs: DataFrame, text: str, declared: str, key: Column) -> tuple[list[str], np.ndarray]:
-    """Known languages and their log-probabilities; the last row is the unknown language."""
-    labelled = docs.select(F.col(text).alias("text"), F.col(declared).alias("label"), F.pmod(F.xxhash64(key, F.lit("fit")), F.lit(1 << 20)).alias("draw"))
-    labelled = labelled.where("label IS NOT NULL AND text IS NOT NULL")
-    sizes = labelled.groupBy("label").count().where(F.col("count") >= LEAST_ROWS).orderBy(F.desc("count"), "label").limit(LANGUAGES).collect()
+def fit(docs: DataFrame, text: str, declared: str, key: Column) -> tuple[list[str], list[tuple[float, np.ndarray, np.ndarray]]]:
+    """Known languages, and for each the log-probability of a slot that it lacks, the slots it has and their log-probabilities."""
+    drawn = F.pmod(F.xxhash64(key, text_key(F.col(text)), F.lit("fit")), F.lit(1 << 20))
+    labelled = docs.select(F.col(text).alias("text"), F.col(declared).alias("label"), drawn.alias("draw")).where("label IS NOT NULL AND text IS NOT NULL")
+    # one row per declared language; its first draw is in any case taken
+    sizes = labelled.groupBy("label").agg(F.count("*").alias("count"), F.min("draw").alias("first")).collect()
     if not sizes:
-        return [], np.zeros((0, SLOTS + 1), dtype=np.float32)
-    limit = F.lit(0)
-    for r in sizes:
-        limit = F.when(F.col("label") == r["label"], int(min(1.0, PER_LANGUAGE / r["count"]) * (1 << 20))).otherwise(limit)
+        return [], []
+    limits = [(r["label"], max(int(min(1.0, PER_LANGUAGE / r["count"]) * (1 << 20)), r["first"] + 1)) for r in sizes]
+    limit = F.element_at(F.map_from_arrays(F.array(*(F.lit(x) for x, _ in limits)), F.array(*(F.lit(n) for _, n in limits))), F.col("label"))
     schema = arrow_schema(COUNTS)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, np.ndarray] = {}
+    def row(slots: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
+        found, place = np.unique(slots, return_inverse=True)
+        return found.astype("<u4").tobytes(), np.bincount(place, counts, len(found)).astype("<i8").tobytes()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             for part, texts in texts_in_blocks(batch, 0):
-                slots, bounds = trigram_slots(texts)
-                for label, begin, end in zip(part.column(1).to_pylist(), bounds[:-1], bounds[1:], strict=True):
-                    total.setdefault(label, np.zeros(SLOTS + 1, dtype=np.int64))
-                    total[label] += np.bincount(slots[begin:end], minlength=SLOTS + 1)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array([pack(c) for c in total.values()], pa.binary())], schema=schema)
+                by_label: dict[str, list[bytes]] = {}
+                for label, spelt in zip(part.column(1).to_pylist(), texts, strict=True):
+                    by_label.setdefault(label, []).append(spelt)
+                for label, own in by_label.items():
+                    slots = trigram_slots(own)[0]
+                    slots = slots[slots < SLOTS]
+                    yield label, *row(slots, np.ones(len(slots)))
 
     def add(key: tuple, table: pa.Table) -> pa.Table:
-        # one small row per task and language
-        return pa.table({"label": [key[0].as_py()], "counts": [pack(sum(unpack(c).astype(np.int64) for c in table.column("counts").to_pylist()))]})
-
-    rows = labelled.where(F.col("draw") < limit).select("text", "label").mapInArrow(count, COUNTS).groupBy("label").applyInArrow(add, COUNTS).collect()
-    found = {r["label"]: unpack(bytes(r["counts"])).astype(np.float64)[:SLOTS] for r in rows}
-    labels = sorted(found)
-    table = np.zeros((len(labels) + 1, SLOTS + 1), dtype=np.float32)
-    for k, label in enumerate(labels):
-        table[k, :SLOTS] = np.log((found[label] + 0.5) / (found[label].sum() + 0.5 * SLOTS))
-    table[-1, :SLOTS] = -math.log(SLOTS)
-    return labels, table
-
-
-def with_likelihoods(docs: DataFrame, text: str, labels: list[str], table: np.ndarray, column: str) -> DataFrame:
+        # the slots of at most about PER_LANGUAGE texts
+        slots, counts = (np.frombuffer(b"".join(table.column(c).to_pylist()), dtype=d) for c, d in (("slots", "<u4"), ("counts", "<i8")))
+        slots, counts = row(slots, counts)
+        return pa.table({"label": [key[0].as_py()], "slots": [slots], "counts": [counts]}, schema=schema)
+
+    counted = labelled.where(F.col("draw") < limit).select("text", "label").mapInArrow(lambda batches: emit(schema, count(batches)), COUNTS)
+    model = {}
+    for r in counted.groupBy("label").applyInArrow(add, COUNTS).toLocalIterator():
+        counts = np.frombuffer(bytes(r["counts"]), dtype="<i8")
+        total = counts.sum() + 0.5 * SLOTS
+        model[r["label"]] = math.log(0.5 / total), np.frombuffer(bytes(r["slots"]), dtype="<u4"), np.log((counts + 0.5) / total).astype(np.float32)
+    labels = sorted(model)
+    return labels, [model[x] for x in labels]
+
+
+def with_likelihoods(docs: DataFrame, text: str, model: list[tuple[float, np.ndarray, np.ndarray]], column: str) -> DataFrame:
     """``docs`` with an array of tempered log-likelihoods, languages in order and the unknown one last; null without letters."""
-    model = docs.sparkSession.sparkContext.broadcast(table)  # LANGUAGES x SLOTS floats at most
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # the slots that occur in each declared language
     schema = T.StructType([*docs.schema.fields, T.StructField(column, T.ArrayType(T.DoubleType()))])
     at = docs.columns.index(text)
 
+    def weights() -> Iterator[np.ndarray]:
+        for absent, slots, present in [*shared.value, (-math.log(SLOTS), np.zeros(0, dtype=np.int64), 0.0)]:
+            row = np.full(SLOTS + 1, absent, dtype=np.float32)
+            row[slots] = present
+            row[SLOTS] = 0.0
+            yield row
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = model.value
         for batch in batches:
             for part, texts in texts_in_blocks(batch, at):
                 slots, bounds = trigram_slots(texts)
                 grams = np.maximum(np.diff(bounds) - 2, 0)
-                sums = np.stack([np.add.reduceat(row[slots], bounds[:-1], dtype=np.float64) for row in weights], axis=1)
+                sums = np.stack([np.add.reduceat(row[slots], bounds[:-1], dtype=np.float64) for row in weights()], axis=1)
                 sums *= np.minimum(1.0, EFFECTIVE / np.maximum(grams, 1))[:, None]
                 values = [s if g else None for s, g in zip(sums.tolist(), grams.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values, pa.list_(pa.float64()))], names=[*part.schema.names, column])
@@ -115,10 +125,6 @@ def with_likelihoods(docs: DataFrame, text: str, labels: list[str], table: np.nd
     return docs.mapInArrow(score, schema)
 
 
-def log_array(values: list[Column]) -> Column:
-    return F.array(*(F.log(v) for v in values))
-
-
 def identify(
     docs: DataFrame, text: str = "text", declared: str | None = "lang", host: str | None = "source", suffix: str | None = None, key: str = "doc_id", least: float = 0.5
 ) -> DataFrame:
@@ -127,12 +133,12 @@ def identify(
     names = {n: fresh(docs, n) for n in ("language", "posterior", "text_language", "kept", "_likelihood", "_host", "_label", "_suffix")}
     base = docs.withColumn(names["_host"], F.col(host).cast("string") if host else F.lit(None).cast("string"))
     base = base.withColumn(names["_label"], label).withColumn(names["_suffix"], F.col(suffix).cast("string") if suffix else F.lit(None).cast("string"))
-    labels, table = fit(base, text, names["_label"], F.col(key))
+    labels, model = fit(base, text, names["_label"], F.col(key))
     if not labels:
         empty = base.withColumn(names["language"], F.lit(None).cast("string")).withColumn(names["posterior"], F.lit(None).cast("double"))
         empty = empty.withColumn(names["text_language"], F.lit(None).cast("string")).withColumn(names["kept"], F.lit(False))
         return empty.drop(names["_host"], names["_label"], names["_suffix"])
-    scored = with_likelihoods(base, text, labels, table, names["_likelihood"])
+    scored = with_likelihoods(base, text, model, names["_likelihood"])
     every = [*labels, UNKNOWN]
     best = lambda a: F.element_at(F.array(*map(F.lit, every)), F.array_position(a, F.array_max(a)).cast("int"))
     like = F.col(names["_likelihood"])
@@ -141,33 +147,38 @@ def identify(
     )
     # every row's verdict by text alone, as counts
     counts = saved(facts.groupBy("host", "label", "suffix", "best").agg(F.count("*").alias("n")), "evidence")
-    told = [F.sum(F.when(F.col("best") == v, F.col("n")).otherwise(0)).cast("double").alias(f"c{i}") for i, v in enumerate(every)]
-    n = [F.col(f"c{i}") for i in range(len(every))]
-    total = counts.agg(*told).first()
-    sums = [float(total[i] or 0.0) for i in range(len(every))]
+    seen = {r["best"]: float(r["n"]) for r in counts.groupBy("best").agg(F.sum("n").alias("n")).collect()}
+    sums = [seen.get(v, 0.0) for v in every]
     whole = [(s + 1) / (sum(sums) + len(every)) for s in sums]
+    array = lambda values: F.array(*map(F.lit, values))
+
+    def told(rows: DataFrame, column: str) -> DataFrame:
+        """``column`` and how many of its rows have each language."""
+        by = rows.where(F.col(column).isNotNull()).groupBy(column, "best").agg(F.sum("n").cast("double").alias("n"))
+        # one entry per language
+        by = by.groupBy(column).agg(F.map_from_entries(F.collect_list(F.struct("best", "n"))).alias("by"))
+        return by.select(column, F.transform(array(every), lambda v: F.coalesce(F.element_at("by", v), F.lit(0.0))).alias("n"))
 
     def given_language(column: str, name: str) -> DataFrame:
         """log P(column | language): each value's share of the language's rows, add-one smoothed."""
-        return counts.where(F.col(column).isNotNull()).groupBy(column).agg(*told).select(
-            F.col(column).alias(f"{name}_key"), log_array([(c + 1) / (s + 50) for c, s in zip(n, sums, strict=True)]).alias(name)
-        )
+        return told(counts, column).select(F.col(column).alias(f"{name}_key"), F.zip_with("n", array(sums), lambda c, s: F.log((c + 1) / (s + 50))).alias(name))
 
     parent = F.when(F.size(F.split("host", r"\.")) > 2, F.substring_index("host", ".", -2))
-    by_domain = counts.withColumn("domain", parent).where("domain IS NOT NULL").groupBy("domain").agg(*told)
-    size = sum(n[1:], n[0])
-    domains = by_domain.select("domain", F.array(*((c + WEIGHT * w) / (size + WEIGHT) for c, w in zip(n, whole, strict=True))).alias("up"))
-    hosts = counts.where("host IS NOT NULL").groupBy("host").agg(*told).withColumn("domain", parent).join(domains, "domain", "left")
-    up = F.coalesce(F.col("up"), F.array(*map(F.lit, whole)))
-    priors = hosts.select(F.col("host").alias("prior_key"), log_array([(c + WEIGHT * up[i]) / (size + WEIGHT) for i, c in enumerate(n)]).alias("prior"))
+    size = F.aggregate("n", F.lit(0.0), lambda a, c: a + c)
+    smoothed = lambda up: F.zip_with("n", up, lambda c, w: c + WEIGHT * w)
+    domains = told(counts.withColumn("domain", parent), "domain").withColumn("size", size + WEIGHT)
+    domains = domains.select("domain", F.transform(smoothed(array(whole)), lambda c: c / F.col("size")).alias("up"))
+    hosts = told(counts, "host").withColumn("size", size + WEIGHT).withColumn("domain", parent).join(domains, "domain", "left")
+    hosts = hosts.withColumn("up", F.coalesce("up", array(whole)))
+    priors = hosts.select(F.col("host").alias("prior_key"), F.transform(smoothed(F.col("up")), lambda c: F.log(c / F.col("size"))).alias("prior"))
 
     s, h = scored.alias("s"), priors.alias("h")
     d, x = given_language("label", "declared").alias("d"), given_language("suffix", "address").alias("x")
     at = lambda c: F.col(f"s.{names[c]}")
     joined = s.join(h, at("_host") == F.col("h.prior_key"), "left").join(d, at("_label") == F.col("d.declared_key"), "left").join(x, at("_suffix") == F.col("x.address_key"), "left")
-    no_evidence = F.array(*(F.lit(0.0) for _ in every))
+    no_evidence = array([0.0] * len(every))
     add = lambda a, b: F.zip_with(a, b, lambda p, q: p + q)
-    logs = add(at("_likelihood"), F.coalesce(F.col("h.prior"), log_array([F.lit(w) for w in whole])))
+    logs = add(at("_likelihood"), F.coalesce(F.col("h.prior"), array([math.log(w) for w in whole])))
     logs = add(add(logs, F.coalesce(F.col("d.declared"), no_evidence)), F.coalesce(F.col("x.address"), no_evidence))
     top = fresh(docs, "_top")
     fused = joined.select(*(F.col(f"s.`{c}`") for c in docs.columns), at("_likelihood"), logs.alias(top))
