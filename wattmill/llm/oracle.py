@@ -50,6 +50,47 @@ SELECT doc_id, CASE WHEN text IS NOT NULL THEN coalesce(rest, '') END AS text, c
     coalesce(removed, '') AS removed FROM l LEFT JOIN d USING (doc_id)
 """
 
+# the same CRC-32 of a decimal number
+CRC_STEPS = CRC.split("crcs AS")[0].strip().rstrip(",")
+
+
+def crc_of(number: str) -> str:
+    bytes_of = f"list_transform(string_split({number}, ''), lambda c: ascii(c)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bytes_of}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def _field(column: str) -> str:
+    return f"coalesce(octet_length(encode({column}::VARCHAR)) || ':' || {column}::VARCHAR, '-')"
+
+
+_HEAD = " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars")))
+_LOWERED = _field("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+
+OP12 = f"""
+WITH RECURSIVE {CRC_STEPS},
+hashed AS (SELECT doc_id, lang, sha256({_HEAD} || {_field("text")}) AS leaf,
+    CASE WHEN {crc_of("doc_id::VARCHAR")} % 3 = 0 THEN sha256({_HEAD} || {_LOWERED}) END AS changed FROM documents, steps),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM hashed),
+nodes AS (SELECT lang, 0 AS level, pos, n, leaf AS digest FROM leaves
+    UNION ALL SELECT lang, level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY lang, level, pos // 8, n),
+subroots AS (SELECT lang, digest, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (SELECT 0 AS level, pos, n, digest FROM subroots
+    UNION ALL SELECT level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY level, pos // 8, n),
+runs AS (SELECT lang, level, pos // 8 AS up, list(digest ORDER BY pos) AS m FROM nodes WHERE n > 1 GROUP BY ALL),
+top_runs AS (SELECT level, pos // 8 AS up, list(digest ORDER BY pos) AS m FROM tops WHERE n > 1 GROUP BY ALL),
+ways AS (SELECT l.lang, l.pos, list(array_to_string(list_slice(m, 1, k), '') || '|' || array_to_string(list_slice(m, k + 2, len(m)), '') ORDER BY level) AS s
+    FROM (SELECT l.lang, l.pos, r.level, r.m, (l.pos >> (3 * r.level)) % 8 AS k FROM leaves l JOIN runs r
+        ON l.lang IS NOT DISTINCT FROM r.lang AND r.up = (l.pos >> (3 * r.level + 3))) l GROUP BY 1, 2),
+top_ways AS (SELECT pos, list(array_to_string(list_slice(m, 1, k), '') || '|' || array_to_string(list_slice(m, k + 2, len(m)), '') ORDER BY level) AS s
+    FROM (SELECT l.pos, r.level, r.m, (l.pos >> (3 * r.level)) % 8 AS k FROM subroots l JOIN top_runs r ON r.up = (l.pos >> (3 * r.level + 3))) GROUP BY 1),
+whole AS (SELECT doc_id, leaf, coalesce(changed, leaf) AS seen, s.digest AS subroot, list_concat(coalesce(w.s, []), coalesce(t.s, [])) AS steps
+    FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang
+    LEFT JOIN ways w ON l.lang IS NOT DISTINCT FROM w.lang AND l.pos = w.pos LEFT JOIN top_ways t ON s.pos = t.pos),
+done AS (SELECT *, (SELECT digest FROM tops WHERE n = 1) AS root,
+    list_reduce(list_prepend(seen, steps), lambda own, step: sha256(split_part(step, '|', 1) || own || split_part(step, '|', 2))) AS folded_root FROM whole)
+SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(steps, ''), '|', '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM done
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_wu_manber": OP3, "op5_interleave": OP5, "op9_unit_dedup": OP9}
+    return {"op3_wu_manber": OP3, "op5_interleave": OP5, "op9_unit_dedup": OP9, "op12_merkle_proofs": OP12}

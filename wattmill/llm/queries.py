@@ -15,6 +15,7 @@ from wattmill.llm.decontaminate import contamination
 from wattmill.llm.interleave import interleave
 from wattmill.llm.interpolation import scores
 from wattmill.llm.language_id import identify, pages_as_documents
+from wattmill.llm.merkle import proofs
 from wattmill.llm.rans import token_files
 from wattmill.llm.surrogates import surrogate_texts
 from wattmill.llm.unit_dedup import unit_dedup
@@ -75,6 +76,10 @@ def op10_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_quality(documents(spark, sf_dir)).select(*columns)
 
 
+def op12_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return proofs(documents(spark, sf_dir))
+
+
 QUERIES = (
     op1_surrogates,
     op2_deleted_interpolation,
@@ -86,6 +91,7 @@ QUERIES = (
     op8_word_bpe,
     op9_unit_dedup,
     op10_adaptive_quality,
+    op12_merkle_proofs,
     language_of_pages,
 )
 
