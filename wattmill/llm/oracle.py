@@ -91,6 +91,26 @@ done AS (SELECT *, (SELECT digest FROM tops WHERE n = 1) AS root,
 SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(steps, ''), '|', '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM done
 """
 
+OP11 = f"""
+WITH {CRC_STEPS},
+turns AS (SELECT conv_id, turn, md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS w FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(k ORDER BY turn NULLS FIRST, k) AS ks, list(w ORDER BY turn NULLS FIRST, k) AS ws FROM turns GROUP BY 1),
+heads AS (SELECT conv_id, conv_id - conv_id % 20 AS head_id, ks, ws, {crc_of("conv_id::VARCHAR")} % 4 AS h FROM own, steps),
+rebuilt AS (SELECT c.conv_id, list_concat(list_slice(coalesce(o.ks, []), 1, h), list_slice(c.ks, h + 1, len(c.ks))) AS ks,
+    list_concat(list_slice(coalesce(o.ws, []), 1, h), list_slice(c.ws, h + 1, len(c.ws))) AS ws FROM heads c LEFT JOIN own o ON o.conv_id = c.head_id),
+visits AS (SELECT conv_id, d, len(ks) = d AS ends, array_to_string(list_slice(ks, 1, d), '') AS key, CASE WHEN d > 0 THEN ws[d] ELSE 0 END AS w
+    FROM (SELECT *, unnest(range(0, len(ks) + 1)) AS d FROM rebuilt)),
+nodes AS (SELECT key, d, min(conv_id) AS conv_id, count(*) AS n, any_value(w) AS w, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ids
+    FROM visits GROUP BY key, d),
+children AS (SELECT left(key, 32 * (d - 1)) AS key, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+sums AS (SELECT left(key, 32 * j) AS key, sum((n - 1) * w) AS tokens, count(*) FILTER (WHERE leaf) AS leaves
+    FROM (SELECT n.key, n.n, n.w, c.n IS NULL AS leaf, unnest(range(0, d + 1)) AS j FROM nodes n LEFT JOIN children c USING (key)) GROUP BY 1)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(c.n, 0) AS n_children, s.leaves AS n_leaves,
+    s.tokens::BIGINT AS saved_tokens, sha256(n.ids) AS ends_sha256
+FROM nodes n JOIN sums s USING (key) LEFT JOIN children c USING (key) LEFT JOIN nodes p ON n.d > 0 AND p.key = left(n.key, 32 * (n.d - 1))
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_wu_manber": OP3, "op5_interleave": OP5, "op9_unit_dedup": OP9, "op12_merkle_proofs": OP12}
+    return {"op3_wu_manber": OP3, "op5_interleave": OP5, "op9_unit_dedup": OP9, "op11_prefix_trie": OP11, "op12_merkle_proofs": OP12}

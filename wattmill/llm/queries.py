@@ -16,6 +16,8 @@ from wattmill.llm.interleave import interleave
 from wattmill.llm.interpolation import scores
 from wattmill.llm.language_id import identify, pages_as_documents
 from wattmill.llm.merkle import proofs
+from wattmill.llm.prefix_trie import shared_prefixes
+from wattmill.llm.quality_classifier import quality_scores
 from wattmill.llm.rans import token_files
 from wattmill.llm.surrogates import surrogate_texts
 from wattmill.llm.unit_dedup import unit_dedup
@@ -76,10 +78,18 @@ def op10_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_quality(documents(spark, sf_dir)).select(*columns)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_prefixes(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op12_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proofs(documents(spark, sf_dir))
 
 
+def op13_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = (
     op1_surrogates,
     op2_deleted_interpolation,
@@ -91,7 +101,9 @@ QUERIES = (
     op8_word_bpe,
     op9_unit_dedup,
     op10_adaptive_quality,
+    op11_prefix_trie,
     op12_merkle_proofs,
+    op13_fourier_quality,
     language_of_pages,
 )
 
