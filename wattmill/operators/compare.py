@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from itertools import combinations
 
@@ -25,21 +26,45 @@ RUN_RESULTS = """
 """
 
 
-def _canonical(field: T.StructField, decimals: int) -> Column:
+EXACT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)
+FLOATING = (T.DoubleType, T.FloatType)
+
+
+def _exact(column: Column, kind: T.DataType) -> Column:
+    """Whole numbers and decimals as text without loss; 1 and 1.00 are one number."""
+    text = column.cast("string")
+    if isinstance(kind, T.DecimalType) and kind.scale:
+        text = F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    return F.when(column == 0, "0").otherwise(text)
+
+
+def _rounded(column: Column, decimals: int) -> Column:
+    """Floating numbers on a grid of ``decimals``, in the text that an exact number of that value has."""
+    value = F.round(column.cast("double"), decimals) + F.lit(0.0)
+    wide = F.abs(value) < 10.0 ** (34 - decimals)
+    digits = F.when(wide, value).try_cast(f"decimal(38,{decimals})")
+    return F.coalesce(_exact(digits, T.DecimalType(38, decimals)), value.cast("string"))
+
+
+def _text(field: T.StructField) -> Column:
     column = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-        column = (F.round(column.cast("double"), decimals) + F.lit(0.0)).cast("string")
-    elif isinstance(field.dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-        column = (F.round(column.cast("double"), decimals) + F.lit(0.0)).cast("string")
-    elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-        column = F.to_json(column)
-    else:
-        column = column.cast("string")
-    return column
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.to_json(column)
+    return column.cast("string")
 
 
-def _as_text(df: DataFrame, decimals: int) -> DataFrame:
-    return df.select(*[_canonical(f, decimals).alias(f"c{i}") for i, f in enumerate(df.schema.fields)])
+def _forms(df: DataFrame, decimals: int) -> DataFrame:
+    """``c<i>``: each column as text, numbers on the grid. ``e<i>``: exact numbers without loss. ``v<i>``: floating and exact numbers as doubles."""
+    columns = []
+    for i, f in enumerate(df.schema.fields):
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, EXACT):
+            columns += [_rounded(c, decimals).alias(f"c{i}"), _exact(c, f.dataType).alias(f"e{i}"), c.cast("double").alias(f"v{i}")]
+        elif isinstance(f.dataType, FLOATING):
+            columns += [_rounded(c, decimals).alias(f"c{i}"), c.cast("double").alias(f"v{i}")]
+        else:
+            columns.append(_text(f).alias(f"c{i}"))
+    return df.select(*columns)
 
 
 def _checksums(texts: DataFrame, groups: Sequence[Sequence[str]]) -> list:
@@ -48,6 +73,22 @@ def _checksums(texts: DataFrame, groups: Sequence[Sequence[str]]) -> list:
     return list(texts.agg(*sums).first())
 
 
+def _moments(texts: DataFrame, columns: Sequence[str]) -> list[tuple]:
+    """Count, sum and greatest size of each numeric column: what a difference within the tolerance hardly moves."""
+    known = lambda c: F.when(~F.isnan(c) & (F.abs(c) < float("inf")), F.col(c))
+    found = texts.agg(
+        *(f(c).alias(f"{c}{i}") for c in columns for i, f in enumerate((F.count, lambda c: F.sum(known(c)), lambda c: F.max(F.abs(known(c))))))
+    ).first()
+    return [tuple(found[3 * i : 3 * i + 3]) for i in range(len(columns))]
+
+
+def _close(a: tuple, b: tuple, tolerance: float) -> bool:
+    (n, sum_a, top_a), (m, sum_b, top_b) = a, b
+    if n != m or (sum_a is None) != (sum_b is None):
+        return False
+    return sum_a is None or abs(sum_a - sum_b) <= n * (tolerance + 1e-12 * max(top_a, top_b))
+
+
 def _copies(texts: DataFrame, columns: Sequence[int]) -> set[tuple[int, int]]:
     """Pairs of columns that agree in every row."""
     pairs = list(combinations(columns, 2))
@@ -57,16 +98,35 @@ def _copies(texts: DataFrame, columns: Sequence[int]) -> set[tuple[int, int]]:
     return {pair for pair, n in zip(pairs, texts.agg(*differ).first(), strict=True) if not n}
 
 
-def _match_columns(expected: DataFrame, actual: DataFrame, names: Sequence[str], found_names: Sequence[str]) -> list[int] | None:
+def _own(forms: DataFrame, prefix: str) -> list[int]:
+    return [int(c[1:]) for c in forms.columns if c[0] == prefix]
+
+
+def _fits(expected: DataFrame, actual: DataFrame, tolerance: float) -> tuple[list[list[int]], list[list[int]]]:
+    """For each expected column the actual ones that may be it, and among them those that agree in every text."""
+    texts, others = _own(expected, "c"), _own(actual, "c")
+    numbers, other_numbers = _own(expected, "v"), _own(actual, "v")
+    wanted = _checksums(expected, [[f"c{i}"] for i in texts])
+    found = _checksums(actual, [[f"c{i}"] for i in others])
+    equal = [[i for i in others if found[i] == wanted[n]] for n in texts]
+    near: dict[int, list[int]] = {}
+    floating = lambda frame, i: f"e{i}" not in frame.columns
+    if any(not equal[n] for n in numbers) and other_numbers:
+        ours = dict(zip(numbers, _moments(expected, [f"v{n}" for n in numbers]), strict=True))
+        theirs = dict(zip(other_numbers, _moments(actual, [f"v{i}" for i in other_numbers]), strict=True))
+        near = {n: [i for i in other_numbers if (floating(expected, n) or floating(actual, i)) and _close(ours[n], theirs[i], tolerance)] for n in numbers}
+    return [own or near.get(n, []) for n, own in enumerate(equal)], equal
+
+
+def _match_columns(expected: DataFrame, actual: DataFrame, names: Sequence[str], found_names: Sequence[str], tolerance: float) -> list[int] | None:
     """Position in ``actual`` of each expected column, so that whole rows agree if they can.
 
-    Columns of equal content are candidates. Where a column has several, the columns matched so far are compared
+    Columns of equal content are candidates; a floating column that has no equal takes those whose count and sum agree within the
+    tolerance. Where a column has several, the columns of equal content matched so far are compared
     together with each, as rows, and only assignments that still agree go on. Columns that agree in every row are
     interchangeable and tried in one order. Among what remains, most equal names wins.
     """
-    wanted = _checksums(expected, [[c] for c in expected.columns])
-    found = _checksums(actual, [[c] for c in actual.columns])
-    fits = [[i for i, p in enumerate(found) if p == print_] for print_ in wanted]
+    fits, equal = _fits(expected, actual, tolerance)
     if not all(fits):
         return None
     copies = _copies(actual, sorted({i for options in fits if len(options) > 1 for i in options}))
@@ -79,8 +139,9 @@ def _match_columns(expected: DataFrame, actual: DataFrame, names: Sequence[str],
             if i not in chosen and not any((j, i) in copies and j not in chosen for j in options if j < i)
         ]
         if len(grown) > 1:
-            [want] = _checksums(expected, [expected.columns[: n + 1]])
-            got = _checksums(actual, [[f"c{i}" for i in chosen] for chosen in grown])
+            sure = [m for m in range(n + 1) if equal[m]]
+            [want] = _checksums(expected, [[f"c{m}" for m in sure]]) if sure else [None]
+            got = _checksums(actual, [[f"c{chosen[m]}" for m in sure] for chosen in grown]) if sure else [None] * len(grown)
             grown = [chosen for chosen, p in zip(grown, got, strict=True) if p == want]
         if not grown:
             return None
@@ -96,35 +157,91 @@ def _stored(texts: DataFrame, name: str) -> DataFrame:
     return texts.sparkSession.read.schema(texts.schema).parquet(path)
 
 
-def compare_results(expected: DataFrame, actual: DataFrame, decimals: int = 6, row_cap: int = ROW_CAP) -> DataFrame:
+def _aligned(left: DataFrame, right: DataFrame, order: Sequence[int]) -> tuple[DataFrame, list[str], list[str]]:
+    """Both sides under one set of columns: their union with ``side``, the key columns and the floating ones."""
+    ours, theirs, keys, floats = [], [], [], []
+    for n in _own(left, "c"):
+        i = order[n] if n < len(order) else None
+        if i is None:  # nothing to compare with: no value equals this text
+            pair = F.col(f"c{n}"), F.lit("\u0000absent")
+        elif f"e{n}" in left.columns and f"e{i}" in right.columns:
+            pair = F.col(f"e{n}"), F.col(f"e{i}")
+        else:
+            pair = F.col(f"c{n}"), F.col(f"c{i}")
+            if f"v{n}" in left.columns and f"v{i}" in right.columns:
+                ours.append(F.col(f"v{n}").alias(f"v{n}"))
+                theirs.append(F.col(f"v{i}").alias(f"v{n}"))
+                floats.append(f"v{n}")
+        ours.append(pair[0].alias(f"c{n}"))
+        theirs.append(pair[1].alias(f"c{n}"))
+        keys.append(f"c{n}")
+    both = left.select(*ours, F.lit(1).alias("side")).unionByName(right.select(*theirs, F.lit(-1).alias("side")))
+    return both, keys, floats
+
+
+def _within_tolerance(surplus: DataFrame, keys: Sequence[str], floats: Sequence[str], tolerance: float) -> DataFrame:
+    """Rows that have no equal, gathered with those that differ from them by no more than the tolerance in floating columns.
+
+    Each floating value has a cell of the tolerance's width, so near values are in the same or the next cell, and the sums of a row's
+    cells differ by no more than the number of columns. Rows meet by their other columns and this sum, in cells as wide as that number and
+    in both cells beside; then the values themselves decide. A row takes the least text among the rows near it as its name, which is the same for
+    rows that are all near to each other.
+    """
+    known = lambda c: ~F.isnan(c) & (F.abs(c) < 1e20)
+    number = {c: F.when(known(c), F.col(c)) for c in floats}
+    exact = [k for k in keys if f"v{k[1:]}" not in floats]
+    # what has no place on a grid (null, NaN, infinite, very large) must agree as text
+    odd = [F.when(number[c].isNull(), F.coalesce(F.col(c).cast("string"), F.lit("null"))) for c in floats]
+    cells = [F.coalesce(F.floor((number[c] / tolerance).cast("decimal(38,6)")).cast("decimal(36,0)"), F.lit(0)) for c in floats]
+    place = F.floor(functools.reduce(lambda a, b: a + b, cells) / (len(floats) + 1)).cast("decimal(36,0)")
+    name = F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), 256)
+    rows = surplus.select(*floats, "n", name.alias("name"), F.xxhash64(*exact, *odd).alias("same"), place.alias("place"))
+    rows = _stored(rows, "surplus")
+    beside = rows.withColumn("place", F.explode(F.array(*(F.col("place") + d for d in (-1, 0, 1)))))
+    a, b = rows.alias("a"), beside.alias("b")
+    near = (F.col("a.same") == F.col("b.same")) & (F.col("a.place") == F.col("b.place"))
+    for c in floats:
+        x, y = (F.when(known(f"{side}.{c}"), F.col(f"{side}.{c}")) for side in "ab")
+        near &= F.coalesce(F.abs(x - y) <= tolerance, F.lit(True))
+    named = a.join(b, near).groupBy("a.name").agg(F.min("b.name").alias("as"), F.first("a.n").alias("n"))
+    return named.groupBy("as").agg(F.sum("n").alias("n"))
+
+
+def compare_results(expected: DataFrame, actual: DataFrame, decimals: int = 6, row_cap: int = ROW_CAP, tolerance: float | None = None) -> DataFrame:
     """Compare two results as multisets of rows: one row with verdict and counts.
 
     Order and column names do not matter, further columns of ``actual`` are ignored, row counts must
-    agree. Copies of a row are counted before the two sides meet, so a row repeated a million times is
-    one row in the shuffle. ``over_cap`` only tells that a capped scorer would not have seen all.
+    agree. Whole numbers and decimals are compared exactly. Where one side is floating, values agree if they round alike to ``decimals`` or differ by
+    at most ``tolerance`` (half a unit of the last decimal), so a value on the edge of rounding is no difference. Copies of a row are counted
+    before the two sides meet, so a row repeated a million times is one row in the shuffle, and only rows without an equal
+    look for near ones. ``over_cap`` only tells that a capped scorer would not have seen all.
     """
-    left, right = _stored(_as_text(expected, decimals), "expected"), _stored(_as_text(actual, decimals), "actual")
-    order = _match_columns(left, right, expected.columns, actual.columns)
+    tolerance = tolerance if tolerance is not None else 0.5 * 10.0**-decimals
+    left, right = _stored(_forms(expected, decimals), "expected"), _stored(_forms(actual, decimals), "actual")
+    order = _match_columns(left, right, expected.columns, actual.columns, tolerance)
     if order is None:  # no column assignment fits: line up by position and let the rows tell
         order = list(range(min(len(expected.columns), len(actual.columns))))
-    columns = left.columns
-    padded = [F.col(f"c{order[i]}") if i < len(order) else F.lit("\u0000absent") for i in range(len(columns))]
-    right = right.select(*[c.alias(n) for c, n in zip(padded, columns, strict=True)])
-    sides = left.withColumn("side", F.lit(1)).unionByName(right.withColumn("side", F.lit(-1)))
-    rows = sides.groupBy(*columns).agg(
-        F.count_if(F.col("side") == 1).alias("n_expected"), F.count_if(F.col("side") == -1).alias("n_actual")
+    sides, keys, floats = _aligned(left, right, order)
+    rows = sides.groupBy(*keys).agg(
+        F.count_if(F.col("side") == 1).alias("n_expected"),
+        F.count_if(F.col("side") == -1).alias("n_actual"),
+        F.sum("side").alias("n"),
+        *(F.min(c).alias(c) for c in floats),
     )
-    surplus = F.col("n_expected") - F.col("n_actual")
+    counted = _stored(rows, "counted")
+    surplus = counted.where("n <> 0").select(*keys, *floats, "n")
+    left_over = _within_tolerance(surplus, keys, floats, tolerance) if floats else surplus
     zero = F.lit(0).cast("long")
-    totals = rows.agg(
-        F.coalesce(F.sum("n_expected"), zero).alias("expected_rows"),
-        F.coalesce(F.sum("n_actual"), zero).alias("actual_rows"),
-        F.coalesce(F.sum(F.greatest(surplus, zero)), zero).alias("missing_rows"),
-        F.coalesce(F.sum(F.greatest(-surplus, zero)), zero).alias("extra_rows"),
+    totals = counted.agg(F.coalesce(F.sum("n_expected"), zero).alias("expected_rows"), F.coalesce(F.sum("n_actual"), zero).alias("actual_rows"))
+    gaps = left_over.agg(
+        F.coalesce(F.sum(F.greatest("n", zero)), zero).alias("missing_rows"), F.coalesce(F.sum(F.greatest(-F.col("n"), zero)), zero).alias("extra_rows")
     )
     good = (F.col("missing_rows") == 0) & (F.col("extra_rows") == 0)
     over = F.greatest("expected_rows", "actual_rows") > row_cap
-    return totals.select(F.when(good, "GOOD").otherwise("BAD").alias("verdict"), "*", over.alias("over_cap"))
+    # one row each
+    return totals.select("*", gaps.select("missing_rows").scalar().alias("missing_rows"), gaps.select("extra_rows").scalar().alias("extra_rows")).select(
+        F.when(good, "GOOD").otherwise("BAD").alias("verdict"), "expected_rows", "actual_rows", "missing_rows", "extra_rows", over.alias("over_cap")
+    )
 
 
 def run_results(raw: DataFrame, column: str = "raw_json") -> DataFrame:

@@ -38,6 +38,34 @@ def measure(
     return table.groupBy(*dims).agg(*[known[m]().alias(m) for m in measures])
 
 
+# What the measures are made of: sums over rows, which add up over any grain.
+PARTS = {
+    "generated_mwh": lambda: F.sum("generated_mwh"),
+    "renewable_rows_mwh": lambda: F.sum(F.when(F.col("is_renewable"), F.col("generated_mwh"))),
+    "emissions_tco2e": lambda: F.sum("emissions_tco2e"),
+}
+
+# the same measures over stored parts
+FROM_PARTS = {
+    "total_generated_mwh": lambda: F.sum("generated_mwh"),
+    "renewable_share": lambda: ratio(F.coalesce(F.sum("renewable_rows_mwh"), F.lit(0.0)), F.sum("generated_mwh")),
+    "emissions_intensity_tco2e_per_mwh": lambda: ratio(F.sum("emissions_tco2e"), F.sum("generated_mwh")),
+}
+
+FINE_GRAIN = ("network_region", "fueltech_group", "month")
+
+
+def measure_parts(wide: DataFrame, grain: Sequence[str | Column] = FINE_GRAIN) -> DataFrame:
+    """Sums by a fine grain, to be stored: one pass over the mart serves every question on coarser dimensions."""
+    dated = wide.withColumn("month", F.trunc("nem_date", "month"))
+    return dated.groupBy(*grain).agg(*[part().alias(name) for name, part in PARTS.items()])
+
+
+def roll_up(parts: DataFrame, measures: Sequence[str], dims: Sequence[str | Column] = ()) -> DataFrame:
+    """The named measures from stored parts, by any dimensions that the parts' grain holds: sums first, ratios last."""
+    return measure(parts, measures, dims, FROM_PARTS)
+
+
 def facility_capacity_factor_between(capacity_factor: DataFrame, facility_code: str, start, end) -> DataFrame:
     """Daily capacity factor of one facility over a closed date range."""
     chosen = capacity_factor.where(F.col("facility_code") == facility_code).where(

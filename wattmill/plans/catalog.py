@@ -91,7 +91,10 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry_roundtrip(spark, sf_dir):
-    return dimensions.dim_unit(star.registry_raw(spark, sf_dir))
+    """Registry files of two fetches in a raw table by day of fetch; the units come from the newest day alone."""
+    target = shared_dir(spark, "registry")
+    ingest.write_raw(star.registry_raw(spark, sf_dir), target)
+    return dimensions.dim_unit(ingest.read_raw(spark, target))
 
 
 def registry_codes(spark, sf_dir):

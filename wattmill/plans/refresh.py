@@ -114,7 +114,7 @@ def refresh_months(spark: SparkSession, w: Warehouse, name: str, wanted: dict[tu
                 "period"
             ).parquet(f"{root}/data/table_version={number}")
             written = versions.written_parts(spark, root, number, ["period"])
-            live.update({changed[month][0]: [versions.Folder(folder)] for (month,), folder in written.items()})
+            live.update({changed[month][0]: [versions.Folder(folder, shape=_months_schema(name).json())] for (month,), folder in written.items()})
         versions.commit(spark, root, versions.Version(number, live=live))
     return read_months(spark, w, name)
 
@@ -147,7 +147,7 @@ def refresh_facility_daily(spark: SparkSession, w: Warehouse, units: DataFrame,
 def refresh_capacity_factor(spark: SparkSession, w: Warehouse, units: DataFrame, names: str) -> DataFrame:
     """Capacity factors follow the stored months of facility days."""
     root = w.table("gold", "facility_daily")
-    wanted = {(part[0], own[0].dir, names): own[0].dir for part, own in versions.current(spark, root).live.items()}
+    wanted = {(part[0], own[0].dir, names): own[0] for part, own in versions.current(spark, root).live.items()}
 
     def build(folders: list) -> DataFrame:
         daily = versions.read(spark, root, _months_schema("facility_daily"), folders)

@@ -67,13 +67,22 @@ def with_landing_keys(raw: DataFrame) -> DataFrame:
     )
 
 
+def fetch_day() -> Column:
+    """Day of the fetch as text, the partition of stored raw tables."""
+    return fetch_time().cast("date").cast("string")
+
+
 def newest_snapshot(raw: DataFrame) -> DataFrame:
     """Files of the most recent fetch.
 
     One fetch is one ``fetched_at`` folder, however many files it holds; a file outside such a
-    folder is a fetch of its own. The newest fetch is found from paths and times alone, so only the
-    winning text is read: its key comes back as a scalar subquery, one row whatever the table size.
+    folder is a fetch of its own. A raw table that is stored by ``fetch_day`` is read for the newest day alone: the day comes
+    from the partitions' names, as a scalar subquery that prunes when the query runs, and the fetch from paths and times of that day's
+    files. Without this partition paths and times of all files are read, and the texts are filtered behind the scan.
     """
+    if "fetch_day" in raw.columns:
+        newest_day = raw.agg(F.max("fetch_day")).scalar()
+        raw = raw.where(F.col("fetch_day").eqNullSafe(newest_day))
     folder = F.regexp_extract("source_file", "^(.*/fetched_at=[^/]+)/", 1)
     fetch = F.struct(
         fetch_time().alias("at"), F.when(folder != "", folder).otherwise(F.col("source_file")).alias("name")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +27,8 @@ def publish_snapshot(df: DataFrame, root: str, keys: Sequence[str], as_json: boo
     """Replace the published copy of a mart, or leave it as it was if keys repeat.
 
     The mart runs once, into a scratch table that also yields the counts. From there it is laid out in
-    ranges of the sorted key, so that a lookup opens the one or two files whose statistics cover it;
+    ranges of the sorted key, so that a lookup opens the one or two files whose statistics cover it, with a
+    Bloom filter for each key column, so that a key that is not there opens no row group at all;
     sampling the ranges and checking the key read the key columns of the scratch table only.
     ``as_json`` stores nested columns as JSON text.
     """
@@ -44,16 +45,26 @@ def publish_snapshot(df: DataFrame, root: str, keys: Sequence[str], as_json: boo
     if not pk_violations(keyed, keys).isEmpty():
         raise DuplicateKeys(f"{root}: {', '.join(keys)} is not unique; the published copy is unchanged")
     folder = f"data/table_version={number}"
-    keyed.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(f"{root}/{folder}")
+    laid_out = keyed.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    with_key_filters(laid_out, keys).mode("overwrite").parquet(f"{root}/{folder}")
     report = dict(counts.get)
-    report["copy_rows"] = versions.read(spark, root, df.schema, [folder]).count()
+    report["copy_rows"] = versions.read(spark, root, df.schema, [versions.Folder(folder)]).count()
     report["ok"] = report["copy_rows"] == report["source_rows"] - report["null_key_rows"]
     if not report["ok"]:
         raise ValueError(f"{root}: {report}; the published copy is unchanged")
-    versions.commit(spark, root, versions.Version(number, live=versions.whole(folder)))
+    versions.commit(spark, root, versions.Version(number, live=versions.whole(folder, df.schema)))
     return report
 
 
+def with_key_filters(df: DataFrame, keys: Sequence[str]) -> DataFrameWriter:
+    """A writer whose files hold a Bloom filter for each text or whole-number key, as large as its distinct values need."""
+    writer = df.write.option("parquet.bloom.filter.adaptive.enabled", True)
+    for key in keys:
+        if isinstance(df.schema[key].dataType, (T.StringType, T.LongType, T.IntegerType)):
+            writer = writer.option(f"parquet.bloom.filter.enabled#{key}", True)
+    return writer
+
+
 def snapshot_to_jdbc(df: DataFrame, url: str, table: str, keys: Sequence[str], properties: dict[str, str]) -> None:
     """The same snapshot into a relational table; keys are checked before anything is replaced."""
     keyed = keyed_rows(df, keys)

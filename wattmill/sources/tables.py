@@ -127,7 +127,7 @@ def write_table(df: DataFrame, root: str, order_by: Sequence[str] = ()) -> DataF
         df = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     folder = f"data/table_version={number}"
     df.write.mode("overwrite").parquet(f"{root}/{folder}")
-    versions.commit(spark, root, versions.Version(number, live=versions.whole(folder)))
+    versions.commit(spark, root, versions.Version(number, live=versions.whole(folder, df.schema)))
     return read_table(spark, root, df.schema)
 
 

@@ -21,6 +21,7 @@ from wattmill.operators.latest import latest_by
 from wattmill.operators.quality import POINT_RULES, SERIES_RULES, Rule, flag
 from wattmill.operators.region_marts import SERIES_KEYS
 from wattmill.sources import versions
+from wattmill.sources.evolution import ReplayNeeded
 from wattmill.sources.landing import fetch_time
 from wattmill.sources.payloads import unit_points
 from wattmill.sources.tables import conform
@@ -73,6 +74,7 @@ class UpsertTable:
         """
         spark = points.sparkSession
         now = versions.current(spark, self.root)
+        self.require_same_rules(now)
         if stream == now.stream and batch_id <= now.batch_id:
             return
         staged = self._stage(points, f"{self.root}/batches/stream={stream or 'direct'}/batch={batch_id}")
@@ -81,17 +83,31 @@ class UpsertTable:
         touched = [tuple(r) for r in kept.select(*self.parts).distinct().collect()]
         number = now.number + 1
         live = dict(now.live)
+        shape = self.stored.json()
         if touched:
             merging = {part: to_merge(live.get(part, [])) for part in touched}
-            before = versions.read(spark, self.root, self.stored, [f.dir for own, _ in merging.values() for f in own])
+            before = versions.read(spark, self.root, self.stored, [f for own, _ in merging.values() for f in own])
             merged = latest_by(before.unionByName(kept), self.keys, self.sequence)
             # The hint lets Spark split a hot folder over several files and join small ones.
             laid_out = merged.hint("rebalance", *self.parts)
             laid_out.write.mode("overwrite").partitionBy(*self.parts).parquet(f"{self.root}/data/table_version={number}")
             written = versions.written_parts(spark, self.root, number, self.parts)
             for part, (gone, level) in merging.items():
-                live[part] = [f for f in live.get(part, []) if f not in gone] + [versions.Folder(written[part], level)]
-        versions.commit(spark, self.root, versions.Version(number, stream, batch_id, live))
+                live[part] = [f for f in live.get(part, []) if f not in gone] + [versions.Folder(written[part], level, shape)]
+        versions.commit(spark, self.root, versions.Version(number, stream, batch_id, live, self.rules_print()))
+
+    def rules_print(self) -> str:
+        """Tells apart sets of drop rules; a warning keeps every row."""
+        return json.dumps(sorted([r.name, r.condition] for r in self.rules if r.action == "drop"))
+
+    def require_same_rules(self, now: versions.Version) -> None:
+        """Rows that went through other rules would mix with new ones; only a replay brings back what was dropped."""
+        if now.rules is not None and now.rules != self.rules_print():
+            raise ReplayNeeded(f"{self.root} was filled under other rules; replay it into a new target")
+
+    def rules_changed(self, spark: SparkSession) -> bool:
+        stored = versions.current(spark, self.root).rules
+        return stored is not None and stored != self.rules_print()
 
     def _stage(self, points: DataFrame, path: str) -> DataFrame:
         """Parse the batch once into a table of its own, rejected rows beside the kept ones.
@@ -119,8 +135,8 @@ class UpsertTable:
 
     def read_parts(self, spark: SparkSession, parts: dict[tuple, list[versions.Folder]]) -> DataFrame:
         """The latest row per key. A part of one folder is read as it is, without a shuffle."""
-        single = [own[0].dir for own in parts.values() if len(own) == 1]
-        several = [f.dir for own in parts.values() if len(own) > 1 for f in own]
+        single = [own[0] for own in parts.values() if len(own) == 1]
+        several = [f for own in parts.values() if len(own) > 1 for f in own]
         rows = versions.read(spark, self.root, self.stored, single)
         if not several:
             return rows
@@ -175,7 +191,7 @@ class SeriesTable(UpsertTable):
         return self.read_parts(spark, self.live(spark))
 
 
-def run_upsert(points: DataFrame, table: UpsertTable, checkpoint: str):
+def run_upsert(points: DataFrame, table: UpsertTable, checkpoint: str, mode: str = "append"):
     """Drain a stream of points into the table, then stop. Returns the finished query.
 
     Counters of the rules, warnings included, are in the query's progress under "points".
@@ -189,7 +205,8 @@ def run_upsert(points: DataFrame, table: UpsertTable, checkpoint: str):
         table.merge(batch, batch_id, json.loads(written)["id"])
 
     query = (
-        watched.writeStream.foreachBatch(fold)
+        watched.writeStream.outputMode(mode)
+        .foreachBatch(fold)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
