@@ -5,22 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Field names of the messages.
 MESSAGES = """
-    id STRING, conversation_id STRING, status STRING, content STRING, created_timestamp BIGINT,
-    last_updated_timestamp BIGINT,
+    id STRING, conversation_id STRING, space_id STRING, status STRING, content STRING, created_timestamp BIGINT,
+    last_updated_timestamp BIGINT, error STRUCT<error: STRING, type: STRING>,
     attachments ARRAY<STRUCT<
         attachment_id: STRING,
-        query: STRUCT<query: STRING, title: STRING, instruction_id: STRING, statement_id: STRING>,
-        text: STRUCT<content: STRING>>>
+        query: STRUCT<
+            query: STRING, description: STRING, title: STRING, instruction_id: STRING, instruction_title: STRING,
+            statement_id: STRING, query_result_metadata: STRUCT<row_count: BIGINT, is_truncated: BOOLEAN>>,
+        text: STRUCT<content: STRING>,
+        suggested_questions: STRUCT<questions: ARRAY<STRING>>>>
 """
 
 
+def _first(part: str) -> Column:
+    """That part of the first attachment which has it."""
+    return F.get(F.filter("attachments", lambda a: a[part].isNotNull()), F.lit(0))[part]
+
+
 def conversation_usage(messages: DataFrame) -> DataFrame:
     """One row per message: question, SQL, whether a trusted asset gave it, latency and status.
 
     A message carries its own answer, so this is a projection: no pairing, no shuffle.
     """
-    query = F.get(F.filter("attachments", lambda a: a["query"].isNotNull()), F.lit(0))["query"]
+    query = _first("query")
     spent = F.col("last_updated_timestamp") - F.col("created_timestamp")
     return messages.select(
         "conversation_id",
@@ -33,6 +42,29 @@ def conversation_usage(messages: DataFrame) -> DataFrame:
     )
 
 
+def message_details(messages: DataFrame) -> DataFrame:
+    """One row per message: what came with the answer. A projection like the usage, to be joined on ``message_id`` where needed.
+
+    ``trusted_asset`` is the title of the curated asset that answered, its id where it has no title.
+    """
+    query, result = _first("query"), _first("query")["query_result_metadata"]
+    curated = query["instruction_id"] != ""
+    return messages.select(
+        "space_id",
+        "conversation_id",
+        F.col("id").alias("message_id"),
+        query["description"].alias("description"),
+        F.when(curated, F.coalesce(query["instruction_title"], query["instruction_id"])).alias("trusted_asset"),
+        query["statement_id"].alias("statement_id"),
+        result["row_count"].alias("row_count"),
+        result["is_truncated"].alias("is_truncated"),
+        _first("text")["content"].alias("text"),
+        F.size(F.coalesce(_first("suggested_questions")["questions"], F.array().cast("array<string>"))).alias("suggestions"),
+        F.col("error.type").alias("error_type"),
+        F.col("error.error").alias("error"),
+    )
+
+
 def usage_summary(usage: DataFrame) -> DataFrame:
     return usage.groupBy("status", "trusted").agg(
         F.count(F.lit(1)).alias("questions"),

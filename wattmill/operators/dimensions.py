@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattmill.functions.taxonomy import GROUPS, group_of, renewable_flag
-from wattmill.operators.quality import UNIT_RULES, apply_rules
+from wattmill.operators.quality import UNIT_RULES, apply_rules, pk_violations
 from wattmill.sources.landing import newest_snapshot
 from wattmill.sources.payloads import REGISTRY, parse, registry_units
 from wattmill.sources.tables import conform
@@ -36,8 +36,16 @@ def unit_rows(raw: DataFrame, network: str = "NEM") -> DataFrame:
 
 
 def dim_unit(raw: DataFrame, network: str = "NEM") -> DataFrame:
+    """One row per unit, so that neither capacity nor the facts that join it can count double."""
     kept, _ = apply_rules(unit_rows(raw, network), UNIT_RULES)
-    return conform(kept, "dim_unit")
+    return conform(once_each(kept), "dim_unit")
+
+
+def units_listed_twice(raw: DataFrame, network: str = "NEM") -> DataFrame:
+    """Registry rows of units that the newest fetch lists more than once, of which ``dim_unit`` keeps one."""
+    kept, _ = apply_rules(unit_rows(raw, network), UNIT_RULES)
+    twice = pk_violations(kept, ["unit_code"]).select("unit_code")
+    return kept.join(twice, "unit_code")
 
 
 def registry_codes(raw: DataFrame, network: str = "NEM") -> DataFrame:
@@ -46,6 +54,16 @@ def registry_codes(raw: DataFrame, network: str = "NEM") -> DataFrame:
     return facility.select(F.col("item.code").alias("facility_code")).distinct().orderBy("facility_code")
 
 
+def once_each(units: DataFrame) -> DataFrame:
+    """One row per unit: where the registry lists a unit twice, the one first by facility, and then by the other columns.
+
+    ``units_listed_twice`` lists such units.
+    """
+    rest = [c for c in units.columns if c not in ("unit_code", "facility_code")]
+    first = units.groupBy("unit_code").agg(F.min(F.struct("facility_code", *rest)).alias("unit"))
+    return first.select(*[F.col(c) if c == "unit_code" else F.col(f"unit.{c}").alias(c) for c in units.columns])
+
+
 def operating(capacity: Column) -> Column:
     return F.when(F.col("status_id") == "operating", capacity)
 

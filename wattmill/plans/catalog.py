@@ -7,6 +7,7 @@ arrays joined to text and instants given without zone, so that results compare a
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from types import SimpleNamespace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,13 +16,14 @@ from pyspark.sql import types as T
 
 from wattmill.functions.numbers import tidy_doubles
 from wattmill.functions.regions import REGIONS, canonicalise, unmatched
-from wattmill.operators import compare, conversations, dimensions, facility_marts, metrics, quality, region_marts
+from wattmill.operators import compare, conversations, dimensions, facility_marts, metrics, plausibility, quality, region_marts, spans
 from wattmill.operators.latest import latest_by
-from wattmill.plans import questions, variants
+from wattmill.plans import questions, sql_functions, variants
 from wattmill.plans.marts import Marts, StarMarts
 from wattmill.session import pin_settings, shared_dir, size_shuffles
-from wattmill.sources import landing, payloads, serving, star, tables
-from wattmill.streaming import ingest, upsert
+from wattmill.sources import drift, landing, payloads, serving, star, tables
+from wattmill.sources.evolution import ReplayNeeded
+from wattmill.streaming import counters, ingest, stateful, upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -192,6 +194,192 @@ def scd1_stream(spark, sf_dir):
     return table.read(spark)
 
 
+def _two_arrivals(spark, sf_dir, folder: str):
+    """Events as files in two arrivals: the newer half, then the older one with a third of the newer ones again."""
+    events = _events(spark, sf_dir)
+    half = events.agg(F.max("event_id") / 2).scalar()
+    newer = F.col("event_id") > half
+    for arrival in (events.where(newer), events.where(~newer | (F.col("event_id") % 3 == 0))):
+        arrival.write.mode("append").parquet(folder)
+        yield star.subdaily_points(spark.readStream.schema(star.SCHEMAS["events"]).option("maxFilesPerTrigger", 100).parquet(folder))
+
+
+def scd1_stateful(spark, sf_dir):
+    """The events as a stateful stream that stops between two arrivals and goes on from its checkpoint; late and repeated events change nothing."""
+    base = shared_dir(spark, "stateful")
+    table = upsert.PointTable(f"{base}/points")
+    for points in _two_arrivals(spark, sf_dir, f"{base}/events"):
+        stateful.run_stateful(points, table, f"{base}/checkpoint")
+    return table.read(spark)
+
+
+BASIC_RULES = quality.POINT_RULES[:3]
+
+
+class PointsBeforeUnits(upsert.PointTable):
+    """The point table as it once was: whole values, and no unit."""
+
+    stored = T.StructType(
+        [T.StructField(f.name, T.IntegerType() if f.name == "value" else f.dataType) for f in upsert.PointTable.stored.fields if f.name != "uom"]
+    )
+
+
+def evolved_points(spark, sf_dir):
+    """Points written before units were kept and by today's job, in one table: the older folders read under the new shape, without a replay."""
+    root = shared_dir(spark, "evolved")
+    points = star.subdaily_points(_events(spark, sf_dir))
+    # the two halves touch the same days, so every part has folders of both shapes
+    older = F.unix_seconds("ingested_at") % 2 == 0
+    whole = points.where(older).withColumn("value", F.floor("value").cast("int")).drop("uom")
+    PointsBeforeUnits(root, BASIC_RULES).merge(whole, 0)
+    table = upsert.PointTable(root, BASIC_RULES)
+    table.merge(points.where(~older), 1)
+    return table.read(spark)
+
+
+def replayed_points(spark, sf_dir):
+    """A table whose drop rules have changed refuses new rows; history is replayed into a new target under the new rules."""
+    base = shared_dir(spark, "replayed")
+    points = star.subdaily_points(_events(spark, sf_dir))
+    upsert.PointTable(f"{base}/points-g0", BASIC_RULES).merge(points, 0)
+    strict = (*BASIC_RULES, quality.Rule("large_value", "value >= 10"))
+    table = upsert.PointTable(f"{base}/points-g0", strict)
+    try:
+        table.merge(points, 1)
+    except ReplayNeeded:
+        table = upsert.PointTable(f"{base}/points-g1", strict)
+        table.merge(points, 0)
+    return table.read(spark)
+
+
+def expired_points(spark, sf_dir):
+    """The upserted table after superseded folders and folded-in batches are deleted: the same rows."""
+    root = shared_dir(spark, "expired")
+    points = star.subdaily_points(_events(spark, sf_dir))
+    table = upsert.PointTable(root)
+    for batch in range(5):
+        table.merge(points.where(F.unix_seconds("ingested_at") % 5 == batch), batch)
+    table.expire(spark)
+    return table.read(spark)
+
+
+def stream_rule_totals(spark, sf_dir):
+    """Counters that a stream observed batch by batch, kept as a table: passed and failed rows of every rule over the events."""
+    base = shared_dir(spark, "counted")
+    _events(spark, sf_dir).write.parquet(f"{base}/events")
+    stream = spark.readStream.schema(star.SCHEMAS["events"]).option("maxFilesPerTrigger", 1).parquet(f"{base}/events")
+    with counters.CounterTable(spark, f"{base}/counters") as kept:
+        table = upsert.PointTable(f"{base}/points")
+        kept.catch_up(upsert.run_upsert(star.subdaily_points(stream), table, f"{base}/checkpoint"))
+    return counters.rule_totals(kept.read(), "points")
+
+
+def unknown_fields(spark, sf_dir):
+    """What a registry that has moved on holds beyond the declared shape."""
+    return drift.unknown_fields(star.registry_drifted(spark, sf_dir), payloads.REGISTRY, "facilities")
+
+
+def units_listed_twice(spark, sf_dir):
+    """A registry in which another facility lists every fifth unit again: the rows of these units."""
+    raw = star.registry_raw(spark, sf_dir)
+    number = F.regexp_extract("source_file", "part-U([0-9]+)", 1).cast("bigint")
+    again = raw.where(number % 5 == 0).select(
+        F.regexp_replace("raw_json", '"code":"F', '"code":"G').alias("raw_json"), F.regexp_replace("source_file", "part-U", "part-V").alias("source_file"), "ingested_at"
+    )
+    target = shared_dir(spark, "registry")
+    ingest.write_raw(raw.unionByName(again), target)
+    twice = dimensions.units_listed_twice(ingest.read_raw(spark, target))
+    return twice.select("unit_code", "facility_code", "capacity_registered_mw")
+
+
+def spans_covering_days(spark, sf_dir):
+    """Open orders of each region and day: days joined with the spans that cover them."""
+    days = StarMarts(spark, sf_dir).renewable_share_daily.select("network_region", "nem_date", "total_mwh")
+    covered = spans.in_spans(days, star.order_spans(spark, sf_dir), "nem_date", "opened", "closed", on=["network_region"])
+    return covered.groupBy("network_region", "nem_date").agg(F.count(F.lit(1)).alias("open_orders"), F.sum("o_totalprice").alias("open_price"))
+
+
+def implausible_days(spark, sf_dir):
+    """Region days whose energy lies outside the band of all earlier months."""
+    return plausibility.implausible_days(StarMarts(spark, sf_dir).renewable_share_daily, ["network_region"], "total_mwh")
+
+
+def metric_layer_from_parts(spark, sf_dir):
+    """The metric layer by region and year, from sums stored by region, group and month."""
+    parts = _stored_parts(spark, sf_dir)
+    return metrics.roll_up(parts, list(metrics.MEASURES), ["network_region", F.year("month").alias("yr")])
+
+
+def metric_layer_total_from_parts(spark, sf_dir):
+    """The metric layer by technology group, from the same stored sums."""
+    return metrics.roll_up(_stored_parts(spark, sf_dir), list(metrics.MEASURES), ["fueltech_group"])
+
+
+def _stored_parts(spark, sf_dir):
+    parts = metrics.measure_parts(StarMarts(spark, sf_dir).generation_daily_wide)
+    return tables.write_table(parts, shared_dir(spark, "parts"), order_by=("month", "network_region"))
+
+
+def _sql(text: str) -> Query:
+    """A question in SQL that calls the registered table functions."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        sql_functions.register(spark, StarMarts(spark, sf_dir))
+        return spark.sql(text)
+
+    return run
+
+
+SQL_CALLS = {
+    "capacity_factor_sql": "SELECT * FROM capacity_factor_between('F5', DATE'1997-03-01', DATE'1997-12-31')",
+    "region_mix_sql": "SELECT * FROM region_mix('TAS1', DATE'1996-07-01', DATE'1999-06-30')",
+    "region_measures_sql": "SELECT * FROM region_measures(NULL, DATE'1997-01-15', DATE'1998-12-02')",
+}
+
+
+def result_compare_numbers(spark, sf_dir):
+    """Line prices against copies that differ by less than the tolerance on an edge of rounding, by a cent on every seventh line, and by one in a
+    whole number beyond the reach of doubles."""
+    lines = star.table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") + F.lit(1 << 53)).alias("big"),
+        "l_linenumber",
+        (F.col("l_quantity") + F.lit(5e-7)).alias("edge"),
+        F.col("l_extendedprice").cast("decimal(25,10)").alias("price"),
+    )
+    odd = F.col("l_linenumber") % 2 == 1
+    seventh = F.col("l_linenumber") == 7
+    cases = {
+        "edge": lines.withColumn("edge", F.col("edge") + F.when(odd, 1e-9).otherwise(-1e-9)),
+        "cent": lines.withColumn("edge", F.col("edge") + F.when(seventh, 0.01).otherwise(0.0)),
+        "big": lines.withColumn("big", F.col("big") + F.when(seventh, 1).otherwise(0)),
+        "decimal": lines.withColumn("price", F.col("price") + F.when(seventh, F.lit("1E-10").cast("decimal(11,10)")).otherwise(F.lit(0))),
+    }
+    verdicts = [compare.compare_results(lines, actual).select(F.lit(case).alias("answer"), "*") for case, actual in cases.items()]
+    return reduce(DataFrame.unionByName, verdicts)
+
+
+def run_results(spark, sf_dir):
+    """Questions of stored runs, from their files."""
+    found = compare.run_results(star.run_files(star.table(spark, sf_dir, "labels")))
+    return found.select("eval_run_id", "created_timestamp", "result_id", "benchmark_question_id", "status", "assessment", "manual_assessment")
+
+
+def message_details(spark, sf_dir):
+    return conversations.message_details(star.messages(star.table(spark, sf_dir, "conversations")))
+
+
+def column_profile(spark, sf_dir):
+    """Columns of the facility days with their types, rows and NULLs."""
+    return quality.column_profile(StarMarts(spark, sf_dir).facility_daily, "facility_daily").drop("about_distinct")
+
+
+def catalog_table(spark, sf_dir):
+    """The facility dimension saved below a layer's own location and read by name."""
+    tables.create_namespaces(spark, ["gold"], shared_dir(spark, "layers"))
+    tables.save_to_catalog(StarMarts(spark, sf_dir).dim_facility, "gold", "dim_facility")
+    return spark.table("gold.dim_facility")
+
+
 def stats_stream(spark, sf_dir):
     """Stats payloads in a raw table, streamed into the upserted series, then read as the long table."""
     base = shared_dir(spark, "series")
@@ -487,6 +675,22 @@ OPERATORS = (
     conversation_usage,
     usage_summary,
     stale_conversations,
+    scd1_stateful,
+    evolved_points,
+    replayed_points,
+    expired_points,
+    stream_rule_totals,
+    unknown_fields,
+    units_listed_twice,
+    spans_covering_days,
+    implausible_days,
+    metric_layer_from_parts,
+    metric_layer_total_from_parts,
+    result_compare_numbers,
+    run_results,
+    message_details,
+    column_profile,
+    catalog_table,
 )
 
 
@@ -502,6 +706,7 @@ PUBLISHED = {
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {name: _mart(name) for name in MARTS}
     found.update({fn.__name__: fn for fn in OPERATORS})
+    found.update({name: _sql(text) for name, text in SQL_CALLS.items()})
     found.update({name: _question(name) for name in questions.QUESTIONS})
     found.update({key: _published(key, *of) for key, of in PUBLISHED.items()})
     found.update({fn.__name__: _variant(fn) for fn in variants.VARIANTS})

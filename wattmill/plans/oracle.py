@@ -425,6 +425,103 @@ WITH c AS (SELECT user_id AS conversation_id, min(ts) AS created, max(ts) AS las
 SELECT conversation_id, created, last_updated,
        last_updated < (SELECT max(ts) - INTERVAL 24 HOUR FROM events) AS stale FROM c
 """,
+    "scd1_stateful": f"SELECT {POINT} FROM event_stored",
+    "evolved_points": (
+        "SELECT unit_code, interval_ts_utc, metric, interval, "
+        + r("CASE WHEN second(ingested_at) % 2 = 0 THEN floor(value) ELSE value END AS value")
+        + ", CASE WHEN second(ingested_at) % 2 = 1 THEN uom END AS uom, ingested_at FROM event_stored"
+    ),
+    "replayed_points": f"""
+WITH large AS (SELECT * FROM event_points WHERE metric IS NOT NULL AND value >= 10
+  QUALIFY row_number() OVER (PARTITION BY unit_code, at_day, metric ORDER BY event_id DESC, value DESC) = 1)
+SELECT unit_code, CAST(at_day AS TIMESTAMP) AS interval_ts_utc, metric, '5m' AS interval, {r('value')}, uom,
+       TIMESTAMP '1970-01-01' + event_id * INTERVAL 1 SECOND AS ingested_at FROM large
+""",
+    "expired_points": f"SELECT {POINT} FROM event_stored",
+    "stream_rule_totals": """
+SELECT 'valid_unit_code' AS rule, count(*) AS passed, CAST(0 AS BIGINT) AS failed FROM event_points
+UNION ALL SELECT 'valid_ts', count(*), 0 FROM event_points
+UNION ALL SELECT 'valid_metric', count(metric), count(*) - count(metric) FROM event_points
+UNION ALL SELECT 'known_energy_unit', count(*), 0 FROM event_points
+UNION ALL SELECT 'non_negative_value', count(*) FILTER (WHERE value IS NULL OR value >= 0), count(*) FILTER (WHERE value < 0) FROM event_points
+""",
+    "unknown_fields": """
+SELECT 'facilities' AS family, path, declared, found, n AS files, n AS times FROM (
+  SELECT 'data[].owner' AS path, NULL AS declared, 'object' AS found, count(*) AS n FROM registry WHERE network_id = 'WEM'
+  UNION ALL SELECT 'data[].units[].storage_mwh', NULL, 'number', count(*) FROM registry WHERE capacity_registered_mw > 40
+  UNION ALL SELECT 'data[].units[].capacity_registered', 'number', 'text', count(*) FROM registry WHERE capacity_registered_mw % 7 = 0)
+WHERE n > 0
+""",
+    "units_listed_twice": (
+        "SELECT unit_code, f || substr(facility_code, 2) AS facility_code, " + r("capacity_registered_mw")
+        + " FROM units, (VALUES ('F'), ('G')) AS v(f) WHERE CAST(substr(unit_code, 2) AS BIGINT) % 5 = 0"
+    ),
+    "spans_covering_days": f"""
+WITH spans AS (SELECT rc.code, CAST(o_orderdate AS DATE) AS opened, o_totalprice,
+    CAST(o_orderdate AS DATE) + CAST(CASE WHEN o_orderkey % 200 = 0 THEN 1000 ELSE o_orderkey % 10 END AS INTEGER) AS closed
+  FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
+  JOIN region ON r_regionkey = n_regionkey JOIN region_codes rc ON rc.r_name = region.r_name)
+SELECT network_region, nem_date, count(*) AS open_orders, {r('sum(o_totalprice) AS open_price')}
+FROM share JOIN spans ON code = network_region AND nem_date BETWEEN opened AND closed GROUP BY 1, 2
+""",
+    "implausible_days": f"""
+WITH months AS (SELECT DISTINCT network_region, date_trunc('month', nem_date) AS month FROM share),
+earlier AS (SELECT m.network_region, m.month, list_sort(list(s.total_mwh)) AS x FROM months m
+  JOIN share s ON s.network_region = m.network_region AND s.nem_date < m.month WHERE s.total_mwh IS NOT NULL GROUP BY 1, 2),
+quartiles AS (SELECT network_region, month, len(x) AS n, x[CAST(ceil(len(x) * 0.25) AS INTEGER)] AS q25, x[CAST(ceil(len(x) * 0.75) AS INTEGER)] AS q75
+  FROM earlier WHERE len(x) >= 60),
+bands AS (SELECT network_region, month, n AS n_earlier, q25 - 3 * (q75 - q25) AS low, q75 + 3 * (q75 - q25) AS high FROM quartiles)
+SELECT s.network_region, s.nem_date, {r('total_mwh', 'low', 'high')}, n_earlier
+FROM share s JOIN bands b ON b.network_region = s.network_region AND b.month = date_trunc('month', s.nem_date)
+WHERE NOT total_mwh BETWEEN low AND high
+""",
+    "metric_layer_from_parts": f"SELECT network_region, CAST(year(nem_date) AS INTEGER) AS yr, {MEASURES} FROM wide GROUP BY 1, 2",
+    "metric_layer_total_from_parts": f"SELECT fueltech_group, {MEASURES} FROM wide GROUP BY 1",
+    "capacity_factor_sql": (
+        f"SELECT facility_code, facility_name, nem_date, {r('energy_mwh', 'capacity_factor', 'capacity_factor_all_units')} "
+        "FROM cf WHERE facility_code = 'F5' AND nem_date BETWEEN DATE '1997-03-01' AND DATE '1997-12-31'"
+    ),
+    "region_mix_sql": (
+        f"SELECT fueltech_group, {TOTAL} FROM mix WHERE network_region = 'TAS1' "
+        "AND nem_date BETWEEN DATE '1996-07-01' AND DATE '1999-06-30' GROUP BY 1"
+    ),
+    "region_measures_sql": (
+        f"SELECT network_region, {MEASURES} FROM wide WHERE nem_date BETWEEN DATE '1997-01-01' AND DATE '1998-12-31' GROUP BY 1"
+    ),
+    "result_compare_numbers": """
+WITH n AS (SELECT count(*) AS n, count(*) FILTER (WHERE l_linenumber = 7) AS d, count(*) > 5000 AS over_cap FROM lineitem)
+SELECT answer, CASE WHEN same OR d = 0 THEN 'GOOD' ELSE 'BAD' END AS verdict, n AS expected_rows, n AS actual_rows,
+       CASE WHEN same THEN 0 ELSE d END AS missing_rows, CASE WHEN same THEN 0 ELSE d END AS extra_rows, over_cap
+FROM n, (VALUES ('edge', TRUE), ('cent', FALSE), ('big', FALSE), ('decimal', FALSE)) AS v(answer, same)
+""",
+    "run_results": " UNION ALL ".join(
+        f"SELECT '{run}' AS eval_run_id, doc_id // 1000 + 1 AS created_timestamp, '{run}-' || doc_id AS result_id, "
+        f"CAST(doc_id AS VARCHAR) AS benchmark_question_id, 'DONE' AS status, {run} AS assessment, {run} = 'NEEDS_REVIEW' AS manual_assessment FROM assessed"
+        for run in ("baseline", "curated")
+    ),
+    "message_details": """
+WITH a AS (SELECT *, length(answer) AS size, length(answer) % 2 = 0 AS is_query FROM pairs)
+SELECT 'space-' || conv_id % 3 AS space_id, CAST(conv_id AS VARCHAR) AS conversation_id, conv_id || '-' || turn AS message_id,
+       CASE WHEN is_query THEN 'answers ' || substr(question, 1, 20) END AS description,
+       CASE WHEN size % 8 = 0 THEN 'Asset ' || conv_id WHEN size % 4 = 0 THEN 'asset-' || conv_id END AS trusted_asset,
+       CAST(NULL AS VARCHAR) AS statement_id, CASE WHEN is_query THEN size END AS row_count, CASE WHEN is_query THEN size > 300 END AS is_truncated,
+       CASE WHEN NOT is_query THEN answer END AS text, CASE WHEN NOT is_query THEN 1 ELSE 0 END AS suggestions,
+       CASE WHEN answer IS NULL THEN 'TIMEOUT' END AS error_type, CASE WHEN answer IS NULL THEN 'no answer' END AS error FROM a
+""",
+    "column_profile": " UNION ALL ".join(
+        f"SELECT 'facility_daily' AS table_name, {i} AS position, '{c}' AS column_name, '{t}' AS data_type, '{st}' AS serving_type, "
+        f"count(*) AS n_rows, count(*) - count({c}) AS n_null FROM fac_daily"
+        for i, (c, t, st) in enumerate(
+            [
+                ("facility_code", "string", "text"),
+                ("facility_name", "string", "text"),
+                ("network_region", "string", "text"),
+                ("nem_date", "date", "date"),
+                *((c, "double", "double precision") for c in ("energy_mwh", "emissions_tco2e", "market_value_aud")),
+            ]
+        )
+    ),
+    "catalog_table": DIMFAC,
     "q01": MIX_LAST_YEAR.format(total=TOTAL, region="NSW1"),
     "q02": (
         f"SELECT network_region, {r('sum(generated_mwh) AS wind_mwh')} FROM mix "

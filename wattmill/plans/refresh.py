@@ -162,8 +162,10 @@ def keep_rejects(spark: SparkSession, w: Warehouse) -> None:
     found["stats_empty_series"] = ("stats", empty_series)
     for name, (family, pick) in found.items():
         append(pick(stream_raw(spark, w.raw(family))), w.table("silver", name), w.checkpoint(name))
-    _, rejected = quality.apply_rules(dimensions.unit_rows(read_raw(spark, w.raw("facilities"))), quality.UNIT_RULES)
+    registry = read_raw(spark, w.raw("facilities"))
+    _, rejected = quality.apply_rules(dimensions.unit_rows(registry), quality.UNIT_RULES)
     write_table(rejected, w.table("silver", "dim_unit_rejected"))
+    write_table(dimensions.units_listed_twice(registry), w.table("silver", "dim_unit_listed_twice"))
 
 
 def refresh(spark: SparkSession, w: Warehouse) -> Marts:
@@ -193,7 +195,7 @@ def refresh(spark: SparkSession, w: Warehouse) -> Marts:
 
 
 def replay(spark: SparkSession, w: Warehouse) -> tuple[Warehouse, Marts]:
-    """Rebuild the upserted tables from all raw files, for a changed shape or rule.
+    """Rebuild the upserted tables from all raw files, for a changed rule or a shape that older files do not read under.
 
     The replay fills new targets under new checkpoints; the old ones stay readable meanwhile.
     """
@@ -201,6 +203,26 @@ def replay(spark: SparkSession, w: Warehouse) -> tuple[Warehouse, Marts]:
     return fresh, refresh(spark, fresh)
 
 
+def refresh_or_replay(spark: SparkSession, w: Warehouse) -> tuple[Warehouse, Marts]:
+    """A refresh, or a replay where drop rules have changed since the tables were filled.
+
+    Changed columns need none: older folders read under the new shape, unless a type became narrower or another.
+    """
+    changed = any(table.rules_changed(spark) for table in (w.points(), w.series(), w.demand()))
+    return replay(spark, w) if changed else (w, refresh(spark, w))
+
+
+def expire(spark: SparkSession, w: Warehouse) -> dict[str, int]:
+    """Delete what no current version needs: superseded folders of every table, and the kept rows of batches that are folded in.
+
+    Returns how many folders went, by table. Nobody may be reading an earlier version meanwhile.
+    """
+    gone = {table.root: len(table.expire(spark)) for table in (w.points(), w.series(), w.demand())}
+    marts = [w.table("gold", name) for name in (*GOLD_LAYOUT, "facility_daily", "facility_capacity_factor")]
+    silver = [w.table("silver", name) for name in ("dim_unit", "dim_unit_rejected", "dim_unit_listed_twice")]
+    return gone | {root: len(versions.expire(spark, root)) for root in (*marts, *silver)}
+
+
 def stored_marts(spark: SparkSession, w: Warehouse) -> dict[str, DataFrame]:
     stored = {name: read_table(spark, w.table("gold", name), declared(name)) for name in GOLD_LAYOUT}
     return stored | {name: read_months(spark, w, name) for name in ("facility_daily", "facility_capacity_factor")}

@@ -65,13 +65,16 @@ def merged_shape(raw: DataFrame) -> T.DataType:
 
 def _values(variant: Column, path: Sequence[str]) -> Column:
     """Values at a path, as an array of variants; steps that a value lacks give none."""
+    def at(place: str, kind: str):
+        return lambda x: F.try_variant_get(x, place, kind)
+
     found = F.array(variant)
     for step in path:
         if step == "[]":
-            found = F.flatten(F.filter(F.transform(found, lambda x: F.try_variant_get(x, "$", "array<variant>")), lambda x: x.isNotNull()))
+            found = F.flatten(F.filter(F.transform(found, at("$", "array<variant>")), F.isnotnull))
         else:
-            inner = "$['" + step.replace("\\", "\\\\").replace("'", "\\'") + "']"
-            found = F.transform(found, lambda x, inner=inner: F.try_variant_get(x, inner, "variant"))
+            quoted = step.replace("\\", "\\\\").replace("'", "\\'")
+            found = F.transform(found, at(f"$['{quoted}']", "variant"))
     return F.filter(found, lambda x: x.isNotNull() & ~F.is_variant_null(x))
 
 
@@ -99,7 +102,7 @@ def unknown_fields(raw: DataFrame, shape: str, family: str) -> DataFrame:
         values = _values(F.col("v"), field.path)
         kinds = F.transform(values, _kind_of)
         if field.declared:
-            kinds = F.filter(kinds, lambda k, field=field: k != field.declared)
+            kinds = F.filter(kinds, F.lit(field.declared).__ne__)
         cells.append(F.struct(F.lit(family).alias("family"), F.lit(field.name).alias("path"), F.lit(field.declared).alias("declared"), kinds.alias("kinds")))
     found = parsed.select(F.inline(F.array(*cells))).where(F.size("kinds") > 0)
     by_kind = found.select("family", "path", "declared", F.explode(F.array_distinct("kinds")).alias("found"), "kinds")

@@ -247,6 +247,30 @@ def registry_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(units, F.struct(F.lit(True).alias("success"), F.array(facility).alias("data")), path)
 
 
+def registry_drifted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registry files of a source that has moved on: new fields on some facilities and units, and some capacities as text."""
+    capacity = F.col("capacity_registered")
+    unit = F.struct(
+        F.col("unit_code").alias("code"),
+        "fueltech_id",
+        "capacity_registered",
+        F.when(capacity > 40, capacity * 2).alias("storage_mwh"),
+    )
+    facility = F.struct(
+        F.col("facility_code").alias("code"),
+        F.when(F.col("network_id") == "WEM", F.struct(F.col("facility_name").alias("name"))).alias("owner"),
+        "network_id",
+        F.array(unit).alias("units"),
+    )
+    files = F.to_json(F.struct(F.array(facility).alias("data")))
+    quoted = F.regexp_replace(files, '"capacity_registered":([0-9.]+)', '"capacity_registered":"$1"')
+    return registry(spark, sf_dir).select(
+        F.when(capacity % 7 == 0, quoted).otherwise(files).alias("raw_json"),
+        F.concat(F.lit("/landing/facilities/fetched_at="), F.lit(SECOND_FETCH), F.lit("/part-"), "unit_code", F.lit(".json")).alias("source_file"),
+        F.lit("2002-03-01 00:00:00").cast("timestamp").alias("ingested_at"),
+    )
+
+
 def _positional(values: DataFrame, key: list[str]) -> DataFrame:
     """Dated values as one array per key and year, gaps as NULL. An array holds at most 366 values."""
     yearly = values.groupBy(*key, F.year("nem_date").alias("year")).agg(
@@ -395,21 +419,28 @@ def messages(turns: DataFrame) -> DataFrame:
     pairs = pair_turns(turns)
     size = F.length("answer")
     is_query = size % 2 == 0
+    curated = size % 4 == 0
     query = F.struct(
         F.col("answer").alias("query"),
+        F.concat(F.lit("answers "), F.substring("question", 1, 20)).alias("description"),
         F.lit(None).cast("string").alias("title"),
-        F.when(size % 4 == 0, F.concat(F.lit("asset-"), "conv_id")).alias("instruction_id"),
+        F.when(curated, F.concat(F.lit("asset-"), "conv_id")).alias("instruction_id"),
+        F.when(curated & (size % 8 == 0), F.concat(F.lit("Asset "), "conv_id")).alias("instruction_title"),
         F.lit(None).cast("string").alias("statement_id"),
+        F.struct(size.cast("bigint").alias("row_count"), (size > 300).alias("is_truncated")).alias("query_result_metadata"),
     )
     attachment = F.struct(
         F.concat_ws("-", F.lit("a"), "conv_id", "turn").alias("attachment_id"),
         F.when(is_query, query).alias("query"),
         F.when(~is_query, F.struct(F.col("answer").alias("content"))).alias("text"),
+        F.when(~is_query, F.struct(F.array("question").alias("questions"))).alias("suggested_questions"),
     )
     created = F.col("conv_id") * 100_000 + F.col("turn") * 1_000
     return pairs.select(
         F.concat_ws("-", "conv_id", "turn").alias("id"),
         F.col("conv_id").cast("string").alias("conversation_id"),
+        F.concat(F.lit("space-"), F.col("conv_id") % 3).alias("space_id"),
+        F.when(F.col("answer").isNull(), F.struct(F.lit("no answer").alias("error"), F.lit("TIMEOUT").alias("type"))).alias("error"),
         F.when(F.col("answer").isNull(), "FAILED").otherwise("COMPLETED").alias("status"),
         F.col("question").alias("content"),
         created.alias("created_timestamp"),
@@ -436,3 +467,34 @@ def run_assessments(labels: DataFrame, run: str) -> DataFrame:
         F.col("doc_id").cast("string").alias("benchmark_question_id"),
         (first if run == "baseline" else second).alias("assessment"),
     )
+
+
+def run_files(labels: DataFrame) -> DataFrame:
+    """Stored evaluation runs as files: the assessed questions in files of some thousand, so that no file grows with the data."""
+    both = run_assessments(labels, "baseline").unionByName(run_assessments(labels, "curated"))
+    question = F.struct(
+        F.concat_ws("-", "eval_run_id", "benchmark_question_id").alias("result_id"),
+        "benchmark_question_id",
+        F.lit("DONE").alias("status"),
+        "assessment",
+        (F.col("assessment") == "NEEDS_REVIEW").alias("manual_assessment"),
+    )
+    part = F.floor(F.col("benchmark_question_id").cast("bigint") / 1000)
+    files = both.groupBy("eval_run_id", part.alias("part")).agg(F.collect_list(question).alias("results"))
+    run = F.struct(F.lit("space-1").alias("space_id"), "eval_run_id", F.lit("DONE").alias("eval_run_status"), (F.col("part") + 1).alias("created_timestamp"), "results")
+    return files.select(F.to_json(run).alias("raw_json"))
+
+
+def order_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open orders by region as spans of days: some of a day, some of weeks, and every two-hundredth of years."""
+    orders = (
+        table(spark, sf_dir, "orders")
+        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    )
+    opened = F.to_date("o_orderdate")
+    days = F.when(F.col("o_orderkey") % 200 == 0, 1000).otherwise(F.col("o_orderkey") % 10).cast("int")
+    return orders.select(
+        _lookup(REGION_OF, "r_name").alias("network_region"), opened.alias("opened"), F.date_add(opened, days).alias("closed"), "o_totalprice"
+    )

@@ -137,15 +137,27 @@ def superseded(spark: SparkSession, root: str) -> list[str]:
     return sorted(r.dir for r in named.where(~F.col("dir").isin(alive)).collect())
 
 
+def delete(spark: SparkSession, root: str, folders: Sequence[str]) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in folders:
+        files.delete(hadoop.Path(f"{root}/{folder}"), True)
+
+
+def subfolders(spark: SparkSession, root: str, pattern: str) -> list[str]:
+    """Folders below ``root`` that match a path pattern, relative to it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    at = hadoop.Path(root)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop.Path(f"{root}/{pattern}")) or []
+    depth = len(pattern.split("/"))
+    return ["/".join(status.getPath().toString().split("/")[-depth:]) for status in found]
+
+
 def expire(spark: SparkSession, root: str) -> list[str]:
     """Delete what only earlier versions name, and their manifests, so that listings stay short.
 
     Nobody may be reading an earlier version meanwhile.
     """
     now, gone = current(spark, root), superseded(spark, root)
-    older = [f"manifests/version={n}" for n in _numbers(spark, root) if n < now.number]
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    files = hadoop.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    for folder in [*gone, *older]:
-        files.delete(hadoop.Path(f"{root}/{folder}"), True)
+    delete(spark, root, [*gone, *(f"manifests/version={n}" for n in _numbers(spark, root) if n < now.number)])
     return gone

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -12,7 +14,7 @@ COUNTERS = "query STRING, batch BIGINT, observation STRING, counter STRING, n BI
 class CounterTable(StreamingQueryListener):
     """Writes what streams observe (``df.observe(name, ...)``) to a table: a row per query, batch and counter.
 
-    Add it to the session's listeners before the streams start: ``with counter_table.listening(): ...``. Every batch
+    Use it as a context around the streams: ``with CounterTable(spark, root) as counters: ...``. Every batch
     overwrites a folder of its own, so a batch that is run again after a crash is counted once. Batches
     without rows report nothing new and are skipped. A batch is a handful of numbers.
     """
@@ -20,6 +22,8 @@ class CounterTable(StreamingQueryListener):
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
         self.failed: Exception | None = None
+        # the listener's thread and ``catch_up`` may bring the same batch
+        self.lock, self.seen = threading.Lock(), set()
 
     def __enter__(self) -> CounterTable:
         self.spark.streams.addListener(self)
@@ -47,6 +51,12 @@ class CounterTable(StreamingQueryListener):
 
     def write(self, progress) -> None:
         query = str(progress.id)
+        with self.lock:
+            if (progress.runId, progress.batchId) not in self.seen:
+                self._write(query, progress)
+                self.seen.add((progress.runId, progress.batchId))
+
+    def _write(self, query: str, progress) -> None:
         rows = [
             (query, progress.batchId, name, counter, int(n))
             for name, row in progress.observedMetrics.items()

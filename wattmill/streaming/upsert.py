@@ -129,6 +129,18 @@ class UpsertTable:
         schema = schema.add("stream", STRING).add("batch", LONG).add("outcome", STRING)
         return spark.read.schema(schema).parquet(f"{self.root}/batches").where(F.col("outcome") == "rejected").drop("outcome")
 
+    def expire(self, spark: SparkSession) -> list[str]:
+        """Delete superseded folders, and the kept rows of every batch that a version has folded in; rejected rows stay.
+
+        A batch is folded in before its number is committed, and one that comes again is not read again.
+        """
+        now = versions.current(spark, self.root)
+        staged = versions.subfolders(spark, self.root, "batches/stream=*/batch=*/outcome=kept")
+        number = lambda path: int(path.split("/batch=")[1].split("/")[0])
+        done = [p for p in staged if f"stream={now.stream or 'direct'}/" not in p or number(p) <= now.batch_id]
+        versions.delete(spark, self.root, done)
+        return [*versions.expire(spark, self.root), *done]
+
     def live(self, spark: SparkSession) -> dict[tuple, list[versions.Folder]]:
         """Part values and the folders that hold them."""
         return versions.current(spark, self.root).live
