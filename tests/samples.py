@@ -75,3 +75,20 @@ def land(base, path, payload):
     target = base / path
     target.parent.mkdir(parents=True, exist_ok=True)
     target.write_text(payload if isinstance(payload, str) else json.dumps(payload))
+
+
+def scans(df):
+    """The file scans of a DataFrame's plan after it has run, with their metrics."""
+    df.collect()
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if "Scan" in node.nodeName():
+            found.append(node)
+        elif "Adaptive" in node.nodeName():
+            todo.append(node.executedPlan())
+        elif "Stage" in node.nodeName() and "Codegen" not in node.nodeName():
+            todo.append(node.plan())
+        else:
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found

@@ -132,3 +132,44 @@ def test_rank_keeps_ties(spark, rows):
     df = spark.createDataFrame([("a", 5.0), ("b", 9.0), ("c", 9.0), ("d", 5.0), ("e", None)], "d string, v double")
     assert rows(days_of_rank(df, "v", 1), "d") == [("b",), ("c",)]
     assert rows(days_of_rank(df, "v", 3), "d") == [("a",), ("b",), ("c",), ("d",)]
+
+
+def test_whole_numbers_and_decimals_are_exact(spark):
+    big = 1 << 53
+    assert verdict(spark, [("x", big + 1)], [("x", big)], "a string, b long")[0] == "BAD"
+    assert verdict(spark, [("x", big + 1)], [("x", big + 1)], "a string, b long")[0] == "GOOD"
+    decimal = lambda *values: spark.sql(f"SELECT * FROM VALUES {', '.join(f'({v})' for v in values)} AS t(v)")
+    same = lambda a, b: compare.compare_results(a, b).first().verdict
+    wide = "CAST('12345678901234567890.0000000001' AS DECIMAL(38,10))"
+    assert same(decimal(wide), decimal("CAST('12345678901234567890.0000000002' AS DECIMAL(38,10))")) == "BAD"
+    assert same(decimal(wide), decimal(wide)) == "GOOD"
+    assert same(decimal("CAST(1.50 AS DECIMAL(10,2))", "CAST(0 AS DECIMAL(10,2))"), decimal("CAST(1.5 AS DECIMAL(20,9))", "CAST(0 AS DECIMAL(20,9))")) == "GOOD"
+    assert same(decimal("CAST(7 AS DECIMAL(10,2))"), decimal("7L")) == "GOOD"
+    assert same(decimal("CAST(100 AS DECIMAL(10,0))"), decimal("CAST(100 AS DECIMAL(12,2))")) == "GOOD"
+    assert same(decimal("CAST(0.1 AS DECIMAL(10,1))"), decimal("0.1D")) == "GOOD"
+
+
+def test_an_edge_of_rounding_is_no_difference(spark):
+    edge = 0.0000005
+    left = [("x", 1 + edge), ("x", 1 + edge), ("y", -2.0), ("z", None), ("w", float("nan"))]
+    moved = [("x", 1 + edge - 1e-12), ("x", 1 + edge + 1e-12), ("y", -2.0), ("z", None), ("w", float("nan"))]
+    assert verdict(spark, left, moved) == ("GOOD", 0, 0)
+    assert verdict(spark, left, [("x", 1 + 3e-6), *moved[1:]]) == ("BAD", 1, 1)
+    assert verdict(spark, left, [*moved[1:], ("z", 0.0)])[0] == "BAD"
+    assert verdict(spark, [("x", 1.0)], [("x", 1.0009)], tolerance=1e-3) == ("GOOD", 0, 0)
+    assert verdict(spark, [("x", 1.0)], [("y", 1.0)], tolerance=1e-3)[0] == "BAD"
+    # counts of near rows must agree as well
+    assert verdict(spark, [("x", 1 + edge)], [("x", 1 + edge - 1e-12)] * 2)[0] == "BAD"
+
+
+def test_near_values_in_several_columns(spark):
+    edge = 0.0000005
+    left = [(i, i + edge, -i - edge) for i in range(50)]
+    moved = [(i, i + edge + (-1) ** i * 1e-11, -i - edge + (-1) ** i * 1e-11) for i in range(50)]
+    schema = "k int, x double, y double"
+    assert verdict(spark, left, moved, schema) == ("GOOD", 0, 0)
+    assert verdict(spark, left, [(k, x, y) for y, x, k in [(a, b, c) for c, b, a in moved]], schema, "p int, q double, r double") == ("GOOD", 0, 0)
+    crossed = [(i, moved[i][1], moved[(i + 1) % 50][2]) for i in range(50)]
+    assert verdict(spark, left, crossed, schema) == ("BAD", 50, 50)
+    assert verdict(spark, [(1, 1e300, float("inf"))], [(1, 1e300, float("inf"))], schema)[0] == "GOOD"
+    assert verdict(spark, [(1, 1e25, 0.0)], [(1, 2e25, 0.0)], schema)[0] == "BAD"

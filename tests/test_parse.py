@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import samples
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from wattmill.operators import dimensions, region_marts
 from wattmill.operators.quality import POINT_RULES, SERIES_RULES, apply_rules, rule_counts
 from wattmill.sources import landing, payloads
 from wattmill.sources.tables import declared
+from wattmill.streaming import ingest
 from wattmill.streaming.upsert import points_of
 
 D = dt.date
@@ -165,3 +167,31 @@ def test_chunk_gaps(spark, rows):
     assert rows(landing.coverage_gaps(raw, landing.chunk_grid(codes))) == [("1d", "001")]
     assert landing.coverage_gaps(raw, landing.chunk_grid(codes.limit(30))).isEmpty()
     assert landing.chunk_grid(codes.limit(0)).isEmpty()
+
+
+def test_the_newest_fetch_opens_its_own_day_alone(spark, tmp_path, rows):
+    target = str(tmp_path / "raw")
+    text = lambda n: json.dumps(samples.REGISTRY).replace("Alpha", f"Alpha {n}")
+    paths = [f"file:/landing/facilities/fetched_at=2024-01-{d:02d}T{h:02d}0203Z/part-000.json" for d, h in ((5, 1), (7, 3), (7, 9), (6, 1))]
+    for n, path in enumerate(paths):
+        ingest.write_raw(samples.raw(spark, (path, text(n))), target)
+    newest = landing.newest_snapshot(ingest.read_raw(spark, target))
+    assert rows(newest, "source_file") == [(paths[2],)]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    assert any("PartitionFilters: [" in line and "subquery" in line.lower() for line in newest._jdf.queryExecution().executedPlan().toString().splitlines())
+    # two files lie in the newest day, four in all
+    assert [scan.metrics().apply("numFiles").value() for scan in samples.scans(newest)] == [2]
+    assert dimensions.dim_unit(ingest.read_raw(spark, target)).where("facility_name = 'Alpha 2'").count() == 2
+    # a table without days reads as before
+    samples.raw(spark, *[(p, text(n)) for n, p in enumerate(paths)]).write.parquet(str(tmp_path / "flat"))
+    assert rows(landing.newest_snapshot(ingest.read_raw(spark, str(tmp_path / "flat"))), "source_file") == [(paths[2],)]
+
+
+def test_a_unit_listed_twice_counts_once(spark, rows):
+    twice = json.loads(json.dumps(samples.REGISTRY))
+    twice["data"][1]["units"].append({**twice["data"][0]["units"][0], "capacity_registered": 7.0})
+    raw = samples.raw(spark, ("file:/landing/facilities/fetched_at=2024-01-05T010203Z/part-000.json", twice))
+    assert rows(dimensions.units_listed_twice(raw), "unit_code", "facility_code") == [("U1", "F1"), ("U1", "F2")]
+    units = dimensions.dim_unit(raw)
+    assert rows(units, "unit_code", "facility_code", "capacity_registered_mw")[0] == ("U1", "F1", 100.0) and units.count() == 4
+    assert rows(dimensions.facility_capacity(units), "facility_code", "capacity_registered_mw") == [("F1", 200.0), ("F2", 500.0), ("F4", 5.0)]

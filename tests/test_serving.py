@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+import samples
 
 from wattmill.sources import serving, tables, versions
 
@@ -59,3 +60,21 @@ def test_last_rows_are_limited_before_the_shuffle(spark):
     df = spark.range(1000).selectExpr("concat('k', id % 2) AS k", "date_add(DATE'2024-01-01', CAST(id AS INT)) AS nem_date")
     plan = serving.last_rows_each(df, ["k"], 2)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def opened_rows(df):
+    """Rows that came out of the files' row groups, whatever a filter made of them afterwards."""
+    return sum(scan.metrics().apply("numOutputRows").value() for scan in samples.scans(df))
+
+
+def test_an_absent_key_opens_no_row_group(spark, tmp_path):
+    lines = spark.range(50_000).selectExpr("concat('K', md5(CAST(id AS STRING))) AS k", "id AS v")
+    blooms, plain = str(tmp_path / "blooms"), str(tmp_path / "plain")
+    serving.publish_snapshot(lines, blooms, ["k"])
+    tables.write_table(lines, plain, order_by=["k"])
+    read = lambda root: tables.read_table(spark, root, lines.schema)
+    absent = "K7777777777777777777777777777777"  # inside the range of the keys, so that statistics do not exclude it
+    assert opened_rows(serving.lookup(read(blooms), k=absent)) == 0
+    assert opened_rows(serving.lookup(read(plain), k=absent)) > 0
+    there = read(blooms).first()
+    assert serving.lookup(read(blooms), k=there.k).first() == there and opened_rows(serving.lookup(read(blooms), k=there.k)) > 0

@@ -68,13 +68,17 @@ def _values(variant: Column, path: Sequence[str]) -> Column:
     def at(place: str, kind: str):
         return lambda x: F.try_variant_get(x, place, kind)
 
+    def member(name: str):
+        return lambda x: F.try_element_at(F.try_variant_get(x, "$", "map<string, variant>"), F.lit(name))
+
     found = F.array(variant)
     for step in path:
         if step == "[]":
             found = F.flatten(F.filter(F.transform(found, at("$", "array<variant>")), F.isnotnull))
         else:
-            quoted = step.replace("\\", "\\\\").replace("'", "\\'")
-            found = F.transform(found, at(f"$['{quoted}']", "variant"))
+            # a path can quote any name but one with quotes
+            plain = step and not set(step) & set("'\"")
+            found = F.transform(found, at(f"$['{step}']", "variant") if plain else member(step))
     return F.filter(found, lambda x: x.isNotNull() & ~F.is_variant_null(x))
 
 
