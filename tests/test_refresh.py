@@ -1,12 +1,16 @@
 import datetime as dt
 import json
 
+import pytest
 import samples
+from pyspark.errors import StreamingQueryException
 
 from wattmill.operators import facility_marts
+from wattmill.operators.quality import Rule
 from wattmill.plans import questions
-from wattmill.plans.refresh import Warehouse, quarantined, refresh, replay, rule_report, stored_marts
+from wattmill.plans.refresh import Warehouse, expire, quarantined, refresh, refresh_or_replay, replay, rule_report, stored_marts
 from wattmill.sources import versions
+from wattmill.streaming.upsert import PointTable
 
 POINTS = "facility_data/interval=1d/chunk=000/fetched_at={}/part-000.json"
 
@@ -126,3 +130,48 @@ def test_questions_on_stored_marts_prune(spark, tmp_path):
 
 def rows_of(df):
     return [tuple(r) for r in df.collect()]
+
+
+def test_only_changed_years_of_region_marts_are_recomputed(spark, tmp_path, rows):
+    landing = tmp_path / "landing"
+    w = Warehouse(str(landing), str(tmp_path / "wh"))
+    samples.land(landing, "facilities/fetched_at=2024-01-05T010203Z/part-000.json", samples.REGISTRY)
+    samples.land(landing, POINTS.format("2024-01-05T010203Z"), samples.UNIT_METRICS)
+
+    def fetch(day, year, values):
+        item = samples.series("au.nem.sa1.fuel_tech.wind.energy", "energy", "wind", "GWh", f"{year}-03-01", values)
+        samples.land(landing, f"stats/region=SA1/year={year}/fetched_at=2024-06-{day:02d}T000000Z/part-000.json", {"data": [item]})
+
+    def made(name):
+        return {part[0]: folder.dir.split("/")[1] for part, [folder] in versions.current(spark, w.table("gold", name)).live.items()}
+
+    fetch(1, 2022, [1.0, 2.0])
+    fetch(1, 2023, [3.0])
+    refresh(spark, w)
+    fetch(2, 2023, [4.0])
+    marts = refresh(spark, w)
+    for name in ("generation_daily_wide", "generation_mix_daily", "renewable_share_daily", "emissions_intensity_daily"):
+        assert made(name) == {"2022": "table_version=1", "2023": "table_version=2"}
+    assert rows(marts.generation_mix_daily, "nem_date", "generated_mwh") == [(dt.date(2022, 3, 1), 1000.0), (dt.date(2022, 3, 2), 2000.0), (dt.date(2023, 3, 1), 4000.0)]
+    before = {name: rows(df) for name, df in stored_marts(spark, w).items()}
+    assert any(expire(spark, w).values())
+    assert {name: rows(df) for name, df in stored_marts(spark, w).items()} == before
+    same, _ = refresh_or_replay(spark, w)
+    assert same == w and {name: rows(df) for name, df in stored_marts(spark, w).items()} == before
+
+
+def test_changed_rules_replay_history(spark, tmp_path, rows, monkeypatch):
+    landing = tmp_path / "landing"
+    w = Warehouse(str(landing), str(tmp_path / "wh"))
+    samples.land(landing, "facilities/fetched_at=2024-01-05T010203Z/part-000.json", samples.REGISTRY)
+    samples.land(landing, "stats/region=SA1/year=2024/fetched_at=2024-01-05T010203Z/part-000.json", samples.STATS)
+    samples.land(landing, POINTS.format("2024-01-05T010203Z"), samples.UNIT_METRICS)
+    refresh(spark, w)
+    monkeypatch.setattr(PointTable, "rules", (*PointTable.rules, Rule("not_above_100", "value IS NULL OR value <= 100")))
+    with pytest.raises(StreamingQueryException, match="replay it"):
+        samples.land(landing, POINTS.format("2024-01-06T010203Z"), samples.UNIT_METRICS)
+        refresh(spark, w)
+    fresh, marts = refresh_or_replay(spark, w)
+    assert fresh.generation == 1
+    assert ("F1", dt.date(2024, 1, 1), 120.5) not in rows(marts.facility_daily, "facility_code", "nem_date", "energy_mwh")
+    assert fresh.points().rejected(spark).where("array_contains(broken_rules, 'not_above_100')").count() == 2

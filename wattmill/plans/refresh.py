@@ -20,13 +20,25 @@ from wattmill.streaming.upsert import PointTable, SeriesTable, points_of, run_up
 
 FAMILIES = {"facilities": REGISTRY, "stats": STATS, "facility_data": UNIT_METRICS}
 
-# Sort keys of the stored marts. The second column splits a date that holds very many rows.
-GOLD_LAYOUT = {
-    "generation_daily_wide": ("nem_date", "network_region", "fueltech_id"),
-    "generation_mix_daily": ("nem_date", "network_region", "fueltech_group"),
-    "renewable_share_daily": ("nem_date", "network_region"),
-    "emissions_intensity_daily": ("nem_date", "network_region"),
-    "dim_facility": ("facility_code",),
+# Marts that are stored whole, with their sort keys.
+GOLD_LAYOUT = {"dim_facility": ("facility_code",)}
+
+# Marts that are stored by period: the first characters of the day that name it (a year, a month), and the
+# sort keys. The second key splits a date that holds very many rows.
+PERIODS = {
+    "generation_daily_wide": (4, ("nem_date", "network_region", "fueltech_id")),
+    "generation_mix_daily": (4, ("nem_date", "network_region", "fueltech_group")),
+    "renewable_share_daily": (4, ("nem_date", "network_region")),
+    "emissions_intensity_daily": (4, ("nem_date", "network_region")),
+    "facility_daily": (7, ("nem_date", "facility_code")),
+    "facility_capacity_factor": (7, ("nem_date", "facility_code")),
+}
+
+# Region marts and the stored one that each is made from.
+REGION_MARTS = {
+    "generation_mix_daily": ("generation_daily_wide", region_marts.generation_mix_daily),
+    "renewable_share_daily": ("generation_daily_wide", region_marts.renewable_share_daily),
+    "emissions_intensity_daily": ("generation_daily_wide", region_marts.emissions_intensity_daily),
 }
 
 
@@ -95,38 +107,61 @@ def _fingerprint(df: DataFrame) -> str:
     return str(df.agg(F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()[0])
 
 
-def refresh_months(spark: SparkSession, w: Warehouse, name: str, wanted: dict[tuple[str, str, str], object], build) -> DataFrame:
-    """Recompute a daily facility mart only for months that changed.
+def refresh_periods(spark: SparkSession, w: Warehouse, name: str, wanted: dict[tuple[str, str, str], object], build) -> DataFrame:
+    """Recompute a daily mart only for periods that changed.
 
-    ``wanted`` has a key (month, what the month is made of, checksum of the units) for every month, and what ``build`` needs for it.
-    The key is the stored month's name, so a month with both unchanged is carried over and a new registry rebuilds all.
+    ``wanted`` has a key (period, what the period is made of, what else it depends on) for every period, and what ``build`` needs for it.
+    The key is the stored period's name, so a period with all unchanged is carried over; a new registry, say, rebuilds all.
     """
     root = w.table("gold", name)
+    length, layout = PERIODS[name]
     now = versions.current(spark, root)
     live = {part: own for part, own in now.live.items() if part in wanted}
     changed = {part[0]: (part, made_of) for part, made_of in wanted.items() if part not in live}
     if changed or len(live) != len(now.live):
         number = now.number + 1
         if changed:
-            dated = build([m for _, m in changed.values()]).withColumn("period", F.substring(F.col("nem_date").cast("string"), 1, 7))
-            laid_out = dated.repartitionByRange("period", "nem_date", "facility_code")
-            laid_out.sortWithinPartitions("period", "nem_date", "facility_code").write.mode("overwrite").partitionBy(
-                "period"
-            ).parquet(f"{root}/data/table_version={number}")
+            dated = build([m for _, m in changed.values()]).withColumn("period", F.substring(F.col("nem_date").cast("string"), 1, length))
+            laid_out = dated.repartitionByRange("period", *layout).sortWithinPartitions("period", *layout)
+            laid_out.write.mode("overwrite").partitionBy("period").parquet(f"{root}/data/table_version={number}")
             written = versions.written_parts(spark, root, number, ["period"])
-            live.update({changed[month][0]: [versions.Folder(folder, shape=_months_schema(name).json())] for (month,), folder in written.items()})
+            shape = _with_period(name).json()
+            # a period whose rows were all dropped leaves no folder
+            live.update({changed[period][0]: [versions.Folder(folder, shape=shape)] for (period,), folder in written.items()})
         versions.commit(spark, root, versions.Version(number, live=live))
-    return read_months(spark, w, name)
+    return read_periods(spark, w, name)
 
 
-def _months_schema(name: str) -> T.StructType:
+def _with_period(name: str) -> T.StructType:
     return T.StructType([*declared(name).fields]).add("period", T.StringType())
 
 
-def read_months(spark: SparkSession, w: Warehouse, name: str) -> DataFrame:
-    root = w.table("gold", name)
-    stored = versions.read(spark, root, _months_schema(name), versions.current(spark, root).folders())
-    return conform(stored.drop("period"), name)
+def _read(spark: SparkSession, w: Warehouse, name: str, folders: list[versions.Folder]) -> DataFrame:
+    return conform(versions.read(spark, w.table("gold", name), _with_period(name), folders).drop("period"), name)
+
+
+def read_periods(spark: SparkSession, w: Warehouse, name: str) -> DataFrame:
+    return _read(spark, w, name, versions.current(spark, w.table("gold", name)).folders())
+
+
+def refresh_wide(spark: SparkSession, w: Warehouse) -> DataFrame:
+    """The wide region mart follows the folders with the year's series."""
+    series = w.series()
+    parts = series.live(spark)
+    wanted = {(part[0], ";".join(f"{series.root}/{f.dir}" for f in own), ""): {part: own} for part, own in parts.items()}
+
+    def build(years: list) -> DataFrame:
+        chosen = {part: own for year in years for part, own in year.items()}
+        return region_marts.generation_daily_wide(region_marts.with_groups(series.read_parts(spark, chosen)))
+
+    return refresh_periods(spark, w, "generation_daily_wide", wanted, build)
+
+
+def refresh_from(spark: SparkSession, w: Warehouse, name: str, source: str, make) -> DataFrame:
+    """A mart that follows the stored periods of another."""
+    live = versions.current(spark, w.table("gold", source)).live
+    wanted = {(part[0], own[0].dir, ""): own[0] for part, own in live.items()}
+    return refresh_periods(spark, w, name, wanted, lambda folders: make(_read(spark, w, source, folders)))
 
 
 def refresh_facility_daily(spark: SparkSession, w: Warehouse, units: DataFrame, names: str) -> DataFrame:
@@ -141,19 +176,18 @@ def refresh_facility_daily(spark: SparkSession, w: Warehouse, units: DataFrame,
         chosen = {part: own for month in months for part, own in month.items()}
         return facility_marts.facility_daily(points.read_parts(spark, chosen), units)
 
-    return refresh_months(spark, w, "facility_daily", wanted, build)
+    return refresh_periods(spark, w, "facility_daily", wanted, build)
 
 
 def refresh_capacity_factor(spark: SparkSession, w: Warehouse, units: DataFrame, names: str) -> DataFrame:
     """Capacity factors follow the stored months of facility days."""
-    root = w.table("gold", "facility_daily")
-    wanted = {(part[0], own[0].dir, names): own[0] for part, own in versions.current(spark, root).live.items()}
+    live = versions.current(spark, w.table("gold", "facility_daily")).live
+    wanted = {(part[0], own[0].dir, names): own[0] for part, own in live.items()}
 
     def build(folders: list) -> DataFrame:
-        daily = versions.read(spark, root, _months_schema("facility_daily"), folders)
-        return facility_marts.facility_capacity_factor(conform(daily.drop("period"), "facility_daily"), units)
+        return facility_marts.facility_capacity_factor(_read(spark, w, "facility_daily", folders), units)
 
-    return refresh_months(spark, w, "facility_capacity_factor", wanted, build)
+    return refresh_periods(spark, w, "facility_capacity_factor", wanted, build)
 
 
 def keep_rejects(spark: SparkSession, w: Warehouse) -> None:
@@ -171,8 +205,8 @@ def keep_rejects(spark: SparkSession, w: Warehouse) -> None:
 def refresh(spark: SparkSession, w: Warehouse) -> Marts:
     """Bring every table up to date; safe to run again, also after a crash.
 
-    Raw files, rejects, unit points, series, facility days and capacity factors advance by what is new. The small region marts are
-    recomputed and stored; each stored table feeds the next, so no plan reaches back over two layers.
+    Raw files, rejects, unit points and series advance by what is new, and region and facility marts by the years and months
+    that it touches. Each stored table feeds the next, so no plan reaches back over two layers.
     """
     require_utc(spark)
     ingest_all(spark, w)
@@ -189,6 +223,9 @@ def refresh(spark: SparkSession, w: Warehouse) -> Marts:
     names = _fingerprint(units)
     marts.facility_daily = refresh_facility_daily(spark, w, units, names)
     marts.facility_capacity_factor = refresh_capacity_factor(spark, w, units, names)
+    marts.generation_daily_wide = refresh_wide(spark, w)
+    for name, (source, make) in REGION_MARTS.items():
+        setattr(marts, name, refresh_from(spark, w, name, source, make))
     for name, layout in GOLD_LAYOUT.items():
         setattr(marts, name, write_table(getattr(marts, name), w.table("gold", name), order_by=layout))
     return marts
@@ -218,11 +255,11 @@ def expire(spark: SparkSession, w: Warehouse) -> dict[str, int]:
     Returns how many folders went, by table. Nobody may be reading an earlier version meanwhile.
     """
     gone = {table.root: len(table.expire(spark)) for table in (w.points(), w.series(), w.demand())}
-    marts = [w.table("gold", name) for name in (*GOLD_LAYOUT, "facility_daily", "facility_capacity_factor")]
+    marts = [w.table("gold", name) for name in (*GOLD_LAYOUT, *PERIODS)]
     silver = [w.table("silver", name) for name in ("dim_unit", "dim_unit_rejected", "dim_unit_listed_twice")]
     return gone | {root: len(versions.expire(spark, root)) for root in (*marts, *silver)}
 
 
 def stored_marts(spark: SparkSession, w: Warehouse) -> dict[str, DataFrame]:
     stored = {name: read_table(spark, w.table("gold", name), declared(name)) for name in GOLD_LAYOUT}
-    return stored | {name: read_months(spark, w, name) for name in ("facility_daily", "facility_capacity_factor")}
+    return stored | {name: read_periods(spark, w, name) for name in PERIODS}
