@@ -38,16 +38,21 @@ SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS
     (place - (shard * total + 15) // 16)::BIGINT AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s
 """
 
+# a mark of no text (a private character) behind each cut
 OP9 = """
-WITH l AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
-u AS (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS n FROM l WHERE text IS NOT NULL),
-k AS (SELECT doc_id, n, lines[n] AS line, sum(length(lines[n]) + 1) OVER (PARTITION BY doc_id ORDER BY n) - length(lines[n]) - 1 AS start,
-    array_to_string(regexp_extract_all(translate(lines[n], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x09-\\x0D\\x20]+'), ' ') AS unit FROM u),
-r AS (SELECT *, len(string_split(unit, ' ')) >= 5 AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, n) > 1 AS gone FROM k),
-d AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, array_to_string(list(line ORDER BY n) FILTER (WHERE NOT gone), chr(10)) AS rest,
-    string_agg(start::BIGINT || '-' || (start + length(line))::BIGINT, ',' ORDER BY n) FILTER (WHERE gone) AS removed FROM r GROUP BY 1)
-SELECT doc_id, CASE WHEN text IS NOT NULL THEN coalesce(rest, '') END AS text, coalesce(len(lines), 0)::BIGINT AS n_units, coalesce(n_removed, 0)::BIGINT AS n_removed,
-    coalesce(removed, '') AS removed FROM l LEFT JOIN d USING (doc_id)
+WITH l AS (SELECT doc_id, text, list_filter(string_split(regexp_replace(text, '(\\n|[.,;:!?] )', '\\1' || chr(57344), 'g'), chr(57344)), lambda x: x <> '') AS pieces FROM documents),
+u AS (SELECT doc_id, pieces, unnest(range(1, len(pieces) + 1)) AS n FROM l WHERE text IS NOT NULL),
+k AS (SELECT doc_id, n, pieces[n] AS piece, sum(length(pieces[n])) OVER (PARTITION BY doc_id ORDER BY n) AS stop,
+    regexp_extract_all(translate(pieces[n], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM u),
+r AS (SELECT doc_id, n, len(words) AS w, stop - length(piece) AS start, stop,
+    row_number() OVER (PARTITION BY array_to_string(words, ' ') ORDER BY doc_id, n) > 1 AS gone FROM k WHERE len(words) >= 3),
+i AS (SELECT *, count(*) FILTER (WHERE NOT gone) OVER (PARTITION BY doc_id ORDER BY n) AS island FROM r),
+runs AS (SELECT doc_id, min(n) AS first, max(n) AS last, min(start)::BIGINT AS start, max(stop)::BIGINT AS stop FROM i WHERE gone GROUP BY doc_id, island HAVING sum(w) >= 25),
+rest AS (SELECT k.doc_id, string_agg(piece, '' ORDER BY n) FILTER (WHERE runs.first IS NULL) AS rest, count(runs.first) AS n_removed
+    FROM k LEFT JOIN runs ON runs.doc_id = k.doc_id AND n BETWEEN first AND last GROUP BY 1),
+spans AS (SELECT doc_id, string_agg(start || '-' || stop, ',' ORDER BY start) AS removed FROM runs GROUP BY 1)
+SELECT doc_id, CASE WHEN text IS NOT NULL THEN coalesce(rest, '') END AS text, coalesce(len(pieces), 0)::BIGINT AS n_units, coalesce(n_removed, 0)::BIGINT AS n_removed,
+    coalesce(removed, '') AS removed FROM l LEFT JOIN rest USING (doc_id) LEFT JOIN spans USING (doc_id)
 """
 
 # the same CRC-32 of a decimal number
