@@ -21,6 +21,15 @@ def duck():
     return con
 
 
+@pytest.fixture(scope="module")
+def folders(spark, tmp_path_factory):
+    """The same tables as folders of part files."""
+    base = tmp_path_factory.mktemp("tables")
+    for t in TABLES.split():
+        spark.read.parquet(f"{SF_DIR}/{t}.parquet").repartition(3).write.parquet(str(base / f"{t}.parquet"))
+    return str(base)
+
+
 def plain(rows, columns):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     cell = lambda v: v.isoformat() if isinstance(v, dt.datetime) else repr(v)
@@ -38,8 +47,8 @@ def test_entry(spark):
 
 
 @pytest.mark.parametrize("name", sorted(catalog.queries()))
-def test_query(spark, duck, name):
-    df = catalog.queries()[name](spark, SF_DIR)
+def test_query(spark, duck, folders, name):
+    df = catalog.queries()[name](spark, folders)
     result = duck.execute(oracle.oracle_sql()[name])
     columns = [d[0] for d in result.description]
     assert sorted(df.columns) == sorted(columns)
@@ -47,12 +56,9 @@ def test_query(spark, duck, name):
 
 
 @pytest.mark.parametrize("name", ["scd1_stream", "stats_ingest_stream", "chunk_gaps", "turn_pairs", "l1"])
-def test_tables_may_be_folders(spark, tmp_path, name):
-    folder = tmp_path / "tables"
-    for t in TABLES.split():
-        spark.read.parquet(f"{SF_DIR}/{t}.parquet").repartition(3).write.parquet(str(folder / f"{t}.parquet"))
+def test_tables_may_be_single_files(spark, folders, name):
     query = catalog.queries()[name]
-    one, many = query(spark, SF_DIR), query(spark, str(folder))
+    one, many = query(spark, SF_DIR), query(spark, folders)
     assert plain(many.collect(), many.columns) == plain(one.collect(), one.columns)
 
 
