@@ -44,6 +44,8 @@ EVERY = 1 << 17
 BLOCK_IDS = 1 << 19
 LOW = np.uint64(1 << 31)
 END_ID = 0
+# n of the row with which a task tells how often it has met each id
+COUNTS = -1
 # words kept with their ids in a task; the whole cache is dropped when full
 CACHED_WORDS = 400_000
 
@@ -165,34 +167,47 @@ def cached_tokenizer(path: str) -> CachedTokenizer:
 
 
 def tokens(docs: DataFrame, path: str = TOKENIZER) -> DataFrame:
-    """(doc_id, key, n, ids): the packed ids of every text with the closing id."""
+    """(doc_id, key, n, ids): the packed ids of every text with the closing id.
+
+    The last row of each task has n = ``COUNTS`` and, for ids, how often the task has met each id.
+    """
     schema = arrow_schema(TOKENS)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         tokenizer = cached_tokenizer(path)
+        met = np.zeros(0, dtype=np.uint64)
         for batch in batches:
             for part, texts in texts_in_blocks(batch, 2):
                 found = tokenizer.encode_all([t.decode("utf-8", "replace") for t in texts], END_ID)
+                met = added(np.bincount(np.concatenate(found)).astype(np.uint64), met)
                 for doc_id, key, ids in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), found, strict=True):
-                    yield doc_id, key, len(ids), pack(ids.astype("<u2") if ids.max() < 1 << 16 else ids)
+                    yield doc_id, key, len(ids), pack(ids.astype("<u2") if len(met) <= 1 << 16 else ids)
+        if len(met):
+            yield None, None, COUNTS, pack(met)
 
     rows_in = docs.select(F.col("doc_id").cast("bigint"), text_key(F.col("text")).alias("key"), "text")
     return rows_in.mapInArrow(lambda batches: emit(schema, rows(batches)), TOKENS)
 
 
+def added(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sums of counts of which one may reach further."""
+    longer, shorter = (a, b) if len(a) >= len(b) else (b, a)
+    longer = longer.copy()
+    longer[: len(shorter)] += shorter
+    return longer
+
+
 def count_ids(found: DataFrame) -> DataFrame:
     schema = arrow_schema(COUNTED)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            own = np.bincount(np.concatenate([unpack(x) for x in batch.column(0).to_pylist()]), minlength=len(total))
-            own[: len(total)] += total
-            total = own
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.int64())], schema=schema)
+            for row in batch.column(0).to_pylist():
+                total = unpack(row)
+                used = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used].astype(np.int64))], schema=schema)
 
-    return found.select("ids").mapInArrow(count, COUNTED).groupBy("id").agg(F.sum("n").alias("n"))
+    return found.where(F.col("n") == COUNTS).select("ids").mapInArrow(count, COUNTED).groupBy("id").agg(F.sum("n").alias("n"))
 
 
 class Model:
@@ -296,7 +311,7 @@ def encode_blocks(found: DataFrame, model: Broadcast) -> DataFrame:
         if held:
             yield block()
 
-    ordered = found.repartitionByRange("doc_id", "key").sortWithinPartitions("doc_id", "key")
+    ordered = found.where(F.col("n") != COUNTS).repartitionByRange("doc_id", "key").sortWithinPartitions("doc_id", "key")
     return ordered.mapInArrow(lambda batches: emit(schema, rows(batches), 16), BLOCKS)
 
 
