@@ -14,7 +14,10 @@ def latest_by(df: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFra
     One MAX over a struct that leads with the sequence, so every map task already reduces its copies
     of a key to one before the shuffle: a key with very many versions costs no more than others.
     Equal sequences fall back to the remaining columns, which makes the result independent of order.
+
+    Spark sorts for a maximum of structs, since it can only hash-aggregate values of fixed width. The groups
+    therefore lead with a hash of the keys: the sort compares one number per row instead of several texts.
     """
     rest = [c for c in df.columns if c not in keys and c not in seq]
-    newest = df.groupBy(*keys).agg(F.max(F.struct(*seq, *rest)).alias("newest"))
+    newest = df.groupBy(F.xxhash64(*keys), *keys).agg(F.max(F.struct(*seq, *rest)).alias("newest"))
     return newest.select(*[F.col(c) if c in keys else F.col(f"newest.{c}").alias(c) for c in df.columns])

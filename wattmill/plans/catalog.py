@@ -58,17 +58,22 @@ def _question(key: str) -> Query:
     return run
 
 
-def _published(key: str, mart: str, keys: list[str]) -> Query:
-    """A lookup on the published copy of a mart."""
+def publish(spark: SparkSession, sf_dir: str, key: str) -> SimpleNamespace:
+    """The published copy of the mart that a lookup reads."""
+    mart, keys = PUBLISHED[key]
+    root = shared_dir(spark, "serving")
+    frame = getattr(StarMarts(spark, sf_dir), mart)
+    serving.publish_snapshot(frame, root, keys)
+    return SimpleNamespace(**{mart: tables.read_table(spark, root, frame.schema)})
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        root = shared_dir(spark, "serving")
-        frame = getattr(StarMarts(spark, sf_dir), mart)
-        serving.publish_snapshot(frame, root, keys)
-        copy = SimpleNamespace(**{mart: tables.read_table(spark, root, frame.schema)})
-        return questions.QUESTIONS[key](copy, _as_of(spark, sf_dir), **QUESTION_PARAMS.get(key, {}))
 
-    return run
+def look_up(spark: SparkSession, sf_dir: str, key: str, copy: SimpleNamespace) -> DataFrame:
+    return questions.QUESTIONS[key](copy, _as_of(spark, sf_dir), **QUESTION_PARAMS.get(key, {}))
+
+
+def _published(key: str) -> Query:
+    """A lookup on the published copy of a mart."""
+    return lambda spark, sf_dir: look_up(spark, sf_dir, key, publish(spark, sf_dir, key))
 
 
 def _variant(fn: Callable) -> Query:
@@ -708,7 +713,7 @@ def queries() -> dict[str, Query]:
     found.update({fn.__name__: fn for fn in OPERATORS})
     found.update({name: _sql(text) for name, text in SQL_CALLS.items()})
     found.update({name: _question(name) for name in questions.QUESTIONS})
-    found.update({key: _published(key, *of) for key, of in PUBLISHED.items()})
+    found.update({key: _published(key) for key in PUBLISHED})
     found.update({fn.__name__: _variant(fn) for fn in variants.VARIANTS})
     return {name: _finished(query) for name, query in found.items()}
 
