@@ -11,8 +11,11 @@ The last three come from grouped counts over all rows of what the text alone say
 with a third of all rows is one entry. The posterior is the normalised product. A row is kept if the best language is a known one
 with a posterior of at least ``least``; text without letters says nothing and is rejected.
 
+A declared language counts by its primary subtag in lower case (``en-GB`` and ``EN`` are ``en``). Codes that say "undetermined", "several" or
+"none", and texts that are no code, are no declaration.
+
 The text model is fitted on at most about ``PER_LANGUAGE`` labelled rows of each declared language, drawn by hash of text and id.
-Every declared language is modelled, however rare. Everything else uses all rows.
+Every declared language is modelled, however rare; their number is that of language codes. Everything else uses all rows.
 
 Nulls: a null text has no letters; null declaration, suffix or host is no evidence. Repeated rows are judged alike. With no labelled
 row at all, nothing is kept. Empty table: empty result. Columns of ``docs`` besides the named ones are carried along by
@@ -38,6 +41,8 @@ PER_LANGUAGE = 2000
 WEIGHT = 20.0  # rows that a parent's prior counts for
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 UNKNOWN = "und"
+# Codes for undetermined, several, uncoded and no languages.
+NO_LANGUAGE = ("und", "mul", "mis", "zxx")
 
 COUNTS = struct(label="string", slots="binary", counts="binary")
 
@@ -125,11 +130,17 @@ def with_likelihoods(docs: DataFrame, text: str, model: list[tuple[float, np.nda
     return docs.mapInArrow(score, schema)
 
 
+def language_code(declared: Column) -> Column:
+    """The primary subtag of a language code in lower case; null for anything else."""
+    code = F.lower(F.regexp_extract(F.trim(declared), r"^([A-Za-z0-9]{1,8})(?:[-_].*)?$", 1))
+    return F.when((code != "") & ~code.isin(*NO_LANGUAGE), code)
+
+
 def identify(
     docs: DataFrame, text: str = "text", declared: str | None = "lang", host: str | None = "source", suffix: str | None = None, key: str = "doc_id", least: float = 0.5
 ) -> DataFrame:
     """``docs`` with columns ``language``, ``posterior``, ``text_language`` and ``kept`` (underscores added where such names are taken)."""
-    label = F.col(declared).cast("string") if declared else F.lit(None).cast("string")
+    label = language_code(F.col(declared).cast("string")) if declared else F.lit(None).cast("string")
     names = {n: fresh(docs, n) for n in ("language", "posterior", "text_language", "kept", "_likelihood", "_host", "_label", "_suffix")}
     base = docs.withColumn(names["_host"], F.col(host).cast("string") if host else F.lit(None).cast("string"))
     base = base.withColumn(names["_label"], label).withColumn(names["_suffix"], F.col(suffix).cast("string") if suffix else F.lit(None).cast("string"))
@@ -148,6 +159,7 @@ def identify(
     # every row's verdict by text alone, as counts
     counts = saved(facts.groupBy("host", "label", "suffix", "best").agg(F.count("*").alias("n")), "evidence")
     seen = {r["best"]: float(r["n"]) for r in counts.groupBy("best").agg(F.sum("n").alias("n")).collect()}
+    kinds = counts.agg(F.count_distinct("label").alias("label"), F.count_distinct("suffix").alias("suffix")).first()
     sums = [seen.get(v, 0.0) for v in every]
     whole = [(s + 1) / (sum(sums) + len(every)) for s in sums]
     array = lambda values: F.array(*map(F.lit, values))
@@ -160,8 +172,11 @@ def identify(
         return by.select(column, F.transform(array(every), lambda v: F.coalesce(F.element_at("by", v), F.lit(0.0))).alias("n"))
 
     def given_language(column: str, name: str) -> DataFrame:
-        """log P(column | language): each value's share of the language's rows, add-one smoothed."""
-        return told(counts, column).select(F.col(column).alias(f"{name}_key"), F.zip_with("n", array(sums), lambda c, s: F.log((c + 1) / (s + 50))).alias(name))
+        """log P(column | language): each value's share of the language's rows that have one, add-one smoothed over all values."""
+        having = counts.where(F.col(column).isNotNull()).groupBy("best").agg(F.sum("n").alias("n")).collect()
+        rows_with = {r["best"]: float(r["n"]) for r in having}
+        totals = array([rows_with.get(v, 0.0) + kinds[column] for v in every])
+        return told(counts, column).select(F.col(column).alias(f"{name}_key"), F.zip_with("n", totals, lambda c, s: F.log((c + 1) / s)).alias(name))
 
     parent = F.when(F.size(F.split("host", r"\.")) > 2, F.substring_index("host", ".", -2))
     size = F.aggregate("n", F.lit(0.0), lambda a, c: a + c)
@@ -189,7 +204,11 @@ def identify(
 
 
 def pages_as_documents(pages: DataFrame) -> DataFrame:
-    """page_id, visible text, declared language, host and suffix of web pages."""
+    """page_id, visible text, declared language, host and suffix of web pages.
+
+    A null page has a null text, a page without a declaration a null language, and a url that is null or relative a null host and suffix.
+    Repeated pages stay repeated. Other columns are ignored; an empty table gives an empty one.
+    """
     markup = r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>"
     declared = F.regexp_extract("html", r"""(?is)<html\b[^>]*\blang\s*=\s*["']?([A-Za-z]+)""", 1)
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)", 1))
