@@ -10,7 +10,7 @@ import corpus_pipeline
 from wattmill.llm import queries, surrogates
 
 SF_DIR = "/root/testdata/sf0.001"
-TABLES = ("documents", "benchmark")
+TABLES = ("documents", "benchmark", "conversations")
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
@@ -48,3 +48,17 @@ def test_stages_return_the_columns_of_documents(spark, frame):
     docs = frame([(1, "the house and the garden were quiet that morning")] * 2, "kept", "language", "first")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF_DIR).columns == docs.columns
+
+
+def test_stages_take_nulls_repeated_rows_and_empty_tables(spark, frame, odd):
+    plain = [(100 + i, f"the house and the garden were quiet that morning when they walked along the river {i}") for i in range(30)]
+    docs = frame([*odd, *plain])
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, SF_DIR).collect()
+        ids = {r.doc_id for r in found}
+        assert len(found) <= len(odd) + len(plain), name
+        if name in ("language", "near_duplicates", "benchmark"):
+            assert len(ids & set(range(100, 130))) == (1 if name == "near_duplicates" else 30), name
+        else:
+            assert len(found) == len(odd) + len(plain), name
+        assert stage(spark, frame([]), SF_DIR).collect() == [], name
