@@ -95,3 +95,14 @@ def test_shuffles_follow_the_input(spark, tmp_path, monkeypatch):
         assert spark.conf.get(key) == "50"
     finally:
         spark.conf.unset(key)
+
+
+def test_scans_are_cut_to_what_a_task_can_sort(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    try:
+        for asked, used in (("128MB", str(16 * 1024**2)), ("1m", "1m")):
+            spark.conf.set(key, asked)
+            session.size_scans(spark)
+            assert spark.conf.get(key) == used
+    finally:
+        spark.conf.unset(key)
