@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import random
+import re
 
 import pytest
 import samples
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wattmill.operators.facility_marts import facility_generation
 from wattmill.operators.region_marts import fetched_points, generation_daily_by_fueltech, with_groups
-from wattmill.sources import versions
+from wattmill.sources import landing, star, versions
 from wattmill.sources.tables import write_table
 from wattmill.streaming import ingest, upsert
 
@@ -223,3 +224,18 @@ def test_warnings_show_in_the_progress(spark, tmp_path):
     query = upsert.run_upsert(stream, upsert.PointTable(str(tmp_path / "t")), str(tmp_path / "cp"))
     seen = [p["observedMetrics"]["points"] for p in map(lambda p: json.loads(p.json), query.recentProgress) if p["observedMetrics"]]
     assert seen[0]["rows"] == 3 and seen[0]["non_negative_value"] == 1 and seen[0]["valid_unit_code"] == 1
+
+
+def test_unit_files_are_made_in_one_deal(spark, tmp_path):
+    """Lines are dealt to their files once, before metrics unfold; a landed file holds one payload and takes less room than its text."""
+    raw = star.unit_files_raw(spark, "/root/testdata/sf0.001")
+    first = raw._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    deals = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", first)
+    assert sum("chunk#" in keys for keys in deals) == 1
+    star.land(raw, str(tmp_path / "landing"), "interval", "chunk", "year", "fetched_at")
+    landed = landing.read_files(spark, str(tmp_path / "landing"))
+    texts = [r.raw_json for r in raw.collect()]
+    # one text is one file; the order of points in a file is left open
+    assert landed.count() == len(texts)
+    assert sorted(len(r.raw_json.strip()) for r in landed.collect()) == sorted(map(len, texts))
+    assert sum(f.stat().st_size for f in (tmp_path / "landing").rglob("part-*")) < sum(map(len, texts)) / 2
