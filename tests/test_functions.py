@@ -97,6 +97,18 @@ def test_shuffles_follow_the_input(spark, tmp_path, monkeypatch):
         spark.conf.unset(key)
 
 
+def test_a_shuffle_partition_gets_no_more_input_than_a_task_can_sort(spark, tmp_path):
+    """A gigabyte of packed lines in two partitions would be sorted on disk."""
+    with (tmp_path / "x").open("wb") as f:
+        f.truncate(1024**3)
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert session.size_shuffles(spark, str(tmp_path)) >= 32
+        assert session.size_shuffles(spark, str(tmp_path), per=128 * 1024**2) == 8
+    finally:
+        spark.conf.unset(key)
+
+
 def test_scans_are_cut_to_what_a_task_can_sort(spark):
     key = "spark.sql.files.maxPartitionBytes"
     try:

@@ -79,6 +79,10 @@ class StarMarts(Marts):
     def facility_generation(self) -> DataFrame:
         return facility_marts.facility_generation(star.unit_points(*self.source))
 
+    @cached_property
+    def facility_daily(self) -> DataFrame:
+        return facility_marts.facility_daily_of_fetches(star.unit_points(*self.source), self.dim_unit)
+
     @cached_property
     def demand_daily(self) -> DataFrame:
         return star.demand_daily(*self.source)

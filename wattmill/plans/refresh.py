@@ -20,6 +20,9 @@ from wattmill.streaming.upsert import PointTable, SeriesTable, points_of, run_up
 
 FAMILIES = {"facilities": REGISTRY, "stats": STATS, "facility_data": UNIT_METRICS}
 
+# One shuffle partition for this much of the warehouse: a refresh moves what is new, not all that is stored.
+HISTORY_PER_PARTITION = 512 * 1024**2
+
 # Marts that are stored whole, with their sort keys.
 GOLD_LAYOUT = {"dim_facility": ("facility_code",)}
 
@@ -210,7 +213,7 @@ def refresh(spark: SparkSession, w: Warehouse) -> Marts:
     """
     require_utc(spark)
     ingest_all(spark, w)
-    size_shuffles(spark, w.base)
+    size_shuffles(spark, w.base, per=HISTORY_PER_PARTITION)
     keep_rejects(spark, w)
     run_upsert(points_of(stream_raw(spark, w.raw("facility_data"))), w.points(), w.checkpoint("points"))
     for table, demand, job in ((w.series(), False, "series"), (w.demand(), True, "demand")):
