@@ -81,7 +81,7 @@ class StarMarts(Marts):
 
     @cached_property
     def facility_daily(self) -> DataFrame:
-        return facility_marts.facility_daily_of_fetches(star.unit_points(*self.source), self.dim_unit)
+        return facility_marts.facility_daily_of_rows(star.unit_fetches(*self.source), self.dim_unit)
 
     @cached_property
     def demand_daily(self) -> DataFrame:
