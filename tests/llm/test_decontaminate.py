@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import pytest
 
@@ -56,6 +57,16 @@ def test_random_short_alphabet(spark, frame):
         assert sum(s.last - s.first + 1 for s in found[d].spans) == found[d].n_hit
 
 
+def test_a_scan_needs_a_few_times_its_text():
+    texts = [b"the house and the garden were quiet that morning " * 40] * 1000
+    size = sum(map(len, texts))
+    tracemalloc.start()
+    de.Scan(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 13 * size
+
+
 def test_patterns_in_several_blocks(spark, sample, items, monkeypatch):
     whole = de.contamination(sample, table(spark, items)).collect()
     monkeypatch.setattr(de.pattern_blocks, "__defaults__", (1000,))

@@ -7,7 +7,7 @@ import test_decontaminate
 import test_word_bpe
 
 import corpus_pipeline
-from wattmill.llm import queries, surrogates
+from wattmill.llm import common, queries, surrogates
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ("documents", "benchmark", "conversations")
@@ -62,3 +62,15 @@ def test_stages_take_nulls_repeated_rows_and_empty_tables(spark, frame, odd):
         else:
             assert len(found) == len(odd) + len(plain), name
         assert stage(spark, frame([]), SF_DIR).collect() == [], name
+
+
+def test_stages_do_not_depend_on_how_rows_are_batched(spark, sample, monkeypatch):
+    def kept():
+        # each stage asks for its batches when it is called
+        return [sorted((r.doc_id, r.text) for r in stage(spark, sample, SF_DIR).collect()) for _, stage in corpus_pipeline.STAGES[:4]]
+
+    want = kept()
+    with monkeypatch.context() as small:
+        small.setattr(common, "BATCH_BYTES", 20_000)
+        assert kept() == want
+    common.ship(spark)

@@ -53,6 +53,7 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 DENSE = 0.5  # mean agreement with one member from which a large child is not split further
 BLOCK = 256  # members of a family compared at a time; a large family is dealt in blocks of up to four times that
 BLOCK_BYTES = 16 << 20
+TEXT_BYTES = 2 << 20  # text taken at a time: as words and hashes it is some ten times as large
 COLUMNS = 4096  # hashes in one product of a comparison
 SKETCHED = struct(doc_id="long", text_key="long", rep="binary", sketch="binary")
 SETS = struct(rep="binary", grams="binary")
@@ -115,7 +116,7 @@ def sketch_documents(docs: DataFrame) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            for part, texts in texts_in_blocks(batch, 2, 4 << 20):
+            for part, texts in texts_in_blocks(batch, 2, TEXT_BYTES):
                 sets = gram_sets(texts)
                 full = [s for s in sets if len(s)]
                 found = iter(sketches(full)) if full else iter(())
@@ -391,7 +392,7 @@ def full_sets(docs: DataFrame, sketched: DataFrame, wanted: DataFrame) -> DataFr
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            for part, found in texts_in_blocks(batch, 1, 4 << 20):
+            for part, found in texts_in_blocks(batch, 1, TEXT_BYTES):
                 for rep, grams in zip(part.column(0).to_pylist(), gram_sets(found), strict=True):
                     yield rep, grams.tobytes()
 

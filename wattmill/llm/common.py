@@ -15,8 +15,14 @@ from pyspark.sql import types as T
 from wattmill.session import shared_dir
 
 
+# Rows cross to a Python worker in batches of this size at most, or one row if it is larger. Spark's own 64 MB count several times: in
+# Spark's buffers, in the worker's, and as the objects made of them.
+BATCH_BYTES = 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once per application, as ``--py-files`` would."""
+    """Give the executors this package, once per application, as ``--py-files`` would, and the session batches of bounded size."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     sc = spark.sparkContext
     if getattr(sc, "_wattmill_shipped", False):
         return
@@ -70,7 +76,7 @@ def raw_texts(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def texts_in_blocks(batch: pa.RecordBatch, column: int, most_bytes: int = 8 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def texts_in_blocks(batch: pa.RecordBatch, column: int, most_bytes: int = BATCH_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Parts of a batch with about ``most_bytes`` of text each."""
     texts = raw_texts(batch.column(column))
     begin, size = 0, 0
@@ -81,7 +87,7 @@ def texts_in_blocks(batch: pa.RecordBatch, column: int, most_bytes: int = 8 << 2
             begin, size = i + 1, 0
 
 
-def emit(schema: pa.Schema, rows: Iterable[tuple], most_rows: int = 2000, most_bytes: int = 32 << 20) -> Iterator[pa.RecordBatch]:
+def emit(schema: pa.Schema, rows: Iterable[tuple], most_rows: int = 2000, most_bytes: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Rows as record batches bounded by count and by the size of their binary values."""
     kept: list[tuple] = []
     size = 0

@@ -33,6 +33,8 @@ from pyspark.sql import types as T
 from wattmill.llm.common import arrow_schema, struct, texts_in_blocks
 
 PATTERN_BYTES = 8 << 20
+TEXT_BYTES = 2 << 20  # text scanned at a time, in stretches of ``STRETCH`` bytes
+STRETCH = 128
 TABLE_BITS = 20
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 # everything that is not a word byte becomes a space; A-Z become a-z
@@ -101,10 +103,9 @@ class PatternClass:
         last = len(data) - self.block
         if len(data) < self.m:
             return
-        stretch = 1 << 10
         first = self.m - self.block  # the block that ends the first m bytes
-        pos = np.arange(first, last + 1, stretch, dtype=np.int64)
-        stop = np.minimum(pos + stretch, last + 1)
+        pos = np.arange(first, last + 1, STRETCH, dtype=np.int64)
+        stop = np.minimum(pos + STRETCH, last + 1)
         while len(pos):
             step = self.shift[slots([data[pos + k] for k in range(self.block)])]
             zero = step == 0
@@ -167,8 +168,9 @@ class Scan:
         self.raw = b"".join(reduced)
         self.data = np.frombuffer(self.raw, dtype=np.uint8)
         self.bounds = np.concatenate([[0], np.cumsum([len(r) for r in reduced])])
-        gaps = np.concatenate([[0], np.cumsum(self.data == 32)])  # spaces before each byte
-        self.gaps = gaps
+        # spaces before each byte
+        self.gaps = gaps = np.zeros(len(self.data) + 1, dtype=np.int32 if len(self.data) < 1 << 31 else np.int64)
+        np.cumsum(self.data == 32, dtype=gaps.dtype, out=gaps[1:])
         self.n_words = np.maximum(gaps[self.bounds[1:]] - gaps[self.bounds[:-1]] - 1, 0)
         self.spans: dict[int, list[tuple[int, int]]] = {}
         self.items: dict[int, set[str]] = {}
@@ -217,7 +219,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in texts_in_blocks(batch, 1):
+            for part, texts in texts_in_blocks(batch, 1, TEXT_BYTES):
                 found = scan(texts)
                 rows = [found.result(i) for i in range(len(texts))]
                 yield pa.RecordBatch.from_arrays(
@@ -244,7 +246,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, width: int = 13) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in texts_in_blocks(batch, at):
+            for part, texts in texts_in_blocks(batch, at, TEXT_BYTES):
                 found = scan(texts)
                 keep = [not is_contaminated(*found.result(i)[:2]) for i in range(len(texts))]
                 yield part.filter(pa.array(keep, pa.bool_()))

@@ -39,6 +39,7 @@ SLOTS = 1 << 16
 EFFECTIVE = 60
 PER_LANGUAGE = 2000
 WEIGHT = 20.0  # rows that a parent's prior counts for
+BLOCK_BYTES = 2 << 20  # text taken at a time: its trigrams need some 25 times as much
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 UNKNOWN = "und"
 # Codes for undetermined, several, uncoded and no languages.
@@ -79,7 +80,7 @@ def fit(docs: DataFrame, text: str, declared: str, key: Column) -> tuple[list[st
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            for part, texts in texts_in_blocks(batch, 0):
+            for part, texts in texts_in_blocks(batch, 0, 2 * BLOCK_BYTES):
                 by_label: dict[str, list[bytes]] = {}
                 for label, spelt in zip(part.column(1).to_pylist(), texts, strict=True):
                     by_label.setdefault(label, []).append(spelt)
@@ -119,7 +120,7 @@ def with_likelihoods(docs: DataFrame, text: str, model: list[tuple[float, np.nda
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in texts_in_blocks(batch, at):
+            for part, texts in texts_in_blocks(batch, at, BLOCK_BYTES):
                 slots, bounds = trigram_slots(texts)
                 grams = np.maximum(np.diff(bounds) - 2, 0)
                 sums = np.stack([np.add.reduceat(row[slots], bounds[:-1], dtype=np.float64) for row in weights()], axis=1)
