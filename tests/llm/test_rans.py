@@ -31,6 +31,23 @@ def test_odd_texts(frame, odd):
     assert sorted(found, key=lambda r: r[1]) == want
 
 
+def test_words_are_kept_without_their_marks():
+    words = rans.CachedTokenizer(rans.TOKENIZER).words
+    words.of_all(["house", "house,", "house###", "\nhouse", "\nhouse."])
+    assert set(words) == {"house", "\nhouse", "\n,", "\n###", "\n."}
+
+
+def test_words_with_marks_equal_library(monkeypatch):
+    monkeypatch.setattr(rans, "CACHED_WORDS", 12)
+    tokenizer = rans.CachedTokenizer(rans.TOKENIZER)
+    rng = np.random.default_rng(4)
+    parts = ["the", "Haus", "\u00e9t\u00e9", "\u6f22\u5b57", "12", "'s", "'", ",", "###", "_", "-", "!!", "<|", '"', "e\u0301"]
+    texts = [" ".join("".join(rng.choice(parts, rng.integers(1, 5))) for _ in range(30)).replace("# ", "#\n") for _ in range(200)]
+    found = tokenizer.encode_all(texts, rans.END_ID)
+    assert [f.tolist() for f in found] == [[*tokenizer.tokenizer.encode(t, add_special_tokens=False).ids, rans.END_ID] for t in texts]
+    assert len(tokenizer.words) + len(tokenizer.words.older) <= 12
+
+
 def test_empty_table(frame):
     assert rans.token_files(frame([])).collect() == []
 

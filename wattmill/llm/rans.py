@@ -20,6 +20,7 @@ The model has one row per id of the vocabulary and the places of blocks come fro
 from __future__ import annotations
 
 import functools
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -46,8 +47,10 @@ LOW = np.uint64(1 << 31)
 END_ID = 0
 # n of the row with which a task tells how often it has met each id
 COUNTS = -1
-# words kept with their ids in a task; the whole cache is dropped when full
-CACHED_WORDS = 400_000
+# words kept with their ids in a Python worker
+CACHED_WORDS = 800_000
+# a run of these is a piece of its own after letters (the apostrophe is not: "'s" is a piece)
+MARKS = string.punctuation.replace("'", "")
 
 TOKENS = struct(doc_id="long", key="long", n="long", ids="binary")
 BLOCKS = struct(
@@ -81,7 +84,8 @@ class Words(dict):
     """Ids of the words between spaces, found when first asked for.
 
     A word follows a space, or a line feed that it then begins with. Letters are one piece of the pattern and go straight to the
-    library's BPE model; a closing mark is a piece of its own; anything else takes the library's whole way.
+    library's BPE model; the marks that end a word are a piece of their own, so words are kept without them; anything else takes the
+    library's whole way. When half of ``CACHED_WORDS`` are new, those not asked for since the half before are dropped.
     """
 
     def __init__(self, tokenizer: Tokenizer):
@@ -89,28 +93,38 @@ class Words(dict):
         self.letters = byte_letters()
         self.space = self.letters[0x20]
         self.feed = as_bytes(self.library("\n"))
-        self.marks = {m: as_bytes(self.library(m)) for m in ",.;:!?"}
+        self.older: dict[str, bytes] = {}
 
     def library(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def piece(self, lead: str, letters: str) -> bytes:
-        spelt = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.letters)
-        return as_bytes([t.id for t in self.model.tokenize(lead + spelt)])
-
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHED_WORDS:
+        ids = self.older.get(word) or self.found(word)
+        if len(self) >= CACHED_WORDS // 2:
+            self.older = dict(self)
             self.clear()
+        self[word] = ids
+        return ids
+
+    def found(self, word: str) -> bytes:
         after_feed = word[0] == "\n"
         body = word[1:] if after_feed else word
-        mark = body[-1] if body[-1] in self.marks else ""
-        letters = body[: len(body) - len(mark)]
-        if letters.isalpha():
-            ids = self.piece("" if after_feed else self.space, letters) + (self.marks[mark] if mark else b"")
+        if body.isalpha():
+            spelt = body if body.isascii() else body.encode().decode("latin-1").translate(self.letters)
+            ids = array("I", [t.id for t in self.model.tokenize(spelt if after_feed else self.space + spelt)]).tobytes()
         else:
             ids = as_bytes(self.library(body if after_feed else " " + body))
-        self[word] = ids = self.feed + ids if after_feed else ids
-        return ids
+        return self.feed + ids if after_feed else ids
+
+    def of_all(self, words: list[str]) -> list[bytes]:
+        out = []
+        for word in words:
+            bare = word.rstrip(MARKS)
+            if len(bare) < len(word) and bare.lstrip("\n").isalpha():
+                out.append(self[bare] + self["\n" + word[len(bare) :]][len(self.feed) :])
+            else:
+                out.append(self[word])
+        return out
 
 
 class CachedTokenizer:
@@ -146,7 +160,7 @@ class CachedTokenizer:
         split = pc.split_pattern(texts, " ")
         coded = split.flatten().dictionary_encode()
         at = coded.indices.to_numpy()
-        ids = [self.words[w] for w in coded.dictionary.to_numpy(zero_copy_only=False)]
+        ids = self.words.of_all(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), dtype="<u4")
         begins = np.cumsum(lengths) - lengths
