@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -173,3 +174,39 @@ def test_near_values_in_several_columns(spark):
     assert verdict(spark, left, crossed, schema) == ("BAD", 50, 50)
     assert verdict(spark, [(1, 1e300, float("inf"))], [(1, 1e300, float("inf"))], schema)[0] == "GOOD"
     assert verdict(spark, [(1, 1e25, 0.0)], [(1, 2e25, 0.0)], schema)[0] == "BAD"
+
+
+def test_comparison_leaves_nothing_on_disk(spark, tmp_path):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before, settings = set(shared.glob("*")), spark.conf.getAll
+    source = str(tmp_path / "in")
+    spark.range(1000).selectExpr("id", "id % 10 AS g", "id + 5e-7 AS x").write.parquet(source)
+    files = spark.read.parquet(source)
+    summed = files.groupBy("g").agg(F.sum("x").alias("x"))
+    assert compare._reads_again(files.where("id > 5")) and not compare._reads_again(summed)
+    assert not compare._reads_again(files.withColumn("t", F.current_timestamp())) and not compare._reads_again(files.withColumn("t", F.rand()))
+    for frame in (files, summed):
+        moved = frame.withColumn("x", F.col("x") - 1e-9)
+        result = compare.compare_results(frame, moved)
+        assert tuple(result.first())[:5] == ("GOOD", frame.count(), frame.count(), 0, 0)
+    assert set(shared.glob("*")) == before and spark.conf.getAll == settings
+
+
+def test_near_values_beyond_the_border_of_a_cell(spark):
+    """Values on both sides of every border between cells of the search, in one column and in two."""
+    step = 5e-7
+    spots = [k * compare.CELL * 2 * step + step * shift for k in range(-3, 4) for shift in range(-20, 21)]
+    left = [(i, v + 0.4 * step) for i, v in enumerate(spots)]
+    right = [(i, v + 1.3 * step) for i, v in left]
+    assert verdict(spark, left, [(i, v - 0.45 * step) for i, v in right], "k int, x double") == ("GOOD", 0, 0)
+    pairs = [(i, v, 1e6 - v) for i, v in left]
+    near = [(i, v + 0.9 * step, w + 0.9 * step) for i, v, w in pairs]
+    assert verdict(spark, pairs, near, "k int, x double, y double") == ("GOOD", 0, 0)
+    far = verdict(spark, pairs, [(i, v + 3 * step, w) for i, v, w in pairs], "k int, x double, y double")
+    assert far == ("BAD", len(spots), len(spots))
+
+
+def test_numbers_meet_texts(spark):
+    assert verdict(spark, [("x", 7)], [("x", "7")], "a string, b int", "a string, b string") == ("GOOD", 0, 0)
+    assert verdict(spark, [("x", 1.5)], [("x", "1.5")], "a string, b double", "a string, b string") == ("GOOD", 0, 0)
+    assert verdict(spark, [("x", 7.25)], [("x", "7.26")], "a string, b double", "a string, b string") == ("BAD", 1, 1)

@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -87,3 +89,50 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master or 'the cluster'} share")
         base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Gives a function that writes a table below ``shared_dir`` and returns the written copy. The copies go at the end."""
+    paths: list[str] = []
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        paths.append(shared_dir(spark, name))
+        df.write.parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    try:
+        yield stored
+    finally:
+        if hasattr(spark, "_jvm"):
+            for path in paths:
+                hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+                hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession, rows_per_task: int, bytes_per_task: int) -> Iterator[Callable[[int], None]]:
+    """For jobs that run inside: shuffle files go when their job ends, and tasks hold no more than they can in memory.
+
+    Gives a function to tell how many rows the next jobs shuffle. The session's own settings come back at the end.
+    """
+    number, size = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = {key: spark.conf.get(key, None) for key in (number, size, cleanup)}
+
+    def expect(rows: int) -> None:
+        own = before[number] or spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set(number, str(max(int(own), rows // rows_per_task)))
+
+    try:
+        spark.conf.set(cleanup, "true")
+        if hasattr(spark, "_jvm"):
+            own = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(size))
+            spark.conf.set(size, str(min(own, bytes_per_task)))
+        yield expect
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
