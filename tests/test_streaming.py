@@ -11,6 +11,7 @@ from wattmill.operators.facility_marts import facility_generation
 from wattmill.operators.region_marts import fetched_points, generation_daily_by_fueltech, with_groups
 from wattmill.sources import landing, star, versions
 from wattmill.sources.tables import write_table
+from wattmill.session import cores
 from wattmill.streaming import ingest, upsert
 
 COLUMNS = ("unit_code", "interval", "interval_ts_utc", "metric", "value")
@@ -239,3 +240,20 @@ def test_unit_files_are_made_in_one_deal(spark, tmp_path):
     assert landed.count() == len(texts)
     assert sorted(len(r.raw_json.strip()) for r in landed.collect()) == sorted(map(len, texts))
     assert sum(f.stat().st_size for f in (tmp_path / "landing").rglob("part-*")) < sum(map(len, texts)) / 2
+
+
+def test_many_small_files_go_to_many_cores_and_few_tasks(spark, tmp_path):
+    """Files of one folder are written by more than one task, and taken in by few; the session keeps its settings."""
+    path = "/landing/facilities/fetched_at=2002-01-01T000000Z/part-{:04d}.json"
+    raw = samples.raw(spark, *[(path.format(i), {"data": [{"code": f"F{i}"}]}) for i in range(600)])
+    star.land(raw, str(tmp_path / "landing"), "fetched_at")
+    files = list((tmp_path / "landing").rglob("part-*"))
+    assert len(files) == 600 and len({re.match(r"part-(\d+)", f.name)[1] for f in files}) >= cores(spark)
+    assert not list((tmp_path / "landing").rglob(".part-*.crc"))
+    before = spark.conf.getAll
+    ingest.ingest(spark, str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "cp"))
+    assert spark.conf.getAll == before
+    # one file of each task
+    assert len(list((tmp_path / "raw").rglob("part-*.parquet"))) <= 2 * cores(spark)
+    texts = {json.loads(r.raw_json)["data"][0]["code"] for r in ingest.read_raw(spark, str(tmp_path / "raw")).collect()}
+    assert texts == {f"F{i}" for i in range(600)}
