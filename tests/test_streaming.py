@@ -257,3 +257,25 @@ def test_many_small_files_go_to_many_cores_and_few_tasks(spark, tmp_path):
     assert len(list((tmp_path / "raw").rglob("part-*.parquet"))) <= 2 * cores(spark)
     texts = {json.loads(r.raw_json)["data"][0]["code"] for r in ingest.read_raw(spark, str(tmp_path / "raw")).collect()}
     assert texts == {f"F{i}" for i in range(600)}
+
+
+def test_metrics_cross_the_merge_in_one_row(spark, tmp_path):
+    """Both shuffles of a merge carry the metrics of an instant in one row, and go when the merge is written."""
+    metrics = ("energy", "emissions", "market_value", "power")
+    rows = [(f"U{u}", dt.datetime(2024, 1, 1), m, "1d", float(v), "MWh", dt.datetime(2024, 2, v)) for u in range(50) for m in metrics for v in (1, 3, 2)]
+    fetched = spark.createDataFrame(rows, POINT)
+    table = upsert.PointTable(str(tmp_path / "t"))
+    kept = fetched.withColumn("source_id", F.lit(None).cast("bigint")).withColumns(table.derived()).select(*table.stored.names)
+    dealt = table._laid_out(kept)
+    from pyspark.sql import DataFrame
+
+    plan = dealt._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "RebalancePartitions":
+        plan = plan.children().apply(0)
+    through = DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, plan.children().apply(0)), spark)
+    assert through.count() == 50 * 2 and dealt.count() == 50 * 4
+    before = spark.conf.getAll
+    table.merge(fetched, 0)
+    assert spark.conf.getAll == before
+    assert {r.value for r in table.read(spark).collect()} == {3.0} and table.read(spark).count() == 200
+    assert all(".zstd." in f.name for f in (tmp_path / "t" / "data").rglob("part-*"))
