@@ -259,6 +259,15 @@ def test_many_small_files_go_to_many_cores_and_few_tasks(spark, tmp_path):
     assert texts == {f"F{i}" for i in range(600)}
 
 
+def test_unit_files_hold_every_point_and_unfold_none_to_be_made(spark, rows):
+    """A line stays one row until its file is made, and the files hold a point for each metric of each line, missing values included."""
+    sf_dir = "/root/testdata/sf0.001"
+    raw = star.unit_files_raw(spark, sf_dir)
+    assert "Generate" not in raw._jdf.queryExecution().optimizedPlan().toString()
+    point = ("unit_code", "interval_ts_utc", "metric", "interval", "value", "uom")
+    assert rows(upsert.points_of(raw), *point) == rows(star.daily_points(spark, sf_dir), *point)
+
+
 def test_metrics_cross_the_merge_in_one_row(spark, tmp_path):
     """Both shuffles of a merge carry the metrics of an instant in one row, and go when the merge is written."""
     metrics = ("energy", "emissions", "market_value", "power")
